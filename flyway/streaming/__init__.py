@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The workload is batch: yearly observation files are folded in by re-running the
+year job with dynamic partition overwrite (see ``flyway.sources.sinks.write_year_partitions``).
+Nothing here on purpose -- there is no watermark, window or stateful stream to model.
+"""
