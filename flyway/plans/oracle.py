@@ -182,3 +182,94 @@ SELECT fold, CAST({k} AS INTEGER) AS k, metric, CAST(value AS DOUBLE) AS value F
   INTO NAME metric VALUE value)
 """, [f"{p}_m"])
     return f"{p}_long"
+
+
+# ---------------------------------------------------------------- training-side tables
+cte("train", """
+SELECT * FROM fold_trans WHERE role = 'train'
+""", ["fold_trans"])
+
+cte("n_species", """
+SELECT CAST(count(*) AS DOUBLE) AS s FROM catalogue
+""", ["catalogue"])
+
+cte("comb", """
+SELECT fold, observer_id, year_from, year_to,
+       list_distinct(list_concat(species_from, species_to)) AS sp
+FROM train
+""", ["train"])
+
+cte("hist_n", """
+SELECT fold, species, count(*) AS n_i FROM (SELECT fold, unnest(sp) AS species FROM comb)
+GROUP BY fold, species
+""", ["comb"])
+
+cte("hist_share", """
+SELECT fold, species, n_i, n_i / sum(n_i) OVER (PARTITION BY fold) AS share FROM hist_n
+""", ["hist_n"])
+
+cte("comb_long", """
+SELECT fold, observer_id, year_from, unnest(sp) AS species FROM comb
+""", ["comb"])
+
+cte("cooc", """
+SELECT a.fold, a.species AS species_i, b.species AS species_j, count(*) AS n_ij
+FROM comb_long a JOIN comb_long b
+  ON a.fold = b.fold AND a.observer_id = b.observer_id AND a.year_from = b.year_from
+WHERE a.species <> b.species
+GROUP BY a.fold, a.species, b.species
+""", ["comb_long"])
+
+# species features from the fold's training rows (scope='train')
+cte("sviews", """
+SELECT fold, species, CAST(count(*) AS BIGINT) AS total_viewers FROM (
+  SELECT fold, unnest(species_from) AS species FROM train
+  UNION ALL
+  SELECT fold, unnest(species_to) AS species FROM train)
+GROUP BY fold, species
+""", ["train"])
+
+cte("sfeat", """
+SELECT fold, species, total_viewers,
+       CASE WHEN total_viewers >= median(total_viewers) OVER (PARTITION BY fold)
+            THEN 'common' ELSE 'rare' END AS popularity,
+       total_viewers / greatest(avg(total_viewers) OVER (PARTITION BY fold), 1.0) AS popularity_score
+FROM sviews
+""", ["sviews"])
+
+cte("boost", """
+SELECT fold, species, 1.0 + 0.2 * popularity_score AS boost FROM sfeat
+""", ["sfeat"])
+
+
+# ---------------------------------------------------------------- co-occurrence model (dense form)
+def cooc_pred_cte(alpha: float = 0.1, k: int = K) -> None:
+    cte("cooc_hist", f"""
+SELECT t.fold, t.observer_id, v.species_i,
+       coalesce(h.n_i, 0) + {alpha} * (SELECT s FROM n_species) AS d_i,
+       1.0 / (1.0 + coalesce(h.share, 0.0) * 10.0) AS w
+FROM test t, LATERAL (SELECT unnest(t.species_from) AS species_i) v
+LEFT JOIN hist_share h ON h.fold = t.fold AND h.species = v.species_i
+""", ["test", "hist_share", "n_species"])
+    cte("cooc_dense", f"""
+SELECT ch.fold, ch.observer_id, c.species,
+       sum(ch.w * CASE WHEN ch.d_i > 0 THEN (coalesce(p.n_ij, 0) + {alpha}) / ch.d_i
+                       ELSE 1.0 / (SELECT s FROM n_species) END) / sum(ch.w) AS raw_score,
+       sum(coalesce(p.n_ij, 0)) AS n_pairs
+FROM cooc_hist ch CROSS JOIN catalogue c
+LEFT JOIN cooc p ON p.fold = ch.fold AND p.species_i = ch.species_i AND p.species_j = c.species
+GROUP BY ch.fold, ch.observer_id, c.species
+""", ["cooc_hist", "catalogue", "cooc", "n_species"])
+    cte("pred_cooc", f"""
+SELECT fold, observer_id, species, score, CAST(rk AS INTEGER) AS rank FROM (
+  SELECT d.fold, d.observer_id, d.species, d.raw_score * coalesce(b.boost, 1.0) AS score,
+         row_number() OVER (PARTITION BY d.fold, d.observer_id
+                            ORDER BY round(d.raw_score * coalesce(b.boost, 1.0), 9) DESC, d.species) AS rk
+  FROM cooc_dense d JOIN test t USING (fold, observer_id)
+  LEFT JOIN boost b ON b.fold = d.fold AND b.species = d.species
+  WHERE NOT list_contains(t.species_from, d.species))
+WHERE rk <= {k}
+""", ["cooc_dense", "test", "boost"])
+
+
+cooc_pred_cte()

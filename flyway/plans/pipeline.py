@@ -42,6 +42,7 @@ class FoldedData:
     fold_trans: DataFrame       # transitions x folds: + fold, role
     catalogue: DataFrame        # (species) over all transitions
     n_species: DataFrame        # one row: n_species
+    n_folds: int                # requested folds (the table may hold fewer)
 
 
 def folded(spark: SparkSession, sf_dir: str, mode: str = "consecutive", n_folds: int = 4,
@@ -51,4 +52,4 @@ def folded(spark: SparkSession, sf_dir: str, mode: str = "consecutive", n_folds:
     ft = assign_folds(t, folds)
     cat = all_species(t)
     n = cat.agg(F.count(F.lit(1)).alias("n_species"))
-    return FoldedData(t, folds, ft, cat, n)
+    return FoldedData(t, folds, ft, cat, n, n_folds)

@@ -26,11 +26,50 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = half_up_sql(sql)
         return fn
     return deco
 
 
+def half_up_sql(sql: str) -> str:
+    """Rewrite every ``round(x, 6)`` into ``floor(x * 1e6 + 0.5) / 1e6``.
+
+    Both engines then round with the same IEEE arithmetic (their built-in
+    ``round`` differ on exact halves such as 0.0640625).
+    """
+    out, i, pat = [], 0, "round("
+    while True:
+        j = sql.find(pat, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(pat)])
+            i = j + len(pat)
+            continue
+        depth, m = 0, j + len(pat) - 1
+        while True:
+            ch = sql[m]
+            depth += ch == "("
+            depth -= ch == ")"
+            if depth == 0:
+                break
+            m += 1
+        inner = sql[j + len(pat):m]
+        head, _, tail = inner.rpartition(",")
+        if tail.strip() == "6":
+            out.append(sql[i:j])
+            out.append(f"(floor(({half_up_sql(head)}) * 1000000 + 0.5) / 1000000)")
+        else:
+            out.append(sql[i:j + len(pat)] + half_up_sql(inner) + ")")
+        i = m + 1
+
+
+def r6(c):
+    """Spark side of the shared 6-place rounding."""
+    return F.floor(c * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
+
+
 def cmp_ready(df: DataFrame) -> DataFrame:
     """Arrays -> comma-joined strings, doubles -> round(x, 6)."""
     cols = []
@@ -39,7 +78,7 @@ def cmp_ready(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.ArrayType):
             c = F.array_join(c.cast("array<string>"), ",")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 6)
+            c = r6(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -112,23 +151,41 @@ def q_popularity_topk(spark, sf):
     return cmp_ready(popularity_topk(d.fold_trans, d.catalogue, k=O.K))
 
 
-def _pop_metrics(spark, sf):
+def _pop(spark, sf):
     d = folded(spark, sf)
-    preds = popularity_topk(d.fold_trans, d.catalogue, k=O.K)
-    truth = d.fold_trans.where(F.col("role") == "test")
-    return ranking_metrics(preds, truth, O.K, d.n_species)
+    return d, popularity_topk(d.fold_trans, d.catalogue, k=O.K)
+
+
+def metric_keys(prefix: str, pred_cte: str, build, k: int = O.K):
+    """Register ``{prefix}_metrics`` = the long metric table of one model's predictions.
+
+    ``build(spark, sf)`` returns (FoldedData, predictions).
+    """
+    long_cte = O.metric_ctes(pred_cte, k)
+    sql = O.with_([long_cte], f"""
+SELECT fold, k, metric, round(value, 6) AS value FROM {long_cte}
+""")
+
+    def fn(spark, sf):
+        d, preds = build(spark, sf)
+        truth = d.fold_trans.where(F.col("role") == "test")
+        return cmp_ready(ranking_metrics(preds, truth, k, d.n_species))
+    register(f"{prefix}_metrics", sql)(fn)
+    return long_cte
 
 
-O.metric_ctes("pred_pop")
+_POP_LONG = metric_keys("popularity", "pred_pop", _pop)
 
 
 def _metric_query(metric: str, alias: str):
-    sql = O.with_(["pred_pop_long"], f"""
-SELECT fold, round(value, 6) AS {alias} FROM pred_pop_long WHERE metric = '{metric}'
+    sql = O.with_([_POP_LONG], f"""
+SELECT fold, round(value, 6) AS {alias} FROM {_POP_LONG} WHERE metric = '{metric}'
 """)
 
     def fn(spark, sf):
-        m = _pop_metrics(spark, sf).where(F.col("metric") == metric)
+        d, preds = _pop(spark, sf)
+        truth = d.fold_trans.where(F.col("role") == "test")
+        m = ranking_metrics(preds, truth, O.K, d.n_species).where(F.col("metric") == metric)
         return cmp_ready(m.select("fold", F.col("value").alias(alias)))
     return fn, sql
 
@@ -139,3 +196,6 @@ for _metric, _key in [("precision@k", "precision_at_k"), ("recall@k", "recall_at
                       ("coverage", "coverage")]:
     _fn, _sql = _metric_query(_metric, _key)
     register(_key, _sql)(_fn)
+
+
+from . import q_models  # noqa: E402,F401  (registers on import)
