@@ -273,3 +273,58 @@ WHERE rk <= {k}
 
 
 cooc_pred_cte()
+
+
+# ---------------------------------------------------------------- nearest-observer models
+def neighbor_pred_cte(metric: str, n_nb: int = 50, min_common: int = 1, k: int = K) -> str:
+    m = metric
+    sim = ("common / sqrt(CAST(nt AS DOUBLE) * nr)" if m == "cosine"
+           else "common / CAST(nt + nr - common AS DOUBLE)")
+    cte(f"nb_pairs_{m}", f"""
+SELECT fold, observer_id, nb_observer_id, nb_year_from, common, {sim} AS sim FROM (
+  SELECT t.fold, t.observer_id, r.observer_id AS nb_observer_id, r.year_from AS nb_year_from,
+         count(*) AS common, any_value(t.nt) AS nt, any_value(r.nr) AS nr
+  FROM (SELECT fold, observer_id, len(species_from) AS nt, unnest(species_from) AS species
+        FROM test) t
+  JOIN (SELECT fold, observer_id, year_from, len(sp) AS nr, unnest(sp) AS species FROM comb) r
+    ON t.fold = r.fold AND t.species = r.species
+  GROUP BY t.fold, t.observer_id, r.observer_id, r.year_from)
+WHERE common >= {min_common}
+""", ["test", "comb"])
+    cte(f"nb_top_{m}", f"""
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY fold, observer_id
+                               ORDER BY round(sim, 9) DESC, nb_observer_id, nb_year_from) AS nb_rank
+  FROM nb_pairs_{m} WHERE sim > 0)
+WHERE nb_rank <= {n_nb}
+""", [f"nb_pairs_{m}"])
+    cte(f"nb_votes_{m}", f"""
+SELECT n.fold, n.observer_id, c.species,
+       sum(n.sim) / any_value(tot.sim_total) AS score
+FROM nb_top_{m} n
+JOIN (SELECT fold, observer_id, year_from, unnest(sp) AS species FROM comb) c
+  ON c.fold = n.fold AND c.observer_id = n.nb_observer_id AND c.year_from = n.nb_year_from
+JOIN (SELECT fold, observer_id, sum(sim) AS sim_total FROM nb_top_{m} GROUP BY fold, observer_id) tot
+  ON tot.fold = n.fold AND tot.observer_id = n.observer_id
+GROUP BY n.fold, n.observer_id, c.species
+""", [f"nb_top_{m}", "comb"])
+    cte(f"pred_nb_{m}", f"""
+SELECT fold, observer_id, species, score, CAST(rk AS INTEGER) AS rank FROM (
+  SELECT v.fold, v.observer_id, v.species, v.score,
+         row_number() OVER (PARTITION BY v.fold, v.observer_id
+                            ORDER BY round(v.score, 9) DESC, v.species) AS rk
+  FROM (SELECT * FROM nb_votes_{m}
+        UNION ALL
+        SELECT t.fold, t.observer_id, h.species, h.share AS score
+        FROM test t JOIN hist_share h ON h.fold = t.fold
+        WHERE NOT EXISTS (SELECT 1 FROM nb_top_{m} n
+                          WHERE n.fold = t.fold AND n.observer_id = t.observer_id)) v
+  JOIN test t USING (fold, observer_id)
+  WHERE NOT list_contains(t.species_from, v.species) AND v.score > 0)
+WHERE rk <= {k}
+""", [f"nb_votes_{m}", "test", "hist_share", f"nb_top_{m}"])
+    return f"pred_nb_{m}"
+
+
+neighbor_pred_cte("cosine")
+neighbor_pred_cte("jaccard")

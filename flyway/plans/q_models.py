@@ -65,3 +65,59 @@ def q_cooccurrence_topk(spark, sf):
 
 
 metric_keys("cooc", "pred_cooc", lambda spark, sf: _cooc(spark, sf))
+
+
+# ---------------------------------------------------------------- neighbours
+from ..models.neighbors import neighbor_candidates, neighbor_topk, neighbor_votes  # noqa: E402
+
+
+def _nb(metric):
+    def build(spark, sf):
+        d = folded(spark, sf)
+        return d, neighbor_topk(d.fold_trans, k=O.K, metric=metric)
+    return build
+
+
+def _nb_frames(spark, sf, metric="cosine"):
+    d = folded(spark, sf)
+    test = (d.fold_trans.where(F.col("role") == "test")
+                        .select("fold", "observer_id", "species_from"))
+    train = (d.fold_trans.where(F.col("role") == "train")
+                         .select("fold", "observer_id", "year_from",
+                                 F.array_union("species_from", "species_to").alias("species")))
+    return d, test, train, neighbor_candidates(test, train, metric)
+
+
+@register("neighbor_topk_cosine", O.with_(["pred_nb_cosine"], """
+SELECT fold, observer_id, species, round(score, 6) AS score, rank FROM pred_nb_cosine
+"""))
+def q_neighbor_topk_cosine(spark, sf):
+    return cmp_ready(_nb("cosine")(spark, sf)[1])
+
+
+@register("neighbor_topk_jaccard", O.with_(["pred_nb_jaccard"], """
+SELECT fold, observer_id, species, round(score, 6) AS score, rank FROM pred_nb_jaccard
+"""))
+def q_neighbor_topk_jaccard(spark, sf):
+    return cmp_ready(_nb("jaccard")(spark, sf)[1])
+
+
+@register("topn_neighbors", O.with_(["nb_top_cosine"], """
+SELECT fold, observer_id, nb_observer_id, nb_year_from, CAST(common AS BIGINT) AS common,
+       round(sim, 6) AS sim, CAST(nb_rank AS INTEGER) AS nb_rank FROM nb_top_cosine
+"""))
+def q_topn_neighbors(spark, sf):
+    nb = _nb_frames(spark, sf)[3]
+    return cmp_ready(nb.withColumn("nb_rank", F.col("nb_rank").cast("int")))
+
+
+@register("neighbor_votes", O.with_(["nb_votes_cosine"], """
+SELECT fold, observer_id, species, round(score, 6) AS score FROM nb_votes_cosine
+"""))
+def q_neighbor_votes(spark, sf):
+    d, test, train, nb = _nb_frames(spark, sf)
+    return cmp_ready(neighbor_votes(nb, train))
+
+
+metric_keys("neighbor_cosine", "pred_nb_cosine", _nb("cosine"))
+metric_keys("neighbor_jaccard", "pred_nb_jaccard", _nb("jaccard"))
