@@ -328,3 +328,124 @@ WHERE rk <= {k}
 
 neighbor_pred_cte("cosine")
 neighbor_pred_cte("jaccard")
+
+
+# ---------------------------------------------------------------- features
+_KEYED = "FROM obs WHERE observer_id IS NOT NULL AND year IS NOT NULL"
+
+cte("summ", f"""
+SELECT observer_id, year,
+       list_sort(list_distinct(list(scientific_name))) AS scientific_name,
+       list_sort(list_distinct(list(state))) AS state,
+       list_sort(list_distinct(list(county))) AS county,
+       list_sort(list_distinct(list(locality_id))) AS locality_id,
+       list_sort(list_distinct(list(effort_hours))) AS effort_hours,
+       list_sort(list_distinct(list(effort_distance_km))) AS effort_distance_km,
+       list_sort(list_distinct(list(duration_minutes))) AS duration_minutes,
+       list_sort(list_distinct(list(number_observers))) AS number_observers,
+       coalesce(sum(observation_count), 0.0) AS total_observations
+{_KEYED} GROUP BY observer_id, year
+""", ["obs"])
+
+
+def _month_cols() -> str:
+    return ",\n".join(
+        f"  coalesce(count(*) FILTER (WHERE month(observation_date) = {m}) "
+        f"/ nullif(count(month(observation_date)), 0), 0.0) AS month_{m}_freq"
+        for m in range(1, 13))
+
+
+cte("tf", f"""
+SELECT observer_id, year,
+  count(DISTINCT locality_id) AS num_checklists,
+  count(DISTINCT scientific_name) AS num_species,
+  coalesce(sum(observation_count), 0.0) AS total_observations,
+  CASE WHEN count(DISTINCT locality_id) > 0
+       THEN coalesce(sum(observation_count), 0.0) / count(DISTINCT locality_id) ELSE 0.0 END
+    AS avg_observations_per_checklist,
+  coalesce(max(observation_count), 0.0) AS max_observations_per_checklist,
+  avg(day_of_year) AS doy_mean, coalesce(stddev_samp(day_of_year), 0.0) AS doy_std,
+  CAST(min(day_of_year) AS DOUBLE) AS doy_min, CAST(max(day_of_year) AS DOUBLE) AS doy_max,
+  CAST(coalesce(max(day_of_year) - min(day_of_year), 0) AS DOUBLE) AS doy_range,
+  avg(hours_of_day) AS hod_mean, coalesce(stddev_samp(hours_of_day), 0.0) AS hod_std,
+  min(hours_of_day) AS hod_min, max(hours_of_day) AS hod_max,
+{_month_cols()},
+  avg(effort_hours) AS effort_mean, coalesce(sum(effort_hours), 0.0) AS effort_total,
+  coalesce(max(effort_hours), 0.0) AS effort_max, coalesce(stddev_samp(effort_hours), 0.0) AS effort_std,
+  avg(duration_minutes) AS duration_mean, coalesce(sum(duration_minutes), 0.0) AS duration_total,
+  coalesce(max(duration_minutes), 0.0) AS duration_max,
+  coalesce(stddev_samp(duration_minutes), 0.0) AS duration_std,
+  count(DISTINCT locality_id) / 12.0 AS checklists_per_month,
+  count(DISTINCT locality_id) AS num_locations,
+  count(DISTINCT state) AS num_states,
+  avg(day_of_year) AS avg_day_of_year, avg(hours_of_day) AS avg_hours_of_day,
+  avg(effort_hours) AS avg_effort_hours, avg(duration_minutes) AS avg_duration
+{_KEYED} GROUP BY observer_id, year
+""", ["obs"])
+
+
+def _mode_cte(col: str, name: str) -> None:
+    cte(name, f"""
+SELECT observer_id, year,
+       max(CASE WHEN rk = 1 THEN {col} END) AS top_{col},
+       sum(-(n / tot) * ln(n / tot + 1e-10)) AS {col}_diversity,
+       count(*) AS n_values
+FROM (SELECT *, sum(n) OVER (PARTITION BY observer_id, year) AS tot,
+             row_number() OVER (PARTITION BY observer_id, year ORDER BY n DESC, {col}) AS rk
+      FROM (SELECT observer_id, year, {col}, count(*) AS n {_KEYED} AND {col} IS NOT NULL
+            GROUP BY observer_id, year, {col}))
+GROUP BY observer_id, year
+""", ["obs"])
+
+
+_mode_cte("state", "st_mode")
+_mode_cte("county", "co_mode")
+
+cte("gf", f"""
+SELECT o.observer_id, o.year, s.top_state, c.top_county,
+       coalesce(s.state_diversity, 0.0) AS state_diversity,
+       CAST(coalesce(s.n_values, 0) AS BIGINT) AS num_states,
+       CAST(coalesce(c.n_values, 0) AS BIGINT) AS num_counties,
+       CAST(o.num_localities AS BIGINT) AS num_localities,
+       o.geographic_spread
+FROM (SELECT observer_id, year, count(DISTINCT locality_id) AS num_localities,
+             CASE WHEN count(latitude) > 0 AND count(longitude) > 0
+                  THEN coalesce(stddev_samp(latitude), 0.0) + coalesce(stddev_samp(longitude), 0.0)
+                  ELSE 0.0 END AS geographic_spread
+      {_KEYED} GROUP BY observer_id, year) o
+LEFT JOIN st_mode s USING (observer_id, year)
+LEFT JOIN co_mode c USING (observer_id, year)
+""", ["obs", "st_mode", "co_mode"])
+
+cte("tf_summ", """
+SELECT observer_id, year,
+  CAST(len(scientific_name) AS BIGINT) AS num_species,
+  CAST(len(locality_id) AS BIGINT) AS num_checklists,
+  coalesce(total_observations, 0.0) AS total_observations,
+  CASE WHEN len(locality_id) > 0 THEN coalesce(total_observations, 0.0) / len(locality_id)
+       ELSE 0.0 END AS avg_observations_per_checklist,
+  coalesce(list_avg(effort_hours), 0.0) AS effort_mean,
+  coalesce(list_sum(effort_hours), 0.0) AS effort_total,
+  coalesce(list_max(effort_hours), 0.0) AS effort_max,
+  CASE WHEN len(effort_hours) > 1 THEN list_stddev_pop(effort_hours) ELSE 0.0 END AS effort_std,
+  coalesce(list_avg(duration_minutes), 0.0) AS duration_mean,
+  coalesce(list_sum(duration_minutes), 0.0) AS duration_total,
+  coalesce(list_max(duration_minutes), 0.0) AS duration_max,
+  CASE WHEN len(duration_minutes) > 1 THEN list_stddev_pop(duration_minutes) ELSE 0.0 END
+    AS duration_std,
+  len(locality_id) / 12.0 AS checklists_per_month,
+  CAST(len(locality_id) AS BIGINT) AS num_locations,
+  CAST(len(state) AS BIGINT) AS num_states
+FROM summ
+""", ["summ"])
+
+cte("gf_summ", """
+SELECT observer_id, year, list_min(state) AS top_state, list_min(county) AS top_county,
+  CASE WHEN len(state) > 0 THEN -ln(1.0 / len(state) + 1e-10) ELSE 0.0 END AS state_diversity,
+  CASE WHEN len(state) > 0 THEN -(1.0 / len(state)) * ln(1.0 / len(state) + 1e-10) ELSE 0.0 END
+    AS state_diversity_literal,
+  CAST(len(state) AS BIGINT) AS num_states, CAST(len(county) AS BIGINT) AS num_counties,
+  CAST(len(locality_id) AS BIGINT) AS num_localities,
+  CAST(len(locality_id) AS DOUBLE) AS geographic_spread
+FROM summ
+""", ["summ"])

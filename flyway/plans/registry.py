@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None):
 
 
 def half_up_sql(sql: str) -> str:
-    """Rewrite every ``round(x, 6)`` into ``floor(x * 1e6 + 0.5) / 1e6``.
+    """Rewrite every ``round(x, 6)`` into a two-stage half-up rounding (see ``r6``).
 
     Both engines then round with the same IEEE arithmetic (their built-in
     ``round`` differ on exact halves such as 0.0640625).
@@ -59,15 +59,21 @@ def half_up_sql(sql: str) -> str:
         head, _, tail = inner.rpartition(",")
         if tail.strip() == "6":
             out.append(sql[i:j])
-            out.append(f"(floor(({half_up_sql(head)}) * 1000000 + 0.5) / 1000000)")
+            inner9 = f"(floor(({half_up_sql(head)}) * 1000000000 + 0.5) / 1000000000)"
+            out.append(f"(floor({inner9} * 1000000 + 0.5) / 1000000)")
         else:
             out.append(sql[i:j + len(pat)] + half_up_sql(inner) + ")")
         i = m + 1
 
 
 def r6(c):
-    """Spark side of the shared 6-place rounding."""
-    return F.floor(c * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
+    """Spark side of the shared 6-place rounding.
+
+    Two stages: to 9 places first (erases the last-ulp noise of different
+    summation orders), then half-up to 6 places on the now identical value.
+    """
+    c9 = F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
+    return F.floor(c9 * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
 def cmp_ready(df: DataFrame) -> DataFrame:
@@ -198,4 +204,4 @@ for _metric, _key in [("precision@k", "precision_at_k"), ("recall@k", "recall_at
     register(_key, _sql)(_fn)
 
 
-from . import q_models  # noqa: E402,F401  (registers on import)
+from . import q_models, q_features  # noqa: E402,F401  (register on import)
