@@ -449,3 +449,25 @@ SELECT observer_id, year, list_min(state) AS top_state, list_min(county) AS top_
   CAST(len(locality_id) AS DOUBLE) AS geographic_spread
 FROM summ
 """, ["summ"])
+
+
+# ---------------------------------------------------------------- region
+cte("europe", """
+SELECT n.n_name AS state FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE r.r_name = 'EUROPE'
+""")
+
+cte("summ_region", """
+SELECT * FROM summ s
+WHERE coalesce(len(list_intersect(list_transform(s.state, lambda x: trim(x)),
+                                  (SELECT list(state) FROM europe))) > 0, false)
+""", ["summ", "europe"])
+
+cte("trans_region", """
+SELECT * FROM (
+  SELECT observer_id, year AS year_from,
+         lead(year) OVER (PARTITION BY observer_id ORDER BY year) AS year_to,
+         scientific_name AS species_from,
+         lead(scientific_name) OVER (PARTITION BY observer_id ORDER BY year) AS species_to
+  FROM summ_region) WHERE year_to IS NOT NULL
+""", ["summ_region"])

@@ -51,19 +51,44 @@ def scan_years(raw: DataFrame, years: list[int] | None) -> DataFrame:
 
 
 def scan_sample(raw: DataFrame, max_files: int) -> DataFrame:
-    """Dev sample: the first ``max_files`` files (by name) of each year (S3).
+    """Dev sample: the first ``max_files`` files (by name) of each year (S3)."""
+    return scan_observed(first_files(raw, max_files, "year"))
 
-    A distributed equivalent of "sorted(paths)[:n]": rank the distinct
-    (year, file name) pairs -- a table bounded by the number of files -- and
-    semi-join the rows back.
-    """
-    with_file = raw.withColumn("_file", F.col("_metadata.file_name"))
-    files = with_file.select("year", "_file").distinct()
+
+def first_files(df: DataFrame, max_files: int, partition: str | None = None) -> DataFrame:
+    """Rows of the first ``max_files`` files by name (per ``partition`` value if given)."""
     from pyspark.sql import Window
-    keep = (files.withColumn("_rn", F.row_number().over(
-                Window.partitionBy("year").orderBy("_file")))
-                 .where(F.col("_rn") <= max_files).select("year", "_file"))
-    return with_file.join(keep, ["year", "_file"], "left_semi").drop("_file")
+    g = [partition] if partition else []
+    with_file = df.withColumn("_file", F.col("_metadata.file_name"))
+    files = with_file.select(*g, "_file").distinct()
+    keep = (files.withColumn("_rn", F.row_number().over(Window.partitionBy(*g).orderBy("_file")))
+                 .where(F.col("_rn") <= max_files).select(*g, "_file"))
+    return with_file.join(F.broadcast(keep), [*g, "_file"], "left_semi").drop("_file")
+
+
+# Keyword lists of the three column categories (substring match).
+GEO_KEYWORDS = "state|county|lat|lon|location|region|country|locality"
+TEMPORAL_KEYWORDS = "date|time|day|hour|month|year"
+EFFORT_KEYWORDS = "effort|duration|distance|protocol"
+
+
+def column_inventory_df(df: DataFrame) -> DataFrame:
+    """Per year present in the data, every column with its categories.
+
+    The column list is schema metadata; each distinct year row is expanded by an
+    explode of that constant list, so nothing is collected.
+    """
+    names = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
+                               F.lit(f.dataType.simpleString()).alias("data_type"))
+                      for f in df.schema.fields])
+    inv = (df.select("year").distinct()
+             .select("year", F.explode(names).alias("c"))
+             .select("year", "c.column_name", "c.data_type"))
+    lc = F.lower("column_name")
+    return inv.select("year", "column_name", "data_type",
+                      lc.rlike(GEO_KEYWORDS).alias("is_geographic"),
+                      lc.rlike(TEMPORAL_KEYWORDS).alias("is_temporal"),
+                      lc.rlike(EFFORT_KEYWORDS).alias("is_effort"))
 
 
 def column_inventory(spark: SparkSession, frames: dict[int, DataFrame]) -> DataFrame:
@@ -81,15 +106,11 @@ def column_inventory(spark: SparkSession, frames: dict[int, DataFrame]) -> DataF
                             T.StructField("column_name", T.StringType()),
                             T.StructField("data_type", T.StringType())]))
     lc = F.lower("column_name")
-    # Keyword lists of the three categories (substring match).
-    geo = "state|county|lat|lon|location|region|country|locality"
-    temporal = "date|time|day|hour|month|year"
-    effort = "effort|duration|distance|protocol"
     return inv.select(
         "year", "column_name", "data_type",
-        lc.rlike(geo).alias("is_geographic"),
-        lc.rlike(temporal).alias("is_temporal"),
-        lc.rlike(effort).alias("is_effort"),
+        lc.rlike(GEO_KEYWORDS).alias("is_geographic"),
+        lc.rlike(TEMPORAL_KEYWORDS).alias("is_temporal"),
+        lc.rlike(EFFORT_KEYWORDS).alias("is_effort"),
     )
 
 
