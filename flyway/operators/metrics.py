@@ -96,10 +96,12 @@ def count_metrics(rows: DataFrame, group: list[str] | None = None) -> DataFrame:
     p = F.greatest(F.col("predicted").cast("double"), F.lit(0.0))
     r = rows.select(*g, a.alias("a"), p.alias("p"))
     corr_ok = (F.stddev_pop("a") > 0) & (F.stddev_pop("p") > 0)
+    # corr() itself divides by zero (an error under ANSI) when a side is constant.
+    corr = F.try_divide(F.covar_pop("a", "p"), F.stddev_pop("a") * F.stddev_pop("p"))
     wide = r.groupBy(*g).agg(
         F.avg(F.abs(F.col("a") - F.col("p"))).alias("count_mae"),
         F.sqrt(F.avg(F.pow(F.col("a") - F.col("p"), 2))).alias("count_rmse"),
-        F.when(corr_ok, F.coalesce(F.nanvl(F.corr("a", "p"), F.lit(0.0)), F.lit(0.0)))
+        F.when(corr_ok, F.coalesce(F.nanvl(corr, F.lit(0.0)), F.lit(0.0)))
          .otherwise(F.lit(0.0)).alias("count_correlation"),
         (F.avg(F.abs((F.col("a") - F.col("p")) / (F.col("a") + F.lit(1e-8)))) * 100).alias("count_mape"),
         F.avg("a").alias("mean_actual_count"),

@@ -243,7 +243,7 @@ SELECT fold, species, 1.0 + 0.2 * popularity_score AS boost FROM sfeat
 
 
 # ---------------------------------------------------------------- co-occurrence model (dense form)
-def cooc_pred_cte(alpha: float = 0.1, k: int = K) -> None:
+def cooc_pred_cte(alpha: float = 0.1, k: int = K, name: str = "pred_cooc", boost: bool = True) -> None:
     cte("cooc_hist", f"""
 SELECT t.fold, t.observer_id, v.species_i,
        coalesce(h.n_i, 0) + {alpha} * (SELECT s FROM n_species) AS d_i,
@@ -260,11 +260,12 @@ FROM cooc_hist ch CROSS JOIN catalogue c
 LEFT JOIN cooc p ON p.fold = ch.fold AND p.species_i = ch.species_i AND p.species_j = c.species
 GROUP BY ch.fold, ch.observer_id, c.species
 """, ["cooc_hist", "catalogue", "cooc", "n_species"])
-    cte("pred_cooc", f"""
+    b = "coalesce(b.boost, 1.0)" if boost else "1.0"
+    cte(name, f"""
 SELECT fold, observer_id, species, score, CAST(rk AS INTEGER) AS rank FROM (
-  SELECT d.fold, d.observer_id, d.species, d.raw_score * coalesce(b.boost, 1.0) AS score,
+  SELECT d.fold, d.observer_id, d.species, d.raw_score * {b} AS score,
          row_number() OVER (PARTITION BY d.fold, d.observer_id
-                            ORDER BY round(d.raw_score * coalesce(b.boost, 1.0), 9) DESC, d.species) AS rk
+                            ORDER BY round(d.raw_score * {b}, 9) DESC, d.species) AS rk
   FROM cooc_dense d JOIN test t USING (fold, observer_id)
   LEFT JOIN boost b ON b.fold = d.fold AND b.species = d.species
   WHERE NOT list_contains(t.species_from, d.species))
@@ -273,12 +274,14 @@ WHERE rk <= {k}
 
 
 cooc_pred_cte()
+cooc_pred_cte(name="pred_cooc_noboost", boost=False)
 
 
 # ---------------------------------------------------------------- nearest-observer models
-def neighbor_pred_cte(metric: str, n_nb: int = 50, min_common: int = 1, k: int = K) -> str:
-    m = metric
-    sim = ("common / sqrt(CAST(nt AS DOUBLE) * nr)" if m == "cosine"
+def neighbor_pred_cte(metric: str, n_nb: int = 50, min_common: int = 1, k: int = K,
+                      suffix: str = "") -> str:
+    m = metric + suffix
+    sim = ("common / sqrt(CAST(nt AS DOUBLE) * nr)" if metric == "cosine"
            else "common / CAST(nt + nr - common AS DOUBLE)")
     cte(f"nb_pairs_{m}", f"""
 SELECT fold, observer_id, nb_observer_id, nb_year_from, common, {sim} AS sim FROM (
@@ -328,6 +331,34 @@ WHERE rk <= {k}
 
 neighbor_pred_cte("cosine")
 neighbor_pred_cte("jaccard")
+neighbor_pred_cte("cosine", min_common=2, suffix="_mc2")
+
+# ---------------------------------------------------------------- counts
+cte("mean_cnt", """
+SELECT avg(coalesce(s.total_observations, 0.0)) AS m
+FROM fold_trans f LEFT JOIN summ s ON s.observer_id = f.observer_id AND s.year = f.year_to
+WHERE f.fold = 1 AND f.role = 'train'
+""", ["fold_trans", "summ"])
+
+cte("cnt_rows", """
+SELECT t.fold, t.observer_id, coalesce(s.total_observations, 0.0) AS a,
+       greatest((SELECT m FROM mean_cnt), 0.0) AS p
+FROM fold_trans t LEFT JOIN summ s ON s.observer_id = t.observer_id AND s.year = t.year_to
+WHERE t.role = 'test'
+""", ["fold_trans", "summ", "mean_cnt"])
+
+cte("cnt_long", """
+SELECT fold, metric, value FROM (UNPIVOT (
+  SELECT fold, avg(abs(a - p)) AS count_mae, sqrt(avg((a - p) * (a - p))) AS count_rmse,
+         CASE WHEN stddev_pop(a) > 0 AND stddev_pop(p) > 0
+              THEN coalesce(CASE WHEN isnan(corr(a, p)) THEN 0.0 ELSE corr(a, p) END, 0.0)
+              ELSE 0.0 END AS count_correlation,
+         avg(abs((a - p) / (a + 1e-8))) * 100 AS count_mape,
+         avg(a) AS mean_actual_count, avg(p) AS mean_predicted_count
+  FROM cnt_rows GROUP BY fold)
+  ON count_mae, count_rmse, count_correlation, count_mape, mean_actual_count, mean_predicted_count
+  INTO NAME metric VALUE value)
+""", ["cnt_rows"])
 
 
 # ---------------------------------------------------------------- features
@@ -471,3 +502,19 @@ SELECT * FROM (
          lead(scientific_name) OVER (PARTITION BY observer_id ORDER BY year) AS species_to
   FROM summ_region) WHERE year_to IS NOT NULL
 """, ["summ_region"])
+
+
+def cv_cte() -> None:
+    parts = []
+    for model, pred in [("baseline", "pred_pop"), ("collaborative", "pred_cooc"),
+                        ("user_collaborative", "pred_nb_cosine")]:
+        parts.append(f"SELECT '{model}' AS model, fold, k, metric, value FROM {metric_ctes(pred)}")
+    parts.append(f"SELECT 'baseline' AS model, fold, CAST({K} AS INTEGER) AS k, metric, value FROM cnt_long")
+    cte("cv", "\nUNION ALL\n".join(parts),
+        ["pred_pop_long", "pred_cooc_long", "pred_nb_cosine_long", "cnt_long"])
+    cte("cv_summary", """
+SELECT model, k, metric, avg(value) AS mean_value, count(*) AS n_folds FROM cv GROUP BY model, k, metric
+""", ["cv"])
+
+
+cv_cte()

@@ -59,21 +59,34 @@ def half_up_sql(sql: str) -> str:
         head, _, tail = inner.rpartition(",")
         if tail.strip() == "6":
             out.append(sql[i:j])
-            inner9 = f"(floor(({half_up_sql(head)}) * 1000000000 + 0.5) / 1000000000)"
-            out.append(f"(floor({inner9} * 1000000 + 0.5) / 1000000)")
+            out.append(_tiered_sql(half_up_sql(head)))
         else:
             out.append(sql[i:j + len(pat)] + half_up_sql(inner) + ")")
         i = m + 1
 
 
+def _tiered_sql(x: str) -> str:
+    def r(d: int) -> str:
+        s1, s2 = 10 ** (d + 3), 10 ** d
+        return f"(floor((floor(({x}) * {s1} + 0.5) / {s1}) * {s2} + 0.5) / {s2})"
+    return (f"(CASE WHEN abs({x}) < 1000 THEN {r(6)} WHEN abs({x}) < 1000000 THEN {r(3)} "
+            f"ELSE {r(0)} END)")
+
+
 def r6(c):
-    """Spark side of the shared 6-place rounding.
+    """Spark side of the shared comparison rounding.
 
-    Two stages: to 9 places first (erases the last-ulp noise of different
-    summation orders), then half-up to 6 places on the now identical value.
+    Two stages: 3 extra places first (erases the last-ulp noise of different
+    summation orders), then half-up on the now identical value.  Decimals shrink
+    with magnitude (6 below 1e3, 3 below 1e6, 0 above) so that relative noise of
+    huge values (e.g. MAPE over zero actuals) cannot reach the kept digits.
     """
-    c9 = F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
-    return F.floor(c9 * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    def r(d: int):
+        s1, s2 = float(10 ** (d + 3)), float(10 ** d)
+        c1 = F.floor(c * F.lit(s1) + F.lit(0.5)) / F.lit(s1)
+        return F.floor(c1 * F.lit(s2) + F.lit(0.5)) / F.lit(s2)
+    a = F.abs(c)
+    return F.when(a < 1000, r(6)).when(a < 1000000, r(3)).otherwise(r(0))
 
 
 def cmp_ready(df: DataFrame) -> DataFrame:
@@ -204,4 +217,4 @@ for _metric, _key in [("precision@k", "precision_at_k"), ("recall@k", "recall_at
     register(_key, _sql)(_fn)
 
 
-from . import q_models, q_features, q_sources  # noqa: E402,F401  (register on import)
+from . import q_models, q_features, q_sources, q_eval  # noqa: E402,F401  (register on import)
