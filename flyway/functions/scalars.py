@@ -11,10 +11,11 @@ def clean_state(c: Column | str) -> Column:
     return F.trim(F.col(c) if isinstance(c, str) else c)
 
 
-def month_of(c: Column | str) -> Column:
-    """Month 1..12 of a date or date-like string; unparseable -> NULL -- F3."""
+def month_of(c: Column | str, parse: bool = False) -> Column:
+    """Month 1..12 of a date; with ``parse`` a date-like string is parsed first and an
+    unparseable one gives NULL (its month share is then 0) -- F3."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.month(F.try_to_date(col.cast("string")))
+    return F.month(F.try_to_date(col.cast("string"))) if parse else F.month(col)
 
 
 def safe_div(num: Column, den: Column, default: float = 0.0) -> Column:

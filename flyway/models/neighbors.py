@@ -41,55 +41,75 @@ NEIGHBOR_SCHEMA = T.StructType([
 ])
 
 
-def _indicator(sets, vocab: dict[str, int]) -> np.ndarray:
-    m = np.zeros((len(sets), len(vocab)), dtype=np.float32)
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    cols = np.fromiter((vocab[x] for s in sets for x in s), dtype=np.int64, count=len(rows))
-    m[rows, cols] = 1.0
-    return m
+def _codes(sets: pd.Series, vocab: pd.Index) -> tuple[np.ndarray, np.ndarray]:
+    """(row index, species code) of every element of a column of lists."""
+    lens = sets.map(len).to_numpy()
+    flat = np.concatenate([np.asarray(x, dtype=object) for x in sets]) if len(sets) else np.array([], object)
+    return np.repeat(np.arange(len(sets)), lens), vocab.get_indexer(flat)
 
 
-def _block_topn(metric: str, n_neighbors: int, min_common: int):
+def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int = 1 << 23):
+    """Exact per-row top-N inside one (test block, train block) pair.
+
+    0/1 incidence matrices (float32: exact counts up to 2^24), test rows processed
+    in chunks so the overlap matrix stays <= ``chunk_cells`` entries.
+    """
+    empty = pd.DataFrame({f.name: pd.Series(dtype=t) for f, t in
+                          zip(NEIGHBOR_SCHEMA.fields, ["int32", "int64", "int64", "int32", "int64", "float64"])})
+
     def fn(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         if test.empty or train.empty:
-            return pd.DataFrame({f.name: [] for f in NEIGHBOR_SCHEMA.fields})
-        tsets = [list(s) for s in test["species_from"]]
-        rsets = [list(s) for s in train["r_species"]]
-        vocab: dict[str, int] = {}
-        for s in tsets + rsets:
-            for x in s:
-                vocab.setdefault(x, len(vocab))
-        a = _indicator(tsets, vocab)
-        b = _indicator(rsets, vocab)
-        common = (a @ b.T).astype(np.float64)          # exact small integers
-        na = a.sum(axis=1).astype(np.float64)[:, None]
-        nb = b.sum(axis=1).astype(np.float64)[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            if metric == "cosine":
-                sim = common / np.sqrt(na * nb)
-            else:
-                sim = common / (na + nb - common)
-        ok = (common >= max(min_common, 1)) & (sim > 0)
-        i, j = np.nonzero(ok)
-        if len(i) == 0:
-            return pd.DataFrame({f.name: [] for f in NEIGHBOR_SCHEMA.fields})
-        s = sim[i, j]
-        nb_obs = train["r_observer_id"].to_numpy()[j]
-        nb_yf = train["r_year_from"].to_numpy()[j]
-        order = np.lexsort((nb_yf, nb_obs, -np.round(s, 9), i))
-        i, j, s, nb_obs, nb_yf = i[order], j[order], s[order], nb_obs[order], nb_yf[order]
-        first = np.r_[0, np.flatnonzero(np.diff(i)) + 1]
-        rank = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
-        keep = rank < n_neighbors
-        i, j, s, nb_obs, nb_yf = i[keep], j[keep], s[keep], nb_obs[keep], nb_yf[keep]
-        return pd.DataFrame({
-            "fold": test["fold"].to_numpy()[i].astype(np.int32),
-            "observer_id": test["observer_id"].to_numpy()[i].astype(np.int64),
-            "nb_observer_id": nb_obs.astype(np.int64),
-            "nb_year_from": nb_yf.astype(np.int32),
-            "common": common[i, j].astype(np.int64),
-            "sim": s.astype(np.float64),
-        })
+            return empty
+        tsets, rsets = test["species_from"], train["r_species"]
+        vocab = pd.Index(pd.unique(np.concatenate(
+            [np.concatenate([np.asarray(x, dtype=object) for x in tsets]),
+             np.concatenate([np.asarray(x, dtype=object) for x in rsets])])))
+        nv = len(vocab)
+        rr, rc = _codes(rsets, vocab)
+        b = np.zeros((len(rsets), nv), dtype=np.float32)
+        b[rr, rc] = 1.0
+        nb = b.sum(axis=1).astype(np.float64)
+        bt = np.ascontiguousarray(b.T)
+        tr, tc = _codes(tsets, vocab)
+        a_all = np.zeros((len(tsets), nv), dtype=np.float32)
+        a_all[tr, tc] = 1.0
+        nb_obs_all = train["r_observer_id"].to_numpy()
+        nb_yf_all = train["r_year_from"].to_numpy()
+        step = max(1, chunk_cells // max(len(rsets), 1))
+        out = []
+        for lo in range(0, len(tsets), step):
+            a = a_all[lo:lo + step]
+            common = (a @ bt).astype(np.float64)
+            na = a.sum(axis=1).astype(np.float64)[:, None]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sim = (common / np.sqrt(na * nb[None, :]) if metric == "cosine"
+                       else common / (na + nb[None, :] - common))
+            ok = (common >= max(min_common, 1)) & (sim > 0)
+            # Exact per-row top N: the N-th best rounded similarity is a threshold;
+            # everything at or above it (ties included) is ranked by the full key.
+            score = np.where(ok, np.round(sim, 9), -1.0)
+            kth = min(n_neighbors, score.shape[1])
+            thr = -np.partition(-score, kth - 1, axis=1)[:, kth - 1]
+            i, j = np.nonzero((score >= thr[:, None]) & ok)
+            if len(i) == 0:
+                continue
+            s_ = sim[i, j]
+            nbo, nby = nb_obs_all[j], nb_yf_all[j]
+            order = np.lexsort((nby, nbo, -score[i, j], i))
+            i, j, s_, nbo, nby = i[order], j[order], s_[order], nbo[order], nby[order]
+            first = np.r_[0, np.flatnonzero(np.diff(i)) + 1]
+            rank = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
+            keep = rank < n_neighbors
+            i, j = i[keep], j[keep]
+            out.append(pd.DataFrame({
+                "fold": test["fold"].to_numpy()[lo + i].astype(np.int32),
+                "observer_id": test["observer_id"].to_numpy()[lo + i].astype(np.int64),
+                "nb_observer_id": nbo[keep].astype(np.int64),
+                "nb_year_from": nby[keep].astype(np.int32),
+                "common": common[i, j].astype(np.int64),
+                "sim": s_[keep].astype(np.float64),
+            }))
+        return pd.concat(out, ignore_index=True) if out else empty
     return fn
 
 
@@ -99,7 +119,7 @@ def block_counts(n_test: int, n_train: int, block_rows: int) -> tuple[int, int]:
 
 def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine",
                         n_neighbors: int = 50, min_common: int = 1,
-                        block_rows: int = 4096) -> DataFrame:
+                        test_block_rows: int = 8192, train_block_rows: int = 32768) -> DataFrame:
     """Per test row the top-N training rows by similarity -- J13 + W4 (+ P10, P11).
 
     ``test``: (fold, observer_id, species_from); ``train``: (fold, observer_id,
@@ -110,8 +130,11 @@ def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine
                   .unionByName(train.select("fold", F.lit("train").alias("side")))
                   .groupBy("fold", "side").agg(F.count(F.lit(1)).alias("n")).collect()}
     folds = sorted({f for f, _ in counts})
-    bt = max([block_counts(counts.get((f, "test"), 0), 0, block_rows)[0] for f in folds] or [1])
-    br = max([block_counts(0, counts.get((f, "train"), 0), block_rows)[1] for f in folds] or [1])
+    # Block counts from the row counts: a block pair is at most
+    # test_block_rows x train_block_rows, and every test row yields at most
+    # (train blocks) x N candidates before the global top N.
+    bt = max([block_counts(counts.get((f, "test"), 0), 0, test_block_rows)[0] for f in folds] or [1])
+    br = max([block_counts(0, counts.get((f, "train"), 0), train_block_rows)[1] for f in folds] or [1])
     t = test.select(
         "fold", "observer_id", "species_from",
         F.pmod(F.xxhash64("observer_id"), F.lit(bt)).cast("int").alias("tb"),
@@ -147,7 +170,7 @@ def neighbor_votes(neighbors: DataFrame, train: DataFrame) -> DataFrame:
 
 def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
                   n_neighbors: int = 50, min_common: int = 1, features: DataFrame | None = None,
-                  block_rows: int = 4096) -> DataFrame:
+                  test_block_rows: int = 8192, train_block_rows: int = 32768) -> DataFrame:
     """Top-K unseen species voted by the N nearest training rows -- M3 / M4.
 
     Test rows without a neighbour fall back to the training popularity share.
@@ -159,7 +182,7 @@ def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
                        .select("fold", "observer_id", "year_from",
                                F.array_union("species_from", "species_to").alias("species")))
     nbrs = neighbor_candidates(test.where(F.size("species_from") > 0), train, metric,
-                               n_neighbors, min_common, block_rows)
+                               n_neighbors, min_common, test_block_rows, train_block_rows)
     voted = neighbor_votes(nbrs, train)
     # Popularity fallback for rows with no neighbour.
     # Ranked per fold (S rows each); a lonely row needs at most K + |V| of them.

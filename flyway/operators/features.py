@@ -58,7 +58,9 @@ def temporal_features(obs: DataFrame) -> DataFrame:
     A single hash aggregation; the distinct counts are rewritten by Catalyst into
     an Expand + two-level aggregation, so no group is ever collected.
     """
-    month = month_of("observation_date")
+    # The month is derived once per row, before the aggregate.
+    obs = obs.withColumn("_month", month_of("observation_date"))
+    month = F.col("_month")
     n_month = F.count(month)
     n_loc = F.count_distinct("locality_id")
     total = F.coalesce(F.sum("observation_count"), F.lit(0.0))
