@@ -35,8 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .common import KEY, test_rows, top_k
 
+# Broadcast limit for the fitted pair table (rows).  Below it the scoring join
+# stays map-side on observer-partitioned rows; above it Spark shuffle-joins.
+MAX_BROADCAST_PAIRS = 2_000_000
+
 GRAM_SCHEMA = T.StructType([
     T.StructField("year_from", T.IntegerType()),
     T.StructField("year_to", T.IntegerType()),
@@ -152,7 +157,13 @@ def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
     n_i, n_ij = fit_counts(trans, folds)
     if min_cooccurrence:
         n_ij = n_ij.where(F.col("n_ij") >= min_cooccurrence)
-    stats = (history_share(n_i)
+    # The fitted model is persisted (it is reused by every test row); its exact
+    # size then decides the join strategy.
+    n_ij = cut_lineage(n_ij)
+    if n_ij.count() <= MAX_BROADCAST_PAIRS:
+        n_ij = F.broadcast(n_ij)
+    # Species x fold tables are bounded by the vocabulary: broadcast.
+    stats = F.broadcast(history_share(n_i)
              .select("fold", F.col("species").alias("species_i"), "share",
                      (F.col("n_i") + F.lit(alpha) * S).alias("d_i")))
     test = test_rows(fold_trans)
@@ -170,11 +181,11 @@ def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
                      .select(*KEY, F.col("species_j").alias("species"),
                              (F.col("w") * F.col("n_ij") / F.col("d_i")).alias("num")))
 
-    boost = boost_factor(features) if features is not None else None
+    boost = F.broadcast(boost_factor(features)) if features is not None else None
     # Fillers: every species scores at least base * boost, so the first
     # K + |V| species by (boost desc, species asc) are the only ones that can
     # enter the top K without an observed pair.  Exact; the ranking is S rows per fold.
-    cat_rank = _filler_ranking(catalogue, n_folds, boost, alpha)
+    cat_rank = F.broadcast(_filler_ranking(catalogue, n_folds, boost, alpha))
     fill = (test.select(*KEY, "species_from",
                         F.explode(F.sequence(F.lit(1), F.lit(k) + F.size("species_from"))).alias("pos"))
                 .join(cat_rank, ["fold", "pos"])
