@@ -518,3 +518,52 @@ SELECT model, k, metric, avg(value) AS mean_value, count(*) AS n_folds FROM cv G
 
 
 cv_cte()
+
+
+# ---------------------------------------------------------------- species (all transitions)
+cte("sv_all", """
+SELECT species, year, count(*) AS n FROM (
+  SELECT year_from AS year, unnest(species_from) AS species FROM trans
+  UNION ALL
+  SELECT year_to AS year, unnest(species_to) AS species FROM trans)
+GROUP BY species, year
+""", ["trans"])
+
+cte("sfeat_all", """
+SELECT species, viewers_by_year, total_viewers,
+       CASE WHEN total_viewers >= median(total_viewers) OVER () THEN 'common' ELSE 'rare' END AS popularity,
+       total_viewers / greatest(avg(total_viewers) OVER (), 1.0) AS popularity_score
+FROM (SELECT species, string_agg(CAST(year AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY year)
+             AS viewers_by_year, CAST(sum(n) AS BIGINT) AS total_viewers
+      FROM sv_all GROUP BY species)
+""", ["sv_all"])
+
+
+def folds_mode_cte(mode: str) -> str:
+    name = f"folds_{mode}"
+    if mode == "lexicographic":
+        cte(f"{name}_ranked", """
+SELECT year_from, year_to, row_number() OVER (ORDER BY year_from, year_to) AS rn, count(*) OVER () AS n
+FROM (SELECT DISTINCT year_from, year_to FROM trans)
+""", ["trans"])
+        cte(name, f"""
+SELECT CAST(fold AS INTEGER) AS fold, 'train' AS role, year_from, year_to
+FROM (SELECT year_from, year_to, unnest(generate_series(rn, least(4, n - 1))) AS fold
+      FROM {name}_ranked WHERE rn <= least(4, n - 1))
+UNION ALL
+SELECT CAST(rn - 1 AS INTEGER) AS fold, 'test' AS role, year_from, year_to
+FROM {name}_ranked WHERE rn >= 2 AND rn - 1 <= least(4, n - 1)
+""", [f"{name}_ranked"])
+    else:
+        cte(name, """
+SELECT f.fold, 'train' AS role, p.year_from, p.year_to
+FROM (SELECT DISTINCT year_from, year_to FROM trans) p
+JOIN (SELECT fold, year_to AS test_to FROM folds WHERE role = 'test') f ON p.year_to < f.test_to
+UNION ALL
+SELECT fold, role, year_from, year_to FROM folds WHERE role = 'test'
+""", ["trans", "folds"])
+    return name
+
+
+folds_mode_cte("lexicographic")
+folds_mode_cte("ending_before")

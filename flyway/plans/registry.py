@@ -217,4 +217,4 @@ for _metric, _key in [("precision@k", "precision_at_k"), ("recall@k", "recall_at
     register(_key, _sql)(_fn)
 
 
-from . import q_models, q_features, q_sources, q_eval  # noqa: E402,F401  (register on import)
+from . import q_models, q_features, q_sources, q_eval, q_misc  # noqa: E402,F401  (register on import)
