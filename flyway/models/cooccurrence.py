@@ -146,7 +146,8 @@ def boost_factor(features: DataFrame) -> DataFrame:
 def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
                       catalogue: DataFrame, n_species: DataFrame, k: int = 10,
                       alpha: float = 0.1, n_folds: int = 4, features: DataFrame | None = None,
-                      min_cooccurrence: int | None = None) -> DataFrame:
+                      min_cooccurrence: int | None = None,
+                      query_rows: DataFrame | None = None) -> DataFrame:
     """Top-K unseen species by co-occurrence score -- M2.
 
     ``features`` (species features, keyed by (fold, species) or species) enables
@@ -166,7 +167,7 @@ def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
     stats = F.broadcast(history_share(n_i)
              .select("fold", F.col("species").alias("species_i"), "share",
                      (F.col("n_i") + F.lit(alpha) * S).alias("d_i")))
-    test = test_rows(fold_trans)
+    test = test_rows(fold_trans) if query_rows is None else query_rows
     hist = (test.select(*KEY, F.explode("species_from").alias("species_i"))
                 .join(stats, ["fold", "species_i"], "left")
                 .select(*KEY, "species_i", "d_i",
@@ -243,3 +244,32 @@ def _filler_ranking(catalogue: DataFrame, n_folds: int, boost: DataFrame | None,
         order = [F.col("species")]
     w = Window.partitionBy("fold").orderBy(*order)
     return per_fold.select("fold", "species", F.row_number().over(w).alias("pos"))
+
+
+def cooc_raw_scores(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
+                    n_species: DataFrame, alpha: float = 0.1) -> DataFrame:
+    """Per test row, the unboosted score of every species reached by an
+    observed pair from its history (viewed species included, before exclusion)."""
+    S = n_species.select(F.col("n_species").cast("double")).scalar()
+    n_i, n_ij = fit_counts(trans, folds)
+    n_ij = cut_lineage(n_ij)
+    if n_ij.count() <= MAX_BROADCAST_PAIRS:
+        n_ij = F.broadcast(n_ij)
+    stats = F.broadcast(history_share(n_i).select(
+        "fold", F.col("species").alias("species_i"), "share",
+        (F.col("n_i") + F.lit(alpha) * S).alias("d_i")))
+    test = test_rows(fold_trans)
+    hist = (test.select(*KEY, F.explode("species_from").alias("species_i"))
+                .join(stats, ["fold", "species_i"], "left")
+                .select(*KEY, "species_i", "d_i",
+                        (F.lit(1.0) / (F.lit(1.0) + F.coalesce("share", F.lit(0.0)) * 10.0)).alias("w"),
+                        F.when(F.coalesce("d_i", F.lit(alpha) * S) > 0,
+                               F.lit(alpha) / F.coalesce("d_i", F.lit(alpha) * S))
+                         .otherwise(F.lit(1.0) / S).alias("c")))
+    per_obs = hist.groupBy(*KEY).agg(F.sum("w").alias("w_sum"),
+                                     F.sum(F.col("w") * F.col("c")).alias("base_num"))
+    pairs = (hist.where(F.col("d_i").isNotNull()).join(n_ij, ["fold", "species_i"])
+                 .groupBy(*KEY, F.col("species_j").alias("species"))
+                 .agg(F.sum(F.col("w") * F.col("n_ij") / F.col("d_i")).alias("num")))
+    return pairs.join(per_obs, KEY).select(
+        *KEY, "species", ((F.col("num") + F.col("base_num")) / F.col("w_sum")).alias("score"))

@@ -113,6 +113,57 @@ def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int
     return fn
 
 
+PAIR_COUNT_SCHEMA = T.StructType([
+    T.StructField("fold", T.IntegerType()),
+    T.StructField("observer_id", T.LongType()),
+    T.StructField("n_candidates", T.LongType()),
+])
+
+
+def _block_count(min_common: int):
+    def fn(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
+        if test.empty or train.empty:
+            return pd.DataFrame({"fold": pd.Series(dtype="int32"), "observer_id": pd.Series(dtype="int64"),
+                                 "n_candidates": pd.Series(dtype="int64")})
+        tsets, rsets = test["species_from"], train["r_species"]
+        vocab = pd.Index(pd.unique(np.concatenate(
+            [np.concatenate([np.asarray(x, dtype=object) for x in tsets]),
+             np.concatenate([np.asarray(x, dtype=object) for x in rsets])])))
+        rr, rc = _codes(rsets, vocab)
+        b = np.zeros((len(rsets), len(vocab)), dtype=np.float32)
+        b[rr, rc] = 1.0
+        tr, tc = _codes(tsets, vocab)
+        a = np.zeros((len(tsets), len(vocab)), dtype=np.float32)
+        a[tr, tc] = 1.0
+        n = ((a @ b.T) >= max(min_common, 1)).sum(axis=1)
+        return pd.DataFrame({"fold": test["fold"].to_numpy().astype(np.int32),
+                             "observer_id": test["observer_id"].to_numpy().astype(np.int64),
+                             "n_candidates": n.astype(np.int64)})
+    return fn
+
+
+def neighbor_pair_counts(test: DataFrame, train: DataFrame, min_common: int = 1,
+                         test_block_rows: int = 8192, train_block_rows: int = 4096) -> DataFrame:
+    """J13 without emitting pairs: per test row, how many training rows share at
+    least ``min_common`` species (block products, counts summed over blocks)."""
+    counts = {(r["fold"], r["side"]): r["n"] for r in
+              test.select("fold", F.lit("test").alias("side"))
+                  .unionByName(train.select("fold", F.lit("train").alias("side")))
+                  .groupBy("fold", "side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    folds = sorted({f for f, _ in counts})
+    bt = max([block_counts(counts.get((f, "test"), 0), 0, test_block_rows)[0] for f in folds] or [1])
+    br = max([block_counts(0, counts.get((f, "train"), 0), train_block_rows)[1] for f in folds] or [1])
+    t = test.select("fold", "observer_id", "species_from",
+                    F.pmod(F.xxhash64("observer_id"), F.lit(bt)).cast("int").alias("tb"),
+                    F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("rb"))
+    r = train.select(F.col("fold").alias("r_fold"), F.col("species").alias("r_species"),
+                     F.pmod(F.xxhash64("observer_id", "year_from"), F.lit(br)).cast("int").alias("r_rb"),
+                     F.explode(F.sequence(F.lit(0), F.lit(bt - 1))).alias("r_tb"))
+    per_block = (t.groupBy("fold", "tb", "rb").cogroup(r.groupBy("r_fold", "r_tb", "r_rb"))
+                  .applyInPandas(_block_count(min_common), PAIR_COUNT_SCHEMA))
+    return per_block.groupBy("fold", "observer_id").agg(F.sum("n_candidates").alias("n_candidates"))
+
+
 def block_counts(n_test: int, n_train: int, block_rows: int) -> tuple[int, int]:
     return max(1, math.ceil(n_test / block_rows)), max(1, math.ceil(n_train / block_rows))
 

@@ -20,12 +20,13 @@ def frozen_popularity(fold_trans: DataFrame, catalogue: DataFrame, frozen_fold:
 
 
 def popularity_topk(fold_trans: DataFrame, catalogue: DataFrame, k: int = 10,
-                    frozen_fold: int = 1) -> DataFrame:
+                    frozen_fold: int = 1, query_rows: DataFrame | None = None) -> DataFrame:
     """Top-K most popular species the observer has not seen in the source year -- M1."""
     pop = (frozen_popularity(fold_trans, catalogue, frozen_fold)
            .select("species", F.col("pop_rank").alias("pos"),
                    F.col("n_viewers").cast("double").alias("pop_score")))
-    cands = ranked_fillers(test_rows(fold_trans), pop, k)
+    q = test_rows(fold_trans) if query_rows is None else query_rows
+    cands = ranked_fillers(q, pop, k)
     # Rank among the unseen candidates = order of the global popularity rank.
     return top_k(cands, k, score="pop_score", order=[F.col("pos")])
 

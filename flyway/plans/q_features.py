@@ -273,3 +273,35 @@ def q_drop_null_stats(spark, sf):
         F.count("observation_count").alias("n_counts"), F.avg("observation_count").alias("mean_count"),
         F.count("effort_distance_km").alias("n_distances"),
         F.max("effort_distance_km").alias("max_distance")))
+
+
+_PF = FE.SUMMARY_MODEL_FEATURES
+
+O.cte("pf_wide", f"""
+SELECT f.fold, f.role, f.observer_id, f.year_from,
+       {", ".join(f"CAST(coalesce(t.{c if c not in ('avg_effort_hours', 'avg_duration') else {'avg_effort_hours': 'effort_mean', 'avg_duration': 'duration_mean'}[c]}, 0) AS DOUBLE) AS {c}" for c in _PF)}
+FROM fold_trans f LEFT JOIN tf_summ t ON t.observer_id = f.observer_id AND t.year = f.year_from
+""", ["fold_trans", "tf_summ"])
+
+O.cte("pf_scaled", f"""
+SELECT l.fold, l.role, l.observer_id, l.year_from, l.feature,
+       (l.value - q.q[2]) / CASE WHEN q.q[3] - q.q[1] = 0 THEN 1.0 ELSE q.q[3] - q.q[1] END AS scaled
+FROM (UNPIVOT pf_wide ON {", ".join(_PF)} INTO NAME feature VALUE value) l
+JOIN (SELECT fold, feature, quantile_cont(value, [0.25, 0.5, 0.75]) AS q
+      FROM (UNPIVOT pf_wide ON {", ".join(_PF)} INTO NAME feature VALUE value)
+      WHERE role = 'train' GROUP BY fold, feature) q USING (fold, feature)
+""", ["pf_wide"])
+
+
+@register("prepared_fold", O.with_(["pf_scaled"], """
+SELECT fold, role, observer_id, year_from, feature, round(scaled, 6) AS scaled FROM pf_scaled
+"""))
+def q_prepared_fold(spark, sf):
+    """Fold rows + summary-based features (J6, 0-filled) robust-scaled on train."""
+    d = folded(spark, sf)
+    tf = FE.temporal_from_summary(summary(spark, sf)).select("observer_id", "year", *_PF)
+    base = d.fold_trans.select("fold", "role", "observer_id", "year_from", "year_to")
+    wide = FE.impute_zero(FE.lookup(base, tf, "left"), _PF)
+    long = FE.to_long(wide, ["fold", "role", "observer_id", "year_from"], _PF)
+    return cmp_ready(FE.robust_scale(long, ["fold"]).select(
+        "fold", "role", "observer_id", "year_from", "feature", "scaled"))

@@ -121,3 +121,62 @@ def q_neighbor_votes(spark, sf):
 
 metric_keys("neighbor_cosine", "pred_nb_cosine", _nb("cosine"))
 metric_keys("neighbor_jaccard", "pred_nb_jaccard", _nb("jaccard"))
+
+
+# ---------------------------------------------------------------- MLlib models (rows-only)
+from .pipeline import summary  # noqa: E402
+from ..models.latent import latent_topk  # noqa: E402
+from ..models.learned import count_regression, learned_topk  # noqa: E402
+from ..operators.metrics import count_metrics  # noqa: E402
+from .crossval import evaluate_fold, feature_lift  # noqa: E402
+
+
+@register("latent_topk")
+def q_latent_topk(spark, sf):
+    d = folded(spark, sf)
+    return latent_topk(d.fold_trans, k=O.K)
+
+
+@register("learned_topk")
+def q_learned_topk(spark, sf):
+    d = folded(spark, sf)
+    return learned_topk(d, k=O.K, summary=summary(spark, sf))
+
+
+@register("count_regression")
+def q_count_regression(spark, sf):
+    d = folded(spark, sf)
+    p, a = count_regression(d, summary(spark, sf))
+    return count_metrics(p.join(a, ["fold", "observer_id"]), ["fold"])
+
+
+@register("with_vs_without_features")
+def q_with_vs_without_features(spark, sf):
+    d = folded(spark, sf)
+    s = summary(spark, sf)
+    w = evaluate_fold(d, "neural", learned_topk(d, k=O.K, summary=s, use_features=True), O.K)
+    wo = evaluate_fold(d, "neural", learned_topk(d, k=O.K, summary=s, use_features=False), O.K)
+    return feature_lift(w, wo)
+
+
+from ..models.cooccurrence import cooc_raw_scores  # noqa: E402
+from ..models.neighbors import neighbor_pair_counts  # noqa: E402
+
+
+@register("cooc_score", O.with_(["cooc_dense"], """
+SELECT fold, observer_id, species, round(raw_score, 6) AS score FROM cooc_dense WHERE n_pairs > 0
+"""))
+def q_cooc_score(spark, sf):
+    d = folded(spark, sf)
+    return cmp_ready(cooc_raw_scores(d.fold_trans, d.transitions, d.folds, d.n_species))
+
+
+@register("neighbor_pairs", O.with_(["nb_pairs_cosine"], """
+SELECT fold, count(*) AS n_pairs, count(DISTINCT observer_id) AS n_rows_with_pairs FROM nb_pairs_cosine
+GROUP BY fold
+"""))
+def q_neighbor_pairs(spark, sf):
+    d, test, train, _ = _nb_frames(spark, sf)
+    c = neighbor_pair_counts(test, train)
+    return c.groupBy("fold").agg(F.sum("n_candidates").alias("n_pairs"),
+                                 F.count_if(F.col("n_candidates") > 0).alias("n_rows_with_pairs"))
