@@ -55,20 +55,22 @@ def _std0(c: str):
 def temporal_features(obs: DataFrame) -> DataFrame:
     """One row per (observer_id, year) -- A10 (+ A11 month shares).
 
-    A single hash aggregation; the distinct counts are rewritten by Catalyst into
-    an Expand + two-level aggregation, so no group is ever collected.
+    Two hash aggregations joined on the key: the plain statistics, and the three
+    distinct counts.  Kept apart because Catalyst's distinct-aggregate rewrite
+    (Expand) would otherwise copy every statistic's input into each distinct
+    projection.  Both sides aggregate partially on the map side; no group is
+    ever collected.
     """
-    # The month is derived once per row, before the aggregate.
-    obs = obs.withColumn("_month", month_of("observation_date"))
+    base = (obs.where(F.col("observer_id").isNotNull() & F.col("year").isNotNull())
+               .withColumn("_month", month_of("observation_date")))   # derived once per row
     month = F.col("_month")
     n_month = F.count(month)
-    n_loc = F.count_distinct("locality_id")
-    total = F.coalesce(F.sum("observation_count"), F.lit(0.0))
-    aggs = [
-        n_loc.alias("num_checklists"),
+    distinct = base.groupBy(*KEY).agg(
+        F.count_distinct("locality_id").alias("num_checklists"),
         F.count_distinct("scientific_name").alias("num_species"),
-        total.alias("total_observations"),
-        F.when(n_loc > 0, total / n_loc).otherwise(F.lit(0.0)).alias("avg_observations_per_checklist"),
+        F.count_distinct("state").alias("num_states"))
+    aggs = [
+        F.coalesce(F.sum("observation_count"), F.lit(0.0)).alias("total_observations"),
         F.coalesce(F.max("observation_count"), F.lit(0.0)).alias("max_observations_per_checklist"),
         F.avg("day_of_year").alias("doy_mean"), _std0("day_of_year").alias("doy_std"),
         F.min("day_of_year").cast("double").alias("doy_min"),
@@ -89,16 +91,19 @@ def temporal_features(obs: DataFrame) -> DataFrame:
         F.coalesce(F.sum("duration_minutes"), F.lit(0.0)).alias("duration_total"),
         F.coalesce(F.max("duration_minutes"), F.lit(0.0)).alias("duration_max"),
         _std0("duration_minutes").alias("duration_std"),
-        (n_loc / F.lit(12.0)).alias("checklists_per_month"),
-        n_loc.alias("num_locations"),
-        F.count_distinct("state").alias("num_states"),
     ]
-    tf = (obs.where(F.col("observer_id").isNotNull() & F.col("year").isNotNull())
-             .groupBy(*KEY).agg(*aggs))
-    return (tf.withColumn("avg_day_of_year", F.col("doy_mean"))
-              .withColumn("avg_hours_of_day", F.col("hod_mean"))
-              .withColumn("avg_effort_hours", F.col("effort_mean"))
-              .withColumn("avg_duration", F.col("duration_mean")))
+    plain = base.groupBy(*KEY).agg(*aggs)
+    n_loc = F.col("num_checklists")
+    tf = (plain.join(distinct, KEY)
+               .withColumn("avg_observations_per_checklist",
+                           F.when(n_loc > 0, F.col("total_observations") / n_loc).otherwise(F.lit(0.0)))
+               .withColumn("checklists_per_month", n_loc / F.lit(12.0))
+               .withColumn("num_locations", n_loc))
+    out = (tf.withColumn("avg_day_of_year", F.col("doy_mean"))
+             .withColumn("avg_hours_of_day", F.col("hod_mean"))
+             .withColumn("avg_effort_hours", F.col("effort_mean"))
+             .withColumn("avg_duration", F.col("duration_mean")))
+    return out.select(*KEY, *TEMPORAL_COLUMNS)
 
 
 def _mode_and_entropy(obs: DataFrame, col: str, prefix: str) -> DataFrame:
