@@ -42,12 +42,10 @@ def _observer_features(data, summary: DataFrame | None) -> tuple[DataFrame | Non
     return tf, list(SUMMARY_MODEL_FEATURES)
 
 
-def _query(rows: DataFrame) -> DataFrame:
-    return rows.select(*KEY, "year_from", "species_from", "species_to").repartition(*KEY)
-
-
-def _candidates(data, rows: DataFrame, m: int, feats: DataFrame) -> DataFrame:
-    q = _query(rows)
+def _candidates(data, queries: DataFrame, m: int, feats: DataFrame) -> DataFrame:
+    """Top-m candidates of the popularity and co-occurrence models for query rows,
+    with their scores / ranks and the label (species in the target set)."""
+    q = queries.select(*KEY, "year_from", "species_from", "species_to").repartition(*KEY)
     pop = popularity_topk(data.fold_trans, data.catalogue, k=m, query_rows=q).select(
         *KEY, "species", F.col("score").alias("pop_score"), F.col("rank").alias("pop_rank"))
     cooc = cooccurrence_topk(data.fold_trans, data.transitions, data.folds, data.catalogue,
@@ -56,34 +54,50 @@ def _candidates(data, rows: DataFrame, m: int, feats: DataFrame) -> DataFrame:
                                                   F.col("rank").alias("cooc_rank"))
     c = pop.join(cooc, [*KEY, "species"], "full")
     c = c.na.fill({"pop_score": 0.0, "cooc_score": 0.0, "pop_rank": m + 1, "cooc_rank": m + 1})
-    return (c.join(q.select(*KEY, "year_from", "species_from", "species_to"), KEY)
+    return (c.join(q, KEY)
              .withColumn("n_from", F.size("species_from").cast("double"))
              .withColumn("label", F.array_contains("species_to", F.col("species")).cast("double")))
 
 
-def learned_topk(data, k: int = 10, candidates: int = 50, summary: DataFrame | None = None,
-                 use_features: bool = True, reg_param: float = 0.01, max_iter: int = 50) -> DataFrame:
+def learned_candidates(data, candidates: int = 50, summary: DataFrame | None = None
+                       ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(training candidates, test candidates, observer feature columns), persisted.
+
+    Training queries are the rows of each fold's most recent training pair.  Both
+    query sets are scored in one pass of each model: training queries carry a
+    negated observer id (the models treat the id as an opaque key), mapped back
+    afterwards.
+    """
     feats = fold_species_features(data.fold_trans, scope="train")
     ft = data.fold_trans
-    # Training queries: the latest training pair of each fold.
     last = (ft.where(F.col("role") == "train").groupBy("fold")
               .agg(F.max(F.struct("year_from", "year_to")).alias("_p")))
     train_q = (ft.where(F.col("role") == "train").join(F.broadcast(last), "fold")
                  .where((F.col("year_from") == F.col("_p.year_from")) & (F.col("year_to") == F.col("_p.year_to")))
-                 .drop("_p"))
+                 .withColumn("observer_id", -F.col("observer_id") - 1))
     test_q = ft.where(F.col("role") == "test")
-    tr = _candidates(data, train_q, candidates, feats)
-    te = _candidates(data, test_q, candidates, feats)
-    obs_f, obs_cols = _observer_features(data, summary) if use_features else (None, [])
+    cols = ["fold", "observer_id", "year_from", "species_from", "species_to"]
+    both = _candidates(data, train_q.select(*cols).unionByName(test_q.select(*cols)), candidates, feats)
+    obs_f, obs_cols = _observer_features(data, summary)
     if obs_f is not None:
-        tr = tr.join(obs_f, ["observer_id", "year_from"], "left").na.fill(0.0, obs_cols)
-        te = te.join(obs_f, ["observer_id", "year_from"], "left").na.fill(0.0, obs_cols)
-    cols = CAND_FEATURES + obs_cols
+        both = (both.withColumn("_oid", F.when(F.col("observer_id") < 0, -F.col("observer_id") - 1)
+                                        .otherwise(F.col("observer_id")))
+                    .join(obs_f.withColumnRenamed("observer_id", "_oid"), ["_oid", "year_from"], "left")
+                    .na.fill(0.0, obs_cols).drop("_oid"))
     # Iterative fits read their input many times: persist it once (reliable checkpoint).
-    tr, te = cut_lineage(tr), cut_lineage(te)
+    both = cut_lineage(both)
+    tr = both.where(F.col("observer_id") < 0).withColumn("observer_id", -F.col("observer_id") - 1)
+    te = both.where(F.col("observer_id") >= 0)
+    return tr, te, obs_cols
+
+
+def rank_with(tr: DataFrame, te: DataFrame, cols: list[str], k: int = 10,
+              reg_param: float = 0.01, max_iter: int = 50) -> DataFrame:
+    """Fit one logistic regression per fold on ``tr``; top-K unseen test candidates
+    by predicted probability."""
     va = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
     out = []
-    for f in [r[0] for r in ft.select("fold").distinct().orderBy("fold").collect()]:
+    for f in [r[0] for r in te.select("fold").distinct().orderBy("fold").collect()]:
         lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param,
                                 maxIter=max_iter, standardization=True)
         model = lr.fit(va.transform(tr.where(F.col("fold") == f)))
@@ -94,6 +108,13 @@ def learned_topk(data, k: int = 10, candidates: int = 50, summary: DataFrame | N
     return top_k(reduce(DataFrame.unionByName, out), k)
 
 
+def learned_topk(data, k: int = 10, candidates: int = 50, summary: DataFrame | None = None,
+                 use_features: bool = True, reg_param: float = 0.01, max_iter: int = 50) -> DataFrame:
+    """M6: candidates from the simple models, ranked by a per-fold logistic regression."""
+    tr, te, obs_cols = learned_candidates(data, candidates, summary if use_features else None)
+    return rank_with(tr, te, CAND_FEATURES + obs_cols, k, reg_param, max_iter)
+
+
 def count_regression(data, summary: DataFrame, use_features: bool = True,
                      reg_param: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """Per fold Poisson GLM of next-year bird count -- M7.

@@ -152,10 +152,12 @@ def q_count_regression(spark, sf):
 
 @register("with_vs_without_features")
 def q_with_vs_without_features(spark, sf):
+    # One candidate set; two rankers: with and without the observer features.
+    from ..models.learned import CAND_FEATURES, learned_candidates, rank_with
     d = folded(spark, sf)
-    s = summary(spark, sf)
-    w = evaluate_fold(d, "neural", learned_topk(d, k=O.K, summary=s, use_features=True), O.K)
-    wo = evaluate_fold(d, "neural", learned_topk(d, k=O.K, summary=s, use_features=False), O.K)
+    tr, te, obs_cols = learned_candidates(d, summary=summary(spark, sf))
+    w = evaluate_fold(d, "neural", rank_with(tr, te, CAND_FEATURES + obs_cols, O.K), O.K)
+    wo = evaluate_fold(d, "neural", rank_with(tr, te, CAND_FEATURES, O.K), O.K)
     return feature_lift(w, wo)
 
 
