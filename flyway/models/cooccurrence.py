@@ -50,42 +50,60 @@ GRAM_SCHEMA = T.StructType([
     T.StructField("n_ij", T.LongType()),
 ])
 
-_MAX_CELLS = 1 << 24  # incidence-block cells per matmul (64 MiB of float32)
+_MAX_CELLS = 1 << 24   # incidence-block cells per matmul (64 MiB of float32)
+_MAX_VOCAB = 4096      # accumulator side: a 4096^2 float64 matrix is 128 MiB
+_ROWS_PER_CHUNK = 2048
+
+
+def _flush(key, vocab: dict[str, int], mat: np.ndarray):
+    names = np.array(list(vocab), dtype=object)
+    np.fill_diagonal(mat, 0.0)
+    i, j = np.nonzero(mat)
+    if len(i):
+        yield pd.DataFrame({"year_from": np.full(len(i), key[0], dtype=np.int32),
+                            "year_to": np.full(len(i), key[1], dtype=np.int32),
+                            "species_i": names[i], "species_j": names[j],
+                            "n_ij": mat[i, j].round().astype(np.int64)})
 
 
 def _partial_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition: accumulate B^T B of the 0/1 incidence rows, per year pair."""
+    """Per partition: accumulate B^T B of the 0/1 incidence rows, per year pair.
+
+    The accumulator is flushed (partial counts emitted, summed later by Spark)
+    whenever its vocabulary would pass ``_MAX_VOCAB``, so memory stays bounded for
+    any species vocabulary.
+    """
     acc: dict[tuple[int, int], tuple[dict[str, int], np.ndarray]] = {}
     for pdf in batches:
         for (yf, yt), g in pdf.groupby(["year_from", "year_to"], sort=False):
-            vocab, mat = acc.get((yf, yt), ({}, np.zeros((0, 0))))
-            sets = [list(s) if s is not None else [] for s in g["species"]]
-            for s in sets:
-                for sp in s:
-                    if sp not in vocab:
-                        vocab[sp] = len(vocab)
-            n = len(vocab)
-            if mat.shape[0] < n:
-                mat = np.pad(mat, ((0, n - mat.shape[0]), (0, n - mat.shape[1])))
-            step = max(1, _MAX_CELLS // max(n, 1))
-            for lo in range(0, len(sets), step):
-                chunk = sets[lo:lo + step]
-                inc = np.zeros((len(chunk), n), dtype=np.float32)
-                rows = np.repeat(np.arange(len(chunk)), [len(s) for s in chunk])
-                cols = np.fromiter((vocab[sp] for s in chunk for sp in s), dtype=np.int64,
-                                   count=len(rows))
-                inc[rows, cols] = 1.0
-                mat = mat + (inc.T @ inc).astype(np.float64)
-            acc[(yf, yt)] = (vocab, mat)
-    for (yf, yt), (vocab, mat) in acc.items():
-        names = np.array(list(vocab), dtype=object)
-        np.fill_diagonal(mat, 0.0)
-        i, j = np.nonzero(mat)
-        if len(i):
-            yield pd.DataFrame({"year_from": np.full(len(i), yf, dtype=np.int32),
-                                "year_to": np.full(len(i), yt, dtype=np.int32),
-                                "species_i": names[i], "species_j": names[j],
-                                "n_ij": mat[i, j].round().astype(np.int64)})
+            key = (int(yf), int(yt))
+            sets = [list(x) if x is not None else [] for x in g["species"]]
+            for lo in range(0, len(sets), _ROWS_PER_CHUNK):
+                chunk = sets[lo:lo + _ROWS_PER_CHUNK]
+                vocab, mat = acc.get(key, ({}, np.zeros((0, 0))))
+                new = {sp for x in chunk for sp in x if sp not in vocab}
+                if vocab and len(vocab) + len(new) > _MAX_VOCAB:
+                    yield from _flush(key, vocab, mat)
+                    vocab, mat = {}, np.zeros((0, 0))
+                for x in chunk:
+                    for sp in x:
+                        if sp not in vocab:
+                            vocab[sp] = len(vocab)
+                n = len(vocab)
+                if mat.shape[0] < n:
+                    mat = np.pad(mat, ((0, n - mat.shape[0]), (0, n - mat.shape[1])))
+                step = max(1, _MAX_CELLS // max(n, 1))
+                for lo2 in range(0, len(chunk), step):
+                    part = chunk[lo2:lo2 + step]
+                    inc = np.zeros((len(part), n), dtype=np.float32)
+                    rows = np.repeat(np.arange(len(part)), [len(x) for x in part])
+                    cols = np.fromiter((vocab[sp] for x in part for sp in x), dtype=np.int64,
+                                       count=len(rows))
+                    inc[rows, cols] = 1.0
+                    mat = mat + (inc.T @ inc).astype(np.float64)
+                acc[key] = (vocab, mat)
+    for key, (vocab, mat) in acc.items():
+        yield from _flush(key, vocab, mat)
 
 
 def combined_rows(trans: DataFrame) -> DataFrame:

@@ -164,6 +164,9 @@ def neighbor_pair_counts(test: DataFrame, train: DataFrame, min_common: int = 1,
     return per_block.groupBy("fold", "observer_id").agg(F.sum("n_candidates").alias("n_candidates"))
 
 
+BLOCK_CELLS = 1 << 25   # cells of one dense incidence block (128 MiB of float32)
+
+
 def block_counts(n_test: int, n_train: int, block_rows: int) -> tuple[int, int]:
     return max(1, math.ceil(n_test / block_rows)), max(1, math.ceil(n_train / block_rows))
 
@@ -181,6 +184,10 @@ def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine
                   .unionByName(train.select("fold", F.lit("train").alias("side")))
                   .groupBy("fold", "side").agg(F.count(F.lit(1)).alias("n")).collect()}
     folds = sorted({f for f, _ in counts})
+    # The dense 0/1 block is rows x vocabulary: cap its cells whatever the vocabulary.
+    vocab = train.select(F.explode("species").alias("s")).agg(F.count_distinct("s")).first()[0] or 1
+    train_block_rows = max(256, min(train_block_rows, BLOCK_CELLS // vocab))
+    test_block_rows = max(256, min(test_block_rows, BLOCK_CELLS // vocab))
     # Block counts from the row counts: a block pair is at most
     # test_block_rows x train_block_rows, and every test row yields at most
     # (train blocks) x N candidates before the global top N.

@@ -256,7 +256,8 @@ def to_long(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return casted.unpivot(keys, features, "feature", "value")
 
 
-def robust_scale(long: DataFrame, group: list[str] | None = None) -> DataFrame:
+def robust_scale(long: DataFrame, group: list[str] | None = None, approx: bool = False,
+                 accuracy: int = 100000) -> DataFrame:
     """(x - median) / IQR fitted on the training rows, applied to all -- A17.
 
     ``long`` has (*group, role, ..., feature, value).  Exact quantiles
@@ -265,9 +266,14 @@ def robust_scale(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     is joined back by key.
     """
     g = list(group or [])
+    # Exact quantiles hold the distinct values of one (group, feature) in a task --
+    # bounded by the observer-years of a fold, not by the raw rows.  ``approx``
+    # switches to the mergeable sketch of percentile_approx for larger tables.
+    q = (F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy) if approx
+         else F.percentile("value", [0.25, 0.5, 0.75]))
     fit = (long.where(F.col("role") == "train")
                .groupBy(*g, "feature")
-               .agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("_q"))
+               .agg(q.alias("_q"))
                .select(*g, "feature", F.col("_q")[1].alias("center"),
                        F.when(F.col("_q")[2] - F.col("_q")[0] == 0, F.lit(1.0))
                         .otherwise(F.col("_q")[2] - F.col("_q")[0]).alias("scale")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,10 +46,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never ``localCheckpoint``."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet into the shared checkpoint folder and read it back.
+
+    One job (``Dataset.checkpoint`` would run the plan twice: once to count, once
+    to write), the copy survives executor loss, and the read-back carries exact
+    file sizes for AQE's join decisions.  Never ``localCheckpoint``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:16]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

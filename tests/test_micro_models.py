@@ -133,3 +133,14 @@ def test_neighbor_topk_excludes_viewed(spark):
     ft = d.fold_trans.where("role = 'test'")
     assert p.join(ft, ["fold", "observer_id"]).where(F.array_contains("species_from", F.col("species"))).count() == 0
     assert p.where("score <= 0").count() == 0
+
+
+def test_gram_flush_gives_same_counts(spark, monkeypatch):
+    import flyway.models.cooccurrence as C
+    d = data(spark)
+    _, full = fit_counts(d.transitions, d.folds)
+    want = {(r.fold, r.species_i, r.species_j, r.n_ij) for r in full.collect()}
+    monkeypatch.setattr(C, "_MAX_VOCAB", 2)
+    monkeypatch.setattr(C, "_ROWS_PER_CHUNK", 1)
+    _, small = C.fit_counts(d.transitions, d.folds)
+    assert {(r.fold, r.species_i, r.species_j, r.n_ij) for r in small.collect()} == want
