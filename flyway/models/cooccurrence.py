@@ -66,23 +66,29 @@ def _flush(key, vocab: dict[str, int], mat: np.ndarray):
                             "n_ij": mat[i, j].round().astype(np.int64)})
 
 
-def _partial_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _partial_gram(max_vocab: int = _MAX_VOCAB, rows_per_chunk: int = _ROWS_PER_CHUNK):
     """Per partition: accumulate B^T B of the 0/1 incidence rows, per year pair.
 
     The accumulator is flushed (partial counts emitted, summed later by Spark)
-    whenever its vocabulary would pass ``_MAX_VOCAB``, so memory stays bounded for
+    whenever its vocabulary would pass ``max_vocab``, so memory stays bounded for
     any species vocabulary.
     """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _gram_batches(batches, max_vocab, rows_per_chunk)
+    return run
+
+
+def _gram_batches(batches, max_vocab: int, rows_per_chunk: int):
     acc: dict[tuple[int, int], tuple[dict[str, int], np.ndarray]] = {}
     for pdf in batches:
         for (yf, yt), g in pdf.groupby(["year_from", "year_to"], sort=False):
             key = (int(yf), int(yt))
             sets = [list(x) if x is not None else [] for x in g["species"]]
-            for lo in range(0, len(sets), _ROWS_PER_CHUNK):
-                chunk = sets[lo:lo + _ROWS_PER_CHUNK]
+            for lo in range(0, len(sets), rows_per_chunk):
+                chunk = sets[lo:lo + rows_per_chunk]
                 vocab, mat = acc.get(key, ({}, np.zeros((0, 0))))
                 new = {sp for x in chunk for sp in x if sp not in vocab}
-                if vocab and len(vocab) + len(new) > _MAX_VOCAB:
+                if vocab and len(vocab) + len(new) > max_vocab:
                     yield from _flush(key, vocab, mat)
                     vocab, mat = {}, np.zeros((0, 0))
                 for x in chunk:
@@ -112,9 +118,10 @@ def combined_rows(trans: DataFrame) -> DataFrame:
                         F.array_union("species_from", "species_to").alias("species"))
 
 
-def cooc_pairs_by_year_pair(rows: DataFrame) -> DataFrame:
+def cooc_pairs_by_year_pair(rows: DataFrame, max_vocab: int = _MAX_VOCAB,
+                            rows_per_chunk: int = _ROWS_PER_CHUNK) -> DataFrame:
     """n_ij per (year_from, year_to) -- J11 without per-row pair emission."""
-    return (rows.mapInPandas(_partial_gram, GRAM_SCHEMA)
+    return (rows.mapInPandas(_partial_gram(max_vocab, rows_per_chunk), GRAM_SCHEMA)
                 .groupBy("year_from", "year_to", "species_i", "species_j")
                 .agg(F.sum("n_ij").alias("n_ij")))
 
@@ -123,7 +130,8 @@ def _train_pairs(folds: DataFrame) -> DataFrame:
     return F.broadcast(folds.where(F.col("role") == "train").select("fold", "year_from", "year_to"))
 
 
-def fit_counts(trans: DataFrame, folds: DataFrame) -> tuple[DataFrame, DataFrame]:
+def fit_counts(trans: DataFrame, folds: DataFrame, max_vocab: int = _MAX_VOCAB,
+               rows_per_chunk: int = _ROWS_PER_CHUNK) -> tuple[DataFrame, DataFrame]:
     """Per-fold species counts (fold, species, n_i) and pair counts (fold, i, j, n_ij).
 
     ``trans`` are the distinct transitions, ``folds`` the fold table; the fold
@@ -135,7 +143,7 @@ def fit_counts(trans: DataFrame, folds: DataFrame) -> tuple[DataFrame, DataFrame
                .groupBy("year_from", "year_to", "species").agg(F.count(F.lit(1)).alias("n"))
                .join(tp, ["year_from", "year_to"])
                .groupBy("fold", "species").agg(F.sum("n").alias("n_i")))
-    n_ij = (cooc_pairs_by_year_pair(rows)
+    n_ij = (cooc_pairs_by_year_pair(rows, max_vocab, rows_per_chunk)
             .join(tp, ["year_from", "year_to"])
             .groupBy("fold", "species_i", "species_j").agg(F.sum("n_ij").alias("n_ij")))
     return n_i, n_ij

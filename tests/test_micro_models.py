@@ -135,12 +135,9 @@ def test_neighbor_topk_excludes_viewed(spark):
     assert p.where("score <= 0").count() == 0
 
 
-def test_gram_flush_gives_same_counts(spark, monkeypatch):
-    import flyway.models.cooccurrence as C
+def test_gram_flush_gives_same_counts(spark):
     d = data(spark)
     _, full = fit_counts(d.transitions, d.folds)
     want = {(r.fold, r.species_i, r.species_j, r.n_ij) for r in full.collect()}
-    monkeypatch.setattr(C, "_MAX_VOCAB", 2)
-    monkeypatch.setattr(C, "_ROWS_PER_CHUNK", 1)
-    _, small = C.fit_counts(d.transitions, d.folds)
+    _, small = fit_counts(d.transitions, d.folds, max_vocab=2, rows_per_chunk=1)
     assert {(r.fold, r.species_i, r.species_j, r.n_ij) for r in small.collect()} == want
