@@ -48,14 +48,27 @@ def _codes(sets: pd.Series, vocab: pd.Index) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sets)), lens), vocab.get_indexer(flat)
 
 
-def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int = 1 << 23):
+VOTE_SCHEMA = T.StructType([
+    T.StructField("fold", T.IntegerType()),
+    T.StructField("observer_id", T.LongType()),
+    T.StructField("species", T.StringType()),
+    T.StructField("score", T.DoubleType()),
+])
+
+
+def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int = 1 << 23,
+                votes: bool = False):
     """Exact per-row top-N inside one (test block, train block) pair.
 
     0/1 incidence matrices (float32: exact counts up to 2^24), test rows processed
-    in chunks so the overlap matrix stays <= ``chunk_cells`` entries.
+    in chunks so the overlap matrix stays <= ``chunk_cells`` entries.  With
+    ``votes`` (only when the block holds *all* training rows of the fold) the
+    similarity-weighted species votes of the top N are emitted directly.
     """
-    empty = pd.DataFrame({f.name: pd.Series(dtype=t) for f, t in
-                          zip(NEIGHBOR_SCHEMA.fields, ["int32", "int64", "int64", "int32", "int64", "float64"])})
+    schema = VOTE_SCHEMA if votes else NEIGHBOR_SCHEMA
+    dtypes = (["int32", "int64", "object", "float64"] if votes
+              else ["int32", "int64", "int64", "int32", "int64", "float64"])
+    empty = pd.DataFrame({f.name: pd.Series(dtype=t) for f, t in zip(schema.fields, dtypes)})
 
     def fn(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         if test.empty or train.empty:
@@ -70,6 +83,8 @@ def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int
         b[rr, rc] = 1.0
         nb = b.sum(axis=1).astype(np.float64)
         bt = np.ascontiguousarray(b.T)
+        r_codes = rc                                   # grouped by training row (CSR)
+        r_ptr = np.r_[0, np.cumsum(np.bincount(rr, minlength=len(rsets)))]
         tr, tc = _codes(tsets, vocab)
         a_all = np.zeros((len(tsets), nv), dtype=np.float32)
         a_all[tr, tc] = 1.0
@@ -101,6 +116,25 @@ def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int
             rank = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
             keep = rank < n_neighbors
             i, j = i[keep], j[keep]
+            if votes:
+                # Sparse accumulation: each kept neighbour adds its similarity to
+                # its own species (CSR rows of the training incidence).
+                wsim = sim[i, j]
+                lens = r_ptr[j + 1] - r_ptr[j]
+                rows_rep = np.repeat(i, lens)
+                codes = r_codes[np.concatenate([np.arange(r_ptr[x], r_ptr[x + 1]) for x in j])] \
+                    if len(j) else np.array([], dtype=np.int64)
+                v = np.bincount(rows_rep * nv + codes, weights=np.repeat(wsim, lens),
+                                minlength=len(a) * nv).reshape(len(a), nv)
+                tot = np.bincount(i, weights=wsim, minlength=len(a))
+                vi, vs = np.nonzero(v)
+                out.append(pd.DataFrame({
+                    "fold": test["fold"].to_numpy()[lo + vi].astype(np.int32),
+                    "observer_id": test["observer_id"].to_numpy()[lo + vi].astype(np.int64),
+                    "species": vocab.to_numpy()[vs],
+                    "score": v[vi, vs] / tot[vi],
+                }))
+                continue
             out.append(pd.DataFrame({
                 "fold": test["fold"].to_numpy()[lo + i].astype(np.int32),
                 "observer_id": test["observer_id"].to_numpy()[lo + i].astype(np.int64),
@@ -173,11 +207,14 @@ def block_counts(n_test: int, n_train: int, block_rows: int) -> tuple[int, int]:
 
 def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine",
                         n_neighbors: int = 50, min_common: int = 1,
-                        test_block_rows: int = 8192, train_block_rows: int = 32768) -> DataFrame:
+                        test_block_rows: int = 8192, train_block_rows: int = 65536,
+                        votes: bool = False) -> DataFrame | None:
     """Per test row the top-N training rows by similarity -- J13 + W4 (+ P10, P11).
 
     ``test``: (fold, observer_id, species_from); ``train``: (fold, observer_id,
     year_from, species).  Row counts per fold size the blocks (one tiny job).
+    With ``votes`` it returns the species votes directly when every fold's
+    training rows fit one block (else None: use the general path).
     """
     counts = {(r["fold"], r["side"]): r["n"] for r in
               test.select("fold", F.lit("test").alias("side"))
@@ -186,8 +223,8 @@ def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine
     folds = sorted({f for f, _ in counts})
     # The dense 0/1 block is rows x vocabulary: cap its cells whatever the vocabulary.
     vocab = train.select(F.explode("species").alias("s")).agg(F.count_distinct("s")).first()[0] or 1
-    train_block_rows = max(256, min(train_block_rows, BLOCK_CELLS // vocab))
-    test_block_rows = max(256, min(test_block_rows, BLOCK_CELLS // vocab))
+    train_block_rows = max(1, min(train_block_rows, BLOCK_CELLS // vocab))
+    test_block_rows = max(1, min(test_block_rows, BLOCK_CELLS // vocab))
     # Block counts from the row counts: a block pair is at most
     # test_block_rows x train_block_rows, and every test row yields at most
     # (train blocks) x N candidates before the global top N.
@@ -203,9 +240,13 @@ def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine
         F.col("year_from").alias("r_year_from"), F.col("species").alias("r_species"),
         F.pmod(F.xxhash64("observer_id", "year_from"), F.lit(br)).cast("int").alias("r_rb"),
         F.explode(F.sequence(F.lit(0), F.lit(bt - 1))).alias("r_tb"))
-    per_block = (t.groupBy("fold", "tb", "rb")
-                  .cogroup(r.groupBy("r_fold", "r_tb", "r_rb"))
-                  .applyInPandas(_block_topn(metric, n_neighbors, min_common), NEIGHBOR_SCHEMA))
+    grouped = t.groupBy("fold", "tb", "rb").cogroup(r.groupBy("r_fold", "r_tb", "r_rb"))
+    if votes:
+        if br != 1:
+            return None
+        return grouped.applyInPandas(_block_topn(metric, n_neighbors, min_common, votes=True),
+                                     VOTE_SCHEMA)
+    per_block = grouped.applyInPandas(_block_topn(metric, n_neighbors, min_common), NEIGHBOR_SCHEMA)
     w = Window.partitionBy(*KEY).orderBy(F.desc(F.round("sim", 9)), "nb_observer_id", "nb_year_from")
     return (per_block.withColumn("nb_rank", F.row_number().over(w))
                      .where(F.col("nb_rank") <= n_neighbors))
@@ -228,7 +269,7 @@ def neighbor_votes(neighbors: DataFrame, train: DataFrame) -> DataFrame:
 
 def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
                   n_neighbors: int = 50, min_common: int = 1, features: DataFrame | None = None,
-                  test_block_rows: int = 8192, train_block_rows: int = 32768) -> DataFrame:
+                  test_block_rows: int = 4096, train_block_rows: int = 65536) -> DataFrame:
     """Top-K unseen species voted by the N nearest training rows -- M3 / M4.
 
     Test rows without a neighbour fall back to the training popularity share.
@@ -239,9 +280,14 @@ def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
     train = (fold_trans.where(F.col("role") == "train")
                        .select("fold", "observer_id", "year_from",
                                F.array_union("species_from", "species_to").alias("species")))
-    nbrs = neighbor_candidates(test.where(F.size("species_from") > 0), train, metric,
-                               n_neighbors, min_common, test_block_rows, train_block_rows)
-    voted = neighbor_votes(nbrs, train)
+    queries = test.where(F.size("species_from") > 0)
+    voted = neighbor_candidates(queries, train, metric, n_neighbors, min_common,
+                                test_block_rows, train_block_rows, votes=True)
+    if voted is None:   # several training blocks: global top N first, then the votes
+        nbrs = neighbor_candidates(queries, train, metric, n_neighbors, min_common,
+                                   test_block_rows, train_block_rows)
+        voted = neighbor_votes(nbrs, train)
+    voted = voted.select(*KEY, "species", "score")
     # Popularity fallback for rows with no neighbour.
     # Ranked per fold (S rows each); a lonely row needs at most K + |V| of them.
     share = (train.select("fold", F.explode("species").alias("species"))
@@ -249,7 +295,7 @@ def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
                   .withColumn("score", F.col("n") / F.sum("n").over(Window.partitionBy("fold"))))
     share = share.withColumn("pos", F.row_number().over(
         Window.partitionBy("fold").orderBy(F.desc(F.round("score", 9)), "species")))
-    lonely = test.join(nbrs.select(*KEY).distinct(), KEY, "left_anti")
+    lonely = test.join(voted.select(*KEY).distinct(), KEY, "left_anti")
     fallback = (lonely.select(*KEY, F.explode(F.sequence(F.lit(1), F.lit(k) + F.size("species_from")))
                                      .alias("pos"))
                       .join(share, ["fold", "pos"]).select(*KEY, "species", "score"))

@@ -141,3 +141,12 @@ def test_gram_flush_gives_same_counts(spark):
     want = {(r.fold, r.species_i, r.species_j, r.n_ij) for r in full.collect()}
     _, small = fit_counts(d.transitions, d.folds, max_vocab=2, rows_per_chunk=1)
     assert {(r.fold, r.species_i, r.species_j, r.n_ij) for r in small.collect()} == want
+
+
+def test_neighbor_paths_agree(spark):
+    d = data(spark)
+    one = {(r.fold, r.observer_id, r.species, round(r.score, 9), r.rank)
+           for r in neighbor_topk(d.fold_trans, k=4).collect()}          # single block: votes in kernel
+    many = {(r.fold, r.observer_id, r.species, round(r.score, 9), r.rank)
+            for r in neighbor_topk(d.fold_trans, k=4, test_block_rows=1, train_block_rows=1).collect()}
+    assert one == many and len(one) > 0
