@@ -40,9 +40,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not conf:
         conf = tempfile.mkdtemp(prefix="flyway-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(conf)
+    try:   # RDD checkpoints (ALS); not available to Spark Connect clients
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(conf)
+    except Exception:  # noqa: BLE001
+        pass
     return conf
 
 
