@@ -13,7 +13,9 @@ SF = "/root/testdata/sf0.001"
 KEYS = ["scan_observed", "observer_year_species", "transitions", "cv_folds", "popularity_topk",
         "popularity_metrics", "cooccurrence_topk", "neighbor_topk_cosine", "temporal_features",
         "geo_features", "robust_scale", "region_filter", "count_metrics", "activity_bands",
-        "set_features", "species_popularity_label", "cv_folds_lexicographic"]
+        "set_features", "species_popularity_label", "cv_folds_lexicographic",
+        "year_etl", "summary_etl", "region_share", "region_etl", "prepared_fold", "cooc_score",
+        "neighbor_pairs", "neighbor_topk_jaccard", "report_table", "predicted_k"]
 
 
 def _norm(v):
