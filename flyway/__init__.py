@@ -1,13 +1,11 @@
-"""flyway: observation-history analytics and next-year recommendation on Spark.
+"""flyway: a PySpark-native engine for year-over-year observation histories.
 
-Everything is a lazy DataFrame in keyed long form.  The package layout:
-
-* ``sources``   -- scans, the fixture observation view, sinks
-* ``functions`` -- scalar column expressions (JVM-side built-ins only)
-* ``operators`` -- summaries, transitions, species tables, folds, features, metrics
-* ``models``    -- recommenders (popularity, co-occurrence, neighbours, latent, learned)
-* ``plans``     -- end-to-end jobs: extraction, cross-validation, reports
-* ``streaming`` -- intentionally empty: the workload is batch only
+Python kernels (``mapInPandas`` / ``mapInArrow`` functions) of this package are
+pickled by value, so executors need no copy of the package on their path.
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -34,10 +34,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the deployment and read from the session.
-    Only when it is unset (local tests) do we create a private scratch folder.
+    Only a local master may go without it (tests, bench): then a private scratch
+    folder is made.  On any other master a machine-local folder would be written
+    in pieces on every executor, so an unset folder is an error there.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.conf.get("spark.master", "").startswith("local[") \
+                and spark.conf.get("spark.master", "") != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver "
+                               "and all executors share")
         conf = tempfile.mkdtemp(prefix="flyway-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     try:   # RDD checkpoints (ALS); not available to Spark Connect clients
