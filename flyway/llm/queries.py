@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import fresh_path, table
+from .quality_rules import quality_rules
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,9 @@ def register(name: str, sql: str | None = None):
 @register("op1_token_counts")
 def op1(spark, sf):
     return token_counts(table(spark, sf, "documents"), cache=fresh_path(spark, "token-cache"))
+
+
+@register("op4_quality_rules")
+def op4(spark, sf):
+    return (quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
+            .drop("threshold"))
