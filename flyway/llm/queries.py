@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import fresh_path, table
 from .quality_rules import quality_rules
+from .simhash import simhash_near_dedup
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,9 @@ def op1(spark, sf):
 def op4(spark, sf):
     return (quality_rules(table(spark, sf, "documents"), table(spark, sf, "labels"))
             .drop("threshold"))
+
+
+@register("op2_simhash_near_dedup")
+def op2(spark, sf):
+    return (simhash_near_dedup(table(spark, sf, "documents"), shingle=3, max_bits=2)
+            .drop("component_key"))
