@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,16 +36,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def batches_of(texts, limit: int):
-    """Consecutive index ranges whose texts hold about ``limit`` characters (one text at least)."""
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > limit:
-            yield start, i
-            start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def text_chunks(column: pa.Array, limit: int):
+    """The column's texts as lists of about ``limit`` bytes, one text at least, made as they are read."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    i = 0
+    while i < len(column):
+        held = ends[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, held + limit, side="right")))
+        yield column.slice(i, j - i).to_pylist()
+        i = j
 
 
 def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -51,5 +52,5 @@ def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-__all__ = ["WORD_PATTERN", "F", "batches_of", "cut_lineage", "fresh_path", "read_or_empty",
-           "record_batch", "table"]
+__all__ = ["WORD_PATTERN", "F", "cut_lineage", "fresh_path", "read_or_empty",
+           "record_batch", "table", "text_chunks"]

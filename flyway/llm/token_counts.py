@@ -6,13 +6,14 @@ SHA-256, a tokenizer by the SHA-256 of its vocabulary file and library version.
 The cache is a Parquet table ``(digest, n_tokens)`` partitioned by tokenizer
 digest.  One call
 
-1. joins the documents' digests to the stored counts (left anti: the misses),
-2. keeps one text per missing digest (partial ``first`` before the shuffle, so a
-   group of copies sends one text per task) and encodes it with the library,
+1. keeps one text per digest (partial ``first`` before the shuffle, so a group of
+   copies sends one text per task),
+2. joins the digests to the stored counts (left anti, on the partitioning of step 1)
+   and encodes the misses with the library,
 3. appends the new counts to the cache, and
 4. joins the counts back to the narrow ``(doc_id, n_bytes, digest)`` rows.
 
-Texts move only in step 2 and only once; the joins move digests.  A digest that
+Texts move only in step 1 and only once; the joins move digests.  A digest that
 holds a third of all rows meets a unique cache row, and AQE splits its partition.
 
 Defined results: a null text counts as the empty text (0 bytes, 0 tokens); a null
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, read_or_empty, record_batch
+from .common import read_or_empty, record_batch, text_chunks
 
 CACHE_SCHEMA = "digest binary, n_tokens bigint, tokenizer string"
 TOKENIZER = "byte_bpe_50k.json"
@@ -47,7 +48,7 @@ def tokenizer_digest(path: str) -> str:
     return h.hexdigest()
 
 
-def count_kernel(path: str, batch_chars: int):
+def count_kernel(path: str, batch_bytes: int):
     """mapInArrow function (digest, text) -> (digest, n_tokens) by the tokenizer's own library."""
     schema = pa.schema([("digest", pa.binary()), ("n_tokens", pa.int64())])
 
@@ -68,21 +69,20 @@ def count_kernel(path: str, batch_chars: int):
         count = None
         for b in batches:
             count = count or load()
-            texts = b.column("text").to_pylist()
             n = []
-            for i, j in batches_of(texts, batch_chars):
-                n += count(texts[i:j])
+            for texts in text_chunks(b.column("text"), batch_bytes):
+                n += count(texts)
             yield record_batch(schema, digest=b.column("digest"), n_tokens=n)
 
     return run
 
 
 def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None,
-                 limit: int = 1024, batch_chars: int = 1 << 18) -> DataFrame:
+                 limit: int = 1024, batch_bytes: int = 1 << 18) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every document, by way of the cache folder.
 
     ``tokenizer``: path of a ``.json`` (tokenizers) or ``.model`` (sentencepiece) file that
-    every executor can open; ``batch_chars`` bounds what one library call holds.
+    every executor can open; ``batch_bytes`` bounds what one library call holds.
     """
     spark = docs.sparkSession
     path = tokenizer or public_tokenizers.path(TOKENIZER)
@@ -95,9 +95,9 @@ def token_counts(docs: DataFrame, cache: str, tokenizer: str | None = None,
         return (read_or_empty(spark, cache, CACHE_SCHEMA)
                 .where(F.col("tokenizer") == name).select("digest", "n_tokens"))
 
-    misses = (keyed.join(stored(), "digest", "left_anti")
-              .groupBy("digest").agg(F.first("text").alias("text")))
-    new = misses.mapInArrow(count_kernel(path, batch_chars), "digest binary, n_tokens bigint")
+    misses = (keyed.groupBy("digest").agg(F.first("text").alias("text"))
+              .join(stored(), "digest", "left_anti"))
+    new = misses.mapInArrow(count_kernel(path, batch_bytes), "digest binary, n_tokens bigint")
     (new.withColumn("tokenizer", F.lit(name))
         .write.mode("append").partitionBy("tokenizer").parquet(cache))
     return (keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
