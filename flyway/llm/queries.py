@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import fresh_path, table
+from . import mixing
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
 from .token_counts import token_counts
@@ -39,3 +40,8 @@ def op4(spark, sf):
 def op2(spark, sf):
     return (simhash_near_dedup(table(spark, sf, "documents"), shingle=3, max_bits=2)
             .drop("component_key"))
+
+
+@register("op6_source_mixing", mixing.ORACLE)
+def op6(spark, sf):
+    return mixing.mix_sources(table(spark, sf, "documents")).drop("source", "passes")
