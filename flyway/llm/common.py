@@ -52,5 +52,17 @@ def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-__all__ = ["WORD_PATTERN", "F", "cut_lineage", "fresh_path", "read_or_empty",
+def bounded_sample(df: DataFrame, salt: str, rows: int, *order: str) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hash ``salt``; the same on every run.
+
+    A hash filter first brings the rows down to about twice the bound, so that no
+    partition sends a full sample of its own to the final sort.
+    """
+    n = df.count()
+    if n > 2 * rows:
+        df = df.where(F.pmod(F.col(salt), F.lit(1 << 31)) < int(2 * rows / n * (1 << 31)))
+    return df.orderBy(F.pmod(F.col(salt), F.lit(1 << 31)), salt, *order).limit(rows)
+
+
+__all__ = ["WORD_PATTERN", "F", "bounded_sample", "cut_lineage", "fresh_path", "read_or_empty",
            "record_batch", "table", "text_chunks"]

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, record_batch
+from .common import bounded_sample, cut_lineage, record_batch
 
 STEPS = 10_000           # score grid of the calibration histogram
 
@@ -175,8 +175,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = 100, per_tree
         "rule-statistics")
     marked = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
               .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    sample = (stats.join(marked, "doc_id").orderBy("salt", "doc_id", *STATS)
-              .limit(trees * per_tree).select("quality", *STATS).toPandas())
+    sample = (bounded_sample(stats.join(marked, "doc_id"), "salt", trees * per_tree, "doc_id", *STATS)
+              .select("quality", *STATS).toPandas())
     slack = forest = None
     good = (sample["quality"] == 1).to_numpy()
     if good.any() and not good.all():
