@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import bpe_round_trip
 from .common import fresh_path, table
 from . import mixing
 from .quality_rules import quality_rules
@@ -45,3 +46,8 @@ def op2(spark, sf):
 @register("op6_source_mixing", mixing.ORACLE)
 def op6(spark, sf):
     return mixing.mix_sources(table(spark, sf, "documents")).drop("source", "passes")
+
+
+@register("op5_byte_bpe")
+def op5(spark, sf):
+    return bpe_round_trip(table(spark, sf, "documents"))
