@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_round_trip
 from .common import fresh_path, table
 from . import mixing
+from .quality_fm import quality_scores
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
 from .token_counts import token_counts
@@ -51,3 +52,8 @@ def op6(spark, sf):
 @register("op5_byte_bpe")
 def op5(spark, sf):
     return bpe_round_trip(table(spark, sf, "documents"))
+
+
+@register("op3_quality_fm")
+def op3(spark, sf):
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
