@@ -38,7 +38,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def text_chunks(column: pa.Array, limit: int):
     """The column's texts as lists of about ``limit`` bytes, one text at least, made as they are read."""
-    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     i = 0
     while i < len(column):
         held = ends[i - 1] if i else 0

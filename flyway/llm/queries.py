@@ -11,6 +11,7 @@ from .common import fresh_path, table
 from . import mixing
 from .quality_fm import quality_scores
 from .quality_rules import quality_rules
+from .secret_scan import secret_spans
 from .simhash import simhash_near_dedup
 from .token_counts import token_counts
 
@@ -57,3 +58,8 @@ def op5(spark, sf):
 @register("op3_quality_fm")
 def op3(spark, sf):
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op8_secret_scan")
+def op8(spark, sf):
+    return secret_spans(table(spark, sf, "documents"))
