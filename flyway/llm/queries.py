@@ -14,6 +14,7 @@ from .quality_rules import quality_rules
 from .secret_scan import secret_spans
 from .simhash import simhash_near_dedup
 from .token_counts import token_counts
+from .warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +64,17 @@ def op3(spark, sf):
 @register("op8_secret_scan")
 def op8(spark, sf):
     return secret_spans(table(spark, sf, "documents"))
+
+
+@register("op7_warc", r"""
+SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+       CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN revisit THEN last END AS refers_to
+FROM (SELECT *, strlen(coalesce(html, '')) >= 1000 AND last IS NOT NULL
+               AND (page_id IS NULL OR page_id < last) AS revisit
+      FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages))
+""")
+def op7(spark, sf):
+    path = fresh_path(spark, "warc")
+    write_warc(table(spark, sf, "pages"), path)
+    return read_warc(spark, path)
