@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import fresh_path, table
-from . import mixing
+from . import mixing, topk_search
 from .quality_fm import quality_scores
 from .quality_rules import quality_rules
 from .secret_scan import secret_spans
@@ -78,3 +78,8 @@ def op7(spark, sf):
     path = fresh_path(spark, "warc")
     write_warc(table(spark, sf, "pages"), path)
     return read_warc(spark, path)
+
+
+@register("op9_topk_inner_products", topk_search.ORACLE)
+def op9(spark, sf):
+    return topk_search.top_inner_products(table(spark, sf, "embeddings"))
