@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import fresh_path, table
-from . import mixing, topk_search
+from . import chat_tools, mixing, topk_search
 from .quality_fm import quality_scores
 from .quality_rules import quality_rules
 from .secret_scan import secret_spans
@@ -83,3 +83,9 @@ def op7(spark, sf):
 @register("op9_topk_inner_products", topk_search.ORACLE)
 def op9(spark, sf):
     return topk_search.top_inner_products(table(spark, sf, "embeddings"))
+
+
+@register("op10_chat_tools", chat_tools.ORACLE)
+def op10(spark, sf):
+    return chat_tools.format_chat(chat_tools.transcripts(table(spark, sf, "conversations")),
+                                  chat_tools.transcript_schemas(spark))
