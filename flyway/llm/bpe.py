@@ -8,7 +8,8 @@
 2. The word rows are shuffled by shard (a hash of the word), so equal words of all blocks
    meet in one task, which encodes each distinct word once and joins its ids to every block
    that asked.  A word occurs at most once per block and shard, so no word makes a task hot.
-3. Ids go back to their block, are set in place of the numbers in position order, and
+3. Ids go back to their block (the sequences lie in buckets of the block, so they are not
+   shuffled again), are set in place of the numbers in position order, and
    decoded by looking each id up in the token-byte table (one entry per vocabulary token).
 
 Memory is bounded by a block (or one document when that is larger) in steps 1 and 3 and by
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, record_batch, text_chunks
+from .common import cut_bucketed, record_batch, text_chunks
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Fixed value: the white space of the split pattern's \s.
@@ -221,13 +222,14 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str | None = None,
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     chars = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = int(min(max(chars // (64 * words_per_shard), 16), 1 << 14))
-    rows = cut_lineage(texts.mapInArrow(block_kernel(pattern, shards, block_chars, block_words),
-                                        BLOCK_SCHEMA), "bpe-blocks")
-    words = (rows.where("shard >= 0").select("block", "shard", "n", "packed")
+    rows = cut_bucketed(texts.mapInArrow(block_kernel(pattern, shards, block_chars, block_words), BLOCK_SCHEMA)
+                        .withColumn("kind", F.when(F.col("shard") < 0, "sequence").otherwise("word")),
+                        "bpe_blocks", "block", "kind")
+    words = (rows.where("kind = 'word'").select("block", "shard", "n", "packed")
              .repartition("shard").sortWithinPartitions("shard")
              .mapInArrow(encode_kernel(path, pattern),
                          "block bigint, shard int, n bigint, sizes binary, ids binary"))
-    blocks = rows.where("shard < 0").select("block", "doc_ids", "n_words", "packed", "shards")
+    blocks = rows.where("kind = 'sequence'").select("block", "doc_ids", "n_words", "packed", "shards")
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return (blocks.groupBy("block").cogroup(words.groupBy("block"))
             .applyInArrow(reassemble_kernel(path, outputs),

@@ -52,6 +52,20 @@ def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+def cut_bucketed(df: DataFrame, name: str, column: str, kind: str) -> DataFrame:
+    """Like ``cut_lineage``, in buckets of ``column`` (and folders of ``kind``).
+
+    A later join or grouping on ``column`` reads the buckets as they lie and shuffles only
+    its other side.  The files lie in the shared folder; the table's name, which Spark looks
+    up again when it plans, stays in the session's catalog.
+    """
+    spark = df.sparkSession
+    table_name = f"{name}_{uuid.uuid4().hex[:16]}"
+    (df.write.partitionBy(kind).bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column)
+       .option("path", fresh_path(spark, name)).saveAsTable(table_name))
+    return spark.table(table_name)
+
+
 def bounded_sample(df: DataFrame, salt: str, rows: int, *order: str) -> DataFrame:
     """At most ``rows`` rows, those with the smallest hash ``salt``; the same on every run.
 
@@ -64,5 +78,5 @@ def bounded_sample(df: DataFrame, salt: str, rows: int, *order: str) -> DataFram
     return df.orderBy(F.pmod(F.col(salt), F.lit(1 << 31)), salt, *order).limit(rows)
 
 
-__all__ = ["WORD_PATTERN", "F", "bounded_sample", "cut_lineage", "fresh_path", "read_or_empty",
+__all__ = ["WORD_PATTERN", "F", "bounded_sample", "cut_bucketed", "cut_lineage", "fresh_path", "read_or_empty",
            "record_batch", "table", "text_chunks"]
