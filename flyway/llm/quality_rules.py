@@ -159,15 +159,9 @@ def score_kernel(slack, forest):
     return run
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = 100, per_tree: int = 256,
-                  slack_quantile: float = 0.995, loss_weight: float = 20.0,
-                  seed: int = 7) -> DataFrame:
-    """(doc_id, statistics..., base_failed, anomaly, threshold, kept) of every document.
-
-    ``trees * per_tree`` bounds the labelled rows the forest is fitted on;
-    ``slack_quantile`` is the share of labelled good texts within the slack of a statistic;
-    ``loss_weight`` is what the loss of a share of good texts counts against bad ones.
-    """
+def fit_rules(docs: DataFrame, labels: DataFrame, trees: int, per_tree: int, slack_quantile: float,
+              loss_weight: float, seed: int) -> tuple:
+    """(scored statistics of every document, slack, forest, threshold)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     stats = cut_lineage(
         docs.select("doc_id", F.xxhash64("doc_id", "text").alias("salt"), text.alias("text"))
@@ -195,11 +189,50 @@ def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = 100, per_tree
                       F.sum((F.col("quality") != 1).cast("long")).alias("bad"))
                  .collect())                                 # at most STEPS rows
         threshold = calibrated([tuple(r) for r in steps], loss_weight)
+    return scored, slack, forest, threshold
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = 100, per_tree: int = 256,
+                  slack_quantile: float = 0.995, loss_weight: float = 20.0,
+                  seed: int = 7) -> DataFrame:
+    """(doc_id, statistics..., base_failed, anomaly, threshold, kept) of every document.
+
+    ``trees * per_tree`` bounds the labelled rows the forest is fitted on;
+    ``slack_quantile`` is the share of labelled good texts within the slack of a statistic;
+    ``loss_weight`` is what the loss of a share of good texts counts against bad ones.
+    """
+    scored, _, _, threshold = fit_rules(docs, labels, trees, per_tree, slack_quantile, loss_weight, seed)
     return scored.select(
         "doc_id", *STATS[:5], "base_failed", "anomaly", F.lit(threshold).alias("threshold"),
         (~F.col("base_failed") & (F.col("anomaly") < threshold)).alias("kept"))
 
 
+def keep_quality(docs: DataFrame, labels: DataFrame, trees: int = 100, per_tree: int = 256,
+                 slack_quantile: float = 0.995, loss_weight: float = 20.0, seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``quality_rules`` keeps.
+
+    Once the forest and the threshold are known each row is judged where it lies, so no
+    text is shuffled and null or repeated ids need no join.
+    """
+    _, slack, forest, threshold = fit_rules(docs, labels, trees, per_tree, slack_quantile, loss_weight, seed)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            texts = pc.fill_null(b.column(at), "")
+            rows = [text_statistics(t, n) for t, n in zip(
+                texts.cast(pa.binary()).to_pylist(), pc.utf8_length(texts).to_pylist())]
+            if not rows:
+                continue
+            s = dict(zip(STATS, np.array(rows).T))
+            keep = (s["n_words"] >= 50) & (100 * s["n_repeat_words"] <= 50 * s["n_words"])
+            if forest is not None:
+                keep &= forest_scores(forest, np.maximum(features(s) - slack, 0)) < threshold
+            yield b.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def calibrated(steps: list[tuple[int, int, int]], loss_weight: float) -> float:
     """Score from which rejecting pays best; 1 where rejecting never pays.  steps: (step, good, bad)."""
     all_good, all_bad = sum(s[1] for s in steps), sum(s[2] for s in steps)
