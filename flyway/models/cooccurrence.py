@@ -20,9 +20,15 @@ Scale notes
 * n_ij is computed without emitting species pairs per row: each partition
   multiplies its own 0/1 incidence block (rows x species) into a partial Gram
   matrix, keyed by (year_from, year_to), and ships only the non-zero cells.
-  The shuffle is bounded by partitions x S^2, whatever the row count.
+  The shuffle is bounded by partitions x S^2, whatever the row count, and the
+  accumulators of a task hold at most ``_MAX_CELLS`` cells together.
 * Counts are summed per year pair first and only then per fold through the
   tiny fold table, so a transition is never replicated into every fold.
+* Scoring never joins rows with species pairs.  The fitted table is cut into
+  column blocks of at most ``_MODEL_CELLS`` cells, one row per (fold, block); test
+  rows are packed into blocks as well; a block pair is scored by one matrix product
+  and leaves K rows per observer.  Popular species make no key, and whether the
+  model rows are broadcast or shuffled is Spark's choice by their size.
 """
 
 from __future__ import annotations
@@ -31,16 +37,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.species import species_index
 from ..session import cut_lineage
-from .common import KEY, test_rows, top_k
-
-# Broadcast limit for the fitted pair table (rows).  Below it the scoring join
-# stays map-side on observer-partitioned rows; above it Spark shuffle-joins.
-MAX_BROADCAST_PAIRS = 2_000_000
+from .common import test_rows, top_k
 
 GRAM_SCHEMA = T.StructType([
     T.StructField("year_from", T.IntegerType()),
@@ -50,9 +54,10 @@ GRAM_SCHEMA = T.StructType([
     T.StructField("n_ij", T.LongType()),
 ])
 
-_MAX_CELLS = 1 << 24   # incidence-block cells per matmul (64 MiB of float32)
-_MAX_VOCAB = 4096      # accumulator side: a 4096^2 float64 matrix is 128 MiB
+_MAX_CELLS = 1 << 24    # cells of all accumulators of a task (128 MiB of float64)
+_MAX_VOCAB = 4096       # side of one accumulator
 _ROWS_PER_CHUNK = 2048
+_MODEL_CELLS = 1 << 22  # cells of a model block or a packed test block (32 MiB of float64)
 
 
 def _flush(key, vocab: dict[str, int], mat: np.ndarray):
@@ -66,49 +71,54 @@ def _flush(key, vocab: dict[str, int], mat: np.ndarray):
                             "n_ij": mat[i, j].round().astype(np.int64)})
 
 
-def _partial_gram(max_vocab: int = _MAX_VOCAB, rows_per_chunk: int = _ROWS_PER_CHUNK):
+def _partial_gram(max_vocab: int = _MAX_VOCAB, rows_per_chunk: int = _ROWS_PER_CHUNK,
+                  max_cells: int = _MAX_CELLS):
     """Per partition: accumulate B^T B of the 0/1 incidence rows, per year pair.
 
-    The accumulator is flushed (partial counts emitted, summed later by Spark)
-    whenever its vocabulary would pass ``max_vocab``, so memory stays bounded for
-    any species vocabulary.
+    An accumulator is flushed (partial counts emitted, summed later by Spark) before
+    a row would take its vocabulary past ``max_vocab``, and all are when they hold
+    more than ``max_cells`` cells together: memory stays bounded for any vocabulary
+    and any number of year pairs (one row's own set is the least that is held).
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _gram_batches(batches, max_vocab, rows_per_chunk)
+        yield from _gram_batches(batches, max_vocab, rows_per_chunk, max_cells)
     return run
 
 
-def _gram_batches(batches, max_vocab: int, rows_per_chunk: int):
-    acc: dict[tuple[int, int], tuple[dict[str, int], np.ndarray]] = {}
+def _multiply(vocab: dict[str, int], mat: np.ndarray, rows: list[list[str]]) -> np.ndarray:
+    n = len(vocab)
+    mat = np.pad(mat, ((0, n - mat.shape[0]), (0, n - mat.shape[1])))
+    inc = np.zeros((len(rows), n), dtype=np.float32)
+    at = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    inc[at, np.fromiter((vocab[sp] for x in rows for sp in x), np.int64, len(at))] = 1.0
+    mat += inc.T @ inc
+    return mat
+
+
+def _gram_batches(batches, max_vocab: int, rows_per_chunk: int, max_cells: int):
+    acc: dict[tuple[int, int], list] = {}                 # key -> [vocabulary, matrix, pending rows]
     for pdf in batches:
         for (yf, yt), g in pdf.groupby(["year_from", "year_to"], sort=False):
             key = (int(yf), int(yt))
-            sets = [list(x) if x is not None else [] for x in g["species"]]
-            for lo in range(0, len(sets), rows_per_chunk):
-                chunk = sets[lo:lo + rows_per_chunk]
-                vocab, mat = acc.get(key, ({}, np.zeros((0, 0))))
-                new = {sp for x in chunk for sp in x if sp not in vocab}
-                if vocab and len(vocab) + len(new) > max_vocab:
-                    yield from _flush(key, vocab, mat)
-                    vocab, mat = {}, np.zeros((0, 0))
-                for x in chunk:
-                    for sp in x:
-                        if sp not in vocab:
-                            vocab[sp] = len(vocab)
-                n = len(vocab)
-                if mat.shape[0] < n:
-                    mat = np.pad(mat, ((0, n - mat.shape[0]), (0, n - mat.shape[1])))
-                step = max(1, _MAX_CELLS // max(n, 1))
-                for lo2 in range(0, len(chunk), step):
-                    part = chunk[lo2:lo2 + step]
-                    inc = np.zeros((len(part), n), dtype=np.float32)
-                    rows = np.repeat(np.arange(len(part)), [len(x) for x in part])
-                    cols = np.fromiter((vocab[sp] for x in part for sp in x), dtype=np.int64,
-                                       count=len(rows))
-                    inc[rows, cols] = 1.0
-                    mat = mat + (inc.T @ inc).astype(np.float64)
-                acc[key] = (vocab, mat)
-    for key, (vocab, mat) in acc.items():
+            held = acc.setdefault(key, [{}, np.zeros((0, 0)), []])
+            for x in g["species"]:
+                row = list(x) if x is not None else []
+                vocab, mat, rows = held
+                if vocab and len(vocab) + sum(sp not in vocab for sp in row) > max_vocab:
+                    yield from _flush(key, vocab, _multiply(vocab, mat, rows))
+                    held[:] = vocab, mat, rows = {}, np.zeros((0, 0)), []
+                for sp in row:
+                    vocab.setdefault(sp, len(vocab))
+                rows.append(row)
+                if len(rows) >= rows_per_chunk or len(rows) * len(vocab) > max_cells:
+                    held[1], held[2] = _multiply(vocab, mat, rows), []
+            vocab, mat, rows = held
+            held[1], held[2] = _multiply(vocab, mat, rows), []
+            if sum(m.size for _, m, _ in acc.values()) > max_cells:
+                for k, (v, m, _) in acc.items():
+                    yield from _flush(k, v, m)
+                acc = {}
+    for key, (vocab, mat, _) in acc.items():
         yield from _flush(key, vocab, mat)
 
 
@@ -169,6 +179,143 @@ def boost_factor(features: DataFrame) -> DataFrame:
     return features.select(*keys, (F.lit(1.0) + F.lit(0.2) * F.col("popularity_score")).alias("boost"))
 
 
+def _model_blocks(n_i: DataFrame, n_ij: DataFrame, catalogue: DataFrame, n_species: float,
+                  alpha: float, boost: DataFrame | None) -> tuple[DataFrame, int]:
+    """The fitted model as one row per (fold, column block), and the number of column blocks.
+
+    A row holds every species of the fold with its share and denominator, the block's
+    target species with their boost, and the block's non-zero counts.
+    """
+    columns = int(max(1, min(n_species, _MODEL_CELLS // max(n_species, 1))))
+    n_blocks = int(-(-n_species // columns)) or 1
+    codes = cut_lineage(species_index(catalogue), "cooc-codes").withColumn(
+        "cb", F.floor(F.col("species_idx") / columns).cast("int"))
+    stats = cut_lineage(history_share(n_i).withColumn("d_i", F.col("n_i") + F.lit(alpha * n_species)),
+                        "cooc-stats")
+    sources = stats.groupBy("fold").agg(F.collect_list(F.struct(
+        F.col("species").alias("s"), F.col("share").alias("share"), F.col("d_i").alias("d"))).alias("sources"))
+    folds = [r["fold"] for r in stats.select("fold").distinct().collect()]        # a few folds
+    targets = codes.select("species", "cb", F.explode(
+        F.array(*map(F.lit, sorted(folds))).cast("array<int>")).alias("fold"))
+    targets = targets.join(stats.select("fold", "species", "share"), ["fold", "species"], "left")
+    if boost is not None:
+        targets = targets.join(boost, [c for c in ("fold", "species") if c in boost.columns], "left")
+    else:
+        targets = targets.withColumn("boost", F.lit(1.0))
+    targets = targets.groupBy("fold", "cb").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("species").alias("s"), F.coalesce("share", F.lit(0.0)).alias("share"),
+        F.coalesce("boost", F.lit(1.0)).alias("boost")))).alias("targets"))
+    cells = (n_ij.join(codes.select(F.col("species").alias("species_j"), "cb"), "species_j")
+             .groupBy("fold", "cb").agg(F.collect_list(F.struct(
+                 F.col("species_i").alias("i"), F.col("species_j").alias("j"), F.col("n_ij").alias("n"))).alias("cells")))
+    # At most species x columns cells per row: bounded by _MODEL_CELLS.
+    return (targets.join(sources, "fold").join(cells, ["fold", "cb"], "left"), n_blocks)
+
+
+def _pack_tests(max_rows: int, max_cells: int):
+    """mapInArrow: (fold, observer_id, species_from) sorted by fold -> blocks of test rows."""
+    schema = pa.schema([("fold", pa.int32()), ("ids", pa.list_(pa.int64())),
+                        ("sets", pa.list_(pa.list_(pa.string())))])
+
+    def run(batches):
+        fold, ids, sets, names = None, [], [], set()
+        for b in batches:
+            for f, i, v in zip(*(b.column(c).to_pylist() for c in ("fold", "observer_id", "species_from"))):
+                if ids and (f != fold or len(ids) >= max_rows or len(ids) * len(names.union(v or [])) > max_cells):
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
+                        (fold, ids, sets), schema)], schema=schema)
+                    ids, sets, names = [], [], set()
+                fold = f
+                ids.append(i)
+                sets.append(v or [])
+                names.update(v or [])
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
+                (fold, ids, sets), schema)], schema=schema)
+
+    return run
+
+
+def _score_kernel(k: int | None, n_species: float, alpha: float):
+    """mapInArrow over (test block, model block): the K best unseen species of every row.
+
+    ``k`` None: every species that an observed pair reaches, seen or not, without boost.
+    """
+    schema = pa.schema([("fold", pa.int32()), ("observer_id", pa.int64()), ("species", pa.string()),
+                        ("score", pa.float64())])
+
+    def block(r):
+        code = {x["s"]: i for i, x in enumerate(r["sources"])}
+        share = np.array([x["share"] for x in r["sources"]])
+        d = np.array([x["d"] for x in r["sources"]])
+        names = np.array([x["s"] for x in r["targets"]], object)
+        place = {s: j for j, s in enumerate(names)}
+        t_share = np.array([x["share"] for x in r["targets"]])
+        boost = np.array([x["boost"] for x in r["targets"]])
+        m = np.zeros((len(code), len(names)))
+        cells = r["cells"] or []
+        m[[code[c["i"]] for c in cells], [place[c["j"]] for c in cells]] = [c["n"] for c in cells]
+        step = max(1, _MODEL_CELLS // max(len(code), len(names), 1))
+        for lo in range(0, len(r["ids"]), step):
+            sets = r["sets"][lo:lo + step]
+            n = len(sets)
+            a, seen = np.zeros((n, len(code))), np.zeros((n, len(names)), bool)
+            base, weight = np.zeros(n), np.zeros(n)
+            for row, v in enumerate(sets):
+                for s in v:
+                    i = code.get(s)
+                    w = 1.0 / (1.0 + (share[i] if i is not None else 0.0) * 10.0)
+                    d_i = d[i] if i is not None else alpha * n_species
+                    base[row] += w * (alpha / d_i if d_i > 0 else 1.0 / n_species)
+                    weight[row] += w
+                    if i is not None:
+                        a[row, i] = w / d_i
+                    j = place.get(s)
+                    if j is not None:
+                        seen[row, j] = True
+            num = a @ m
+            with np.errstate(divide="ignore", invalid="ignore"):
+                score = (num + base[:, None]) / weight[:, None]
+            if k is None:
+                row, j = np.nonzero(num > 0)
+            else:
+                score *= boost
+                empty = weight == 0                       # no history: popularity share
+                score[empty] = t_share * boost
+                ranked = np.where(seen, -np.inf, np.round(score, 9))
+                if ranked.shape[1] > k:
+                    floor = -np.partition(-ranked, k - 1, axis=1)[:, k - 1]
+                    ranked[ranked < floor[:, None]] = -np.inf
+                row, j = np.nonzero(ranked > -np.inf)
+                order = np.lexsort((j, -ranked[row, j], row))      # targets lie in name order
+                row, j = row[order], j[order]
+                first = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, j = row[first], j[first]
+            ids = np.array(r["ids"][lo:lo + step], np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(row), r["fold"]), pa.int32()), pa.array(ids[row]),
+                pa.array(names[j], pa.string()), pa.array(score[row, j])], schema=schema)
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                yield from block(b.slice(i, 1).to_pylist()[0])
+
+    return run
+
+
+def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | None, n_species: float,
+                  alpha: float, max_rows: int = 2048) -> DataFrame:
+    packed = (test.select(F.col("fold").cast("int").alias("fold"), "observer_id", "species_from")
+              .repartitionByRange("fold", "observer_id").sortWithinPartitions("fold")
+              .mapInArrow(_pack_tests(max_rows, _MODEL_CELLS),
+                          "fold int, ids array<bigint>, sets array<array<string>>")
+              .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
+    return (packed.join(model, ["fold", "cb"]).select("fold", "ids", "sets", "sources", "targets", "cells")
+            .mapInArrow(_score_kernel(k, n_species, alpha),
+                        "fold int, observer_id bigint, species string, score double"))
+
+
 def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
                       catalogue: DataFrame, n_species: DataFrame, k: int = 10,
                       alpha: float = 0.1, n_folds: int = 4, features: DataFrame | None = None,
@@ -180,122 +327,21 @@ def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
     the popularity boost; ``min_cooccurrence`` optionally drops rare pairs (the
     reference stores but never applies it: default off).
     """
-    S = n_species.select(F.col("n_species").cast("double")).scalar()
+    size = float(n_species.first()["n_species"])
     n_i, n_ij = fit_counts(trans, folds)
     if min_cooccurrence:
         n_ij = n_ij.where(F.col("n_ij") >= min_cooccurrence)
-    # The fitted model is persisted (it is reused by every test row); its exact
-    # size then decides the join strategy.
-    n_ij = cut_lineage(n_ij)
-    if n_ij.count() <= MAX_BROADCAST_PAIRS:
-        n_ij = F.broadcast(n_ij)
-    # Species x fold tables are bounded by the vocabulary: broadcast.
-    stats = F.broadcast(history_share(n_i)
-             .select("fold", F.col("species").alias("species_i"), "share",
-                     (F.col("n_i") + F.lit(alpha) * S).alias("d_i")))
+    boost = boost_factor(features) if features is not None else None
+    model, n_blocks = _model_blocks(n_i, n_ij, catalogue, size, alpha, boost)
     test = test_rows(fold_trans) if query_rows is None else query_rows
-    hist = (test.select(*KEY, F.explode("species_from").alias("species_i"))
-                .join(stats, ["fold", "species_i"], "left")
-                .select(*KEY, "species_i", "d_i",
-                        (F.lit(1.0) / (F.lit(1.0) + F.coalesce("share", F.lit(0.0)) * 10.0)).alias("w"),
-                        F.when(F.coalesce("d_i", F.lit(alpha) * S) > 0,
-                               F.lit(alpha) / F.coalesce("d_i", F.lit(alpha) * S))
-                         .otherwise(F.lit(1.0) / S).alias("c")))
-    per_obs = hist.groupBy(*KEY).agg(F.sum("w").alias("w_sum"),
-                                     F.sum(F.col("w") * F.col("c")).alias("base_num"))
-    pair_part = (hist.where(F.col("d_i").isNotNull())
-                     .join(n_ij, ["fold", "species_i"])
-                     .select(*KEY, F.col("species_j").alias("species"),
-                             (F.col("w") * F.col("n_ij") / F.col("d_i")).alias("num")))
-
-    boost = F.broadcast(boost_factor(features)) if features is not None else None
-    # Fillers: every species scores at least base * boost, so the first
-    # K + |V| species by (boost desc, species asc) are the only ones that can
-    # enter the top K without an observed pair.  Exact; the ranking is S rows per fold.
-    cat_rank = F.broadcast(_filler_ranking(catalogue, n_folds, boost, alpha))
-    fill = (test.select(*KEY, "species_from",
-                        F.explode(F.sequence(F.lit(1), F.lit(k) + F.size("species_from"))).alias("pos"))
-                .join(cat_rank, ["fold", "pos"])
-                .select(*KEY, "species", F.lit(0.0).alias("num")))
-    cands = (pair_part.unionByName(fill)
-             .groupBy(*KEY, "species").agg(F.sum("num").alias("num"))
-             .join(test.select(*KEY, "species_from"), KEY)
-             .where(~F.array_contains("species_from", F.col("species")))
-             .join(per_obs, KEY))
-    if boost is not None:
-        keys = [c for c in ("fold", "species") if c in boost.columns]
-        cands = cands.join(boost, keys, "left")
-    else:
-        cands = cands.withColumn("boost", F.lit(1.0))
-    scored = cands.withColumn(
-        "score", (F.col("num") + F.col("base_num")) / F.col("w_sum") * F.coalesce("boost", F.lit(1.0)))
-    cols = [*KEY, "species", "score"]
-    no_history = _no_history(test, stats, catalogue, boost, n_folds, k)
-    return top_k(scored.select(*cols).unionByName(no_history.select(*cols)), k)
-
-
-def _fold_grid(catalogue: DataFrame, n_folds: int) -> DataFrame:
-    """Catalogue x fold ids 1..n_folds (S x F rows) by explode, no join."""
-    return catalogue.select("species", F.explode(F.sequence(F.lit(1), F.lit(n_folds))).alias("fold"))
-
-
-def _no_history(test: DataFrame, stats: DataFrame, catalogue: DataFrame,
-                boost: DataFrame | None, n_folds: int, k: int) -> DataFrame:
-    """Rows with an empty source set: popularity share (x boost) fallback."""
-    grid = _fold_grid(catalogue, n_folds).join(
-        stats.select("fold", F.col("species_i").alias("species"), "share"), ["fold", "species"], "left")
-    if boost is not None:
-        keys = [c for c in ("fold", "species") if c in boost.columns]
-        grid = grid.join(boost, keys, "left")
-    else:
-        grid = grid.withColumn("boost", F.lit(None).cast("double"))
-    grid = grid.withColumn("score", F.coalesce("share", F.lit(0.0)) * F.coalesce("boost", F.lit(1.0)))
-    w = Window.partitionBy("fold").orderBy(F.desc(F.round("score", 9)), "species")
-    ranked = grid.select("fold", "species", "score", F.row_number().over(w).alias("pos"))
-    empty = test.where(F.size("species_from") == 0).select(
-        *KEY, F.explode(F.sequence(F.lit(1), F.lit(k))).alias("pos"))
-    return empty.join(ranked, ["fold", "pos"]).select(*KEY, "species", "score")
-
-
-def _filler_ranking(catalogue: DataFrame, n_folds: int, boost: DataFrame | None,
-                    alpha: float) -> DataFrame:
-    """(fold, pos, species): the catalogue ordered by boost desc, species asc, per fold."""
-    per_fold = _fold_grid(catalogue, n_folds)
-    if boost is not None and alpha > 0:
-        keys = [c for c in ("fold", "species") if c in boost.columns]
-        per_fold = per_fold.join(boost, keys, "left").withColumn(
-            "boost", F.coalesce("boost", F.lit(1.0)))
-        order = [F.desc(F.round("boost", 9)), F.col("species")]
-    else:
-        order = [F.col("species")]
-    w = Window.partitionBy("fold").orderBy(*order)
-    return per_fold.select("fold", "species", F.row_number().over(w).alias("pos"))
+    return top_k(_block_scores(test, cut_lineage(model, "cooc-model"), n_blocks, k, size, alpha), k)
 
 
-def cooc_raw_scores(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
+def cooc_raw_scores(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame, catalogue: DataFrame,
                     n_species: DataFrame, alpha: float = 0.1) -> DataFrame:
     """Per test row, the unboosted score of every species reached by an
     observed pair from its history (viewed species included, before exclusion)."""
-    S = n_species.select(F.col("n_species").cast("double")).scalar()
+    size = float(n_species.first()["n_species"])
     n_i, n_ij = fit_counts(trans, folds)
-    n_ij = cut_lineage(n_ij)
-    if n_ij.count() <= MAX_BROADCAST_PAIRS:
-        n_ij = F.broadcast(n_ij)
-    stats = F.broadcast(history_share(n_i).select(
-        "fold", F.col("species").alias("species_i"), "share",
-        (F.col("n_i") + F.lit(alpha) * S).alias("d_i")))
-    test = test_rows(fold_trans)
-    hist = (test.select(*KEY, F.explode("species_from").alias("species_i"))
-                .join(stats, ["fold", "species_i"], "left")
-                .select(*KEY, "species_i", "d_i",
-                        (F.lit(1.0) / (F.lit(1.0) + F.coalesce("share", F.lit(0.0)) * 10.0)).alias("w"),
-                        F.when(F.coalesce("d_i", F.lit(alpha) * S) > 0,
-                               F.lit(alpha) / F.coalesce("d_i", F.lit(alpha) * S))
-                         .otherwise(F.lit(1.0) / S).alias("c")))
-    per_obs = hist.groupBy(*KEY).agg(F.sum("w").alias("w_sum"),
-                                     F.sum(F.col("w") * F.col("c")).alias("base_num"))
-    pairs = (hist.where(F.col("d_i").isNotNull()).join(n_ij, ["fold", "species_i"])
-                 .groupBy(*KEY, F.col("species_j").alias("species"))
-                 .agg(F.sum(F.col("w") * F.col("n_ij") / F.col("d_i")).alias("num")))
-    return pairs.join(per_obs, KEY).select(
-        *KEY, "species", ((F.col("num") + F.col("base_num")) / F.col("w_sum")).alias("score"))
+    model, n_blocks = _model_blocks(n_i, n_ij, catalogue, size, alpha, None)
+    return _block_scores(test_rows(fold_trans), cut_lineage(model, "cooc-model"), n_blocks, None, size, alpha)

@@ -7,269 +7,238 @@ Neighbours need common >= min_common and similarity > 0; the N most similar
 
 Scale design
 ------------
-The overlap counts are a sparse-set matrix product.  A join of the two sides on
-species would emit, for every species, all (test, train) pairs holding it --
-quadratic in the most popular species.  Instead both sides are hashed into
-blocks; each test block meets each training block exactly once (rows are
-replicated by the *other* side's block count, an equi-join key), and the block
-pair is multiplied as 0/1 matrices in numpy inside ``cogroup().applyInPandas``.
-Each block pair keeps only its per-row top N; the global top N is the top N of
-those (top-N decomposes over blocks), so the result is exact.  Block counts are
-sized from the row counts so that a block pair stays a few thousand x a few
-thousand, whatever the data size.
+A join of the two sides on species would emit, for every species, all (test,
+train) pairs holding it -- quadratic in the most popular species.  Instead both
+sides are packed into blocks of integer-coded sets (a block's rows times its
+vocabulary stay under ``BLOCK_CELLS``), training rows sorted by set size first.
+One row per pair of blocks is shuffled; the pairs of a test block lie together,
+sorted by training block, and one kernel streams them with a running top N per
+test row.  A training block is skipped when its range of set sizes bounds every
+similarity below the running N-th best (cosine <= sqrt(smaller / larger),
+Jaccard <= smaller / larger).  The same kernel gives neighbours, votes or pair
+counts, at every data size.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .common import KEY, test_rows, top_k
 
-NEIGHBOR_SCHEMA = T.StructType([
-    T.StructField("fold", T.IntegerType()),
-    T.StructField("observer_id", T.LongType()),
-    T.StructField("nb_observer_id", T.LongType()),
-    T.StructField("nb_year_from", T.IntegerType()),
-    T.StructField("common", T.LongType()),
-    T.StructField("sim", T.DoubleType()),
-])
-
-
-def _codes(sets: pd.Series, vocab: pd.Index) -> tuple[np.ndarray, np.ndarray]:
-    """(row index, species code) of every element of a column of lists."""
-    lens = sets.map(len).to_numpy()
-    flat = np.concatenate([np.asarray(x, dtype=object) for x in sets]) if len(sets) else np.array([], object)
-    return np.repeat(np.arange(len(sets)), lens), vocab.get_indexer(flat)
-
-
-VOTE_SCHEMA = T.StructType([
-    T.StructField("fold", T.IntegerType()),
-    T.StructField("observer_id", T.LongType()),
-    T.StructField("species", T.StringType()),
-    T.StructField("score", T.DoubleType()),
-])
-
-
-def _block_topn(metric: str, n_neighbors: int, min_common: int, chunk_cells: int = 1 << 23,
-                votes: bool = False):
-    """Exact per-row top-N inside one (test block, train block) pair.
-
-    0/1 incidence matrices (float32: exact counts up to 2^24), test rows processed
-    in chunks so the overlap matrix stays <= ``chunk_cells`` entries.  With
-    ``votes`` (only when the block holds *all* training rows of the fold) the
-    similarity-weighted species votes of the top N are emitted directly.
-    """
-    schema = VOTE_SCHEMA if votes else NEIGHBOR_SCHEMA
-    dtypes = (["int32", "int64", "object", "float64"] if votes
-              else ["int32", "int64", "int64", "int32", "int64", "float64"])
-    empty = pd.DataFrame({f.name: pd.Series(dtype=t) for f, t in zip(schema.fields, dtypes)})
-
-    def fn(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        if test.empty or train.empty:
-            return empty
-        tsets, rsets = test["species_from"], train["r_species"]
-        vocab = pd.Index(pd.unique(np.concatenate(
-            [np.concatenate([np.asarray(x, dtype=object) for x in tsets]),
-             np.concatenate([np.asarray(x, dtype=object) for x in rsets])])))
-        nv = len(vocab)
-        rr, rc = _codes(rsets, vocab)
-        b = np.zeros((len(rsets), nv), dtype=np.float32)
-        b[rr, rc] = 1.0
-        nb = b.sum(axis=1).astype(np.float64)
-        bt = np.ascontiguousarray(b.T)
-        r_codes = rc                                   # grouped by training row (CSR)
-        r_ptr = np.r_[0, np.cumsum(np.bincount(rr, minlength=len(rsets)))]
-        tr, tc = _codes(tsets, vocab)
-        a_all = np.zeros((len(tsets), nv), dtype=np.float32)
-        a_all[tr, tc] = 1.0
-        nb_obs_all = train["r_observer_id"].to_numpy()
-        nb_yf_all = train["r_year_from"].to_numpy()
-        step = max(1, chunk_cells // max(len(rsets), 1))
-        out = []
-        for lo in range(0, len(tsets), step):
-            a = a_all[lo:lo + step]
-            common = (a @ bt).astype(np.float64)
-            na = a.sum(axis=1).astype(np.float64)[:, None]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sim = (common / np.sqrt(na * nb[None, :]) if metric == "cosine"
-                       else common / (na + nb[None, :] - common))
-            ok = (common >= max(min_common, 1)) & (sim > 0)
-            # Exact per-row top N: the N-th best rounded similarity is a threshold;
-            # everything at or above it (ties included) is ranked by the full key.
-            score = np.where(ok, np.round(sim, 9), -1.0)
-            kth = min(n_neighbors, score.shape[1])
-            thr = -np.partition(-score, kth - 1, axis=1)[:, kth - 1]
-            i, j = np.nonzero((score >= thr[:, None]) & ok)
-            if len(i) == 0:
+BLOCK_CELLS = 1 << 22      # rows x vocabulary of a block: 16 MiB of float32 incidence
+BLOCK = ("fold int, block bigint, names array<string>, sizes binary, codes binary, ids binary, "
+         "years binary")
+OUTPUTS = {
+    "neighbors": [("fold", pa.int32()), ("observer_id", pa.int64()), ("nb_observer_id", pa.int64()),
+                  ("nb_year_from", pa.int32()), ("common", pa.int64()), ("sim", pa.float64()),
+                  ("nb_rank", pa.int32())],
+    "votes": [("fold", pa.int32()), ("observer_id", pa.int64()), ("species", pa.string()),
+              ("score", pa.float64())],
+    "counts": [("fold", pa.int32()), ("observer_id", pa.int64()), ("n_candidates", pa.int64())],
+}
+_DDL = {pa.int32(): "int", pa.int64(): "bigint", pa.float64(): "double", pa.string(): "string"}
+
+
+def _pack(max_rows: int, max_cells: int):
+    """mapInArrow: (fold, observer_id, year, species) sorted by fold -> blocks of coded sets."""
+    schema = pa.schema([("fold", pa.int32()), ("block", pa.int64()), ("names", pa.list_(pa.string())),
+                        ("sizes", pa.binary()), ("codes", pa.binary()), ("ids", pa.binary()),
+                        ("years", pa.binary())])
+
+    def run(batches):
+        block, fold, names, sizes, codes, ids, years = TaskContext.get().partitionId() << 32, None, {}, [], [], [], []
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(
+                [[fold], [block], [list(names)], [np.array(sizes, np.int32).tobytes()],
+                 [np.array(codes, np.int32).tobytes()], [np.array(ids, np.int64).tobytes()],
+                 [np.array(years, np.int32).tobytes()]], schema)], schema=schema)
+
+        for b in batches:
+            for f, i, y, species in zip(*(b.column(c).to_pylist() for c in
+                                          ("fold", "observer_id", "year", "species"))):
+                new = sum(s not in names for s in species)
+                if ids and (f != fold or len(ids) >= max_rows
+                            or (len(ids) + 1) * (len(names) + new) > max_cells):
+                    yield out()
+                    block, names, sizes, codes, ids, years = block + 1, {}, [], [], [], []
+                fold = f
+                codes += [names.setdefault(s, len(names)) for s in species]
+                sizes.append(len(species))
+                ids.append(i)
+                years.append(y)
+        if ids:
+            yield out()
+
+    return run
+
+
+class _Search:
+    """A test block and the running top N of each of its rows."""
+
+    def __init__(self, r: dict, metric: str, n_neighbors: int, min_common: int, output: str):
+        self.fold, self.names, self.output = r["fold"], r["names"], output
+        self.metric, self.n, self.min_common = metric, n_neighbors, max(min_common, 1)
+        self.ids = np.frombuffer(r["ids"], np.int64)
+        self.size = np.frombuffer(r["sizes"], np.int32).astype(np.float64)
+        rows = np.repeat(np.arange(len(self.ids)), self.size.astype(int))
+        self.a = np.zeros((len(self.ids), len(self.names)), np.float32)
+        self.a[rows, np.frombuffer(r["codes"], np.int32)] = 1.0
+        self.place = {s: i for i, s in enumerate(self.names)}
+        self.least = np.full(len(self.ids), -1.0)        # N-th best rounded similarity so far
+        self.kept = [np.empty(0, t) for t in (np.int64, np.float64, np.int64, np.int64, np.float64, np.int64)]
+        self.sets, self.vocab, self.counts = [], {}, np.zeros(len(self.ids), np.int64)
+
+    def meet(self, r: dict, cells: int = 1 << 22) -> None:
+        size = np.frombuffer(r["t_sizes"], np.int32)
+        low, high = max(int(size.min()), 1), max(int(size.max()), 1)
+        ratio = np.minimum(1.0, np.minimum(np.maximum(self.size, 1) / low, high / np.maximum(self.size, 1)))
+        reach = np.sqrt(ratio) if self.metric == "cosine" else ratio
+        if self.output != "counts" and (reach < self.least - 1e-8).all():
+            return
+        known = np.array([self.place.get(s, -1) for s in r["t_names"]], np.int64)
+        codes = np.frombuffer(r["t_codes"], np.int32)
+        ids, years = np.frombuffer(r["t_ids"], np.int64), np.frombuffer(r["t_years"], np.int32)
+        first = np.cumsum(size) - size
+        vocab = np.array([self.vocab.setdefault(s, len(self.vocab)) for s in r["t_names"]], np.int64) \
+            if self.output == "votes" else None
+        step = max(1, cells // max(len(self.ids), len(self.names), 1))
+        for lo in range(0, len(ids), step):
+            part = slice(lo, lo + step)
+            n = len(ids[part])
+            at = known[codes[first[lo]:first[lo] + size[part].sum()]]
+            rows = np.repeat(np.arange(n), size[part])
+            b = np.zeros((len(self.names), n), np.float32)
+            b[at[at >= 0], rows[at >= 0]] = 1.0
+            common = (self.a @ b).astype(np.float64)
+            enough = common >= self.min_common
+            if self.output == "counts":
+                self.counts += enough.sum(axis=1)
                 continue
-            s_ = sim[i, j]
-            nbo, nby = nb_obs_all[j], nb_yf_all[j]
-            order = np.lexsort((nby, nbo, -score[i, j], i))
-            i, j, s_, nbo, nby = i[order], j[order], s_[order], nbo[order], nby[order]
-            first = np.r_[0, np.flatnonzero(np.diff(i)) + 1]
-            rank = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
-            keep = rank < n_neighbors
-            i, j = i[keep], j[keep]
-            if votes:
-                # Sparse accumulation: each kept neighbour adds its similarity to
-                # its own species (CSR rows of the training incidence).
-                wsim = sim[i, j]
-                lens = r_ptr[j + 1] - r_ptr[j]
-                rows_rep = np.repeat(i, lens)
-                codes = r_codes[np.concatenate([np.arange(r_ptr[x], r_ptr[x + 1]) for x in j])] \
-                    if len(j) else np.array([], dtype=np.int64)
-                v = np.bincount(rows_rep * nv + codes, weights=np.repeat(wsim, lens),
-                                minlength=len(a) * nv).reshape(len(a), nv)
-                tot = np.bincount(i, weights=wsim, minlength=len(a))
-                vi, vs = np.nonzero(v)
-                out.append(pd.DataFrame({
-                    "fold": test["fold"].to_numpy()[lo + vi].astype(np.int32),
-                    "observer_id": test["observer_id"].to_numpy()[lo + vi].astype(np.int64),
-                    "species": vocab.to_numpy()[vs],
-                    "score": v[vi, vs] / tot[vi],
-                }))
+            na, nb = self.size[:, None], size[part].astype(np.float64)[None, :]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sim = common / np.sqrt(na * nb) if self.metric == "cosine" else common / (na + nb - common)
+            score = np.where(enough & (sim > 0), np.round(sim, 9), -1.0)
+            if n > self.n:                               # a row's best N of this part, ties included
+                floor = -np.partition(-score, self.n - 1, axis=1)[:, self.n - 1]
+                score[score < floor[:, None]] = -1.0
+            q, t = np.nonzero((score > 0) & (score >= self.least[:, None]))
+            if not len(q):
                 continue
-            out.append(pd.DataFrame({
-                "fold": test["fold"].to_numpy()[lo + i].astype(np.int32),
-                "observer_id": test["observer_id"].to_numpy()[lo + i].astype(np.int64),
-                "nb_observer_id": nbo[keep].astype(np.int64),
-                "nb_year_from": nby[keep].astype(np.int32),
-                "common": common[i, j].astype(np.int64),
-                "sim": s_[keep].astype(np.float64),
-            }))
-        return pd.concat(out, ignore_index=True) if out else empty
-    return fn
-
-
-PAIR_COUNT_SCHEMA = T.StructType([
-    T.StructField("fold", T.IntegerType()),
-    T.StructField("observer_id", T.LongType()),
-    T.StructField("n_candidates", T.LongType()),
-])
-
-
-def _block_count(min_common: int):
-    def fn(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        if test.empty or train.empty:
-            return pd.DataFrame({"fold": pd.Series(dtype="int32"), "observer_id": pd.Series(dtype="int64"),
-                                 "n_candidates": pd.Series(dtype="int64")})
-        tsets, rsets = test["species_from"], train["r_species"]
-        vocab = pd.Index(pd.unique(np.concatenate(
-            [np.concatenate([np.asarray(x, dtype=object) for x in tsets]),
-             np.concatenate([np.asarray(x, dtype=object) for x in rsets])])))
-        rr, rc = _codes(rsets, vocab)
-        b = np.zeros((len(rsets), len(vocab)), dtype=np.float32)
-        b[rr, rc] = 1.0
-        tr, tc = _codes(tsets, vocab)
-        a = np.zeros((len(tsets), len(vocab)), dtype=np.float32)
-        a[tr, tc] = 1.0
-        n = ((a @ b.T) >= max(min_common, 1)).sum(axis=1)
-        return pd.DataFrame({"fold": test["fold"].to_numpy().astype(np.int32),
-                             "observer_id": test["observer_id"].to_numpy().astype(np.int64),
-                             "n_candidates": n.astype(np.int64)})
-    return fn
-
-
-def neighbor_pair_counts(test: DataFrame, train: DataFrame, min_common: int = 1,
-                         test_block_rows: int = 8192, train_block_rows: int = 4096) -> DataFrame:
-    """J13 without emitting pairs: per test row, how many training rows share at
-    least ``min_common`` species (block products, counts summed over blocks)."""
-    counts = {(r["fold"], r["side"]): r["n"] for r in
-              test.select("fold", F.lit("test").alias("side"))
-                  .unionByName(train.select("fold", F.lit("train").alias("side")))
-                  .groupBy("fold", "side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    folds = sorted({f for f, _ in counts})
-    bt = max([block_counts(counts.get((f, "test"), 0), 0, test_block_rows)[0] for f in folds] or [1])
-    br = max([block_counts(0, counts.get((f, "train"), 0), train_block_rows)[1] for f in folds] or [1])
-    t = test.select("fold", "observer_id", "species_from",
-                    F.pmod(F.xxhash64("observer_id"), F.lit(bt)).cast("int").alias("tb"),
-                    F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("rb"))
-    r = train.select(F.col("fold").alias("r_fold"), F.col("species").alias("r_species"),
-                     F.pmod(F.xxhash64("observer_id", "year_from"), F.lit(br)).cast("int").alias("r_rb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(bt - 1))).alias("r_tb"))
-    per_block = (t.groupBy("fold", "tb", "rb").cogroup(r.groupBy("r_fold", "r_tb", "r_rb"))
-                  .applyInPandas(_block_count(min_common), PAIR_COUNT_SCHEMA))
-    return per_block.groupBy("fold", "observer_id").agg(F.sum("n_candidates").alias("n_candidates"))
-
-
-BLOCK_CELLS = 1 << 25   # cells of one dense incidence block (128 MiB of float32)
-
-
-def block_counts(n_test: int, n_train: int, block_rows: int) -> tuple[int, int]:
-    return max(1, math.ceil(n_test / block_rows)), max(1, math.ceil(n_train / block_rows))
-
-
-def neighbor_candidates(test: DataFrame, train: DataFrame, metric: str = "cosine",
-                        n_neighbors: int = 50, min_common: int = 1,
-                        test_block_rows: int = 8192, train_block_rows: int = 65536,
-                        votes: bool = False) -> DataFrame | None:
-    """Per test row the top-N training rows by similarity -- J13 + W4 (+ P10, P11).
-
-    ``test``: (fold, observer_id, species_from); ``train``: (fold, observer_id,
-    year_from, species).  Row counts per fold size the blocks (one tiny job).
-    With ``votes`` it returns the species votes directly when every fold's
-    training rows fit one block (else None: use the general path).
-    """
-    counts = {(r["fold"], r["side"]): r["n"] for r in
-              test.select("fold", F.lit("test").alias("side"))
-                  .unionByName(train.select("fold", F.lit("train").alias("side")))
-                  .groupBy("fold", "side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    folds = sorted({f for f, _ in counts})
-    # The dense 0/1 block is rows x vocabulary: cap its cells whatever the vocabulary.
-    vocab = train.select(F.explode("species").alias("s")).agg(F.count_distinct("s")).first()[0] or 1
-    train_block_rows = max(1, min(train_block_rows, BLOCK_CELLS // vocab))
-    test_block_rows = max(1, min(test_block_rows, BLOCK_CELLS // vocab))
-    # Block counts from the row counts: a block pair is at most
-    # test_block_rows x train_block_rows, and every test row yields at most
-    # (train blocks) x N candidates before the global top N.
-    bt = max([block_counts(counts.get((f, "test"), 0), 0, test_block_rows)[0] for f in folds] or [1])
-    br = max([block_counts(0, counts.get((f, "train"), 0), train_block_rows)[1] for f in folds] or [1])
-    t = test.select(
-        "fold", "observer_id", "species_from",
-        F.pmod(F.xxhash64("observer_id"), F.lit(bt)).cast("int").alias("tb"),
-        F.explode(F.sequence(F.lit(0), F.lit(br - 1))).alias("rb"))
-    # Distinct names on the training side: both sides derive from one plan.
-    r = train.select(
-        F.col("fold").alias("r_fold"), F.col("observer_id").alias("r_observer_id"),
-        F.col("year_from").alias("r_year_from"), F.col("species").alias("r_species"),
-        F.pmod(F.xxhash64("observer_id", "year_from"), F.lit(br)).cast("int").alias("r_rb"),
-        F.explode(F.sequence(F.lit(0), F.lit(bt - 1))).alias("r_tb"))
-    grouped = t.groupBy("fold", "tb", "rb").cogroup(r.groupBy("r_fold", "r_tb", "r_rb"))
-    if votes:
-        if br != 1:
-            return None
-        return grouped.applyInPandas(_block_topn(metric, n_neighbors, min_common, votes=True),
-                                     VOTE_SCHEMA)
-    per_block = grouped.applyInPandas(_block_topn(metric, n_neighbors, min_common), NEIGHBOR_SCHEMA)
-    w = Window.partitionBy(*KEY).orderBy(F.desc(F.round("sim", 9)), "nb_observer_id", "nb_year_from")
-    return (per_block.withColumn("nb_rank", F.row_number().over(w))
-                     .where(F.col("nb_rank") <= n_neighbors))
-
-
-def neighbor_votes(neighbors: DataFrame, train: DataFrame) -> DataFrame:
-    """Similarity-weighted species votes of the neighbours -- J14.
-
-    (fold, observer_id, species, score) with score = sum sim / total sim.
+            mark = np.arange(len(q)) + len(self.sets)
+            if vocab is not None:
+                self.sets += [(vocab, codes[first[lo + j]:first[lo + j] + size[lo + j]]) for j in t.tolist()]
+            self._enter(q, score[q, t], ids[part][t], years[part][t].astype(np.int64), sim[q, t],
+                        common[q, t].astype(np.int64) if vocab is None else mark)
+
+    def _enter(self, *new) -> None:
+        """new: row, rounded similarity, observer, year, similarity, common (or place of its set)."""
+        merged = [np.concatenate(x) for x in zip(self.kept, new)]
+        order = np.lexsort((merged[3], merged[2], -merged[1], merged[0]))
+        q = merged[0][order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        self.kept = [x[order[rank < self.n]] for x in merged]
+        full = rank == self.n - 1
+        self.least[q[full]] = merged[1][order[full]]
+        if self.output == "votes":                       # forget the sets of rows that fell out
+            self.sets = [self.sets[i] for i in self.kept[5]]
+            self.kept[5] = np.arange(len(self.sets))
+
+    def result(self) -> pa.RecordBatch | None:
+        schema = pa.schema(OUTPUTS[self.output])
+        q, _, nb, year, sim, extra = self.kept
+        if self.output == "counts":
+            some = np.flatnonzero(self.counts)
+            cols = [np.full(len(some), self.fold), self.ids[some], self.counts[some]]
+        elif self.output == "neighbors":
+            rank = np.arange(len(q)) - np.searchsorted(q, q) + 1
+            cols = [np.full(len(q), self.fold), self.ids[q], nb, year, extra, sim, rank]
+        else:
+            width, names = max(len(self.vocab), 1), np.array(list(self.vocab), object)
+            parts = [[], [], []]
+            step = max(1, BLOCK_CELLS // width)
+            for lo in range(0, len(self.ids), step):     # a dense vote matrix of bounded size
+                i, j = np.searchsorted(q, [lo, lo + step])
+                if i == j:
+                    continue
+                size = [len(c) for _, c in self.sets[i:j]]
+                code = np.concatenate([v[c] for v, c in self.sets[i:j]])
+                row = np.repeat(q[i:j] - lo, size)
+                votes = np.bincount(row * width + code, np.repeat(sim[i:j], size), step * width)
+                total = np.bincount(q[i:j] - lo, sim[i:j], step)
+                r, s = np.nonzero(votes.reshape(step, width))
+                parts[0].append(self.ids[lo + r])
+                parts[1].append(names[s])
+                parts[2].append(votes.reshape(step, width)[r, s] / total[r])
+            cols = [np.concatenate(p) if p else [] for p in parts]
+            cols.insert(0, np.full(len(cols[0]), self.fold))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def _search_kernel(metric: str, n_neighbors: int, min_common: int, output: str):
+    def run(batches):
+        now, s = None, None
+        for b in batches:
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                if r["block"] != now:
+                    if s is not None:
+                        yield s.result()
+                    now, s = r["block"], _Search(r, metric, n_neighbors, min_common, output)
+                s.meet(r)
+        if s is not None:
+            yield s.result()
+    return run
+
+
+def neighbor_search(test: DataFrame, train: DataFrame, metric: str = "cosine", n_neighbors: int = 50,
+                    min_common: int = 1, output: str = "neighbors", test_block_rows: int = 2048,
+                    train_block_rows: int = 8192) -> DataFrame:
+    """Neighbours (J13 + W4 + P10 + P11), their votes (J14) or candidate counts per test row.
+
+    ``test``: (fold, observer_id, species_from); ``train``: (fold, observer_id, year_from,
+    species).  ``output``: "neighbors", "votes" or "counts".  Test rows without a species
+    have no neighbour.
     """
-    total = neighbors.groupBy(*KEY).agg(F.sum("sim").alias("sim_total"))
-    sets = train.select("fold", F.col("observer_id").alias("nb_observer_id"),
-                        F.col("year_from").alias("nb_year_from"), "species")
-    votes = (neighbors.join(sets, ["fold", "nb_observer_id", "nb_year_from"])
-                      .select(*KEY, "sim", F.explode("species").alias("species"))
-                      .groupBy(*KEY, "species").agg(F.sum("sim").alias("vote")))
-    return votes.join(total, KEY).select(*KEY, "species",
-                                         (F.col("vote") / F.col("sim_total")).alias("score"))
+    spark = test.sparkSession
+
+    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
+        order = ["fold", "n", "observer_id"]
+        return cut_lineage(df.withColumn("n", F.size("species")).where("n > 0")
+                           .repartitionByRange(*order).sortWithinPartitions(*order)
+                           .select("fold", "observer_id", "year", "species")
+                           .mapInArrow(_pack(rows, BLOCK_CELLS), BLOCK), name)
+
+    asked = blocks(test.select(F.col("fold").cast("int").alias("fold"), "observer_id", F.lit(0).alias("year"),
+                               F.col("species_from").alias("species")), test_block_rows, "nb-test")
+    known = blocks(train.select(F.col("fold").cast("int").alias("fold"), "observer_id",
+                                F.col("year_from").cast("int").alias("year"), "species"),
+                   train_block_rows, "nb-train")
+    # One row per training block: its place within the fold, and how many the fold has.
+    per_fold: dict[int, list[int]] = {}
+    for f, b in sorted(tuple(r) for r in known.select("fold", "block").collect()):
+        per_fold.setdefault(f, []).append(b)
+    places = spark.createDataFrame([(f, b, i) for f, bs in per_fold.items() for i, b in enumerate(bs)],
+                                   "fold int, block bigint, rank int")
+    many = spark.createDataFrame([(f, len(bs)) for f, bs in per_fold.items()], "fold int, n int")
+    known = known.join(F.broadcast(places), ["fold", "block"]).select(
+        "fold", "rank", *[F.col(c).alias(f"t_{c}") for c in ("names", "sizes", "codes", "ids", "years")])
+    pairs = (asked.join(F.broadcast(many), "fold")
+             .withColumn("rank", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n", "years")
+             .join(known, ["fold", "rank"]))
+    schema = ", ".join(f"{c} {_DDL[t]}" for c, t in OUTPUTS[output])
+    return (pairs.repartition("block").sortWithinPartitions("block", "rank")
+            .mapInArrow(_search_kernel(metric, n_neighbors, min_common, output), schema))
 
 
 def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
                   n_neighbors: int = 50, min_common: int = 1, features: DataFrame | None = None,
-                  test_block_rows: int = 4096, train_block_rows: int = 65536) -> DataFrame:
+                  test_block_rows: int = 2048, train_block_rows: int = 8192) -> DataFrame:
     """Top-K unseen species voted by the N nearest training rows -- M3 / M4.
 
     Test rows without a neighbour fall back to the training popularity share.
@@ -280,14 +249,9 @@ def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
     train = (fold_trans.where(F.col("role") == "train")
                        .select("fold", "observer_id", "year_from",
                                F.array_union("species_from", "species_to").alias("species")))
-    queries = test.where(F.size("species_from") > 0)
-    voted = neighbor_candidates(queries, train, metric, n_neighbors, min_common,
-                                test_block_rows, train_block_rows, votes=True)
-    if voted is None:   # several training blocks: global top N first, then the votes
-        nbrs = neighbor_candidates(queries, train, metric, n_neighbors, min_common,
-                                   test_block_rows, train_block_rows)
-        voted = neighbor_votes(nbrs, train)
-    voted = voted.select(*KEY, "species", "score")
+    # Written once: the ranking below and the search for rows without votes both read it.
+    voted = cut_lineage(neighbor_search(test, train, metric, n_neighbors, min_common, "votes",
+                                        test_block_rows, train_block_rows), "nb-votes")
     # Popularity fallback for rows with no neighbour.
     # Ranked per fold (S rows each); a lonely row needs at most K + |V| of them.
     share = (train.select("fold", F.explode("species").alias("species"))

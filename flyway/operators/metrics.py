@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import activity_band
+from ..session import cut_lineage
 
 KEY = ["fold", "observer_id"]
 RANKING_METRICS = ["precision@k", "recall@k", "map@k", "coverage",
@@ -63,6 +64,7 @@ def ranking_metrics(preds: DataFrame, truth: DataFrame, k: int, n_species: DataF
     * ``n_species`` is a one-row frame with column ``n_species`` (catalogue size);
       it enters as a scalar subquery, not a join.
     """
+    preds = cut_lineage(preds, "predictions")      # read twice: hits and coverage
     po = per_observer(preds, truth, k)
     map_k = F.col("ap_k_num") / F.least(F.col("n_truth"), F.lit(k))
     map_f = F.col("ap_full_num") / F.col("n_truth")

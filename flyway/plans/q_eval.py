@@ -243,8 +243,9 @@ SELECT fold, count(*) AS n_neighbors, count(*) FILTER (WHERE sim > 0) AS n_posit
        round(min(sim), 6) AS min_sim FROM nb_top_cosine GROUP BY fold
 """))
 def q_positive_similarity(spark, sf):
+    from ..models.neighbors import neighbor_search
     from .q_models import _nb_frames
-    nb = _nb_frames(spark, sf)[3]
+    nb = neighbor_search(*_nb_frames(spark, sf))
     return cmp_ready(nb.groupBy("fold").agg(F.count(F.lit(1)).alias("n_neighbors"),
                                             F.count_if(F.col("sim") > 0).alias("n_positive"),
                                             F.min("sim").alias("min_sim")))

@@ -68,7 +68,7 @@ metric_keys("cooc", "pred_cooc", lambda spark, sf: _cooc(spark, sf))
 
 
 # ---------------------------------------------------------------- neighbours
-from ..models.neighbors import neighbor_candidates, neighbor_topk, neighbor_votes  # noqa: E402
+from ..models.neighbors import neighbor_search, neighbor_topk  # noqa: E402
 
 
 def _nb(metric):
@@ -78,14 +78,14 @@ def _nb(metric):
     return build
 
 
-def _nb_frames(spark, sf, metric="cosine"):
+def _nb_frames(spark, sf):
     d = folded(spark, sf)
     test = (d.fold_trans.where(F.col("role") == "test")
                         .select("fold", "observer_id", "species_from"))
     train = (d.fold_trans.where(F.col("role") == "train")
                          .select("fold", "observer_id", "year_from",
                                  F.array_union("species_from", "species_to").alias("species")))
-    return d, test, train, neighbor_candidates(test, train, metric)
+    return test, train
 
 
 @register("neighbor_topk_cosine", O.with_(["pred_nb_cosine"], """
@@ -107,16 +107,14 @@ SELECT fold, observer_id, nb_observer_id, nb_year_from, CAST(common AS BIGINT) A
        round(sim, 6) AS sim, CAST(nb_rank AS INTEGER) AS nb_rank FROM nb_top_cosine
 """))
 def q_topn_neighbors(spark, sf):
-    nb = _nb_frames(spark, sf)[3]
-    return cmp_ready(nb.withColumn("nb_rank", F.col("nb_rank").cast("int")))
+    return cmp_ready(neighbor_search(*_nb_frames(spark, sf)))
 
 
 @register("neighbor_votes", O.with_(["nb_votes_cosine"], """
 SELECT fold, observer_id, species, round(score, 6) AS score FROM nb_votes_cosine
 """))
 def q_neighbor_votes(spark, sf):
-    d, test, train, nb = _nb_frames(spark, sf)
-    return cmp_ready(neighbor_votes(nb, train))
+    return cmp_ready(neighbor_search(*_nb_frames(spark, sf), output="votes"))
 
 
 metric_keys("neighbor_cosine", "pred_nb_cosine", _nb("cosine"))
@@ -162,7 +160,6 @@ def q_with_vs_without_features(spark, sf):
 
 
 from ..models.cooccurrence import cooc_raw_scores  # noqa: E402
-from ..models.neighbors import neighbor_pair_counts  # noqa: E402
 
 
 @register("cooc_score", O.with_(["cooc_dense"], """
@@ -170,15 +167,11 @@ SELECT fold, observer_id, species, round(raw_score, 6) AS score FROM cooc_dense
 """))
 def q_cooc_score(spark, sf):
     d = folded(spark, sf)
-    return cmp_ready(cooc_raw_scores(d.fold_trans, d.transitions, d.folds, d.n_species))
+    return cmp_ready(cooc_raw_scores(d.fold_trans, d.transitions, d.folds, d.catalogue, d.n_species))
 
 
 @register("neighbor_pairs", O.with_(["nb_pairs_cosine"], """
-SELECT fold, count(*) AS n_pairs, count(DISTINCT observer_id) AS n_rows_with_pairs FROM nb_pairs_cosine
-GROUP BY fold
+SELECT fold, observer_id, CAST(count(*) AS BIGINT) AS n_candidates FROM nb_pairs_cosine GROUP BY fold, observer_id
 """))
 def q_neighbor_pairs(spark, sf):
-    d, test, train, _ = _nb_frames(spark, sf)
-    c = neighbor_pair_counts(test, train)
-    return c.groupBy("fold").agg(F.sum("n_candidates").alias("n_pairs"),
-                                 F.count_if(F.col("n_candidates") > 0).alias("n_rows_with_pairs"))
+    return neighbor_search(*_nb_frames(spark, sf), output="counts")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flyway.models.cooccurrence import cooccurrence_topk, fit_counts
-from flyway.models.neighbors import neighbor_candidates, neighbor_topk
+from flyway.models.neighbors import neighbor_search, neighbor_topk
 from flyway.models.popularity import frozen_popularity, popularity_topk
 from flyway.operators.metrics import ranking_metrics
 from flyway.operators.species import species_features
@@ -106,13 +106,13 @@ def test_neighbor_similarities(spark):
     test = d.fold_trans.where("role = 'test'").select("fold", "observer_id", "species_from")
     train = d.fold_trans.where("role = 'train'").select(
         "fold", "observer_id", "year_from", F.array_union("species_from", "species_to").alias("species"))
-    cos = neighbor_candidates(test, train, "cosine").where("fold = 1 AND observer_id = 3").collect()
+    cos = neighbor_search(test, train, "cosine").where("fold = 1 AND observer_id = 3").collect()
     assert [(r.nb_observer_id, round(r.sim, 6)) for r in cos] == [(1, 0.57735)]
-    jac = neighbor_candidates(test, train, "jaccard").where("fold = 1 AND observer_id = 3").collect()
+    jac = neighbor_search(test, train, "jaccard").where("fold = 1 AND observer_id = 3").collect()
     assert [(r.nb_observer_id, round(r.sim, 6)) for r in jac] == [(1, 0.333333)]
     # small blocks give the same exact answer
-    small = neighbor_candidates(test, train, "cosine", test_block_rows=1, train_block_rows=1)
-    assert small.count() == neighbor_candidates(test, train, "cosine").count()
+    small = neighbor_search(test, train, "cosine", test_block_rows=1, train_block_rows=1)
+    assert small.count() == neighbor_search(test, train, "cosine").count()
 
 
 def test_cosine_at_least_jaccard(spark):
@@ -120,9 +120,9 @@ def test_cosine_at_least_jaccard(spark):
     test = d.fold_trans.where("role = 'test'").select("fold", "observer_id", "species_from")
     train = d.fold_trans.where("role = 'train'").select(
         "fold", "observer_id", "year_from", F.array_union("species_from", "species_to").alias("species"))
-    c = neighbor_candidates(test, train, "cosine").select("fold", "observer_id", "nb_observer_id",
+    c = neighbor_search(test, train, "cosine").select("fold", "observer_id", "nb_observer_id",
                                                           "nb_year_from", F.col("sim").alias("c"))
-    j = neighbor_candidates(test, train, "jaccard").select("fold", "observer_id", "nb_observer_id",
+    j = neighbor_search(test, train, "jaccard").select("fold", "observer_id", "nb_observer_id",
                                                            "nb_year_from", F.col("sim").alias("j"))
     assert c.join(j, ["fold", "observer_id", "nb_observer_id", "nb_year_from"]).where("c < j - 1e-12").count() == 0
 
