@@ -213,36 +213,44 @@ def _model_blocks(n_i: DataFrame, n_ij: DataFrame, catalogue: DataFrame, n_speci
 
 
 def _pack_tests(max_rows: int, max_cells: int):
-    """mapInArrow: (fold, observer_id, species_from) sorted by fold -> blocks of test rows."""
+    """mapInArrow: (fold, observer_id, species_from, extra) sorted by fold -> blocks of test rows."""
     schema = pa.schema([("fold", pa.int32()), ("ids", pa.list_(pa.int64())),
-                        ("sets", pa.list_(pa.list_(pa.string())))])
+                        ("sets", pa.list_(pa.list_(pa.string()))),
+                        ("extras", pa.list_(pa.list_(pa.float64())))])
 
     def run(batches):
-        fold, ids, sets, names = None, [], [], set()
+        fold, ids, sets, extras, names = None, [], [], [], set()
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
+                (fold, ids, sets, extras), schema)], schema=schema)
+
         for b in batches:
-            for f, i, v in zip(*(b.column(c).to_pylist() for c in ("fold", "observer_id", "species_from"))):
+            for f, i, v, x in zip(*(b.column(c).to_pylist() for c in
+                                    ("fold", "observer_id", "species_from", "extra"))):
                 if ids and (f != fold or len(ids) >= max_rows or len(ids) * len(names.union(v or [])) > max_cells):
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
-                        (fold, ids, sets), schema)], schema=schema)
-                    ids, sets, names = [], [], set()
+                    yield out()
+                    ids, sets, extras, names = [], [], [], set()
                 fold = f
                 ids.append(i)
                 sets.append(v or [])
+                extras.append(x)
                 names.update(v or [])
         if ids:
-            yield pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
-                (fold, ids, sets), schema)], schema=schema)
+            yield out()
 
     return run
 
 
-def _score_kernel(k: int | None, n_species: float, alpha: float):
+def _score_kernel(k: int | None, n_species: float, alpha: float, mode: str = "top", rerank=None):
     """mapInArrow over (test block, model block): the K best unseen species of every row.
 
-    ``k`` None: every species that an observed pair reaches, seen or not, without boost.
+    ``mode`` "reached": every species that an observed pair reaches, seen or not, unboosted;
+    "unseen": every unseen species, unboosted.  ``rerank(fold, score, share, extras)`` may
+    replace the score matrix of a block before the ranking.
     """
     schema = pa.schema([("fold", pa.int32()), ("observer_id", pa.int64()), ("species", pa.string()),
-                        ("score", pa.float64())])
+                        ("score", pa.float64()), ("share", pa.float64())])
 
     def block(r):
         code = {x["s"]: i for i, x in enumerate(r["sources"])}
@@ -276,12 +284,16 @@ def _score_kernel(k: int | None, n_species: float, alpha: float):
             num = a @ m
             with np.errstate(divide="ignore", invalid="ignore"):
                 score = (num + base[:, None]) / weight[:, None]
-            if k is None:
+            empty = weight == 0                           # no history: popularity share
+            score[empty] = t_share
+            if mode == "reached":
                 row, j = np.nonzero(num > 0)
+            elif mode == "unseen":
+                row, j = np.nonzero(~seen)
             else:
                 score *= boost
-                empty = weight == 0                       # no history: popularity share
-                score[empty] = t_share * boost
+                if rerank is not None:
+                    score = rerank(r["fold"], score, t_share, r["extras"][lo:lo + step])
                 ranked = np.where(seen, -np.inf, np.round(score, 9))
                 if ranked.shape[1] > k:
                     floor = -np.partition(-ranked, k - 1, axis=1)[:, k - 1]
@@ -294,7 +306,8 @@ def _score_kernel(k: int | None, n_species: float, alpha: float):
             ids = np.array(r["ids"][lo:lo + step], np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(row), r["fold"]), pa.int32()), pa.array(ids[row]),
-                pa.array(names[j], pa.string()), pa.array(score[row, j])], schema=schema)
+                pa.array(names[j], pa.string()), pa.array(score[row, j]),
+                pa.array(t_share[j])], schema=schema)
 
     def run(batches):
         for b in batches:
@@ -305,15 +318,27 @@ def _score_kernel(k: int | None, n_species: float, alpha: float):
 
 
 def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | None, n_species: float,
-                  alpha: float, max_rows: int = 2048) -> DataFrame:
-    packed = (test.select(F.col("fold").cast("int").alias("fold"), "observer_id", "species_from")
+                  alpha: float, mode: str = "top", rerank=None, max_rows: int = 2048) -> DataFrame:
+    """(fold, observer_id, species, score, share); ``test`` may carry an array column ``extra``."""
+    extra = F.col("extra") if "extra" in test.columns else F.lit(None).cast("array<double>").alias("extra")
+    packed = (test.select(F.col("fold").cast("int").alias("fold"), "observer_id", "species_from", extra)
               .repartitionByRange("fold", "observer_id").sortWithinPartitions("fold")
-              .mapInArrow(_pack_tests(max_rows, _MODEL_CELLS),
-                          "fold int, ids array<bigint>, sets array<array<string>>")
+              .mapInArrow(_pack_tests(max_rows, _MODEL_CELLS), "fold int, ids array<bigint>, "
+                          "sets array<array<string>>, extras array<array<double>>")
               .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-    return (packed.join(model, ["fold", "cb"]).select("fold", "ids", "sets", "sources", "targets", "cells")
-            .mapInArrow(_score_kernel(k, n_species, alpha),
-                        "fold int, observer_id bigint, species string, score double"))
+    return (packed.join(model, ["fold", "cb"])
+            .select("fold", "ids", "sets", "extras", "sources", "targets", "cells")
+            .mapInArrow(_score_kernel(k, n_species, alpha, mode, rerank),
+                        "fold int, observer_id bigint, species string, score double, share double"))
+
+
+def fitted_model(data, alpha: float = 0.1, features: DataFrame | None = None) -> tuple:
+    """The written model blocks of every fold, the number of column blocks and the catalogue size."""
+    size = float(data.n_species.first()["n_species"])
+    n_i, n_ij = fit_counts(data.transitions, data.folds)
+    boost = boost_factor(features) if features is not None else None
+    model, n_blocks = _model_blocks(n_i, n_ij, data.catalogue, size, alpha, boost)
+    return cut_lineage(model, "cooc-model"), n_blocks, size
 
 
 def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
@@ -344,4 +369,6 @@ def cooc_raw_scores(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame, c
     size = float(n_species.first()["n_species"])
     n_i, n_ij = fit_counts(trans, folds)
     model, n_blocks = _model_blocks(n_i, n_ij, catalogue, size, alpha, None)
-    return _block_scores(test_rows(fold_trans), cut_lineage(model, "cooc-model"), n_blocks, None, size, alpha)
+    scores = _block_scores(test_rows(fold_trans), cut_lineage(model, "cooc-model"), n_blocks, None, size, alpha,
+                           "reached")
+    return scores.drop("share")

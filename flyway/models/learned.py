@@ -1,12 +1,18 @@
 """Learned ranker and count regression (M6, M7): re-aims of the neural model.
 
-M6 -- a pointwise classifier over candidate (row, species) pairs.  Candidates are
-the top M of the popularity and co-occurrence models; features are their scores
-and ranks, the source-set size, and (optionally) the observer's robust-scaled
-activity features.  ``LogisticRegression`` (sigmoid + cross-entropy, the NN's
-output layer) is fitted per fold on the candidates of the fold's most recent
-training pair, with the models fitted on the same training data, then ranks the
-test candidates by probability.
+M6 -- a pointwise classifier over (row, species) pairs of the whole catalogue.
+Features of a pair: the co-occurrence score, the species' popularity share and its
+log, the source-set size, and (optionally) the observer's activity; row features
+also come multiplied with the co-occurrence score, as a row's own features cannot
+change the order of its species.  ``LogisticRegression`` (sigmoid + cross-entropy, the
+NN's output layer) is fitted per fold.
+
+No target leaks into a feature: the rows that fold f learns from are the *test* rows of
+the folds before it, scored by those folds' own models, that is by counts of strictly
+earlier year pairs.  The first fold has no scored pair before it and ranks by the
+co-occurrence score.  At most ``train_rows`` rows (those with the smallest hashes), each
+with the whole catalogue, are learned from; every test row is scored against the whole
+catalogue inside the co-occurrence kernel, which leaves K species per row.
 
 M7 -- next-year bird count (falls back to the species count) with a Poisson
 ``GeneralizedLinearRegression`` (log link, non-negative), clipped to [0, 10000].
@@ -16,24 +22,23 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import SUMMARY_MODEL_FEATURES, temporal_from_summary
-from ..operators.species import fold_species_features
 from ..session import cut_lineage
 from .common import KEY, top_k
-from .cooccurrence import cooccurrence_topk
-from .popularity import popularity_topk
+from .cooccurrence import _block_scores, fitted_model
 
-CAND_FEATURES = ["pop_score", "pop_rank", "cooc_score", "cooc_rank", "n_from"]
+PAIR_FEATURES = 3          # co-occurrence score, share, log share
+SHARE_FLOOR = 1e-6
 
 
-def _observer_features(data, summary: DataFrame | None) -> tuple[DataFrame | None, list[str]]:
+def _observer_features(summary: DataFrame | None) -> tuple[DataFrame | None, list[str]]:
     if summary is None:
         return None, []
     tf = temporal_from_summary(summary).select(
@@ -42,77 +47,64 @@ def _observer_features(data, summary: DataFrame | None) -> tuple[DataFrame | Non
     return tf, list(SUMMARY_MODEL_FEATURES)
 
 
-def _candidates(data, queries: DataFrame, m: int, feats: DataFrame) -> DataFrame:
-    """Top-m candidates of the popularity and co-occurrence models for query rows,
-    with their scores / ranks and the label (species in the target set)."""
-    q = queries.select(*KEY, "year_from", "species_from", "species_to").repartition(*KEY)
-    pop = popularity_topk(data.fold_trans, data.catalogue, k=m, query_rows=q).select(
-        *KEY, "species", F.col("score").alias("pop_score"), F.col("rank").alias("pop_rank"))
-    cooc = cooccurrence_topk(data.fold_trans, data.transitions, data.folds, data.catalogue,
-                             data.n_species, k=m, n_folds=data.n_folds, features=feats,
-                             query_rows=q).select(*KEY, "species", F.col("score").alias("cooc_score"),
-                                                  F.col("rank").alias("cooc_rank"))
-    c = pop.join(cooc, [*KEY, "species"], "full")
-    c = c.na.fill({"pop_score": 0.0, "cooc_score": 0.0, "pop_rank": m + 1, "cooc_rank": m + 1})
-    return (c.join(q, KEY)
-             .withColumn("n_from", F.size("species_from").cast("double"))
-             .withColumn("label", F.array_contains("species_to", F.col("species")).cast("double")))
-
-
-def learned_candidates(data, candidates: int = 50, summary: DataFrame | None = None
-                       ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(training candidates, test candidates, observer feature columns), persisted.
-
-    Training queries are the rows of each fold's most recent training pair.  Both
-    query sets are scored in one pass of each model: training queries carry a
-    negated observer id (the models treat the id as an opaque key), mapped back
-    afterwards.
-    """
-    feats = fold_species_features(data.fold_trans, scope="train")
-    ft = data.fold_trans
-    last = (ft.where(F.col("role") == "train").groupBy("fold")
-              .agg(F.max(F.struct("year_from", "year_to")).alias("_p")))
-    train_q = (ft.where(F.col("role") == "train").join(F.broadcast(last), "fold")
-                 .where((F.col("year_from") == F.col("_p.year_from")) & (F.col("year_to") == F.col("_p.year_to")))
-                 .withColumn("observer_id", -F.col("observer_id") - 1))
-    test_q = ft.where(F.col("role") == "test")
-    cols = ["fold", "observer_id", "year_from", "species_from", "species_to"]
-    both = _candidates(data, train_q.select(*cols).unionByName(test_q.select(*cols)), candidates, feats)
-    obs_f, obs_cols = _observer_features(data, summary)
+def _rows(data, summary: DataFrame | None) -> DataFrame:
+    """Test rows of every fold with their row features as the array ``extra``."""
+    rows = data.fold_trans.where(F.col("role") == "test").select(
+        "fold", "observer_id", "year_from", "species_from", "species_to")
+    obs_f, cols = _observer_features(summary)
     if obs_f is not None:
-        both = (both.withColumn("_oid", F.when(F.col("observer_id") < 0, -F.col("observer_id") - 1)
-                                        .otherwise(F.col("observer_id")))
-                    .join(obs_f.withColumnRenamed("observer_id", "_oid"), ["_oid", "year_from"], "left")
-                    .na.fill(0.0, obs_cols).drop("_oid"))
-    # Iterative fits read their input many times: persist it once (reliable checkpoint).
-    both = cut_lineage(both)
-    tr = both.where(F.col("observer_id") < 0).withColumn("observer_id", -F.col("observer_id") - 1)
-    te = both.where(F.col("observer_id") >= 0)
-    return tr, te, obs_cols
-
-
-def rank_with(tr: DataFrame, te: DataFrame, cols: list[str], k: int = 10,
-              reg_param: float = 0.01, max_iter: int = 50) -> DataFrame:
-    """Fit one logistic regression per fold on ``tr``; top-K unseen test candidates
-    by predicted probability."""
-    va = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    out = []
-    for f in [r[0] for r in te.select("fold").distinct().orderBy("fold").collect()]:
-        lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=reg_param,
-                                maxIter=max_iter, standardization=True)
-        model = lr.fit(va.transform(tr.where(F.col("fold") == f)))
-        scored = model.transform(va.transform(te.where(F.col("fold") == f)))
-        out.append(scored.select(*KEY, "species", vector_to_array("probability")[1].alias("score"),
-                                 "species_from")
-                   .where(~F.array_contains("species_from", F.col("species"))))
-    return top_k(reduce(DataFrame.unionByName, out), k)
-
-
-def learned_topk(data, k: int = 10, candidates: int = 50, summary: DataFrame | None = None,
-                 use_features: bool = True, reg_param: float = 0.01, max_iter: int = 50) -> DataFrame:
-    """M6: candidates from the simple models, ranked by a per-fold logistic regression."""
-    tr, te, obs_cols = learned_candidates(data, candidates, summary if use_features else None)
-    return rank_with(tr, te, CAND_FEATURES + obs_cols, k, reg_param, max_iter)
+        rows = rows.join(obs_f, ["observer_id", "year_from"], "left").na.fill(0.0, cols)
+    return cut_lineage(rows.withColumn("extra", F.array(
+        F.log1p(F.size("species_from").cast("double")), *map(F.col, cols))), "learned-rows")
+
+
+def _reranker(weights: dict[int, tuple[np.ndarray, float]]):
+    """Probability of every species of a block from a fold's weights; scores stay without any."""
+    def rerank(fold, score, share, extras):
+        if fold not in weights:
+            return score
+        w, bias = weights[fold]
+        x = np.array(extras, dtype=float)
+        m = x.shape[1]
+        z = (bias + score * w[0] + share * w[1] + np.log(share + SHARE_FLOOR) * w[2]
+             + (x @ w[3:3 + m])[:, None] + score * (x @ w[3 + m:3 + 2 * m])[:, None])
+        return 1.0 / (1.0 + np.exp(-z))
+    return rerank
+
+
+def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_features: bool = True,
+                 alpha: float = 0.1, train_rows: int = 20_000, reg_param: float = 0.001,
+                 max_iter: int = 50, seed: int = 42) -> DataFrame:
+    """M6: every unseen species of the catalogue, ranked by a per-fold logistic regression.
+
+    ``train_rows`` bounds the rows (not their species) that the classifiers are fitted on.
+    """
+    model, n_blocks, size = fitted_model(data, alpha)
+    rows = _rows(data, summary if use_features else None)
+    n = rows.count()
+    h = F.pmod(F.xxhash64("fold", "observer_id", F.lit(seed)), F.lit(1 << 31))
+    sample = rows.where(h < int(min(1.0, 2 * train_rows / max(n, 1)) * (1 << 31)))
+    sample = sample.orderBy(h, "fold", "observer_id").limit(train_rows)
+    pairs = _block_scores(sample, model, n_blocks, None, size, alpha, "unseen")
+    x = F.col("extra")
+    width = len(SUMMARY_MODEL_FEATURES) + 1 if use_features and summary is not None else 1
+    cols = [F.col("score"), F.col("share"), F.log(F.col("share") + SHARE_FLOOR),
+            *[x[i] for i in range(width)], *[F.col("score") * x[i] for i in range(width)]]
+    names = [f"x{i}" for i in range(len(cols))]
+    examples = cut_lineage(
+        pairs.join(sample.select(*KEY, "extra", "species_to"), KEY)
+        .select("fold", F.array_contains("species_to", F.col("species")).cast("double").alias("label"),
+                *[c.alias(n) for c, n in zip(cols, names)]), "learned-examples")
+    va = VectorAssembler(inputCols=names, outputCol="features")
+    weights = {}
+    for f in sorted(r["fold"] for r in rows.select("fold").distinct().collect()):
+        earlier = va.transform(examples.where(F.col("fold") < f))
+        if earlier.select("label").distinct().count() < 2:
+            continue
+        fit = LogisticRegression(regParam=reg_param, maxIter=max_iter).fit(earlier)
+        weights[f] = (fit.coefficients.toArray(), float(fit.intercept))
+    scored = _block_scores(rows, model, n_blocks, k, size, alpha, rerank=_reranker(weights))
+    return top_k(scored, k)
 
 
 def count_regression(data, summary: DataFrame, use_features: bool = True,
@@ -122,7 +114,7 @@ def count_regression(data, summary: DataFrame, use_features: bool = True,
     Returns (predictions (fold, observer_id, predicted), actual (fold, observer_id, actual)).
     """
     from ..operators.features import bird_counts
-    obs_f, obs_cols = _observer_features(data, summary) if use_features else (None, [])
+    obs_f, obs_cols = _observer_features(summary) if use_features else (None, [])
     rows = (bird_counts(data.fold_trans.select("fold", "role", "observer_id", "year_from", "year_to",
                                                "species_from"), summary)
             .withColumn("n_from", F.log1p(F.size("species_from").cast("double"))))
@@ -136,8 +128,12 @@ def count_regression(data, summary: DataFrame, use_features: bool = True,
                                           labelCol="bird_count", featuresCol="features", maxIter=25)
         model = glr.fit(va.transform(rows.where((F.col("fold") == f) & (F.col("role") == "train"))))
         p = model.transform(va.transform(rows.where((F.col("fold") == f) & (F.col("role") == "test"))))
-        preds.append(p.select("fold", "observer_id",
-                              F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(10000.0))
-                               .alias("predicted"), F.col("bird_count").alias("actual")))
+        preds.append(p.select("fold", "observer_id", clip_count(F.col("prediction")).alias("predicted"),
+                              F.col("bird_count").alias("actual")))
     allp = reduce(DataFrame.unionByName, preds)
     return allp.select("fold", "observer_id", "predicted"), allp.select("fold", "observer_id", "actual")
+
+
+def clip_count(c):
+    """Predicted counts stay within [0, 10000] -- P12."""
+    return F.least(F.greatest(c, F.lit(0.0)), F.lit(10000.0))

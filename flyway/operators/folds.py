@@ -72,14 +72,14 @@ def holdout_split(train_rows: DataFrame, seed: int = 42, max_rows: int = 1000,
     task ever sorts a whole fold: first the top-m inside ``salt_buckets`` hash
     buckets of the fold, then the top-m of those (<= buckets x m rows).
     """
-    key_hash = F.xxhash64("observer_id", "year_from", "year_to", F.lit(seed))
-    rows = train_rows.withColumn("_h", key_hash)
+    key_hash = F.md5(F.concat_ws(":", F.lit(seed), "observer_id", "year_from", "year_to").cast("binary"))
+    rows = train_rows.withColumn("_h", key_hash)          # the same hash in any engine
     sizes = (rows.groupBy("fold").agg(F.count(F.lit(1)).alias("_n"))
                  .select("fold", F.least(F.lit(max_rows),
                                          F.floor(F.col("_n") * fraction)).alias("_m")))
     keys = rows.select("fold", "_h", "observer_id", "year_from", "year_to")
     order = ["_h", "observer_id", "year_from", "year_to"]
-    w1 = Window.partitionBy("fold", F.pmod("_h", F.lit(salt_buckets))).orderBy(*order)
+    w1 = Window.partitionBy("fold", F.pmod(F.crc32("_h"), F.lit(salt_buckets))).orderBy(*order)
     stage1 = (keys.withColumn("_r1", F.row_number().over(w1))
                   .where(F.col("_r1") <= max_rows).drop("_r1"))
     w2 = Window.partitionBy("fold").orderBy(*order)

@@ -87,7 +87,7 @@ def ranking_metrics(preds: DataFrame, truth: DataFrame, k: int, n_species: DataF
 
 
 def count_metrics(rows: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """MAE, RMSE, correlation, MAPE, mean actual / predicted -- A23.
+    """MAE, RMSE, correlation, MAPE (also over non-zero actuals only), mean actual / predicted -- A23.
 
     ``rows`` has (*group, actual, predicted).  Predictions are floored at 0;
     correlation is 0 unless both population std devs are positive; MAPE divides
@@ -106,9 +106,11 @@ def count_metrics(rows: DataFrame, group: list[str] | None = None) -> DataFrame:
         F.when(corr_ok, F.coalesce(F.nanvl(corr, F.lit(0.0)), F.lit(0.0)))
          .otherwise(F.lit(0.0)).alias("count_correlation"),
         (F.avg(F.abs((F.col("a") - F.col("p")) / (F.col("a") + F.lit(1e-8)))) * 100).alias("count_mape"),
+        F.coalesce(F.avg(F.when(F.col("a") != 0, F.abs((F.col("a") - F.col("p")) / F.col("a")))) * 100,
+                   F.lit(0.0)).alias("mape_nonzero"),
         F.avg("a").alias("mean_actual_count"),
         F.avg("p").alias("mean_predicted_count"))
-    names = ["count_mae", "count_rmse", "count_correlation", "count_mape",
+    names = ["count_mae", "count_rmse", "count_correlation", "count_mape", "mape_nonzero",
              "mean_actual_count", "mean_predicted_count"]
     return wide.unpivot(g, names, "metric", "value")
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..models import create_model
+from ..models.learned import count_regression, learned_topk
 from ..models.popularity import mean_count_predict
 from ..operators.features import bird_counts
 from ..operators.metrics import count_metrics, ranking_metrics
@@ -57,10 +58,16 @@ def cross_validate(data, models: dict[str, dict] | None = None, k: int = 10,
     """(model, fold, k, metric, value) for every model and fold -- M9."""
     models = models or DEFAULT_MODELS
     if summary is not None:             # read for the mean and for the actual counts
-        summary = cut_lineage(summary.select("observer_id", "year", "total_observations"), "counts")
+        full = cut_lineage(summary, "summary") if "neural" in models else summary
+        summary = cut_lineage(full.select("observer_id", "year", "total_observations"), "counts")
     parts = []
     for name, params in models.items():
         model = create_model(name, **params)
+        if name == "neural" and summary is not None:
+            preds = learned_topk(data, k=k, summary=full, **params)
+            counts, actual = count_regression(data, full)
+            parts.append(evaluate_fold(data, name, preds, k, counts, actual))
+            continue
         preds = model.recommend(data, k)
         counts = actual = None
         if name == "baseline" and summary is not None:

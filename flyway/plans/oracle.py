@@ -354,9 +354,10 @@ SELECT fold, metric, value FROM (UNPIVOT (
               THEN coalesce(CASE WHEN isnan(corr(a, p)) THEN 0.0 ELSE corr(a, p) END, 0.0)
               ELSE 0.0 END AS count_correlation,
          avg(abs((a - p) / (a + 1e-8))) * 100 AS count_mape,
+         coalesce(avg(CASE WHEN a <> 0 THEN abs((a - p) / a) END) * 100, 0.0) AS mape_nonzero,
          avg(a) AS mean_actual_count, avg(p) AS mean_predicted_count
   FROM cnt_rows GROUP BY fold)
-  ON count_mae, count_rmse, count_correlation, count_mape, mean_actual_count, mean_predicted_count
+  ON count_mae, count_rmse, count_correlation, count_mape, mape_nonzero, mean_actual_count, mean_predicted_count
   INTO NAME metric VALUE value)
 """, ["cnt_rows"])
 

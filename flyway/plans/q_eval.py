@@ -13,7 +13,9 @@ from .registry import cmp_ready, register
 from ..functions import predicted_k
 from ..models import create_model
 from ..models.common import KEY, ranked_fillers, test_rows, top_k
-from ..models.popularity import frozen_popularity, mean_count, popularity_topk
+from ..models.learned import clip_count
+from ..models.popularity import (frozen_popularity, mean_count, mean_count_predict,
+                                 popularity_topk)
 from ..operators.metrics import activity_bands, count_metrics, hits
 from ..session import cut_lineage
 from ..sources import sinks as SK
@@ -251,32 +253,30 @@ def q_positive_similarity(spark, sf):
                                             F.min("sim").alias("min_sim")))
 
 
-@register("clip_counts", O.with_(["summ"], """
-SELECT observer_id, year, round(least(greatest(total_observations * 10.0 - 500.0, 0.0), 10000.0), 6)
-       AS clipped FROM summ
+@register("clip_counts", O.with_(["cnt_rows"], """
+SELECT fold, observer_id, round(least(greatest(p, 0.0), 10000.0), 6) AS clipped FROM cnt_rows
 """))
 def q_clip_counts(spark, sf):
-    s = summary(spark, sf)
-    c = F.least(F.greatest(F.col("total_observations") * 10.0 - 500.0, F.lit(0.0)), F.lit(10000.0))
-    return cmp_ready(s.select("observer_id", "year", c.alias("clipped")))
+    predicted = baseline_counts(folded(spark, sf), summary(spark, sf))[0]
+    return cmp_ready(predicted.select(*KEY, clip_count(F.col("predicted")).alias("clipped")))
 
 
-@register("predicted_k", O.with_(["test", "pop", "catalogue"], f"""
+@register("predicted_k", O.with_(["test", "train", "pop", "catalogue"], """
 SELECT fold, observer_id, species, CAST(rk AS INTEGER) AS rank, kk FROM (
   SELECT t.fold, t.observer_id, p.species, t.kk,
          row_number() OVER (PARTITION BY t.fold, t.observer_id ORDER BY p.pop_rank) AS rk
-  FROM (SELECT *, CAST(least(greatest(round_even(len(species_to) * 0.8 - 1.5, 0), 1.0),
+  FROM (SELECT *, CAST(least(greatest(round_even((SELECT avg(len(species_to)) FROM train WHERE fold = 1), 0), 1.0),
                              (SELECT count(*) FROM catalogue)) AS INTEGER) AS kk FROM test) t
   JOIN pop p ON NOT list_contains(t.species_from, p.species))
 WHERE rk <= kk
 """))
 def q_predicted_k(spark, sf):
-    # Per-row K from a count prediction (here 0.8 x next-year size - 1.5, exercising
-    # clamping and half-even rounding), then the popularity ranking cut at that K.
+    # Per-row K from the predicted next-year species count (the frozen mean), then the
+    # popularity ranking cut at that K.
     d = folded(spark, sf)
     S = d.n_species.select("n_species").scalar()
-    t = test_rows(d.fold_trans).withColumn(
-        "kk", predicted_k(F.size("species_to") * 0.8 - 1.5, S))
+    t = (test_rows(d.fold_trans).join(mean_count_predict(d.fold_trans), KEY)
+         .withColumn("kk", predicted_k(F.col("predicted"), S)).drop("predicted"))
     pop = frozen_popularity(d.fold_trans, d.catalogue).select("species", F.col("pop_rank").alias("pos"))
     c = ranked_fillers(t, pop, "kk")
     w = Window.partitionBy(*KEY).orderBy("pos")

@@ -113,7 +113,12 @@ def q_fold_membership(spark, sf):
     return folded(spark, sf).fold_trans.select("fold", "role", "observer_id", "year_from", "year_to")
 
 
-@register("holdout_split")
+@register("holdout_split", O.with_(["train"], """
+SELECT fold, observer_id, year_from, year_to, rn <= m AS is_validation
+FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY
+                md5(concat_ws(':', 42, observer_id, year_from, year_to)), observer_id, year_from, year_to) AS rn,
+             least(1000, floor(count(*) OVER (PARTITION BY fold) * 0.1)) AS m FROM train)
+"""))
 def q_holdout_split(spark, sf):
     ft = folded(spark, sf).fold_trans.where(F.col("role") == "train")
     return holdout_split(ft).select("fold", "observer_id", "year_from", "year_to", "is_validation")

@@ -126,7 +126,7 @@ from .pipeline import summary  # noqa: E402
 from ..models.latent import latent_topk  # noqa: E402
 from ..models.learned import count_regression, learned_topk  # noqa: E402
 from ..operators.metrics import count_metrics  # noqa: E402
-from .crossval import evaluate_fold, feature_lift  # noqa: E402
+from .crossval import DEFAULT_MODELS, cross_validate, evaluate_fold, feature_lift  # noqa: E402
 
 
 @register("latent_topk")
@@ -150,15 +150,18 @@ def q_count_regression(spark, sf):
 
 @register("with_vs_without_features")
 def q_with_vs_without_features(spark, sf):
-    # One candidate set; two rankers: with and without the observer features.
-    from ..models.learned import CAND_FEATURES, learned_candidates, rank_with
     d = folded(spark, sf)
-    tr, te, obs_cols = learned_candidates(d, summary=summary(spark, sf))
-    w = evaluate_fold(d, "neural", rank_with(tr, te, CAND_FEATURES + obs_cols, O.K), O.K)
-    wo = evaluate_fold(d, "neural", rank_with(tr, te, CAND_FEATURES, O.K), O.K)
+    w = evaluate_fold(d, "neural", learned_topk(d, k=O.K, summary=summary(spark, sf)), O.K)
+    wo = evaluate_fold(d, "neural", learned_topk(d, k=O.K), O.K)
     return feature_lift(w, wo)
 
 
+@register("cross_validate_all")
+def q_cross_validate_all(spark, sf):
+    """The default run: all four models, the learned one with its predicted counts."""
+    return cross_validate(folded(spark, sf), {**DEFAULT_MODELS, "neural": {}}, O.K, summary(spark, sf))
+
+
 from ..models.cooccurrence import cooc_raw_scores  # noqa: E402
 
 

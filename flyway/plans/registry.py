@@ -1,7 +1,7 @@
 """Registered queries: one Spark plan and (where SQL can express it) one DuckDB oracle per key.
 
-Comparison-ready outputs: sets as comma-joined sorted strings, doubles rounded
-to 6 places, every computed column aliased identically on both sides.
+Comparison-ready outputs: sets as comma-joined sorted strings, doubles rounded to ten
+significant digits, every computed column aliased identically on both sides.
 """
 
 from __future__ import annotations
@@ -32,10 +32,9 @@ def register(name: str, sql: str | None = None):
 
 
 def half_up_sql(sql: str) -> str:
-    """Rewrite every ``round(x, 6)`` into a two-stage half-up rounding (see ``r6``).
+    """Rewrite every ``round(x, 6)`` into rounding to significant digits (see ``r6``).
 
-    Both engines then round with the same IEEE arithmetic (their built-in
-    ``round`` differ on exact halves such as 0.0640625).
+    Both engines then round with the same IEEE arithmetic.
     """
     out, i, pat = [], 0, "round("
     while True:
@@ -59,38 +58,32 @@ def half_up_sql(sql: str) -> str:
         head, _, tail = inner.rpartition(",")
         if tail.strip() == "6":
             out.append(sql[i:j])
-            out.append(_tiered_sql(half_up_sql(head)))
+            out.append(_significant_sql(half_up_sql(head)))
         else:
             out.append(sql[i:j + len(pat)] + half_up_sql(inner) + ")")
         i = m + 1
 
 
-def _tiered_sql(x: str) -> str:
-    def r(d: int) -> str:
-        s1, s2 = 10 ** (d + 3), 10 ** d
-        return f"(floor((floor(({x}) * {s1} + 0.5) / {s1}) * {s2} + 0.5) / {s2})"
-    return (f"(CASE WHEN abs({x}) < 1000 THEN {r(6)} WHEN abs({x}) < 1000000 THEN {r(3)} "
-            f"ELSE {r(0)} END)")
+DIGITS = 10
+
+
+def _significant_sql(x: str) -> str:
+    f = f"power(CAST(10 AS DOUBLE), {DIGITS - 1} - floor(log10(abs({x}))))"
+    return f"(CASE WHEN ({x}) = 0 THEN CAST(0 AS DOUBLE) ELSE floor(({x}) * {f} + 0.5) / {f} END)"
 
 
 def r6(c):
-    """Spark side of the shared comparison rounding.
+    """Spark side of the comparison rounding: ten significant digits, whatever the magnitude.
 
-    Two stages: 3 extra places first (erases the last-ulp noise of different
-    summation orders), then half-up on the now identical value.  Decimals shrink
-    with magnitude (6 below 1e3, 3 below 1e6, 0 above) so that relative noise of
-    huge values (e.g. MAPE over zero actuals) cannot reach the kept digits.
+    That erases the last-ulp noise of different summation orders and nothing else.  Only
+    the registered queries round, for the comparison; the operators never do.
     """
-    def r(d: int):
-        s1, s2 = float(10 ** (d + 3)), float(10 ** d)
-        c1 = F.floor(c * F.lit(s1) + F.lit(0.5)) / F.lit(s1)
-        return F.floor(c1 * F.lit(s2) + F.lit(0.5)) / F.lit(s2)
-    a = F.abs(c)
-    return F.when(a < 1000, r(6)).when(a < 1000000, r(3)).otherwise(r(0))
+    f = F.pow(F.lit(10.0), F.lit(DIGITS - 1.0) - F.floor(F.log10(F.abs(c))))
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.floor(c * f + F.lit(0.5)) / f)
 
 
 def cmp_ready(df: DataFrame) -> DataFrame:
-    """Arrays -> comma-joined strings, doubles -> round(x, 6)."""
+    """Arrays -> comma-joined strings, doubles -> ten significant digits."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -102,10 +95,6 @@ def cmp_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def sql_sets(cols: str) -> str:
-    return cols
-
-
 # ------------------------------------------------------------------ slice 0
 @register("scan_observed", O.with_(["obs"], """
 SELECT year, count(*) AS n_rows, count(DISTINCT observer_id) AS n_observers,

@@ -21,21 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def raw_observations(spark: SparkSession, sf_dir: str, lineitem_files: int | None = None,
-                     tolerant: bool = False) -> DataFrame:
-    """All 18 raw columns (``species_observed`` included), one row per line item.
-
-    ``lineitem_files`` keeps only the first n lineitem files by name (dev sample, S3);
-    ``tolerant`` skips unreadable / vanished files (S13).
-    """
-    reader = spark.read
-    if tolerant:
-        reader = (reader.option("ignoreCorruptFiles", "true")
-                        .option("ignoreMissingFiles", "true"))
-    li = reader.parquet(os.path.join(sf_dir, "lineitem.parquet"))
-    if lineitem_files is not None:
-        from .scan import first_files
-        li = first_files(li, lineitem_files)
+def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 18 raw columns (``species_observed`` included), one row per line item."""
+    li = table(spark, sf_dir, "lineitem")
     li = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_discount", "l_returnflag")

@@ -3,29 +3,72 @@
 from __future__ import annotations
 
 import logging
-import os
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import OBSERVED_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, SUMMARY_SCHEMA, require_columns
 
 log = logging.getLogger(__name__)
 
 
-def read_raw(spark: SparkSession, base: str, tolerant: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, base: str) -> DataFrame:
+    """(path, length) of every data file under ``base`` on any store; contents are not read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+            .select("path", "length"))
+
+
+def check_file_columns(spark: SparkSession, paths: list[str], needed: list[str]) -> None:
+    """Fail if a folder's files lack a needed column.
+
+    A declared schema would fill it with NULL, so the files' own schema is asked, folder by
+    folder (one footer each): the column may be missing in one year only.
+    """
+    for path in paths:
+        missing = [c for c in needed if c not in spark.read.parquet(path).columns]
+        if missing:
+            raise ValueError(f"{path}: missing required columns: {missing}")
+
+
+def read_raw(spark: SparkSession, base: str, tolerant: bool = False,
+             paths: list[str] | None = None) -> DataFrame:
     """Raw table laid out as ``base/year=YYYY/*.parquet``; the schema is declared, not inferred.
 
-    ``tolerant`` skips unreadable or vanished files (the reference warns and goes on);
-    a schema mismatch still fails.
+    Every year's files must hold the required columns.  ``paths`` restricts the read to some
+    files.  ``tolerant`` skips unreadable or vanished files with a warning for each, and
+    fails when none can be read.
     """
-    reader = spark.read.schema(RAW_SCHEMA)
-    if tolerant:
-        reader = (reader.option("ignoreCorruptFiles", "true")
-                        .option("ignoreMissingFiles", "true"))
-    return reader.parquet(base)
+    reader = spark.read.schema(RAW_SCHEMA).option("basePath", base)
+    if not tolerant:
+        folders = sorted({p.rpartition("/")[0] for p in (paths or [
+            r["path"] for r in list_files(spark, base).collect()])})
+        check_file_columns(spark, folders, [c for c in RAW_COLUMNS if c != "year"])
+        return reader.parquet(*(paths or [base]))
+    reader = (reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true"))
+    raw = reader.parquet(*(paths or [base]))
+    bad = skipped_files(spark, base, raw)
+    for path in bad:
+        log.warning("skipped unreadable file %s", path)
+    if not raw.limit(1).count():
+        raise FileNotFoundError(f"no file under {base} could be read")
+    return raw
+
+
+def skipped_files(spark: SparkSession, base: str, raw: DataFrame) -> list[str]:
+    """Files under ``base`` that gave no row to a tolerant read."""
+    read = raw.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return [r["path"] for r in list_files(spark, base).select("path")
+            .join(read, "path", "left_anti").orderBy("path").collect()]
+
+
+def sample_paths(spark: SparkSession, base: str, max_files: int) -> list[str]:
+    """The first ``max_files`` files by name of each folder (year) under ``base``."""
+    by_folder: dict[str, list[str]] = {}
+    for r in list_files(spark, base).collect():                 # file names only
+        by_folder.setdefault(r["path"].rpartition("/")[0], []).append(r["path"])
+    return sorted(p for paths in by_folder.values() for p in sorted(paths)[:max_files])
 
 
 def project_essential(raw: DataFrame) -> DataFrame:
@@ -50,20 +93,9 @@ def scan_years(raw: DataFrame, years: list[int] | None) -> DataFrame:
     return obs if years is None else obs.where(F.col("year").isin(list(years)))
 
 
-def scan_sample(raw: DataFrame, max_files: int) -> DataFrame:
-    """Dev sample: the first ``max_files`` files (by name) of each year (S3)."""
-    return scan_observed(first_files(raw, max_files, "year"))
-
-
-def first_files(df: DataFrame, max_files: int, partition: str | None = None) -> DataFrame:
-    """Rows of the first ``max_files`` files by name (per ``partition`` value if given)."""
-    from pyspark.sql import Window
-    g = [partition] if partition else []
-    with_file = df.withColumn("_file", F.col("_metadata.file_name"))
-    files = with_file.select(*g, "_file").distinct()
-    keep = (files.withColumn("_rn", F.row_number().over(Window.partitionBy(*g).orderBy("_file")))
-                 .where(F.col("_rn") <= max_files).select(*g, "_file"))
-    return with_file.join(F.broadcast(keep), [*g, "_file"], "left_semi").drop("_file")
+def scan_sample(spark: SparkSession, base: str, max_files: int) -> DataFrame:
+    """Dev sample: the first ``max_files`` files (by name) of each year; only they are read (S3)."""
+    return scan_observed(read_raw(spark, base, paths=sample_paths(spark, base, max_files)))
 
 
 # Keyword lists of the three column categories (substring match).
@@ -91,37 +123,16 @@ def column_inventory_df(df: DataFrame) -> DataFrame:
                       lc.rlike(EFFORT_KEYWORDS).alias("is_effort"))
 
 
-def column_inventory(spark: SparkSession, frames: dict[int, DataFrame]) -> DataFrame:
-    """Per year, every column with keyword categories.
-
-    Built from schemas only (driver-side metadata, no data scan).  A column may
-    carry several categories; the keyword lists are the fixed values below.
-    """
-    rows = []
-    for year, df in frames.items():
-        for f in df.schema.fields:
-            rows.append((int(year), f.name, f.dataType.simpleString()))
-    inv = spark.createDataFrame(
-        rows, T.StructType([T.StructField("year", T.IntegerType()),
-                            T.StructField("column_name", T.StringType()),
-                            T.StructField("data_type", T.StringType())]))
-    lc = F.lower("column_name")
-    return inv.select(
-        "year", "column_name", "data_type",
-        lc.rlike(GEO_KEYWORDS).alias("is_geographic"),
-        lc.rlike(TEMPORAL_KEYWORDS).alias("is_temporal"),
-        lc.rlike(EFFORT_KEYWORDS).alias("is_effort"),
-    )
-
-
 def read_summaries(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
     """Union per-year summary files; warn on a missing year, fail if none."""
     frames = []
     for year, path in sorted(paths.items()):
-        if not os.path.exists(path):
+        try:                                  # asks the path's own file system
+            frames.append(spark.read.schema(SUMMARY_SCHEMA).parquet(path))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             log.warning("summary for %s not found at %s", year, path)
-            continue
-        frames.append(spark.read.schema(SUMMARY_SCHEMA).parquet(path))
     if not frames:
         raise FileNotFoundError("no year summary could be loaded")
     return reduce(DataFrame.unionByName, frames)
