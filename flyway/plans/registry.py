@@ -65,11 +65,12 @@ def half_up_sql(sql: str) -> str:
 
 
 DIGITS = 10
+NOISE = 1e-9      # what is left of a difference of equal values
 
 
 def _significant_sql(x: str) -> str:
     f = f"power(CAST(10 AS DOUBLE), {DIGITS - 1} - floor(log10(abs({x}))))"
-    return f"(CASE WHEN ({x}) = 0 THEN CAST(0 AS DOUBLE) ELSE floor(({x}) * {f} + 0.5) / {f} END)"
+    return f"(CASE WHEN abs({x}) < {NOISE} THEN CAST(0 AS DOUBLE) ELSE floor(({x}) * {f} + 0.5) / {f} END)"
 
 
 def r6(c):
@@ -79,7 +80,7 @@ def r6(c):
     the registered queries round, for the comparison; the operators never do.
     """
     f = F.pow(F.lit(10.0), F.lit(DIGITS - 1.0) - F.floor(F.log10(F.abs(c))))
-    return F.when(c == 0, F.lit(0.0)).otherwise(F.floor(c * f + F.lit(0.5)) / f)
+    return F.when(F.abs(c) < NOISE, F.lit(0.0)).otherwise(F.floor(c * f + F.lit(0.5)) / f)
 
 
 def cmp_ready(df: DataFrame) -> DataFrame:
