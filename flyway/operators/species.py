@@ -1,9 +1,8 @@
 """Species tables: catalogue, viewer counts, popularity labels, rankings.
 
 The catalogue is bounded by the number of distinct species S (about a thousand in
-the full reference data); tables keyed by species alone are the only ones we
-broadcast, and :func:`bounded_broadcast` checks that bound at plan time when
-statistics exist.
+the full reference data); whether a table keyed by species is broadcast is left to
+Spark's own size check.
 """
 
 from __future__ import annotations
