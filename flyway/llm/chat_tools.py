@@ -15,15 +15,22 @@ call that has to come first; ``tool_call_id`` marks the result of a call.
   (type, required, least and most length); unknown tools and parameters are errors.
 * Canonical JSON: variants hold object keys sorted and no white space, at every depth;
   null fields are left out.
+* Texts: every message that is not a result and has content, calls beside it or not, gives a
+  ``message`` row of its own (content and role); one without content only if it has no calls.
 
 Everything is built-in DataFrame functions.
 
 Status: ``linked``, ``unanswered`` (call without result), ``orphan`` (result without call),
-``cyclic``, ``message`` (neither call nor result, or a call without an id).
+``cyclic``, ``repeated`` (a call or result whose id another holds, with other content),
+``message`` (a text that is not a result, or a call without an id: its JSON has after, arguments,
+name and role, and it is validated like any call).
 
 Defined results: of several calls with one id the first by (turn, place, name, arguments)
 counts, of several results the first by (turn, content); ``copies`` says how many calls and
-results there were.  A null conv_id is a conversation of its own; an ``after`` that names
+results there were.  Those that differ from the first, calls by (name, arguments, after) and
+results by content, give one ``repeated`` row per difference, with its first turn and its own ``copies``, at
+the first's level and directly before it, so that whoever keeps the last row of an id keeps the
+first call.  A null conv_id is a conversation of its own; an ``after`` that names
 no call is reported as the error ``after:missing`` and does not move the level; null content
 is left out of the JSON; repeated plain messages each give a row; an empty table gives no
 rows; extra columns are ignored.
@@ -42,6 +49,8 @@ CALLS = "array<struct<id:string,name:string,arguments:string,after:string>>"
 SCHEMA = "name string, param string, type string, required boolean, least int, most int"
 OUTPUT = ["conv_id", "call_id", "status", "level", "call_turn", "result_turn", "name", "valid",
           "errors", "copies", "json"]
+MAY_LACK = {"call_id": "string", "level": "bigint", "call_turn": "bigint", "result_turn": "bigint", "name": "string",
+            "valid": "boolean", "errors": "string"}
 
 
 def link_key(conv_id, call_id) -> Column:
@@ -94,17 +103,41 @@ def argument_errors(args: Column, params: Column, known: Column) -> Column:
             .otherwise(F.array_sort(found)))
 
 
+def digest(*columns: str) -> Column:
+    """SHA-256 of the columns, nulls told from texts."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256))
+
+
+def judged(calls: DataFrame, tools: DataFrame) -> DataFrame:
+    """Calls with the variant of their arguments, ``args``, and their errors, ``errs``."""
+    return (calls.join(tools, "name", "left").withColumn("args", F.try_parse_json("arguments"))
+            .withColumn("errs", F.concat(
+                argument_errors(F.col("args"), F.col("params"), F.col("params").isNotNull()),
+                F.when(F.col("after").isNotNull() & F.col("there").isNull(),
+                       F.array(F.lit("after:missing"))).otherwise(F.array().cast("array<string>")))))
+
+
+def output_rows(df: DataFrame, **columns) -> DataFrame:
+    """The output columns, null where neither given nor there, and those that only sort."""
+    empty = {k: F.lit(None).cast(t) for k, t in MAY_LACK.items() if k not in df.columns}
+    df = df.withColumns(empty | columns)
+    at = {"at_call": F.col("call_turn"), "at_result": F.col("result_turn"), "first": F.lit(True)}
+    return df.withColumns({k: v for k, v in at.items() if k not in df.columns}).select(*OUTPUT, *at)
+
+
 def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call, orphan result and plain message, in topological order."""
+    """One row per call, orphan result, differing repeat and message text, in topological order."""
     m = messages.select("conv_id", "turn", "role", "content", "tool_calls", "tool_call_id")
-    calls = (m.select("conv_id", "turn", F.posexplode("tool_calls").alias("place", "c"))
-             .select("conv_id", "turn", "place", "c.*"))
+    calls = (m.select("conv_id", "turn", "role", F.posexplode("tool_calls").alias("place", "c"))
+             .select("conv_id", "turn", "role", "place", "c.*"))
     named = calls.where("id is not null").withColumn("key", link_key(F.col("conv_id"), F.col("id")))
+    said = digest("name", "arguments", "after")
     first = F.min(F.struct(F.coalesce("turn", F.lit((1 << 63) - 1)).alias("t"), "place", "name", "arguments",
                            "after", "turn"))
     one = (named.groupBy("key").agg(F.first("conv_id").alias("conv_id"), F.first("id").alias("call_id"),
-                                    first.alias("c"), F.count(F.lit(1)).alias("copies"))
-           .select("key", "conv_id", "call_id", "copies", F.col("c.turn").alias("call_turn"), "c.name",
+                                    first.alias("c"), F.count(F.lit(1)).alias("copies"),
+                                    (F.min(said) != F.max(said)).alias("varied"))
+           .select("key", "conv_id", "call_id", "copies", "varied", F.col("c.turn").alias("call_turn"), "c.name",
                    "c.arguments", "c.after", link_key(F.col("conv_id"), F.col("c.after")).alias("up")))
     one = cut_lineage(one, "chat-calls")
     there = one.select(F.col("key").alias("up"), F.lit(True).alias("there"))
@@ -113,44 +146,64 @@ def format_chat(messages: DataFrame, schemas: DataFrame) -> DataFrame:
 
     answered = m.where("tool_call_id is not null").select(
         link_key(F.col("conv_id"), F.col("tool_call_id")).alias("key"), "conv_id", "tool_call_id", "turn", "content")
+    told = digest("content")
     results = (answered.groupBy("key").agg(
         F.first("conv_id").alias("r_conv"), F.first("tool_call_id").alias("r_id"),
         F.min(F.struct(F.coalesce("turn", F.lit((1 << 63) - 1)).alias("t"), "content", "turn")).alias("r"),
-        F.count(F.lit(1)).alias("r_copies"))
-        .select("key", "r_conv", "r_id", "r_copies", F.col("r.turn").alias("result_turn"),
+        F.count(F.lit(1)).alias("r_copies"), (F.min(told) != F.max(told)).alias("r_varied"))
+        .select("key", "r_conv", "r_id", "r_copies", "r_varied", F.col("r.turn").alias("result_turn"),
                 F.col("r.content").alias("result")))
 
     tools = schemas.groupBy("name").agg(F.collect_list(F.struct(
         "param", "type", "required", "least", "most")).alias("params"))
-    linked = one.join(levels, "key").join(results, "key", "full_outer").join(tools, "name", "left")
+    joined = one.join(levels, "key").join(results, "key", "full_outer")
     is_call = F.col("call_id").isNotNull()
-    args = F.try_parse_json("arguments")
-    errors = F.concat(argument_errors(F.col("args"), F.col("params"), F.col("params").isNotNull()),
-                      F.when(F.col("after").isNotNull() & F.col("there").isNull(),
-                             F.array(F.lit("after:missing"))).otherwise(F.array().cast("array<string>")))
     status = (F.when(~is_call, "orphan").when(F.col("level").isNull(), "cyclic")
               .when(F.col("r_copies").isNull(), "unanswered").otherwise("linked"))
-    exchanges = (linked.withColumn("args", args)
-                 .withColumn("errs", F.when(is_call, errors))
-                 .withColumn("status", status)
-                 .select(F.coalesce("conv_id", "r_conv").alias("conv_id"),
-                         F.coalesce("call_id", "r_id").alias("call_id"), "status", "level", "call_turn",
-                         "result_turn", "name", (F.size("errs") == 0).alias("valid"),
-                         F.array_join("errs", ",").alias("errors"),
-                         (F.coalesce("copies", F.lit(0)) + F.coalesce("r_copies", F.lit(0))).alias("copies"),
-                         F.to_json(F.struct(
-                             F.col("args").alias("arguments"), F.coalesce("call_id", "r_id").alias("id"), "name",
-                             F.when(F.col("args").isNull(), F.col("arguments")).alias("raw_arguments"),
-                             "result", "status")).alias("json")))
-    plain = (m.where("tool_call_id is null and not exists(coalesce(tool_calls, array()), c -> c.id is not null)")
-             .select("conv_id", F.lit(None).cast("string").alias("call_id"), F.lit("message").alias("status"),
-                     F.lit(None).cast("bigint").alias("level"), F.col("turn").alias("call_turn"),
-                     F.lit(None).cast("bigint").alias("result_turn"), F.lit(None).cast("string").alias("name"),
-                     F.lit(None).cast("boolean").alias("valid"), F.lit(None).cast("string").alias("errors"),
-                     F.lit(1).cast("bigint").alias("copies"),
-                     F.to_json(F.struct("content", "role")).alias("json")))
-    return (exchanges.select(*OUTPUT).unionByName(plain)
-            .orderBy("conv_id", F.col("level").asc_nulls_last(), "call_turn", "result_turn", "call_id"))
+    raw = F.when(F.col("args").isNull(), F.col("arguments")).alias("raw_arguments")
+    verdict = {"valid": F.size("errs") == 0, "errors": F.array_join("errs", ",")}
+    exchanges = output_rows(
+        judged(joined, tools).withColumn("errs", F.when(is_call, F.col("errs"))).withColumn("status", status)
+        .withColumn("call_id", F.coalesce("call_id", "r_id")),
+        conv_id=F.coalesce("conv_id", "r_conv"), **verdict,
+        copies=F.coalesce("copies", F.lit(0)) + F.coalesce("r_copies", F.lit(0)),
+        json=F.to_json(F.struct(F.col("args").alias("arguments"), F.col("call_id").alias("id"), "name", raw,
+                                "result", "status")))
+
+    heads = cut_lineage(joined.where("varied or r_varied").select(
+        "key", "level", F.col("call_turn").alias("at_call"), F.col("result_turn").alias("at_result"),
+        "varied", "r_varied", F.struct("name", "arguments", "after").alias("head_call"), "result"), "chat-heads")
+    held = [F.first(c).alias(c) for c in ("conv_id", "call_id", "level", "at_call", "at_result")]
+    repeat = {"status": F.lit("repeated"), "first": F.lit(False)}
+    again = (named.withColumnRenamed("id", "call_id").join(heads.where("varied"), "key")
+             .where(~F.struct("name", "arguments", "after").eqNullSafe(F.col("head_call")))
+             .groupBy("key", "name", "arguments", "after")
+             .agg(*held, F.min("turn").alias("call_turn"), F.count(F.lit(1)).alias("copies"))
+             .withColumn("up", link_key(F.col("conv_id"), F.col("after"))).join(there, "up", "left"))
+    again = output_rows(
+        judged(again.withColumns(repeat), tools), **verdict,
+        json=F.to_json(F.struct("after", F.col("args").alias("arguments"), F.col("call_id").alias("id"), "name",
+                                raw, "status")))
+    retold = (answered.withColumnRenamed("tool_call_id", "call_id").join(heads.where("r_varied"), "key")
+              .where(~F.col("content").eqNullSafe(F.col("result")))
+              .groupBy("key", "content")
+              .agg(*held, F.min("turn").alias("result_turn"), F.count(F.lit(1)).alias("copies")))
+    retold = output_rows(retold.withColumns(repeat), json=F.to_json(F.struct(
+        F.col("call_id").alias("id"), F.col("content").alias("result"), "status")))
+
+    unnamed = (calls.where("id is null").withColumn("up", link_key(F.col("conv_id"), F.col("after")))
+               .join(there, "up", "left").withColumn("call_turn", F.col("turn")))
+    unnamed = output_rows(
+        judged(unnamed, tools), **verdict, status=F.lit("message"), copies=F.lit(1).cast("bigint"),
+        json=F.to_json(F.struct("after", F.col("args").alias("arguments"), "name", raw, "role")))
+    plain = output_rows(
+        m.where("tool_call_id is null and (content is not null or size(coalesce(tool_calls, array())) = 0)"),
+        call_turn=F.col("turn"), status=F.lit("message"), copies=F.lit(1).cast("bigint"),
+        json=F.to_json(F.struct("content", "role")))
+    return (exchanges.unionByName(again).unionByName(retold).unionByName(unnamed).unionByName(plain)
+            .orderBy("conv_id", F.col("level").asc_nulls_last(), "at_call", "at_result", "call_id", "first",
+                     "call_turn", "result_turn")
+            .select(*OUTPUT))
 
 
 def transcripts(conversations: DataFrame) -> DataFrame:
@@ -158,7 +211,8 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
     An assistant turn is a call ``answer`` with its text and turn as arguments, after the call two
     turns earlier; a system turn is a call ``setup``; a user turn is the result of the call
-    one turn earlier.  Other roles stay plain messages.
+    one turn earlier.  Other roles stay plain messages.  A call's text stands in its arguments
+    only, so such a message has no content.
     """
     call = F.struct(
         F.concat(F.lit("c"), F.col("turn")).alias("id"),
@@ -167,7 +221,8 @@ def transcripts(conversations: DataFrame) -> DataFrame:
         F.when((F.col("role") == "assistant") & (F.col("turn") >= 2),
                F.concat(F.lit("c"), F.col("turn") - 2)).alias("after"))
     return conversations.select(
-        "conv_id", "turn", "role", F.col("text").alias("content"),
+        "conv_id", "turn", "role",
+        F.when(F.col("role").isin("assistant", "system"), None).otherwise(F.col("text")).alias("content"),
         F.when(F.col("role").isin("assistant", "system"), F.array(call)).cast(CALLS).alias("tool_calls"),
         F.when(F.col("role") == "user", F.concat(F.lit("c"), F.col("turn") - 1)).alias("tool_call_id"))
 

@@ -69,6 +69,34 @@ def test_order_of_long_chains_and_cycles(spark):
     assert {r.status for r in got if r.conv_id == 2} == {"cyclic"}
 
 
+def test_texts_unnamed_calls_and_repeats_stay(spark):
+    calls = [("x", "add", '{"b":2,"a":1}', None), (None, "say", '{"text":"ok!"}', "x")]
+    got = run(spark, [
+        (1, 1, "assistant", "I add first.", calls, None, "k", 1, "j"), result(1, 2, "x", "3"),
+        call(1, 3, None, "say", "{}"), (1, 4, "assistant", None, [], None, "k", 1, "j"),
+        call(2, 1, "d", "add", "{}"), call(2, 2, "d", "add", "{}"), call(2, 3, "d", "say", '{"text":"ok"}'),
+        call(2, 4, "d", "say", '{"text":"ok"}'), call(2, 5, "d", "add", "{}", "gone"), result(2, 6, "d", "r"),
+        result(2, 7, "d", "s"), result(2, 8, "d", None), result(3, 1, "o", "p"), result(3, 2, "o", "q")])
+    assert [(r.call_id, r.status, r.call_turn, r.name, r.errors, json.loads(r.json)) for r in got if r.conv_id == 1] == [
+        ("x", "linked", 1, "add", "", {"arguments": {"a": 1, "b": 2}, "id": "x", "name": "add", "result": "3", "status": "linked"}),
+        *sorted([(None, "message", 1, None, None, {"content": "I add first.", "role": "assistant"}),
+                 (None, "message", 1, "say", "", {"after": "x", "arguments": {"text": "ok!"}, "name": "say", "role": "assistant"})],
+                key=lambda r: [g.name for g in got if g.conv_id == 1].index(r[3])),
+        (None, "message", 3, "say", "text:missing", {"arguments": {}, "name": "say", "role": "assistant"}),
+        (None, "message", 4, None, None, {"role": "assistant"})]
+    two = [r for r in got if r.conv_id == 2]
+    assert (two[-1].status, two[-1].copies, json.loads(two[-1].json)["result"]) == ("linked", 8, "r")
+    assert {r.level for r in two} == {0} and {
+        (r.call_turn, r.result_turn, r.copies, r.errors, r.json) for r in two[:-1]} == {
+        (3, None, 2, "", '{"arguments":{"text":"ok"},"id":"d","name":"say","status":"repeated"}'),
+        (5, None, 1, "a:missing,b:missing,after:missing",
+         '{"after":"gone","arguments":{},"id":"d","name":"add","status":"repeated"}'),
+        (None, 7, 1, None, '{"id":"d","result":"s","status":"repeated"}'),
+        (None, 8, 1, None, '{"id":"d","status":"repeated"}')}
+    assert [(r.status, r.json) for r in got if r.conv_id == 3] == [
+        ("repeated", '{"id":"o","result":"q","status":"repeated"}'), ("orphan", '{"id":"o","result":"p","status":"orphan"}')]
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
