@@ -2,7 +2,9 @@
 
 Base spans come from three patterns (assignments, access keys, long hex).  The method adds
 spans of kind ``random``: runs of 20 or more characters of the base-64 alphabets that mix
-letters and digits and touch no base span.  Each is read in the smallest encoding that
+letters and digits, or what base spans leave of a run at either side, if it is as long.  Such
+a part is tested with and without the separators at its ends, and the larger p-value counts.
+Each is read in the smallest encoding that
 holds its characters (hex, base 32, base 36, base 64) and tested for being uniformly random there:
 
 * chi-squared uniformity of the alphabet, in as many equal bins as five symbols each allow,
@@ -102,14 +104,26 @@ def randomness(word: str) -> float | None:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:
-    """(start, end, p-value) of the candidate strings that touch no base span."""
+    """(start, end, p-value) of the candidate strings: the runs, less their base spans."""
     out = []
     for m in CANDIDATE.finditer(text):
-        if any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        p = randomness(m[0])
-        if p is not None:
-            out.append((m.start(), m.end(), p))
+        at, parts = m.start(), []
+        for a, _, b in base:                                # by start
+            if a >= m.end():
+                break
+            if b > at:
+                parts.append((at, a))
+                at = b
+        parts.append((at, m.end()))
+        for a, b in parts:
+            if b - a < 20:
+                continue
+            word = text[a:b]
+            p = randomness(word)
+            if b - a < m.end() - m.start():                 # what joins a part to a base span is no symbol of it
+                p = max((x for x in (p, randomness(word.strip("+/-_"))) if x is not None), default=None)
+            if p is not None:
+                out.append((a, b, p))
     return out
 
 

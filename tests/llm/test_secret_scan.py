@@ -73,6 +73,19 @@ def test_added_spans_and_redaction(spark):
     assert S.redact_secrets(one).first().text == 'x [SECRET]" y'
 
 
+def test_parts_beside_base_spans(spark):
+    key, url = "AKIA" + "Q7" * 8, SECRET.replace("+", "-").replace("/", "_")
+    texts = [f"x {key}/{SECRET} y", f"x {key}/{url} y", f"x {SECRET}/token=abcdef1 y", f"x {SECRET}/{'0f' * 12}/{url} y",
+             f"x {key}/short y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in S.secret_spans(docs).collect()}
+    assert got == {0: "access:2:22,random:22:63", 1: "access:2:22,random:22:63", 2: "random:2:43,assign:43:56",
+                   3: "random:2:43,hex:43:67,random:67:108", 4: "access:2:22"}
+    clean = {r.doc_id: r.text for r in S.redact_secrets(docs).collect()}
+    assert clean[0] == clean[1] == clean[2] == "x [SECRET][SECRET] y" and clean[4] == "x [SECRET]/short y"
+    assert SECRET not in clean[3] and url not in clean[3]
+
+
 def test_battery_tells_random_from_structured():
     r = random.Random(4)
     kept = [S.randomness("".join(r.choice(e) for _ in range(40))) for e in S.ENCODINGS for _ in range(100)]
