@@ -5,11 +5,11 @@ kept; all but the last return the columns of ``documents``.  ``run`` applies the
 documents table and writes each stage's result as Parquet into the shared scratch folder, from
 where the next one reads it.
 
-Defined results: quality and secrets are judged row by row.  Rows without a doc_id cannot
-be named as the document of a group, so the near-duplicate stage keeps them all.  Of
-documents that share a doc_id and head a group, the first by text and the other columns
-stays; in the mix, documents that share a doc_id (or have none) come in as many copies as
-any of them was taken.
+Defined results: quality and secrets are judged row by row.  The near-duplicate stage keeps
+one row of every group, the first by doc_id, text and the other columns, whatever other texts
+its doc_id stands on.  Rows without a doc_id cannot be named as the document of a group: they
+are told from each other only, and the first of a group's stays beside the named one.  In
+the mix every row comes in as many copies as it was taken itself.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flyway.llm.bpe import bpe_round_trip
-from flyway.llm.common import cut_lineage, table
+from flyway.llm.common import cut_lineage, row_key, table
 from flyway.llm.mixing import mix_sources
 from flyway.llm.quality_rules import keep_quality
 from flyway.llm.secret_scan import redact_secrets
@@ -31,14 +31,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every group of linked fingerprints."""
-    groups = simhash_near_dedup(docs, shingle=3, max_bits=2)
-    firsts = groups.where("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    same = (docs.join(firsts, "doc_id", "left_semi")
-            .groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("d")))
-    return (same.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"d.{c}") for c in docs.columns])
-            .unionByName(docs.where("doc_id is null")))
+    """The row with the smallest doc_id of every group of linked fingerprints, and one without doc_id."""
+    keyed = docs.withColumn("row_key", row_key(docs))
+    groups = simhash_near_dedup(keyed, shingle=3, max_bits=2, key="row_key")
+    firsts = (groups.where("doc_id is null or doc_id = component_id")
+              .select("row_key", "component_key").distinct())
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    same = (keyed.join(firsts, "row_key").groupBy("component_key", "doc_id")
+            .agg(F.min(F.struct("text", *rest)).alias("d")))
+    return same.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"d.{c}") for c in docs.columns])
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +49,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = (mix_sources(docs).where("passes > 0")
-             .groupBy(F.col("doc_id").alias("taken_id")).agg(F.max("passes").cast("int").alias("passes")))
-    copies = taken.select("taken_id", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("copy"))
-    return docs.join(copies, docs.doc_id.eqNullSafe(copies.taken_id)).select(*[docs[c] for c in docs.columns])
+    keyed = docs.withColumn("row_key", row_key(docs))
+    taken = (mix_sources(keyed, row="row_key").where("passes > 0")
+             .groupBy("row_key").agg(F.sum("passes").alias("passes")))     # equal rows: their copies together
+    copies = taken.select("row_key", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("copy"))
+    return keyed.dropDuplicates(["row_key"]).join(copies, "row_key").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

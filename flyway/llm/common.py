@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def row_key(df: DataFrame):
+    """SHA-256 of a row's columns: rows with one key are the same in all of them."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared checkpoint folder."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:16]}")
@@ -79,4 +84,4 @@ def bounded_sample(df: DataFrame, salt: str, rows: int, *order: str) -> DataFram
 
 
 __all__ = ["WORD_PATTERN", "F", "bounded_sample", "cut_bucketed", "cut_lineage", "fresh_path", "read_or_empty",
-           "record_batch", "table", "text_chunks"]
+           "record_batch", "row_key", "table", "text_chunks"]

@@ -58,10 +58,15 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], budget: float,
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budget: float = 1.5,
-                max_passes: int = 2, digits: int = 3) -> DataFrame:
-    """(doc_id, source, size, source_size, target, passes, taken) of every document."""
+                max_passes: int = 2, digits: int = 3, row: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, passes, taken) of every document.
+
+    ``row`` names a column of ``docs`` that is returned with each row and orders those with one
+    doc_id and size.
+    """
+    rows = [row] if row else []
     sized = cut_lineage(docs.select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0))
+        "doc_id", "source", *rows, F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0))
         .cast("long").alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key")),
         "mix-sizes")
@@ -72,7 +77,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budget: f
     ahead = W.partitionBy("source_rank").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = parts.select("source_rank", "part",
                            F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("source_rank", "part").orderBy("key", "size").rowsBetween(
+    inside = W.partitionBy("source_rank", "part").orderBy("key", "size", *rows).rowsBetween(
         W.unboundedPreceding, 0)
     queued = cut_lineage(
         known.join(offsets, ["source_rank", "part"])
@@ -103,7 +108,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), budget: f
                              F.lit(n).alias("pass"))
             passes = passes + ((F.col("size") > 0) & (place <= cut)).cast("long")
     return (queued.withColumn("passes", F.coalesce(passes, F.lit(0)))
-            .select("doc_id", "source", "size", "source_size", "target", "passes",
+            .select("doc_id", *rows, "source", "size", "source_size", "target", "passes",
                     (F.col("passes") * F.col("size")).alias("taken")))
 
 

@@ -66,13 +66,13 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprint_kernel(shingle: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprint_kernel(shingle: int, key: list[str]):
+    schema = pa.schema([("doc_id", pa.int64()), *((k, pa.binary()) for k in key), ("fp", pa.int64())])
 
     def run(batches):
         for b in batches:
             texts = b.column("text").cast(pa.binary())
-            yield record_batch(schema, doc_id=b.column("doc_id"),
+            yield record_batch(schema, doc_id=b.column("doc_id"), **{k: b.column(k) for k in key},
                                fp=[fingerprint(t.as_py(), shingle) for t in texts])
 
     return run
@@ -186,15 +186,20 @@ def block_masks(max_bits: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def simhash_near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+def simhash_near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
+                       key: str | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id, component_key) of every document.
 
+    ``key`` names a binary column of ``docs`` that is returned with each row.
+
     component_key is the component's smallest fingerprint (as a signed bigint): it names
     groups none of whose documents has a doc_id.
     """
+    keys = [key] if key else []
     prints = cut_lineage(
-        docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-        .mapInArrow(fingerprint_kernel(shingle), "doc_id bigint, fp bigint"), "fingerprints")
+        docs.select("doc_id", *keys, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+        .mapInArrow(fingerprint_kernel(shingle, keys),
+                    ", ".join(["doc_id bigint", *(f"{k} binary" for k in keys), "fp bigint"])), "fingerprints")
     nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "simhash-nodes")
     routed = nodes.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).cast("bigint").alias("blocks"), F.col("fp").bitwiseAND(F.lit(m)).alias("value"))
@@ -209,5 +214,5 @@ def simhash_near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2) ->
                         "simhash-least")
     found = member.select("fp", "component_key").join(least, "component_key")
     return (prints.join(cut_lineage(found, "simhash-groups"), "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+            .select("doc_id", *keys, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component_id", "component_key"))

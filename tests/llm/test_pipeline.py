@@ -94,6 +94,26 @@ def test_awkward_documents(spark):
     assert ids.pop(None) == 2 and set(ids.values()) == {1}
 
 
+def test_shared_and_missing_ids(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma"))
+    docs = spark.createDataFrame([(3, a, "en"), (5, a, "en"), (5, b, "en"), (7, b, "de"), (5, b, "de"),
+                                  (None, c, "en"), (None, c, "de"), (None, c, "en")],
+                                 "doc_id bigint, text string, lang string")
+    kept = P.keep_one_of_each_group(spark, docs, SF)
+    assert rows(kept) == Counter([(3, a, "en"), (5, b, "de"), (None, c, "de")])
+
+
+def test_mix_by_row(spark):
+    docs = spark.createDataFrame([(None, "w " * (i + 1), "en", "s0", 2 * i + 2) for i in range(12)]
+                                 + [(1, "same", "en", "s0", 4)] * 3,
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = Counter()
+    for r in mix_sources(docs).collect():
+        want[r.doc_id, r.source, r.size] += r.passes
+    got = Counter((r.doc_id, r.source, len(r.text.split())) for r in P.mix(spark, docs, SF).collect())
+    assert got == +want and {n for (d, *_), n in want.items() if d is None} == {1, 2}
+
+
 def test_registered():
     assert importlib.util.find_spec("corpus_pipeline") and os.path.exists(P.__file__)
     import __spark_entry__ as E
