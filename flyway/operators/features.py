@@ -9,8 +9,6 @@ per observation row (a checklist with 30 species counts 30 times).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -279,7 +277,3 @@ def robust_scale(long: DataFrame, group: list[str] | None = None, approx: bool =
                         .otherwise(F.col("_q")[2] - F.col("_q")[0]).alias("scale")))
     return (long.join(fit, [*g, "feature"], "left")
                 .withColumn("scaled", (F.col("value") - F.col("center")) / F.col("scale")))
-
-
-def is_finite(c):
-    return ~F.isnan(c) & (F.abs(c) != F.lit(math.inf))

@@ -12,6 +12,7 @@ from ..functions import clean_state, cosine, jaccard, month_of, set_mean, set_st
 from ..operators.folds import cv_folds, holdout_split
 from ..operators.species import (all_species, interaction_long, species_features, species_index,
                                  species_viewers)
+from ..sources.sinks import new_output_dir, union_year_tables, year_etl
 
 _T = "observer_id, year_from, year_to"
 
@@ -182,10 +183,10 @@ def q_head_n(spark, sf):
 SELECT year, count(*) AS n_observer_years FROM oys GROUP BY year
 """))
 def q_union_years(spark, sf):
-    from functools import reduce
-    s = species_sets(spark, sf)
-    parts = [s.where(F.col("year") == y) for y in range(1995, 2002)]
-    u = reduce(lambda a, b: a.unionByName(b), parts)
+    """The per-year tables, one frame for each ``year=`` folder that the year job wrote."""
+    path = new_output_dir(spark, "union_years")
+    year_etl(observed(spark, sf), path)
+    u = union_year_tables(spark, path)
     return u.groupBy("year").agg(F.count(F.lit(1)).alias("n_observer_years"))
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 # Fixed column list of the raw observation table (18 columns).
 RAW_COLUMNS = [
     "observer_id", "scientific_name", "year", "species_observed", "checklist_id",
-    "observation_date", "observation_count", "state", "county", "locality_id",
-    "day_of_year", "hours_of_day", "effort_hours", "effort_distance_km",
-    "duration_minutes", "number_observers", "latitude", "longitude",
+    "observation_date", "observation_count", "state", "day_of_year", "hours_of_day",
+    "effort_hours", "effort_distance_km", "duration_minutes", "number_observers",
+    "locality_id", "county", "latitude", "longitude",
 ]
 
 RAW_SCHEMA = T.StructType([
@@ -22,14 +22,14 @@ RAW_SCHEMA = T.StructType([
     T.StructField("observation_date", T.DateType()),
     T.StructField("observation_count", T.DoubleType()),
     T.StructField("state", T.StringType()),
-    T.StructField("county", T.StringType()),
-    T.StructField("locality_id", T.LongType()),
     T.StructField("day_of_year", T.IntegerType()),
     T.StructField("hours_of_day", T.DoubleType()),
     T.StructField("effort_hours", T.DoubleType()),
     T.StructField("effort_distance_km", T.DoubleType()),
     T.StructField("duration_minutes", T.DoubleType()),
     T.StructField("number_observers", T.IntegerType()),
+    T.StructField("locality_id", T.LongType()),
+    T.StructField("county", T.StringType()),
     T.StructField("latitude", T.DoubleType()),
     T.StructField("longitude", T.DoubleType()),
 ])

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.summaries import observer_year_species, observer_year_summary
 from ..operators.transitions import transitions
-from ..schema import SUMMARY_SCHEMA, TRANSITION_SCHEMA
+from ..schema import TRANSITION_SCHEMA
 from ..session import scratch_path
 
 
@@ -54,8 +55,13 @@ def summary_etl(obs: DataFrame, out_dir: str) -> dict[str, str]:
     return {"summary": s_path, "transitions": t_path}
 
 
-def read_summary_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SUMMARY_SCHEMA).parquet(path)
+def union_year_tables(spark: SparkSession, path: str) -> DataFrame:
+    """The ``year=`` folders under ``path`` as one table, a pruned read of each year there is."""
+    whole = spark.read.parquet(path)
+    years = sorted(r["year"] for r in whole.select("year").distinct().collect())   # partition values
+    if not years:
+        return whole
+    return reduce(DataFrame.unionByName, [whole.where(F.col("year") == y) for y in years])
 
 
 def read_transitions(spark: SparkSession, path: str) -> DataFrame:
