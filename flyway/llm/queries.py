@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import fresh_path, table
-from . import chat_tools, mixing, topk_search
+from . import chat_tools, decontamination, mixing, topk_search
 from .quality_fm import quality_scores
 from .quality_rules import quality_rules
 from .secret_scan import secret_spans
@@ -89,3 +89,8 @@ def op9(spark, sf):
 def op10(spark, sf):
     return chat_tools.format_chat(chat_tools.transcripts(table(spark, sf, "conversations")),
                                   chat_tools.transcript_schemas(spark))
+
+
+@register("op13_decontamination", decontamination.ORACLE)
+def op13(spark, sf):
+    return decontamination.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("items")
