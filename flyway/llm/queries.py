@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import fresh_path, table
-from . import chat_tools, decontamination, mixing, topk_search
+from . import chat_tools, decontamination, mixing, prefix_trie, spelling, topk_search
 from .quality_fm import quality_scores
 from .quality_rules import quality_rules
 from .secret_scan import secret_spans
@@ -91,6 +91,16 @@ def op10(spark, sf):
                                   chat_tools.transcript_schemas(spark))
 
 
+@register("op11_prefix_trie", prefix_trie.ORACLE)
+def op11(spark, sf):
+    return prefix_trie.prefix_trie(*prefix_trie.rebuild(table(spark, sf, "conversations")))
+
+
+@register("op12_spelling_variants", spelling.ORACLE)
+def op12(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
 @register("op13_decontamination", decontamination.ORACLE)
 def op13(spark, sf):
     return decontamination.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("items")
