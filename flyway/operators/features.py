@@ -1,10 +1,12 @@
 """Observer-year features.
 
-All features are computed once per (observer_id, year) with a single grouped
-aggregation over the raw rows -- never per transition -- and attached to
-transitions by key joins.  Statistics follow the reference's conventions:
-nulls are skipped, sample std dev is 0 for <= 1 value, effort and duration are
-per observation row (a checklist with 30 species counts 30 times).
+All features are computed once per (observer_id, year) -- never per transition -- and attached
+to transitions by key joins.  One grouped aggregation reads the raw rows: a moment table (count,
+sum, squared deviations, extremes, month counts) at (observer, year, locality, state, county), in
+which the species of an observer-year are cells of their own, made in the same pass.  Every feature,
+temporal or geographic, is rolled up from it.  Statistics follow the reference's conventions:
+nulls are skipped, sample std dev is 0 for <= 1 value, effort and duration are per observation
+row (a checklist with 30 species counts 30 times).
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
 from ..functions import month_of, set_mean, set_std_pop, set_sum
 
 KEY = ["observer_id", "year"]
@@ -46,101 +49,118 @@ SUMMARY_MODEL_FEATURES = [
 ]
 
 
-def _std0(c: str):
-    return F.coalesce(F.stddev_samp(c), F.lit(0.0))
+PLACE = ["locality_id", "state", "county"]
+TEMPORAL_VALUES = ["day_of_year", "hours_of_day", "effort_hours", "duration_minutes"]
+GEO_VALUES = ["latitude", "longitude"]
 
 
-def temporal_features(obs: DataFrame) -> DataFrame:
-    """One row per (observer_id, year) -- A10 (+ A11 month shares).
+def moment_table(obs: DataFrame, temporal: bool = True, geo: bool = True) -> DataFrame:
+    """Mergeable moments per (observer_id, year, locality_id, state, county).
 
-    Two hash aggregations joined on the key: the plain statistics, and the three
-    distinct counts.  Kept apart because Catalyst's distinct-aggregate rewrite
-    (Expand) would otherwise copy every statistic's input into each distinct
-    projection.  Both sides aggregate partially on the map side; no group is
-    ever collected.
+    ``n`` rows; per value column v its count ``n_v``, sum ``s_v`` and squared deviations from the
+    cell's own mean ``d_v``; extremes and month counts where temporal features need them.  These also
+    need the species of an observer-year: each raw row is counted for its place and once more for its
+    species, and the cells that are not ``place`` are the species, one each, without moments.  All
+    buffers are of fixed size and merge on the map side.
     """
-    base = (obs.where(F.col("observer_id").isNotNull() & F.col("year").isNotNull())
-               .withColumn("_month", month_of("observation_date")))   # derived once per row
-    month = F.col("_month")
-    n_month = F.count(month)
-    distinct = base.groupBy(*KEY).agg(
-        F.count_distinct("locality_id").alias("num_checklists"),
-        F.count_distinct("scientific_name").alias("num_species"),
-        F.count_distinct("state").alias("num_states"))
-    aggs = [
-        F.coalesce(F.sum("observation_count"), F.lit(0.0)).alias("total_observations"),
-        F.coalesce(F.max("observation_count"), F.lit(0.0)).alias("max_observations_per_checklist"),
-        F.avg("day_of_year").alias("doy_mean"), _std0("day_of_year").alias("doy_std"),
-        F.min("day_of_year").cast("double").alias("doy_min"),
-        F.max("day_of_year").cast("double").alias("doy_max"),
-        F.coalesce(F.max("day_of_year") - F.min("day_of_year"), F.lit(0)).cast("double").alias("doy_range"),
-        F.avg("hours_of_day").alias("hod_mean"), _std0("hours_of_day").alias("hod_std"),
-        F.min("hours_of_day").alias("hod_min"), F.max("hours_of_day").alias("hod_max"),
-    ]
-    for m in range(1, 13):
-        aggs.append(F.coalesce(F.count(F.when(month == m, 1)) / F.nullif(n_month, F.lit(0)),
-                               F.lit(0.0)).alias(f"month_{m}_freq"))
-    aggs += [
-        F.avg("effort_hours").alias("effort_mean"),
-        F.coalesce(F.sum("effort_hours"), F.lit(0.0)).alias("effort_total"),
-        F.coalesce(F.max("effort_hours"), F.lit(0.0)).alias("effort_max"),
-        _std0("effort_hours").alias("effort_std"),
-        F.avg("duration_minutes").alias("duration_mean"),
-        F.coalesce(F.sum("duration_minutes"), F.lit(0.0)).alias("duration_total"),
-        F.coalesce(F.max("duration_minutes"), F.lit(0.0)).alias("duration_max"),
-        _std0("duration_minutes").alias("duration_std"),
-    ]
-    plain = base.groupBy(*KEY).agg(*aggs)
-    n_loc = F.col("num_checklists")
-    tf = (plain.join(distinct, KEY)
-               .withColumn("avg_observations_per_checklist",
-                           F.when(n_loc > 0, F.col("total_observations") / n_loc).otherwise(F.lit(0.0)))
-               .withColumn("checklists_per_month", n_loc / F.lit(12.0))
-               .withColumn("num_locations", n_loc))
-    out = (tf.withColumn("avg_day_of_year", F.col("doy_mean"))
-             .withColumn("avg_hours_of_day", F.col("hod_mean"))
-             .withColumn("avg_effort_hours", F.col("effort_mean"))
-             .withColumn("avg_duration", F.col("duration_mean")))
-    return out.select(*KEY, *TEMPORAL_COLUMNS)
-
-
-def _mode_and_entropy(obs: DataFrame, col: str, prefix: str) -> DataFrame:
-    """Per observer-year: most common value (ties: lowest), entropy, distinct count.
-
-    Two-level aggregation: (key, value) counts first -- bounded by the distinct
-    values of one observer-year -- then per key.
+    values = TEMPORAL_VALUES * temporal + GEO_VALUES * geo
+    base = obs.where(F.col("observer_id").isNotNull() & F.col("year").isNotNull())
+    stats = {"n": F.count(F.lit(1))}
+    for v in values:
+        stats |= {f"n_{v}": F.count(v), f"s_{v}": F.sum(v), f"d_{v}": F.var_pop(v) * F.count(v)}
+    if not temporal:
+        return base.groupBy(*KEY, *PLACE).agg(*[c.alias(k) for k, c in stats.items()], F.lit(True).alias("place"))
+    at = F.col("place")
+    base = base.withColumn("place", F.explode(F.array(F.lit(True), F.lit(False)))).select(
+        *KEY, "place", F.when(~at, F.col("scientific_name")).alias("scientific_name"),
+        *[F.when(at, F.col(c)).alias(c) for c in [*PLACE, *values, "observation_count"]],
+        F.when(at, month_of("observation_date")).alias("_month"))
+    stats["n"] = F.count(F.when(at, 1))
+    stats |= {f"month_{m}": F.count(F.when(F.col("_month") == m, 1)) for m in range(1, 13)}
+    stats |= {"s_count": F.sum("observation_count"), "max_count": F.max("observation_count")}
+    stats |= {f"max_{v}": F.max(v) for v in TEMPORAL_VALUES}
+    stats |= {f"min_{v}": F.min(v) for v in ("day_of_year", "hours_of_day")}
+    return base.groupBy(*KEY, *PLACE, "scientific_name", "place").agg(*[c.alias(k) for k, c in stats.items()])
+
+
+def observer_year_features(obs: DataFrame, temporal: bool = True, geo: bool = True) -> DataFrame:
+    """One row per (observer_id, year): A10 with A11 (temporal), A12 (geo), from one moment table.
+
+    The cells of an observer-year lie together after one shuffle; what needs them side by side
+    (the common mean, the counts per state and county) is a window over them, so no list of cells is
+    built and a large observer-year spills.  Squared deviations are merged around the common mean.
     """
-    counts = (obs.where(F.col(col).isNotNull())
-                 .groupBy(*KEY, col).agg(F.count(F.lit(1)).alias("_n")))
-    tot = F.sum("_n").over(Window.partitionBy(*KEY))
-    p = F.col("_n") / F.col("_tot")
-    return (counts.withColumn("_tot", tot)
-                  .groupBy(*KEY)
-                  .agg(F.min(F.struct((-F.col("_n")).alias("neg_n"), F.col(col).alias("v")))["v"]
-                        .alias(f"top_{prefix}"),
-                       F.sum(-p * F.log(p + F.lit(1e-10))).alias(f"{prefix}_diversity"),
-                       F.count(F.lit(1)).alias(f"num_{prefix}s")))
+    cells = moment_table(obs, temporal, geo)
+    peers = {c: Window.partitionBy(*KEY).orderBy(c) for c in PLACE}
+    own = peers["locality_id"].rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)   # needs no other sort
+    same = {c: w.rangeBetween(Window.currentRow, Window.currentRow) for c, w in peers.items()}
+    new = {f"new_{c}": (F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.lag(c).over(w))).cast("long")
+           for c, w in peers.items()}
+    values = TEMPORAL_VALUES * temporal + GEO_VALUES * geo
+    new |= {f"m_{v}": F.sum(f"s_{v}").over(own) / F.nullif(F.sum(f"n_{v}").over(own), F.lit(0)) for v in values}
+    if geo:
+        new |= {f"n_in_{c}": F.sum("n").over(same[c]) for c in ("state", "county")}
+        new["n_states"] = F.sum(F.when(F.col("state").isNotNull(), F.col("n"))).over(own)
+    cells = cells.withColumns(new)
+
+    def mean(v):
+        return F.first(f"m_{v}")
+
+    def deviation(v):
+        n = F.sum(f"n_{v}")
+        off = F.col(f"s_{v}") / F.nullif(F.col(f"n_{v}"), F.lit(0)) - F.col(f"m_{v}")
+        total = F.sum(F.col(f"d_{v}") + F.col(f"n_{v}") * off * off)
+        return F.when(n > 1, F.sqrt(total / F.nullif(n - 1, F.lit(0)))).otherwise(F.lit(0.0))
+
+    def total(v):
+        return F.coalesce(F.sum(f"s_{v}"), F.lit(0.0))
+
+    def most(v):
+        return F.coalesce(F.max(f"max_{v}"), F.lit(0.0))
+
+    n_loc, n_state = F.sum("new_locality_id"), F.sum("new_state")
+    out = {"num_states": n_state}
+    if temporal:
+        months = F.nullif(sum((F.sum(f"month_{m}") for m in range(1, 13)), F.lit(0)), F.lit(0))
+        out |= {"num_checklists": n_loc, "num_locations": n_loc,
+                "num_species": F.count(F.when(~F.col("place"), F.col("scientific_name"))),
+                "total_observations": F.coalesce(F.sum("s_count"), F.lit(0.0)),
+                "avg_observations_per_checklist": F.when(
+                    n_loc > 0, F.coalesce(F.sum("s_count"), F.lit(0.0)) / F.nullif(n_loc, F.lit(0))).otherwise(F.lit(0.0)),
+                "max_observations_per_checklist": F.coalesce(F.max("max_count"), F.lit(0.0)),
+                "checklists_per_month": n_loc / F.lit(12.0)}
+        for short, v in (("doy", "day_of_year"), ("hod", "hours_of_day")):
+            out |= {f"{short}_mean": mean(v), f"{short}_std": deviation(v), f"{short}_min": F.min(f"min_{v}").cast("double"),
+                    f"{short}_max": F.max(f"max_{v}").cast("double")}
+        out["doy_range"] = F.coalesce(F.max("max_day_of_year") - F.min("min_day_of_year"), F.lit(0)).cast("double")
+        out |= {f"month_{m}_freq": F.coalesce(F.sum(f"month_{m}") / months, F.lit(0.0)) for m in range(1, 13)}
+        for short, v in (("effort", "effort_hours"), ("duration", "duration_minutes")):
+            out |= {f"{short}_mean": mean(v), f"{short}_total": total(v), f"{short}_max": most(v), f"{short}_std": deviation(v)}
+        for c, v in (("avg_day_of_year", "day_of_year"), ("avg_hours_of_day", "hours_of_day"),
+                     ("avg_effort_hours", "effort_hours"), ("avg_duration", "duration_minutes")):
+            out[c] = mean(v)
+    if geo:
+        p = F.col("n_in_state") / F.col("n_states")
+        share = F.col("n") / F.col("n_in_state")              # a state's term, dealt out over its cells
+        top = {c: F.min(F.when(F.col(c).isNotNull(), F.struct((-F.col(f"n_in_{c}")).alias("less"), F.col(c).alias("v"))))["v"]
+               for c in ("state", "county")}
+        out |= {"top_state": top["state"], "top_county": top["county"],
+                "state_diversity": F.coalesce(F.sum(F.when(F.col("state").isNotNull(),
+                                                           -share * p * F.log(p + F.lit(1e-10)))), F.lit(0.0)),
+                "num_counties": F.sum("new_county"), "num_localities": n_loc,
+                "geographic_spread": F.when((F.sum("n_latitude") > 0) & (F.sum("n_longitude") > 0),
+                                            deviation("latitude") + deviation("longitude")).otherwise(F.lit(0.0))}
+    return cells.groupBy(*KEY).agg(*[c.alias(k) for k, c in out.items()])
+
+
+def temporal_features(obs: DataFrame) -> DataFrame:
+    """One row per (observer_id, year) -- A10 (+ A11 month shares)."""
+    return observer_year_features(obs, geo=False).select(*KEY, *TEMPORAL_COLUMNS)
 
 
 def geo_features(obs: DataFrame) -> DataFrame:
     """One row per (observer_id, year) -- A12: top state/county, entropy, counts, spread."""
-    base = obs.where(F.col("observer_id").isNotNull() & F.col("year").isNotNull())
-    st = _mode_and_entropy(base, "state", "state")
-    co = (_mode_and_entropy(base, "county", "county")
-          .select(*KEY, "top_county", F.col("num_countys").alias("num_counties")))
-    lat_sd = F.coalesce(F.stddev_samp("latitude"), F.lit(0.0))
-    lon_sd = F.coalesce(F.stddev_samp("longitude"), F.lit(0.0))
-    other = base.groupBy(*KEY).agg(
-        F.count_distinct("locality_id").alias("num_localities"),
-        F.when((F.count("latitude") > 0) & (F.count("longitude") > 0), lat_sd + lon_sd)
-         .otherwise(F.lit(0.0)).alias("geographic_spread"))
-    g = (other.join(st, KEY, "left").join(co, KEY, "left")
-              .na.fill(0.0, ["state_diversity"]).na.fill(0, ["num_states", "num_counties"]))
-    return g.select(*KEY, "top_state", "top_county", "state_diversity",
-                    F.col("num_states").cast("bigint").alias("num_states"),
-                    F.col("num_counties").cast("bigint").alias("num_counties"),
-                    F.col("num_localities").cast("bigint").alias("num_localities"),
-                    "geographic_spread")
+    return observer_year_features(obs, temporal=False).select(*KEY, "top_state", "top_county", *GEO_METRICS)
 
 
 def geo_dictionary(obs: DataFrame, col: str = "state", years: DataFrame | None = None) -> DataFrame:
@@ -254,26 +274,16 @@ def to_long(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     return casted.unpivot(keys, features, "feature", "value")
 
 
-def robust_scale(long: DataFrame, group: list[str] | None = None, approx: bool = False,
-                 accuracy: int = 100000) -> DataFrame:
+def robust_scale(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     """(x - median) / IQR fitted on the training rows, applied to all -- A17.
 
-    ``long`` has (*group, role, ..., feature, value).  Exact quantiles
-    (``percentile``, linear interpolation) per (*group, feature) over the train
-    rows; scale 1 when the IQR is 0.  The fitted table (groups x features rows)
-    is joined back by key.
+    ``long`` has (*group, role, ..., feature, value).  Exact quantiles (linear interpolation) per
+    (*group, feature) over the train rows; scale 1 when the IQR is 0.  The fitted table
+    (groups x features rows) is joined back by key.
     """
-    g = list(group or [])
-    # Exact quantiles hold the distinct values of one (group, feature) in a task --
-    # bounded by the observer-years of a fold, not by the raw rows.  ``approx``
-    # switches to the mergeable sketch of percentile_approx for larger tables.
-    q = (F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy) if approx
-         else F.percentile("value", [0.25, 0.5, 0.75]))
-    fit = (long.where(F.col("role") == "train")
-               .groupBy(*g, "feature")
-               .agg(q.alias("_q"))
-               .select(*g, "feature", F.col("_q")[1].alias("center"),
-                       F.when(F.col("_q")[2] - F.col("_q")[0] == 0, F.lit(1.0))
-                        .otherwise(F.col("_q")[2] - F.col("_q")[0]).alias("scale")))
-    return (long.join(fit, [*g, "feature"], "left")
+    g = [*(group or []), "feature"]
+    q = exact_quantiles(long.where(F.col("role") == "train"), g, "value", [0.25, 0.5, 0.75])
+    iqr = F.col("quantiles")[2] - F.col("quantiles")[0]
+    fit = q.select(*g, F.col("quantiles")[1].alias("center"), F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
+    return (long.join(fit, g, "left")
                 .withColumn("scaled", (F.col("value") - F.col("center")) / F.col("scale")))

@@ -8,6 +8,7 @@ from . import oracle as O
 from .pipeline import folded, observed, summary
 from .registry import cmp_ready, register
 from ..operators import features as FE
+from ..session import cut_lineage
 
 _NUM_SETS = ["effort_hours", "effort_distance_km", "duration_minutes"]
 
@@ -178,14 +179,12 @@ def q_bird_counts(spark, sf):
 
 
 def _assembly(spark, sf):
+    """Fold rows with the raw temporal and geographic features of their source year (J6), one raw scan."""
     d = folded(spark, sf)
-    o = observed(spark, sf)
-    tf = FE.temporal_features(o).select("observer_id", "year", *FE.RAW_MODEL_FEATURES)
-    gf = FE.geo_features(o).select("observer_id", "year",
-                                   *[F.col(c).alias(f"geo_{c}") for c in FE.GEO_METRICS])
+    own = FE.observer_year_features(observed(spark, sf)).select(
+        "observer_id", "year", *FE.RAW_MODEL_FEATURES, *[F.col(c).alias(f"geo_{c}") for c in FE.GEO_METRICS])
     base = d.fold_trans.select("fold", "role", "observer_id", "year_from", "year_to")
-    wide = FE.lookup(FE.lookup(base, tf, "left"), gf, "left")
-    return d, FE.impute_zero(wide, _ASM_COLS)
+    return d, FE.impute_zero(FE.lookup(base, own, "left"), _ASM_COLS)
 
 
 _GEO_ASM = [f"geo_{c}" for c in FE.GEO_METRICS]
@@ -225,6 +224,7 @@ SELECT fold, role, observer_id, year_from, feature, round(scaled, 6) AS scaled F
 """))
 def q_robust_scale(spark, sf):
     _, w = _assembly(spark, sf)
+    w = cut_lineage(w, "assembly")                       # read by the fit and by the scaling
     long = FE.to_long(w, ["fold", "role", "observer_id", "year_from"], _ASM_COLS)
     s = FE.robust_scale(long, ["fold"])
     return cmp_ready(s.select("fold", "role", "observer_id", "year_from", "feature", "scaled"))
@@ -301,7 +301,7 @@ def q_prepared_fold(spark, sf):
     d = folded(spark, sf)
     tf = FE.temporal_from_summary(summary(spark, sf)).select("observer_id", "year", *_PF)
     base = d.fold_trans.select("fold", "role", "observer_id", "year_from", "year_to")
-    wide = FE.impute_zero(FE.lookup(base, tf, "left"), _PF)
+    wide = cut_lineage(FE.impute_zero(FE.lookup(base, tf, "left"), _PF), "prepared")
     long = FE.to_long(wide, ["fold", "role", "observer_id", "year_from"], _PF)
     return cmp_ready(FE.robust_scale(long, ["fold"]).select(
         "fold", "role", "observer_id", "year_from", "feature", "scaled"))
