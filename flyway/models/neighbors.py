@@ -7,16 +7,22 @@ Neighbours need common >= min_common and similarity > 0; the N most similar
 
 Scale design
 ------------
-A join of the two sides on species would emit, for every species, all (test,
-train) pairs holding it -- quadratic in the most popular species.  Instead both
-sides are packed into blocks of integer-coded sets (a block's rows times its
-vocabulary stay under ``BLOCK_CELLS``), training rows sorted by set size first.
-One row per pair of blocks is shuffled; the pairs of a test block lie together,
-sorted by training block, and one kernel streams them with a running top N per
-test row.  A training block is skipped when its range of set sizes bounds every
-similarity below the running N-th best (cosine <= sqrt(smaller / larger),
-Jaccard <= smaller / larger).  The same kernel gives neighbours, votes or pair
-counts, at every data size.
+A join of the two sides on species would emit, for every species, all (test, train) pairs
+holding it -- quadratic in the most popular species.  Instead both sides are range-sorted by set
+size and packed into blocks of integer-coded sets, and blocks meet in two rounds:
+
+* Bounds: a test block meets the training blocks nearest to it in set size.  Each row's N-th best
+  similarity there bounds its neighbours from below, and with it their set sizes
+  (cosine: between s^2 |V| and |V| / s^2; Jaccard: between s |V| and |V| / s).
+* Search: only the training blocks whose set sizes some row of the test block can reach are
+  joined and shuffled.
+
+Within a pair of blocks an inverted index (species -> training rows, by size, so a row's size bound
+is a slice of each list) gives the candidates.  A row that needs ``c`` common species can skip all
+but its |V| - c + 1 rarest species when it looks for candidates (prefix filter); the others are then
+looked up for the candidates only.  Where that is dearer all lists are counted, and where sets are
+dense against the vocabulary a matrix product is.  A popular species' list is cut into the blocks' rows.
+All three are exact; the same kernel gives neighbours, votes or pair counts, at every size.
 """
 
 from __future__ import annotations
@@ -40,8 +46,12 @@ OUTPUTS = {
     "votes": [("fold", pa.int32()), ("observer_id", pa.int64()), ("species", pa.string()),
               ("score", pa.float64())],
     "counts": [("fold", pa.int32()), ("observer_id", pa.int64()), ("n_candidates", pa.int64())],
+    "bounds": [("block", pa.int64()), ("least", pa.binary()), ("need_low", pa.float64()), ("need_high", pa.float64())],
+    "effort": [("fold", pa.int32()), ("block", pa.int64()), ("blocks_met", pa.int64()), ("rows_met", pa.int64()),
+               ("candidates", pa.int64())],
 }
-_DDL = {pa.int32(): "int", pa.int64(): "bigint", pa.float64(): "double", pa.string(): "string"}
+_DDL = {pa.int32(): "int", pa.int64(): "bigint", pa.float64(): "double", pa.string(): "string",
+        pa.binary(): "binary"}
 
 
 def _pack(max_rows: int, max_cells: int):
@@ -82,59 +92,126 @@ class _Search:
     """A test block and the running top N of each of its rows."""
 
     def __init__(self, r: dict, metric: str, n_neighbors: int, min_common: int, output: str):
-        self.fold, self.names, self.output = r["fold"], r["names"], output
+        self.fold, self.block, self.names, self.output = r["fold"], r["block"], r["names"], output
         self.metric, self.n, self.min_common = metric, n_neighbors, max(min_common, 1)
         self.ids = np.frombuffer(r["ids"], np.int64)
-        self.size = np.frombuffer(r["sizes"], np.int32).astype(np.float64)
-        rows = np.repeat(np.arange(len(self.ids)), self.size.astype(int))
-        self.a = np.zeros((len(self.ids), len(self.names)), np.float32)
-        self.a[rows, np.frombuffer(r["codes"], np.int32)] = 1.0
+        self.size = np.frombuffer(r["sizes"], np.int32).astype(np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.codes = np.frombuffer(r["codes"], np.int32).astype(np.int64)
+        self.rows = np.repeat(np.arange(len(self.ids)), self.size)
+        self.dense = None
         self.place = {s: i for i, s in enumerate(self.names)}
-        self.least = np.full(len(self.ids), -1.0)        # N-th best rounded similarity so far
+        # N-th best rounded similarity so far, or what the bounds round has found
+        self.least = np.frombuffer(r["least"], np.float64).copy() if r.get("least") else np.full(len(self.ids), -1.0)
         self.kept = [np.empty(0, t) for t in (np.int64, np.float64, np.int64, np.int64, np.float64, np.int64)]
         self.sets, self.vocab, self.counts = [], {}, np.zeros(len(self.ids), np.int64)
+        self.blocks_met = self.rows_met = self.candidates = 0
+
+    def reach(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per row: least and largest set size of a neighbour that can still enter, and least common species."""
+        s = np.maximum(self.least - 1e-8, 0.0)
+        s = np.minimum(s * s if self.metric == "cosine" else s, 1.0)
+        with np.errstate(divide="ignore"):
+            high = np.where(s > 0, self.size / np.maximum(s, 1e-300), np.inf)
+        low = s * self.size
+        return low - 1e-6, high + 1e-6, np.maximum(np.ceil(low - 1e-6), self.min_common).astype(np.int64)
 
     def meet(self, r: dict, cells: int = 1 << 22) -> None:
-        size = np.frombuffer(r["t_sizes"], np.int32)
-        low, high = max(int(size.min()), 1), max(int(size.max()), 1)
-        ratio = np.minimum(1.0, np.minimum(np.maximum(self.size, 1) / low, high / np.maximum(self.size, 1)))
-        reach = np.sqrt(ratio) if self.metric == "cosine" else ratio
-        if self.output != "counts" and (reach < self.least - 1e-8).all():
+        size = np.frombuffer(r["t_sizes"], np.int32).astype(np.int64)         # ascending
+        self.blocks_met += 1
+        low, high, need = self.reach()
+        if self.output in ("counts",):
+            low, high, need = np.zeros(len(low)), np.full(len(low), np.inf), np.full(len(low), self.min_common)
+        part = np.flatnonzero((low <= size[-1]) & (high >= size[0]) & (need <= self.size))
+        if not len(part):
             return
         known = np.array([self.place.get(s, -1) for s in r["t_names"]], np.int64)
         codes = np.frombuffer(r["t_codes"], np.int32)
-        ids, years = np.frombuffer(r["t_ids"], np.int64), np.frombuffer(r["t_years"], np.int32)
-        first = np.cumsum(size) - size
-        vocab = np.array([self.vocab.setdefault(s, len(self.vocab)) for s in r["t_names"]], np.int64) \
-            if self.output == "votes" else None
-        step = max(1, cells // max(len(self.ids), len(self.names), 1))
-        for lo in range(0, len(ids), step):
-            part = slice(lo, lo + step)
-            n = len(ids[part])
-            at = known[codes[first[lo]:first[lo] + size[part].sum()]]
-            rows = np.repeat(np.arange(n), size[part])
-            b = np.zeros((len(self.names), n), np.float32)
-            b[at[at >= 0], rows[at >= 0]] = 1.0
-            common = (self.a @ b).astype(np.float64)
-            enough = common >= self.min_common
-            if self.output == "counts":
-                self.counts += enough.sum(axis=1)
-                continue
-            na, nb = self.size[:, None], size[part].astype(np.float64)[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sim = common / np.sqrt(na * nb) if self.metric == "cosine" else common / (na + nb - common)
-            score = np.where(enough & (sim > 0), np.round(sim, 9), -1.0)
-            if n > self.n:                               # a row's best N of this part, ties included
-                floor = -np.partition(-score, self.n - 1, axis=1)[:, self.n - 1]
-                score[score < floor[:, None]] = -1.0
-            q, t = np.nonzero((score > 0) & (score >= self.least[:, None]))
-            if not len(q):
-                continue
-            mark = np.arange(len(q)) + len(self.sets)
-            if vocab is not None:
-                self.sets += [(vocab, codes[first[lo + j]:first[lo + j] + size[lo + j]]) for j in t.tolist()]
-            self._enter(q, score[q, t], ids[part][t], years[part][t].astype(np.int64), sim[q, t],
-                        common[q, t].astype(np.int64) if vocab is None else mark)
+        at = known[codes]
+        rows = np.repeat(np.arange(len(size)), size)[at >= 0]
+        lists = np.sort(at[at >= 0] * len(size) + rows)                       # species, then row (by size)
+        block = {"size": size, "lists": lists, "codes": codes, "first": np.cumsum(size) - size,
+                 "ids": np.frombuffer(r["t_ids"], np.int64), "years": np.frombuffer(r["t_years"], np.int32).astype(np.int64),
+                 "vocab": np.array([self.vocab.setdefault(s, len(self.vocab)) for s in r["t_names"]], np.int64)
+                 if self.output == "votes" else None}
+        begin = np.searchsorted(size, np.ceil(np.maximum(low, 0)), side="left")     # a row's slice of every list
+        end = np.where(np.isinf(high), len(size), np.searchsorted(size, np.floor(np.minimum(high, size[-1])), side="right"))
+        step = max(1, cells // len(size))
+        for lo in range(0, len(part), step):
+            self._meet_rows(part[lo:lo + step], block, begin, end, need)
+
+    def _meet_rows(self, q: np.ndarray, block: dict, begin, end, need) -> None:
+        nt = len(block["size"])
+        self.rows_met += int((end[q] - begin[q]).sum())
+        n = self.size[q]
+        own = np.repeat(np.arange(len(q)), n)                                 # (row, species) of this part
+        token = self.codes[_ranges(self.first[q], n)]
+        a = np.searchsorted(block["lists"], token * nt + begin[q][own])
+        b = np.searchsorted(block["lists"], token * nt + end[q][own])
+        held = b - a
+        order = np.lexsort((held, own))                                       # each row's rarest species first
+        a, held, token = a[order], held[order], token[order]
+        rank = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+        prefix = rank < (n - need[q] + 1)[own]
+        rest = n - np.minimum(n, n - need[q] + 1)
+        few, every = int(held[prefix].sum()), int(held.sum())
+        by_list = np.add.reduceat(np.where(prefix, held, 0), np.cumsum(n) - n) if len(own) else np.zeros(0)
+        lookups = int((by_list * rest).sum())
+        if every * 60 > len(q) * nt * max(len(self.names), 1):                # dense sets
+            common = self._product(q, block, nt)
+            pair = np.flatnonzero(common)
+            common = common[pair]
+        elif (few + 6 * lookups) * 2 < every:
+            pair = np.unique(own[prefix].repeat(held[prefix]) * nt + block["lists"][_ranges(a[prefix], held[prefix])] % nt)
+            count = np.zeros(len(pair), np.int64)
+            width = int(n.max())
+            tokens = np.full((len(q), width), -1, np.int64)
+            tokens[own, rank] = token
+            for k in range(width):                                            # every species of the candidates' rows
+                t = tokens[pair // nt, k]
+                place = np.searchsorted(block["lists"], t * nt + pair % nt)
+                count += (t >= 0) & (place < len(block["lists"])) \
+                    & (block["lists"][np.minimum(place, len(block["lists"]) - 1)] == t * nt + pair % nt)
+            common = count
+        else:
+            common = np.bincount(own.repeat(held) * nt + block["lists"][_ranges(a, held)] % nt, minlength=1)
+            pair = np.flatnonzero(common)
+            common = common[pair]
+        self.candidates += len(pair)
+        enough = common >= self.min_common
+        pair, common = pair[enough], common[enough].astype(np.float64)
+        at, t = pair // nt, pair % nt
+        if self.output == "counts":
+            np.add.at(self.counts, q[at], 1)
+            return
+        na, nb = self.size[q[at]].astype(np.float64), block["size"][t].astype(np.float64)
+        sim = common / np.sqrt(na * nb) if self.metric == "cosine" else common / (na + nb - common)
+        score = np.round(sim, 9)
+        good = np.flatnonzero((score > 0) & (score >= self.least[q[at]]))
+        order = good[np.lexsort((-score[good], at[good]))]                    # a row's best N of this part, ties included
+        place = np.arange(len(order)) - np.searchsorted(at[order], at[order])
+        last = place == self.n - 1
+        floor = np.full(len(q), -1.0)
+        floor[at[order[last]]] = score[order[last]]
+        good = good[score[good] >= floor[at[good]]]
+        if not len(good):
+            return
+        at, t, sim, score, common = at[good], t[good], sim[good], score[good], common[good]
+        mark = np.arange(len(at)) + len(self.sets)
+        if block["vocab"] is not None:
+            first, size = block["first"], block["size"]
+            self.sets += [(block["vocab"], block["codes"][first[j]:first[j] + size[j]]) for j in t.tolist()]
+        self._enter(q[at], score, block["ids"][t], block["years"][t], sim,
+                    common.astype(np.int64) if block["vocab"] is None else mark)
+
+    def _product(self, q: np.ndarray, block: dict, nt: int) -> np.ndarray:
+        """Common species of some test rows and all training rows as one matrix product."""
+        if self.dense is None:
+            self.dense = np.zeros((len(self.ids), len(self.names)), np.float32)
+            self.dense[self.rows, self.codes] = 1.0
+        b = np.zeros((len(self.names), nt), np.float32)
+        b[block["lists"] // nt, block["lists"] % nt] = 1.0
+        return (self.dense[q] @ b).ravel()
 
     def _enter(self, *new) -> None:
         """new: row, rounded similarity, observer, year, similarity, common (or place of its set)."""
@@ -152,7 +229,12 @@ class _Search:
     def result(self) -> pa.RecordBatch | None:
         schema = pa.schema(OUTPUTS[self.output])
         q, _, nb, year, sim, extra = self.kept
-        if self.output == "counts":
+        if self.output == "bounds":
+            low, high, _ = self.reach()
+            cols = [[self.block], [self.least.tobytes()], [low.min()], [high.max()]]
+        elif self.output == "effort":
+            cols = [[self.fold], [self.block], [self.blocks_met], [self.rows_met], [self.candidates]]
+        elif self.output == "counts":
             some = np.flatnonzero(self.counts)
             cols = [np.full(len(some), self.fold), self.ids[some], self.counts[some]]
         elif self.output == "neighbors":
@@ -180,6 +262,12 @@ class _Search:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[k] .. start[k] + n[k] - 1 of every k, one after the other."""
+    ends = np.cumsum(n)
+    return np.repeat(start - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def _search_kernel(metric: str, n_neighbors: int, min_common: int, output: str):
     def run(batches):
         now, s = None, None
@@ -198,15 +286,14 @@ def _search_kernel(metric: str, n_neighbors: int, min_common: int, output: str):
 
 def neighbor_search(test: DataFrame, train: DataFrame, metric: str = "cosine", n_neighbors: int = 50,
                     min_common: int = 1, output: str = "neighbors", test_block_rows: int = 2048,
-                    train_block_rows: int = 8192) -> DataFrame:
+                    train_block_rows: int = 8192, near_blocks: int = 2) -> DataFrame:
     """Neighbours (J13 + W4 + P10 + P11), their votes (J14) or candidate counts per test row.
 
     ``test``: (fold, observer_id, species_from); ``train``: (fold, observer_id, year_from,
-    species).  ``output``: "neighbors", "votes" or "counts".  Test rows without a species
-    have no neighbour.
+    species).  ``output``: "neighbors", "votes", "counts" or "effort" (blocks, rows within the size bounds
+    and candidates that the search met per test block).  Test rows without a species have no
+    neighbour.  ``near_blocks`` training blocks give a test block its bounds.
     """
-    spark = test.sparkSession
-
     def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
         order = ["fold", "n", "observer_id"]
         return cut_lineage(df.withColumn("n", F.size("species")).where("n > 0")
@@ -219,21 +306,37 @@ def neighbor_search(test: DataFrame, train: DataFrame, metric: str = "cosine", n
     known = blocks(train.select(F.col("fold").cast("int").alias("fold"), "observer_id",
                                 F.col("year_from").cast("int").alias("year"), "species"),
                    train_block_rows, "nb-train")
-    # One row per training block: its place within the fold, and how many the fold has.
-    per_fold: dict[int, list[int]] = {}
-    for f, b in sorted(tuple(r) for r in known.select("fold", "block").collect()):
-        per_fold.setdefault(f, []).append(b)
-    places = spark.createDataFrame([(f, b, i) for f, bs in per_fold.items() for i, b in enumerate(bs)],
-                                   "fold int, block bigint, rank int")
-    many = spark.createDataFrame([(f, len(bs)) for f, bs in per_fold.items()], "fold int, n int")
-    known = known.join(F.broadcast(places), ["fold", "block"]).select(
-        "fold", "rank", *[F.col(c).alias(f"t_{c}") for c in ("names", "sizes", "codes", "ids", "years")])
-    pairs = (asked.join(F.broadcast(many), "fold")
-             .withColumn("rank", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n", "years")
-             .join(known, ["fold", "rank"]))
-    schema = ", ".join(f"{c} {_DDL[t]}" for c, t in OUTPUTS[output])
-    return (pairs.repartition("block").sortWithinPartitions("block", "rank")
-            .mapInArrow(_search_kernel(metric, n_neighbors, min_common, output), schema))
+
+    def ends(df: DataFrame, low: str, high: str) -> DataFrame:
+        """One row per block, without its sets: rows lie in order of set size."""
+        def int_at(end):
+            return F.conv(F.hex(F.reverse(F.substring("sizes", end, 4))), 16, 10).cast("int")
+        return df.select("fold", F.col("block").alias("t_block") if low == "low" else "block",
+                         int_at(F.lit(1)).alias(low), int_at(F.length("sizes") - 3).alias(high))
+
+    training = known.select("fold", F.col("block").alias("t_block"),
+                            *[F.col(c).alias(f"t_{c}") for c in ("names", "sizes", "codes", "ids", "years")])
+    kernel_of = lambda what: _search_kernel(metric, n_neighbors, min_common, what)
+
+    def searched(pairs: DataFrame, rows: DataFrame, what: str) -> DataFrame:
+        """pairs: (fold, block, t_block, far); nearest in set size first."""
+        schema = ", ".join(f"{c} {_DDL[t]}" for c, t in OUTPUTS[what])
+        joined = pairs.join(rows.drop("years"), ["fold", "block"]).join(training, ["fold", "t_block"])
+        return joined.repartition("block").sortWithinPartitions("block", "far", "t_block").mapInArrow(kernel_of(what), schema)
+
+    # Pairs of blocks are decided on their ends alone; sets are joined to the pairs that are left.
+    both = ends(asked, "a_low", "a_high").join(ends(known, "low", "high"), "fold").withColumn(
+        "far", F.greatest(F.lit(0), F.col("low") - F.col("a_high"), F.col("a_low") - F.col("high")))
+    if output == "counts":
+        return searched(both.select("fold", "block", "t_block", "far"), asked, output)
+    both = cut_lineage(both, "nb-pairs")
+    near = Window.partitionBy("block").orderBy("far", F.abs(F.col("low") + F.col("high") - F.col("a_low") - F.col("a_high")),
+                                               "t_block")
+    first = both.withColumn("place", F.row_number().over(near)).where(F.col("place") <= near_blocks)
+    bounds = cut_lineage(searched(first.select("fold", "block", "t_block", "far"), asked, "bounds"), "nb-bounds")
+    pairs = (both.join(bounds.select("block", "need_low", "need_high"), "block")
+             .where("high >= need_low and low <= need_high").select("fold", "block", "t_block", "far"))
+    return searched(pairs, asked.join(bounds.select("block", "least"), "block"), output)
 
 
 def neighbor_topk(fold_trans: DataFrame, k: int = 10, metric: str = "cosine",
