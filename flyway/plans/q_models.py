@@ -68,6 +68,8 @@ metric_keys("cooc", "pred_cooc", lambda spark, sf: _cooc(spark, sf))
 
 
 # ---------------------------------------------------------------- neighbours
+from ..session import cut_lineage  # noqa: E402
+from ..models.lsh import lsh_neighbors, recall  # noqa: E402
 from ..models.neighbors import neighbor_search, neighbor_topk  # noqa: E402
 
 
@@ -121,6 +123,20 @@ metric_keys("neighbor_cosine", "pred_nb_cosine", _nb("cosine"))
 metric_keys("neighbor_jaccard", "pred_nb_jaccard", _nb("jaccard"))
 
 
+@register("neighbor_lsh")
+def q_neighbor_lsh(spark, sf):
+    """M4 by MinHash candidates, ranked by exact similarity (hash candidates have no SQL form)."""
+    return cmp_ready(lsh_neighbors(*_nb_frames(spark, sf)))
+
+
+@register("lsh_recall")
+def q_lsh_recall(spark, sf):
+    """Share of the exact Jaccard neighbours that the MinHash candidates hold, per fold."""
+    test, train = _nb_frames(spark, sf)
+    exact = cut_lineage(neighbor_search(test, train, "jaccard"), "nb-exact")
+    return cmp_ready(recall(cut_lineage(lsh_neighbors(test, train), "nb-lsh"), exact))
+
+
 # ---------------------------------------------------------------- MLlib models (rows-only)
 from .pipeline import summary  # noqa: E402
 from ..models.latent import latent_topk  # noqa: E402

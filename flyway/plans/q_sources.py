@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -13,6 +15,7 @@ from ..operators.folds import years_for_fold
 from ..operators.region import region_filter, region_share, region_transitions
 from ..operators.summaries import observer_year_species, rename_summary, year_profile
 from ..operators.transitions import transition_counts
+from ..session import cut_lineage
 from ..schema import OBSERVED_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, require_columns
 from ..sources import fixture as FX
 from ..sources import scan as SC
@@ -60,7 +63,16 @@ def _raw_folders(spark, sf, name, rows_per_file=100, where=None):
     path = SK.new_output_dir(spark, name)
     raw = FX.raw_observations(spark, sf)
     raw = raw if where is None else raw.where(where)
-    (raw.repartition("year").sortWithinPartitions("year", "checklist_id", "hours_of_day", "scientific_name", "species_observed")
+    order = ["checklist_id", "hours_of_day", "scientific_name", "species_observed"]
+    # A row's place in its year: within its range partition, and the rows of the ranges before.
+    ranged = cut_lineage(raw.repartitionByRange("year", *order).withColumn("range", F.spark_partition_id()), "raw-order")
+    held = ranged.groupBy("year", "range").agg(F.count(F.lit(1)).alias("n"))
+    ahead = held.select("year", "range", F.coalesce(F.sum("n").over(
+        Window.partitionBy("year").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    inside = F.row_number().over(Window.partitionBy("year", "range").orderBy(*order)) - 1
+    filed = (ranged.withColumn("inside", inside).join(ahead, ["year", "range"])
+             .withColumn("file", F.floor((F.col("inside") + F.col("ahead")) / rows_per_file)).drop("inside", "ahead", "range"))
+    (filed.repartitionByRange("year", "file").sortWithinPartitions("year", "file", *order).drop("file")
         .write.option("maxRecordsPerFile", rows_per_file).partitionBy("year").parquet(path))
     return path
 
@@ -91,6 +103,21 @@ def q_tolerant_scan(spark, sf):
     return _year_counts(SC.scan_observed(SC.read_raw(spark, path, tolerant=True)))
 
 
+@register("fold_load", O.with_(["folds", "obs"], """
+SELECT f.fold, o.year, count(*) AS n_rows, count(DISTINCT o.observer_id) AS n_observers
+FROM (SELECT DISTINCT fold, y FROM (SELECT fold, year_from AS y FROM folds UNION ALL SELECT fold, year_to FROM folds)) f
+JOIN obs o ON o.year = f.y GROUP BY f.fold, o.year
+"""))
+def q_fold_load(spark, sf):
+    """Each fold's raw rows, read from the folders of its years only."""
+    d = folded(spark, sf)
+    raw = SC.read_raw(spark, _raw_folders(spark, sf, "folds", 100_000))
+    parts = [SC.scan_observed(SC.fold_years(raw, d.folds, f)).groupBy("year").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("observer_id").alias("n_observers"))
+        .select(F.lit(f).alias("fold"), "year", "n_rows", "n_observers") for f in range(1, d.n_folds + 1)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("require_columns", O.with_(["obs"], _YEAR_COUNTS.format(src="obs")))
 def q_require_columns(spark, sf):
     raw = FX.raw_observations(spark, sf)

@@ -6,12 +6,15 @@ import logging
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .validate import file_report, footers
 from ..schema import OBSERVED_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, SUMMARY_SCHEMA, require_columns
+from ..session import cut_lineage
 
 log = logging.getLogger(__name__)
+MOST_WARNINGS = 100      # lines in the log; the report itself covers every file
 
 
 def list_files(spark: SparkSession, base: str) -> DataFrame:
@@ -20,55 +23,67 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
             .select("path", "length"))
 
 
-def check_file_columns(spark: SparkSession, paths: list[str], needed: list[str]) -> None:
-    """Fail if a folder's files lack a needed column.
+def check_file_columns(files: DataFrame, needed: list[str]) -> None:
+    """Fail if a file lacks a needed column.
 
-    A declared schema would fill it with NULL, so the files' own schema is asked, folder by
-    folder (one footer each): the column may be missing in one year only.
+    A declared schema would fill it with NULL, so every file's own footer is asked, in Spark tasks: the
+    column may be missing in one old file only.  A file without a readable footer fails the read itself.
     """
-    for path in paths:
-        missing = [c for c in needed if c not in spark.read.parquet(path).columns]
-        if missing:
-            raise ValueError(f"{path}: missing required columns: {missing}")
+    old = (footers(files).withColumn("missing", F.array_except(F.array(*map(F.lit, needed)), F.col("columns")))
+           .where(F.size("missing") > 0).orderBy("path").limit(20).collect())
+    if old:
+        raise ValueError("missing required columns: " + "; ".join(f"{r['path']}: {r['missing']}" for r in old))
 
 
 def read_raw(spark: SparkSession, base: str, tolerant: bool = False,
              paths: list[str] | None = None) -> DataFrame:
     """Raw table laid out as ``base/year=YYYY/*.parquet``; the schema is declared, not inferred.
 
-    Every year's files must hold the required columns.  ``paths`` restricts the read to some
-    files.  ``tolerant`` skips unreadable or vanished files with a warning for each, and
-    fails when none can be read.
+    Every file must hold the required columns.  ``paths`` restricts the read to some files.
+    ``tolerant`` skips what cannot be read and warns: of files without a readable footer, of files of
+    which only some rows could be decoded, and of files that lack a required column, whose
+    rows are left out (NULLs would pass for values).  It fails when no file can be read.
     """
+    needed = [c for c in RAW_COLUMNS if c != "year"]
     reader = spark.read.schema(RAW_SCHEMA).option("basePath", base)
+    files = list_files(spark, base)
     if not tolerant:
-        folders = sorted({p.rpartition("/")[0] for p in (paths or [
-            r["path"] for r in list_files(spark, base).collect()])})
-        check_file_columns(spark, folders, [c for c in RAW_COLUMNS if c != "year"])
+        check_file_columns(files if paths is None else spark.createDataFrame([(p,) for p in paths], "path string"), needed)
         return reader.parquet(*(paths or [base]))
     reader = (reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true"))
     raw = reader.parquet(*(paths or [base]))
-    bad = skipped_files(spark, base, raw)
-    for path in bad:
-        log.warning("skipped unreadable file %s", path)
-    if not raw.limit(1).count():
+    if paths is not None:
+        files = files.where(F.col("path").isin(list(paths)))
+    report = cut_lineage(file_report(spark, base, files, RAW_SCHEMA, needed), "file-report")
+    for r in report.where("status <> 'ok'").orderBy("path").limit(MOST_WARNINGS).collect():
+        log.warning("%s file %s: %s of %s rows read, missing columns %s", r["status"], r["path"], r["n_read"], r["n_rows"],
+                    r["missing"])
+    if not report.where("status in ('ok', 'short')").limit(1).count():
         raise FileNotFoundError(f"no file under {base} could be read")
-    return raw
+    old = report.where("status = 'columns'").select("path")
+    if not old.limit(1).count():
+        return raw
+    kept = raw.withColumn("_path", F.col("_metadata.file_path")).join(old.withColumnRenamed("path", "_path"), "_path", "left_anti")
+    return kept.drop("_path")
 
 
-def skipped_files(spark: SparkSession, base: str, raw: DataFrame) -> list[str]:
-    """Files under ``base`` that gave no row to a tolerant read."""
-    read = raw.select(F.col("_metadata.file_path").alias("path")).distinct()
-    return [r["path"] for r in list_files(spark, base).select("path")
-            .join(read, "path", "left_anti").orderBy("path").collect()]
+def fold_years(raw: DataFrame, folds: DataFrame, fold: int) -> DataFrame:
+    """The raw rows of the years that one fold touches.
+
+    ``raw`` lies in ``year=`` folders: the fold's years, a few rows broadcast, prune the folders before any
+    file is listed for reading (dynamic partition pruning).
+    """
+    years = (folds.where(F.col("fold") == fold)
+             .select(F.explode(F.array("year_from", "year_to")).alias("year")).distinct())
+    return raw.join(F.broadcast(years), "year", "left_semi")         # at most two years per pair of the fold table
 
 
 def sample_paths(spark: SparkSession, base: str, max_files: int) -> list[str]:
     """The first ``max_files`` files by name of each folder (year) under ``base``."""
-    by_folder: dict[str, list[str]] = {}
-    for r in list_files(spark, base).collect():                 # file names only
-        by_folder.setdefault(r["path"].rpartition("/")[0], []).append(r["path"])
-    return sorted(p for paths in by_folder.values() for p in sorted(paths)[:max_files])
+    files = list_files(spark, base).select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"))
+    first = F.row_number().over(Window.partitionBy("folder").orderBy("path"))
+    return sorted(r["path"] for r in files.withColumn("place", first).where(F.col("place") <= max_files)
+                  .select("path").collect())
 
 
 def project_essential(raw: DataFrame) -> DataFrame:
