@@ -74,13 +74,19 @@ def cut_bucketed(df: DataFrame, name: str, column: str, kind: str) -> DataFrame:
 def bounded_sample(df: DataFrame, salt: str, rows: int, *order: str) -> DataFrame:
     """At most ``rows`` rows, those with the smallest hash ``salt``; the same on every run.
 
-    A hash filter first brings the rows down to about twice the bound, so that no
-    partition sends a full sample of its own to the final sort.
+    A hash filter first brings the rows down to about twice the bound, so that no partition sends a full
+    sample of its own to the final sort.  Equal rows share a hash: where they leave fewer rows than the bound,
+    the filter is widened until there are enough.
     """
-    n = df.count()
-    if n > 2 * rows:
-        df = df.where(F.pmod(F.col(salt), F.lit(1 << 31)) < int(2 * rows / n * (1 << 31)))
-    return df.orderBy(F.pmod(F.col(salt), F.lit(1 << 31)), salt, *order).limit(rows)
+    n, share = df.count(), 1.0
+    place = F.pmod(F.col(salt), F.lit(1 << 31))
+    some = df
+    while n > 2 * rows:
+        share = min(1.0, 2 * rows / n if some is df else 4 * share)
+        some = df.where(place < int(share * (1 << 31)))
+        if share == 1.0 or some.limit(rows).count() == rows:
+            break
+    return some.orderBy(place, salt, *order).limit(rows)
 
 
 __all__ = ["WORD_PATTERN", "F", "bounded_sample", "cut_bucketed", "cut_lineage", "fresh_path", "read_or_empty",
