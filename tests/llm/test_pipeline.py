@@ -5,6 +5,7 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from flyway.llm import secret_scan as S
@@ -56,9 +57,10 @@ def test_secrets_are_masked(steps):
     before = {r.doc_id: r for r in steps[2].collect()}
     after = {r.doc_id: r for r in steps[3].collect()}
     assert before.keys() == after.keys()
-    mean, level = S.dismissal_levels(S.scan(steps[2]), 0.01)
+    letters = S.letter_model(steps[2])
+    mean, level = S.discovery_level(S.scan(steps[2], letters, 0.01), 0.01)
     for d, r in before.items():
-        assert after[d].text == S.redacted(r.text, mean, level, "[SECRET]")
+        assert after[d].text == S.redacted(r.text, letters, 0.01, mean, level, "[SECRET]")
         assert after[d].n_chars == len(after[d].text) and not plain(after[d].text)
         if not plain(r.text):
             assert after[d] == r
@@ -103,6 +105,25 @@ def test_shared_and_missing_ids(spark):
     assert rows(kept) == Counter([(3, a, "en"), (5, b, "de"), (None, c, "de")])
 
 
+def test_clashing_names_survive(spark):
+    """Columns named like the stages' own keys keep their values, in every stage that returns documents."""
+    names = ["row_key", "component_key", "copy", "passes", "row", "fp", "size", "key", "doc", "d"]
+    docs = table(spark, SF, "documents").limit(80).withColumns(
+        {c: F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")) for c in names})
+    docs = docs.unionAll(docs.limit(7)).select("passes", "doc_id", "copy", "text", *[c for c in docs.columns if c not in (
+        "passes", "doc_id", "copy", "text")])
+    now = cut_lineage(docs, "test-clash")
+    for name, stage in P.STAGES[:-1]:
+        now = cut_lineage(stage(spark, now, SF), "test-clash")
+        assert now.columns == docs.columns, name
+        got = now.collect()
+        assert got and all(r[c] == f"{c}-{r.doc_id}" for r in got for c in names), name
+    empty = cut_lineage(docs.limit(0), "test-clash")
+    for name, stage in P.STAGES[:-1]:
+        empty = cut_lineage(stage(spark, empty, SF), "test-clash")
+        assert empty.columns == docs.columns and not empty.count(), name
+
+
 def test_mix_by_row(spark):
     docs = spark.createDataFrame([(None, "w " * (i + 1), "en", "s0", 2 * i + 2) for i in range(12)]
                                  + [(1, "same", "en", "s0", 4)] * 3,
@@ -118,4 +139,4 @@ def test_registered():
     assert importlib.util.find_spec("corpus_pipeline") and os.path.exists(P.__file__)
     import __spark_entry__ as E
     assert E.queries()["pipeline"] is P.run
-    assert {k.split("_")[0] for k in E.queries() if k.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in E.queries() if k.startswith("op")} == {f"op{n}" for n in range(1, 14)}
