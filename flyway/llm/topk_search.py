@@ -12,11 +12,14 @@ first places: the partial sum over these plus ``|rest of q| * |rest of x|`` boun
 score, and only candidates whose bound reaches the query's k-th best so far are scored
 exactly, in integers.  The rotation only prunes; results are exact for any sample.
 
-Pairs exist between blocks, never between rows in a shuffle; a stripe's running top k per
-query is all that leaves a task.  Block figures (one row per block) reach the driver.
+Work is dealt by (stripe, group of query blocks): a task holds one stripe's blocks, packed, and the group's
+query blocks come to it one by one.  So a candidate is shuffled once a group, and the many copies
+are of the small query blocks.  Pairs exist between blocks, never between rows in a shuffle; a stripe's
+running top k per query is all that leaves a task.  Block figures (one row per block) reach the driver.
 
 Defined results: vectors that are null or hold null, NaN or infinite components, and rows
-without a vec_id, take no part; shorter vectors count as padded with zeros; candidates
+without a vec_id, take no part, nor do vectors with a component whose ``floor(scale * x)`` is no 64-bit
+integer; a score beyond 64 bits is an error, never wrong; shorter vectors count as padded with zeros; candidates
 with the query's own vec_id are its own row; repeated rows are candidates (and queries)
 each; with fewer than k candidates all are returned; extra columns are ignored.
 """
@@ -49,10 +52,10 @@ def integer_kernel(scale: float):
             for i, x in zip(b.column("vec_id").to_pylist(), b.column("embedding")):
                 if not x.is_valid or i is None or x.values.null_count:
                     continue
-                v = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                if np.isfinite(v).all():
+                v = np.floor(x.values.to_numpy(zero_copy_only=False).astype(np.float64) * scale)
+                if (np.abs(v) < 2.0 ** 63).all():         # not so for NaN and infinity
                     ids.append(i)
-                    rows.append(np.floor(v * scale).astype(np.int64))
+                    rows.append(v.astype(np.int64))
             yield record_batch(schema, vec_id=ids, vector=[v.tobytes() for v in rows],
                                length=[float(np.sqrt((v.astype(float) ** 2).sum())) for v in rows],
                                width=[len(v) for v in rows])
@@ -158,32 +161,34 @@ class Queries:
 
 
 def search_kernel(rotation: np.ndarray, head: int, k: int):
-    """mapInArrow over block pairs sorted by (query block, stripe, rank): top k per query and stripe."""
+    """mapInArrow over rows sorted by (stripe, part, asks): a stripe's blocks by rank, then the query blocks.
+
+    Gives the top k per query and stripe.
+    """
     schema = pa.schema([("query_block", pa.int64()), ("place", pa.int64()), ("query_id", pa.int64()),
                         ("q_length", pa.float64()), ("vec_id", pa.int64()), ("score", pa.int64())])
     dim = len(rotation)
 
-    def found(name, q):
-        return record_batch(schema, query_block=[name[0]] * len(q.q), place=q.q, query_id=q.ids[q.q],
-                            q_length=q.length[q.q], vec_id=q.vec, score=[int(s) for s in q.score])
-
     def run(batches):
-        now, q = None, None
+        now, held = None, []
         for b in batches:
             for i in range(b.num_rows):
                 r = b.slice(i, 1).to_pylist()[0]
-                if (r["query_block"], r["stripe"]) != now:
-                    if q is not None:
-                        yield found(now, q)
-                    now = (r["query_block"], r["stripe"])
-                    ids, x = matrix(r["q_ids"], r["q_vectors"], r["q_width"], dim)
-                    floor = np.full(len(ids), -np.inf)
-                    for f in r["floors"] or ():
-                        floor[f["place"]] = f["least"]
-                    q = Queries(ids, x, rotation, head, k, floor)
-                q.meet(*matrix(r["ids"], r["vectors"], r["width"], dim), rotation)
-        if q is not None:
-            yield found(now, q)
+                if (r["stripe"], r["part"]) != now:
+                    now, held = (r["stripe"], r["part"]), []
+                if r["asks"] < 0:
+                    held.append((r["rank"], r["ids"], r["vectors"], r["width"]))
+                    continue
+                ids, x = matrix(r["ids"], r["vectors"], r["width"], dim)
+                floor = np.full(len(ids), -np.inf)
+                for f in r["floors"] or ():
+                    floor[f["place"]] = f["least"]
+                q = Queries(ids, x, rotation, head, k, floor)
+                for rank, *block in held:
+                    if rank < r["rank"]:                  # the query block reaches so far
+                        q.meet(*matrix(*block, dim), rotation)
+                yield record_batch(schema, query_block=[r["asks"]] * len(q.q), place=q.q, query_id=q.ids[q.q],
+                                   q_length=q.length[q.q], vec_id=q.vec, score=[int(s) for s in q.score])
 
     return run
 
@@ -213,12 +218,13 @@ def reachable_blocks(longest: np.ndarray):
 
 def top_inner_products(embeddings: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20,
                        scale: float = 64.0, query_rows: int = 256, stripe_blocks: int = 16,
-                       least_rows: int = 4096, most_rows: int = 65536,
-                       sample_rows: int = 2048) -> DataFrame:
+                       least_rows: int = 4096, most_rows: int = 65536, part_blocks: int = 64,
+                       least_tasks: int = 4, sample_rows: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all vectors for every row that meets ``queries``.
 
     ``sample_rows`` bounds the vectors the rotation is fitted on; a block of candidates has
-    ``least_rows`` to ``most_rows`` vectors, 64 blocks or more where the table allows it.
+    ``least_rows`` to ``most_rows`` vectors (32 MB at most), 64 blocks or more where the table allows it.
+    ``part_blocks`` query blocks share a task's stripe, fewer where that would leave less than ``least_tasks`` tasks.
     """
     spark = embeddings.sparkSession
     vectors = cut_lineage(embeddings.select("vec_id", "embedding").mapInArrow(
@@ -235,25 +241,36 @@ def top_inner_products(embeddings: DataFrame, queries: str = "vec_id % 20 = 0",
         return cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                            .mapInArrow(block_kernel(rows, dim), BLOCK), name)
 
+    most_rows = max(1, min(most_rows, (1 << 25) // (8 * dim)))
     candidates = blocks(vectors, min(max(n // 64, least_rows), most_rows), "topk-blocks")
-    asked = blocks(vectors.where(queries), query_rows, "topk-queries").select(
-        F.col("block").alias("query_block"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"),
-        F.col("vectors").alias("q_vectors"), F.col("width").alias("q_width"))
+    asked = blocks(vectors.where(queries), query_rows, "topk-queries").withColumnRenamed("block", "query_block")
     ranked = sorted(((-r["longest"], r["block"]) for r in candidates.select("longest", "block").collect()))
     order = spark.createDataFrame([(b, i) for i, (_, b) in enumerate(ranked)], "block bigint, rank int")
     candidates = candidates.join(F.broadcast(order), "block")       # one row per block
     floors = "array<struct<place:bigint,least:double>>"
 
-    def search(pairs: DataFrame) -> DataFrame:
-        joined = pairs.join(candidates.select("rank", "ids", "vectors", "width"), "rank")
-        return (joined.select("query_block", F.floor(F.col("rank") / stripe_blocks).cast("int").alias("stripe"),
-                              "rank", "q_ids", "q_vectors", "q_width", "floors", "ids", "vectors", "width")
-                .repartition("query_block", "stripe").sortWithinPartitions("query_block", "stripe", "rank")
+    n_asked, n_stripes = asked.count(), -(-len(ranked) // stripe_blocks)
+    stripe = F.floor(F.col("rank") / stripe_blocks).cast("int").alias("stripe")
+    held = candidates.select(stripe, F.lit(-1).cast("long").alias("asks"), "rank", "ids", "vectors", "width",
+                             F.lit(None).cast(floors).alias("floors"))
+
+    def search(asking: DataFrame, stripes: int) -> DataFrame:
+        """``asking``: query blocks with ``low`` and ``upto``, the ranks of the blocks to meet."""
+        parts = max(-(-n_asked // part_blocks), min(n_asked, -(-least_tasks // max(stripes, 1))), 1)
+        low, high = F.floor(F.col("low") / stripe_blocks), F.floor((F.col("upto") - 1) / stripe_blocks)
+        dealt = asking.select(
+            F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("stripe"),
+            F.col("query_block").alias("asks"), F.col("upto").alias("rank"), "ids", "vectors", "width", "floors",
+            F.pmod(F.xxhash64("query_block"), F.lit(parts)).cast("int").alias("part"))
+        needed = dealt.select("stripe", "part").distinct()
+        rows = held.join(needed, "stripe").unionByName(dealt)
+        return (rows.repartition("stripe", "part").sortWithinPartitions("stripe", "part", "asks", "rank")
+                .select("stripe", "part", "asks", "rank", "ids", "vectors", "width", "floors")
                 .mapInArrow(search_kernel(rotation, head, k), FOUND))
 
     first = min(stripe_blocks, len(ranked))
     found = search(asked.withColumn("floors", F.lit(None).cast(floors))
-                   .withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(first - 1)))))
+                   .withColumn("low", F.lit(0)).withColumn("upto", F.lit(first)), 1)
     if len(ranked) > first:
         found = cut_lineage(found, "topk-first")
         kth = (found.groupBy("query_block", "place")
@@ -263,13 +280,11 @@ def top_inner_products(embeddings: DataFrame, queries: str = "vec_id % 20 = 0",
                .agg(F.collect_list(F.struct("place", "least")).alias("floors"),
                     F.min(F.when(F.col("q_length") > 0, F.col("least") / F.col("q_length"))
                           .otherwise(0.0)).alias("slope")))
-        slope = F.when(F.size("floors") == F.col("q_n"), F.greatest("slope", F.lit(0.0))).otherwise(0.0)
+        slope = F.when(F.size("floors") == F.col("n"), F.greatest("slope", F.lit(0.0))).otherwise(0.0)
         upto = reachable_blocks(np.array([-x for x, _ in ranked]))(slope)
         later = (asked.join(kth, "query_block", "left").withColumn("upto", upto)
-                 .where(F.col("upto") > first)
-                 .withColumn("rank", F.explode(F.sequence(F.lit(first), F.col("upto") - 1)))
-                 .drop("slope", "upto"))
-        found = found.unionByName(search(later))
+                 .where(F.col("upto") > first).withColumn("low", F.lit(first)))
+        found = found.unionByName(search(cut_lineage(later, "topk-later"), n_stripes - 1))
     best = W.partitionBy("query_block", "place").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

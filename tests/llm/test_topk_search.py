@@ -66,3 +66,22 @@ def test_large_components_stay_exact(spark):
     rows = [(i, [float(np.float32(v)) for v in r.normal(0, 1e6, 3)], 0, 1.0, "r", "b") for i in range(50)]
     df = spark.createDataFrame(rows, SCHEMA)
     assert sorted(map(tuple, T.top_inner_products(df).collect())) == expected(rows, 20, 3)
+
+
+@pytest.mark.parametrize("part_blocks,least_tasks", [(1, 1), (3, 1), (64, 5)])
+def test_parts_and_stripes(spark, part_blocks, least_tasks):
+    rows = rows_of("skewed", n=900)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = T.top_inner_products(df, k=7, query_rows=4, stripe_blocks=3, least_rows=40, most_rows=40, part_blocks=part_blocks,
+                               least_tasks=least_tasks, sample_rows=60)
+    assert sorted(map(tuple, got.collect())) == expected(rows, 7)
+
+
+def test_components_beyond_64_bits(spark):
+    """floor(64 * x) is no 64-bit integer: the vector takes no part; below that it does, exactly."""
+    rows = [(0, [1e300, 1.0], 0), (20, [2.0 ** 57, 0.0], 0), (40, [-(2.0 ** 57), 1.0], 0), (60, [2.0 ** 40, 1.0], 0),
+            (1, [1.0, 1.0], 0), (2, [0.0, 3.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted((r.query_id, r.vec_id, r.score) for r in T.top_inner_products(df).collect())
+    big = 64 * 2 ** 40
+    assert got == [(60, 1, big * 64 + 64 * 64), (60, 2, 64 * 192)]
