@@ -86,6 +86,51 @@ def ranking_metrics(preds: DataFrame, truth: DataFrame, k: int, n_species: DataF
     return long.select("fold", F.lit(k).alias("k"), "metric", F.col("value").cast("double"))
 
 
+def ranking_metrics_at(preds: DataFrame, truth: DataFrame, ks: list[int], n_species: DataFrame,
+                       include_zero: bool = False) -> DataFrame:
+    """``ranking_metrics`` of the first K predictions for every K of ``ks``, from one prediction table (M9).
+
+    An observer's hit prefixes at all K come from one pass over the running hits; a species' best rank in
+    a fold tells from which K on it is covered.
+    """
+    preds = cut_lineage(preds, "predictions")      # read twice: hits and coverage
+    prec = F.col("cum_hits") / F.col("rank")
+    hit = F.col("hit") == 1
+
+    def at(k):
+        first = F.col("rank") <= k
+        full = first & (F.col("rank") <= F.col("n_truth"))
+        return F.struct(F.lit(k).alias("k"), F.count(F.when(first & hit, 1)).alias("hits"),
+                        F.sum(F.when(first & hit, prec).otherwise(0.0)).alias("ap"), F.count(F.when(first, 1)).alias("n_pred"),
+                        F.count(F.when(full & hit, 1)).alias("hits_full"),
+                        F.sum(F.when(full & hit, prec).otherwise(0.0)).alias("ap_full"))
+
+    t = truth.where(F.size("species_to") > 0).select(*KEY, F.size("species_to").alias("n_truth"))
+    stats = hits(preds, truth).join(t, KEY).groupBy(*KEY, "n_truth").agg(F.array(*map(at, ks)).alias("at")).drop("n_truth")
+    nothing = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(0).cast("long").alias("hits"), F.lit(0.0).alias("ap"),
+                                 F.lit(0).cast("long").alias("n_pred"), F.lit(0).cast("long").alias("hits_full"),
+                                 F.lit(0.0).alias("ap_full")) for k in ks])
+    po = t.join(stats, KEY, "left").select("fold", "n_truth", F.explode(F.coalesce("at", nothing)).alias("a")) \
+        .select("fold", "n_truth", "a.*")
+    met = F.lit(True) if include_zero else (F.col("hits") > 0)
+    met_full = F.lit(True) if include_zero else (F.col("hits_full") > 0)
+    wide = po.groupBy("fold", "k").agg(
+        F.avg(F.col("hits") / F.col("k").cast("double")).alias("precision@k"),
+        F.avg(F.col("hits") / F.col("n_truth")).alias("recall@k"),
+        F.coalesce(F.avg(F.when(met, F.col("ap") / F.least("n_truth", "k"))), F.lit(0.0)).alias("map@k"),
+        F.coalesce(F.avg(F.when(F.col("n_pred") > 0, F.col("hits") / F.col("n_pred"))), F.lit(0.0)).alias("precision_full"),
+        F.avg(F.col("hits_full") / F.col("n_truth")).alias("recall_full"),
+        F.coalesce(F.avg(F.when(met_full, F.col("ap_full") / F.col("n_truth"))), F.lit(0.0)).alias("map_full"))
+    best = preds.groupBy("fold", "species").agg(F.min("rank").alias("rank"))
+    total = n_species.select("n_species").scalar()
+    cov = best.groupBy("fold").agg(F.array(*[F.struct(
+        F.lit(k).alias("k"), (F.count(F.when(F.col("rank") <= k, 1)) / F.max(total)).alias("coverage")) for k in ks]).alias("c")) \
+        .select("fold", F.inline("c"))
+    wide = wide.join(cov, ["fold", "k"], "left").na.fill(0.0, ["coverage"])
+    return (wide.unpivot(["fold", "k"], RANKING_METRICS, "metric", "value")
+            .select("fold", "k", "metric", F.col("value").cast("double")))
+
+
 def count_metrics(rows: DataFrame, group: list[str] | None = None) -> DataFrame:
     """MAE, RMSE, correlation, MAPE (also over non-zero actuals only), mean actual / predicted -- A23.
 

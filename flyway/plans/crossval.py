@@ -16,7 +16,7 @@ from ..models import create_model
 from ..models.learned import count_regression, learned_topk
 from ..models.popularity import mean_count_predict
 from ..operators.features import bird_counts
-from ..operators.metrics import count_metrics, ranking_metrics
+from ..operators.metrics import count_metrics, ranking_metrics, ranking_metrics_at
 from ..session import cut_lineage
 
 # Shipped defaults of the comparison runs.
@@ -27,18 +27,25 @@ DEFAULT_MODELS = {
                            "min_common_species": 1},
 }
 
+# How many species each of them recommends there; 70 is about what an observer sees in a year.
+DEFAULT_K = {"baseline": 70}
+
 
 def truth(data) -> DataFrame:
     return data.fold_trans.where(F.col("role") == "test")
 
 
-def evaluate_fold(data, model_name: str, preds: DataFrame, k: int = 10,
+def evaluate_fold(data, model_name: str, preds: DataFrame, k: int | list[int] = 10,
                   counts: DataFrame | None = None, actual: DataFrame | None = None) -> DataFrame:
     """All ranking metrics (+ count metrics when the model predicts counts) -- M8.
 
-    ``counts``: (fold, observer_id, predicted); ``actual``: (fold, observer_id, actual).
+    ``counts``: (fold, observer_id, predicted); ``actual``: (fold, observer_id, actual).  With a list
+    of K, all are taken from the one prediction table; count metrics stand beside the largest.
     """
-    m = ranking_metrics(preds, truth(data), k, data.n_species)
+    if isinstance(k, list):
+        m, k = ranking_metrics_at(preds, truth(data), k, data.n_species), max(k)
+    else:
+        m = ranking_metrics(preds, truth(data), k, data.n_species)
     if counts is not None and actual is not None:
         c = count_metrics(counts.join(actual, ["fold", "observer_id"]), ["fold"])
         m = m.unionByName(c.select("fold", F.lit(k).alias("k"), "metric", "value"))
@@ -53,22 +60,28 @@ def baseline_counts(data, summary: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pred, actual
 
 
-def cross_validate(data, models: dict[str, dict] | None = None, k: int = 10,
-                   summary: DataFrame | None = None) -> DataFrame:
-    """(model, fold, k, metric, value) for every model and fold -- M9."""
+def cross_validate(data, models: dict[str, dict] | None = None, k: int | list[int] = 10,
+                   summary: DataFrame | None = None, k_of: dict[str, int | list[int]] | None = None) -> DataFrame:
+    """(model, fold, k, metric, value) for every model and fold -- M9.
+
+    ``k``: K of every model that ``k_of`` (``DEFAULT_K`` in the default run) gives none of its own.  A
+    list of K costs one set of predictions, at the largest.
+    """
     models = models or DEFAULT_MODELS
     if summary is not None:             # read for the mean and for the actual counts
         full = cut_lineage(summary, "summary") if "neural" in models else summary
         summary = cut_lineage(full.select("observer_id", "year", "total_observations"), "counts")
-    parts = []
+    parts, every = [], k
     for name, params in models.items():
         model = create_model(name, **params)
+        k = (k_of or {}).get(name, every)
+        most = max(k) if isinstance(k, list) else k
         if name == "neural" and summary is not None:
-            preds = learned_topk(data, k=k, summary=full, **params)
+            preds = learned_topk(data, k=most, summary=full, **params)
             counts, actual = count_regression(data, full)
             parts.append(evaluate_fold(data, name, preds, k, counts, actual))
             continue
-        preds = model.recommend(data, k)
+        preds = model.recommend(data, most)
         counts = actual = None
         if name == "baseline" and summary is not None:
             counts, actual = baseline_counts(data, summary)

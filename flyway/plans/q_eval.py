@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .crossval import (baseline_counts, best_model, cross_validate, evaluate_fold, feature_lift,
+from .crossval import (DEFAULT_K, baseline_counts, best_model, cross_validate, evaluate_fold, feature_lift,
                        metric_quartiles, model_summary, normalized_errors, report_lines)
 from .pipeline import folded, summary
 from .registry import cmp_ready, register
@@ -36,6 +36,39 @@ def q_cross_validate(spark, sf):
     return cmp_ready(_cv(spark, sf)[1])
 
 
+MANY_K = [5, 20, 70]
+O.cte("pred_pop_70", """
+SELECT fold, observer_id, species, score, CAST(rk AS INTEGER) AS rank FROM (
+  SELECT t.fold, t.observer_id, p.species, CAST(p.n_viewers AS DOUBLE) AS score,
+         row_number() OVER (PARTITION BY t.fold, t.observer_id ORDER BY p.pop_rank) AS rk
+  FROM test t JOIN pop p ON NOT list_contains(t.species_from, p.species))
+WHERE rk <= 70
+""", ["test", "pop"])
+for _k in MANY_K[:-1]:
+    O.cte(f"pred_pop_{_k}", f"SELECT * FROM pred_pop_70 WHERE rank <= {_k}", ["pred_pop_70"])
+_MANY = [O.metric_ctes(f"pred_pop_{_k}", _k) for _k in MANY_K]
+
+
+@register("metrics_many_k", O.with_(_MANY, "\nUNION ALL\n".join(
+    f"SELECT fold, k, metric, round(value, 6) AS value FROM {m}" for m in _MANY)))
+def q_metrics_many_k(spark, sf):
+    """Every K from one prediction table."""
+    d = folded(spark, sf)
+    preds = popularity_topk(d.fold_trans, d.catalogue, k=max(MANY_K))
+    return cmp_ready(evaluate_fold(d, "baseline", preds, MANY_K).drop("model"))
+
+
+@register("cross_validate_default", O.with_(["pred_pop_70_long", "pred_cooc_long", "pred_nb_cosine_long", "cnt_long"], f"""
+SELECT 'baseline' AS model, fold, k, metric, round(value, 6) AS value FROM pred_pop_70_long
+UNION ALL SELECT 'collaborative', fold, k, metric, round(value, 6) FROM pred_cooc_long
+UNION ALL SELECT 'user_collaborative', fold, k, metric, round(value, 6) FROM pred_nb_cosine_long
+UNION ALL SELECT 'baseline', fold, CAST({DEFAULT_K["baseline"]} AS INTEGER), metric, round(value, 6) FROM cnt_long
+"""))
+def q_cross_validate_default(spark, sf):
+    """The default comparison run: the baseline at 70, the others at 10."""
+    return cmp_ready(cross_validate(folded(spark, sf), k=O.K, summary=summary(spark, sf), k_of=DEFAULT_K))
+
+
 @register("evaluate_fold", O.with_(["pred_pop_long", "cnt_long"], f"""
 SELECT 'baseline' AS model, fold, k, metric, round(value, 6) AS value FROM pred_pop_long
 UNION ALL

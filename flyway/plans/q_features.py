@@ -8,6 +8,7 @@ from . import oracle as O
 from .pipeline import folded, observed, summary
 from .registry import cmp_ready, register
 from ..operators import features as FE
+from ..operators import onehot as OH
 from ..session import cut_lineage
 
 _NUM_SETS = ["effort_hours", "effort_distance_km", "duration_minutes"]
@@ -105,6 +106,39 @@ def q_state_onehot(spark, sf):
     return FE.state_onehot(FE.geo_features(o), FE.geo_dictionary(o, "state"))
 
 
+_KEYS = ["fold", "role", "observer_id", "year_from"]
+
+for _c in ("state", "county"):
+    O.cte(f"hot_{_c}", f"""
+SELECT f.fold, f.role, f.observer_id, f.year_from, '{_c}_' || g.top_{_c} AS feature, CAST(1 AS DOUBLE) AS value
+FROM fold_trans f JOIN gf g ON g.observer_id = f.observer_id AND g.year = f.year_from
+JOIN (SELECT DISTINCT y.fold, o.{_c} FROM (
+        SELECT fold, year_from AS y FROM folds UNION SELECT fold, year_to FROM folds) y
+      JOIN obs o ON o.year = y.y WHERE o.{_c} IS NOT NULL) d ON d.fold = f.fold AND d.{_c} = g.top_{_c}
+""", ["fold_trans", "gf", "folds", "obs"])
+
+
+def _hot(spark, sf, columns=("state", "county")):
+    """Fold rows with the hot places of their source year's most common state and county."""
+    d = folded(spark, sf)
+    dictionaries = cut_lineage(OH.fold_dictionaries(observed(spark, sf), d.folds), "dictionaries")
+    tops = FE.geo_features(observed(spark, sf)).select("observer_id", "year", "top_state", "top_county")
+    rows = cut_lineage(FE.lookup(d.fold_trans.select(*_KEYS), tops, "left"), "tops")     # read by every fold
+    return OH.hot_features(OH.onehot_vectors(rows, dictionaries), dictionaries, _KEYS, columns)
+
+
+def _hot_query(column):
+    @register(f"{column}_hot_places", O.with_([f"hot_{column}"], f"""
+SELECT fold, role, observer_id, year_from, feature, round(value, 6) AS value FROM hot_{column}
+"""))
+    def q(spark, sf):
+        return cmp_ready(_hot(spark, sf, (column,)))
+
+
+for _c in ("state", "county"):
+    _hot_query(_c)
+
+
 _TFS_INT = ["num_species", "num_checklists", "num_locations", "num_states"]
 _TFS_DBL = ["total_observations", "avg_observations_per_checklist", "effort_mean", "effort_total",
             "effort_max", "effort_std", "duration_mean", "duration_total", "duration_max",
@@ -305,3 +339,15 @@ def q_prepared_fold(spark, sf):
     long = FE.to_long(wide, ["fold", "role", "observer_id", "year_from"], _PF)
     return cmp_ready(FE.robust_scale(long, ["fold"]).select(
         "fold", "role", "observer_id", "year_from", "feature", "scaled"))
+
+
+@register("prepared_fold_full", O.with_(["scaled", "hot_state", "hot_county"], """
+SELECT fold, role, observer_id, year_from, feature, round(scaled, 6) AS value FROM scaled
+UNION ALL SELECT fold, role, observer_id, year_from, feature, round(value, 6) FROM hot_state
+UNION ALL SELECT fold, role, observer_id, year_from, feature, round(value, 6) FROM hot_county
+"""))
+def q_prepared_fold_full(spark, sf):
+    """M0c from the raw rows: temporal features and geographic metrics scaled on train, one-hots as they are."""
+    w = cut_lineage(_assembly(spark, sf)[1], "assembly")
+    scaled = FE.robust_scale(FE.to_long(w, _KEYS, _ASM_COLS), ["fold"])
+    return cmp_ready(scaled.select(*_KEYS, "feature", F.col("scaled").alias("value")).unionByName(_hot(spark, sf)))
