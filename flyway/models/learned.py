@@ -25,11 +25,13 @@ from functools import reduce
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import SUMMARY_MODEL_FEATURES, temporal_from_summary
+from ..operators.folds import holdout_split
 from ..session import cut_lineage
 from .common import KEY, top_k
 from .cooccurrence import _block_scores, fitted_model
@@ -50,7 +52,7 @@ def _observer_features(summary: DataFrame | None) -> tuple[DataFrame | None, lis
 def _rows(data, summary: DataFrame | None) -> DataFrame:
     """Test rows of every fold with their row features as the array ``extra``."""
     rows = data.fold_trans.where(F.col("role") == "test").select(
-        "fold", "observer_id", "year_from", "species_from", "species_to")
+        "fold", "observer_id", "year_from", "year_to", "species_from", "species_to")
     obs_f, cols = _observer_features(summary)
     if obs_f is not None:
         rows = rows.join(obs_f, ["observer_id", "year_from"], "left").na.fill(0.0, cols)
@@ -72,13 +74,30 @@ def _reranker(weights: dict[int, tuple[np.ndarray, float]]):
     return rerank
 
 
+def holdout_losses(examples: DataFrame, reg_params: tuple[float, ...], max_iter: int = 50) -> dict[float, float]:
+    """Log loss on the held-out rows (M0d) of a classifier fitted on the others, per regularisation."""
+    rest, held = examples.where("not is_validation"), examples.where("is_validation")
+    if rest.select("label").distinct().count() < 2 or not held.limit(1).count():
+        return {}
+    losses = {}
+    for r in reg_params:
+        p = vector_to_array("probability")[1]
+        right = F.when(F.col("label") == 1.0, p).otherwise(1.0 - p)
+        fit = LogisticRegression(regParam=r, maxIter=max_iter).fit(rest)
+        losses[r] = fit.transform(held).agg(F.avg(-F.log(F.greatest(right, F.lit(1e-15))))).first()[0]
+    return losses
+
+
 def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_features: bool = True,
-                 alpha: float = 0.1, train_rows: int = 20_000, reg_param: float = 0.001,
-                 max_iter: int = 50, seed: int = 42) -> DataFrame:
+                 alpha: float = 0.1, train_rows: int = 20_000, reg_param: float | tuple[float, ...] = 0.001,
+                 max_iter: int = 50, seed: int = 42, chosen: dict | None = None) -> DataFrame:
     """M6: every unseen species of the catalogue, ranked by a per-fold logistic regression.
 
-    ``train_rows`` bounds the rows (not their species) that the classifiers are fitted on.
+    ``train_rows`` bounds the rows (not their species) that the classifiers are fitted on.  Of several
+    ``reg_param`` each fold takes the one with the least log loss on its holdout rows (M0d; ties: the
+    largest), then fits on all its rows; ``chosen`` is filled with fold -> {reg_param: loss}.
     """
+    reg_params = reg_param if isinstance(reg_param, tuple) else (reg_param,)
     model, n_blocks, size = fitted_model(data, alpha)
     rows = _rows(data, summary if use_features else None)
     n = rows.count()
@@ -91,9 +110,11 @@ def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_featur
     cols = [F.col("score"), F.col("share"), F.log(F.col("share") + SHARE_FLOOR),
             *[x[i] for i in range(width)], *[F.col("score") * x[i] for i in range(width)]]
     names = [f"x{i}" for i in range(len(cols))]
+    held = holdout_split(cut_lineage(sample, "learned-sample"), seed).select(
+        *KEY, "extra", "species_to", "is_validation")
     examples = cut_lineage(
-        pairs.join(sample.select(*KEY, "extra", "species_to"), KEY)
-        .select("fold", F.array_contains("species_to", F.col("species")).cast("double").alias("label"),
+        pairs.join(held, KEY)
+        .select("fold", "is_validation", F.array_contains("species_to", F.col("species")).cast("double").alias("label"),
                 *[c.alias(n) for c, n in zip(cols, names)]), "learned-examples")
     va = VectorAssembler(inputCols=names, outputCol="features")
     weights = {}
@@ -101,7 +122,13 @@ def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_featur
         earlier = va.transform(examples.where(F.col("fold") < f))
         if earlier.select("label").distinct().count() < 2:
             continue
-        fit = LogisticRegression(regParam=reg_param, maxIter=max_iter).fit(earlier)
+        best = max(reg_params)
+        if len(reg_params) > 1:
+            losses = holdout_losses(earlier, reg_params, max_iter)
+            best = min(losses, key=lambda r: (losses[r], -r), default=best)
+            if chosen is not None:
+                chosen[f] = losses
+        fit = LogisticRegression(regParam=best, maxIter=max_iter).fit(earlier)
         weights[f] = (fit.coefficients.toArray(), float(fit.intercept))
     scored = _block_scores(rows, model, n_blocks, k, size, alpha, rerank=_reranker(weights))
     return top_k(scored, k)

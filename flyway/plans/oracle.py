@@ -34,6 +34,18 @@ def with_(names: list[str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{CTE[n]}\n)" for n in order) + "\n" + body.strip()
 
 
+def with_in(names: list[str], body: str, **instead: str) -> str:
+    """``with_`` where each fragment of ``instead`` reads another fragment's rows (a regional run)."""
+    kept = {n: (CTE[n], DEPS[n]) for n in instead}
+    try:
+        for n, other in instead.items():
+            cte(n, f"SELECT * FROM {other}", [other])
+        return with_(names, body)
+    finally:
+        for n, (sql, deps) in kept.items():
+            cte(n, sql, deps)
+
+
 # ---------------------------------------------------------------- observation view
 cte("obs_raw", """
 SELECT CAST(o.o_custkey AS BIGINT) AS observer_id,

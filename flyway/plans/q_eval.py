@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -17,7 +19,9 @@ from ..models.learned import clip_count
 from ..models.popularity import (frozen_popularity, mean_count, mean_count_predict,
                                  popularity_topk)
 from ..operators.metrics import activity_bands, count_metrics, hits
+from ..operators.region import region_transitions
 from ..session import cut_lineage
+from ..sources import fixture as FX
 from ..sources import sinks as SK
 
 _CV_OUT = "SELECT model, fold, k, metric, round(value, 6) AS value FROM cv"
@@ -152,6 +156,27 @@ def q_feature_lift(spark, sf):
     return cmp_ready(feature_lift(w, wo))
 
 
+RANKED = ["precision@k", "recall@k", "map@k"]
+
+
+@register("region_feature_lift", O.with_in(["pred_cooc_long", "pred_cooc_noboost_long"], """
+SELECT 'EUROPE' AS region, 'collaborative' AS model, metric, round(a, 6) AS without, round(b, 6) AS with,
+       round(CASE WHEN a <> 0 THEN (b - a) / a * 100.0 END, 6) AS lift_pct
+FROM (SELECT metric, avg(value) AS a FROM pred_cooc_noboost_long GROUP BY metric)
+JOIN (SELECT metric, avg(value) AS b FROM pred_cooc_long GROUP BY metric) USING (metric)
+WHERE metric IN ('precision@k', 'recall@k', 'map@k')
+""", trans="trans_region"))
+def q_region_feature_lift(spark, sf):
+    """One region's run, with and without species features, per metric."""
+    states = FX.region_states(spark, sf, "EUROPE")
+    d = folded(spark, sf, trans=region_transitions(summary(spark, sf), states))
+    w, wo = (cut_lineage(evaluate_fold(d, "collaborative", create_model("collaborative", boost=b).recommend(d, O.K), O.K),
+                         "region-metrics") for b in (True, False))
+    lifts = [feature_lift(w, wo, m).withColumn("metric", F.lit(m)) for m in RANKED]
+    return cmp_ready(reduce(DataFrame.unionByName, lifts).select(
+        F.lit("EUROPE").alias("region"), "model", "metric", "without", "with", "lift_pct"))
+
+
 def _report_sql() -> str:
     def line(label: str, src: str) -> str:
         def r4(c: str) -> str:

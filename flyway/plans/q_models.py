@@ -157,6 +157,15 @@ def q_learned_topk(spark, sf):
     return learned_topk(d, k=O.K, summary=summary(spark, sf))
 
 
+@register("learned_holdout_choice")
+def q_learned_holdout_choice(spark, sf):
+    """M0d: per fold, the holdout log loss of every regularisation tried, and which one the fit took."""
+    d, losses = folded(spark, sf), {}
+    learned_topk(d, k=O.K, summary=summary(spark, sf), reg_param=(0.001, 0.01, 0.1), chosen=losses)
+    rows = [(f, r, v, r == min(by, key=lambda x: (by[x], -x))) for f, by in losses.items() for r, v in by.items()]
+    return spark.createDataFrame(rows, "fold int, reg_param double, log_loss double, chosen boolean")
+
+
 @register("count_regression")
 def q_count_regression(spark, sf):
     d = folded(spark, sf)

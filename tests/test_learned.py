@@ -73,3 +73,11 @@ def test_count_regression_beats_the_mean(spark, planted):
 def test_clip(spark):
     df = spark.createDataFrame([(-5.0,), (3.5,), (1e9,)], "p double")
     assert [r[0] for r in df.select(clip_count(F.col("p"))).collect()] == [0.0, 3.5, 10000.0]
+
+
+def test_holdout_chooses_the_regularisation(planted):
+    losses = {}
+    mine = precision(planted, learned_topk(planted, k=1, reg_param=(0.001, 5.0), chosen=losses))
+    assert set(losses) == {2, 3} and all(set(x) == {0.001, 5.0} for x in losses.values())
+    assert all(x[0.001] < x[5.0] for x in losses.values())            # a planted signal: shrinking it away costs
+    assert mine[3] == 1.0
