@@ -25,9 +25,9 @@ Scale notes
 * Counts are summed per year pair first and only then per fold through the
   tiny fold table, so a transition is never replicated into every fold.
 * Scoring never joins rows with species pairs.  The fitted table is cut into
-  column blocks of at most ``_MODEL_CELLS`` cells, one row per (fold, block); test
-  rows are packed into blocks as well; a block pair is scored by one matrix product
-  and leaves K rows per observer.  Popular species make no key, and whether the
+  column blocks of at most ``_MODEL_CELLS`` cells, one row per (fold, block), a compressed
+  sparse row matrix of integer codes; test rows are packed into blocks of codes as well; a
+  block pair is scored by one matrix product and leaves K rows per observer.  Popular species make no key, and whether the
   model rows are broadcast or shuffled is Spark's choice by their size.
 """
 
@@ -38,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -179,63 +180,97 @@ def boost_factor(features: DataFrame) -> DataFrame:
     return features.select(*keys, (F.lit(1.0) + F.lit(0.2) * F.col("popularity_score")).alias("boost"))
 
 
+MODEL_SCHEMA = "fold int, cb int, ends binary, at binary, n binary"
+
+
+def _pack_cells(n_species: int):
+    """applyInArrow over the cells (i, j, n_ij) of a (fold, column block): one compressed sparse row matrix.
+
+    ``ends`` (int64) holds where each of the ``n_species`` rows ends, ``at`` (int32) the columns, ``n`` (int64)
+    the counts.  A group has at most ``_MODEL_CELLS`` cells.
+    """
+    schema = pa.schema([("fold", pa.int32()), ("cb", pa.int32()), ("ends", pa.binary()),
+                        ("at", pa.binary()), ("n", pa.binary())])
+
+    def run(key, cells):
+        i, j, n = (cells.column(c).to_numpy() for c in ("i", "j", "n_ij"))
+        order = np.lexsort((j, i))
+        packed = (np.cumsum(np.bincount(i, minlength=n_species)), j[order].astype(np.int32), n[order])
+        return pa.Table.from_arrays([pa.array([k.as_py()], t.type) for k, t in zip(key, schema)]
+                                    + [pa.array([x.tobytes()], pa.binary()) for x in packed], schema=schema)
+
+    return run
+
+
 def _model_blocks(n_i: DataFrame, n_ij: DataFrame, catalogue: DataFrame, n_species: float,
                   alpha: float, boost: DataFrame | None) -> tuple[DataFrame, int]:
     """The fitted model as one row per (fold, column block), and the number of column blocks.
 
-    A row holds every species of the fold with its share and denominator, the block's
-    target species with their boost, and the block's non-zero counts.
+    A row holds, in catalogue order, the names, shares, denominators and boosts of all species, and
+    the block's counts as a compressed sparse row matrix (all species x the block's columns).
     """
     columns = int(max(1, min(n_species, _MODEL_CELLS // max(n_species, 1))))
     n_blocks = int(-(-n_species // columns)) or 1
-    codes = cut_lineage(species_index(catalogue), "cooc-codes").withColumn(
-        "cb", F.floor(F.col("species_idx") / columns).cast("int"))
-    stats = cut_lineage(history_share(n_i).withColumn("d_i", F.col("n_i") + F.lit(alpha * n_species)),
-                        "cooc-stats")
-    sources = stats.groupBy("fold").agg(F.collect_list(F.struct(
-        F.col("species").alias("s"), F.col("share").alias("share"), F.col("d_i").alias("d"))).alias("sources"))
+    codes = cut_lineage(species_index(catalogue), "cooc-codes")
+    stats = cut_lineage(history_share(n_i), "cooc-stats")
     folds = [r["fold"] for r in stats.select("fold").distinct().collect()]        # a few folds
-    targets = codes.select("species", "cb", F.explode(
+    species = codes.select("species", "species_idx", F.explode(
         F.array(*map(F.lit, sorted(folds))).cast("array<int>")).alias("fold"))
-    targets = targets.join(stats.select("fold", "species", "share"), ["fold", "species"], "left")
+    species = species.join(stats.select("fold", "species", "share", "n_i"), ["fold", "species"], "left")
     if boost is not None:
-        targets = targets.join(boost, [c for c in ("fold", "species") if c in boost.columns], "left")
+        species = species.join(boost, [c for c in ("fold", "species") if c in boost.columns], "left")
     else:
-        targets = targets.withColumn("boost", F.lit(1.0))
-    targets = targets.groupBy("fold", "cb").agg(F.sort_array(F.collect_list(F.struct(
-        F.col("species").alias("s"), F.coalesce("share", F.lit(0.0)).alias("share"),
-        F.coalesce("boost", F.lit(1.0)).alias("boost")))).alias("targets"))
-    cells = (n_ij.join(codes.select(F.col("species").alias("species_j"), "cb"), "species_j")
-             .groupBy("fold", "cb").agg(F.collect_list(F.struct(
-                 F.col("species_i").alias("i"), F.col("species_j").alias("j"), F.col("n_ij").alias("n"))).alias("cells")))
-    # At most species x columns cells per row: bounded by _MODEL_CELLS.
-    return (targets.join(sources, "fold").join(cells, ["fold", "cb"], "left"), n_blocks)
-
-
-def _pack_tests(max_rows: int, max_cells: int):
-    """mapInArrow: (fold, observer_id, species_from, extra) sorted by fold -> blocks of test rows."""
-    schema = pa.schema([("fold", pa.int32()), ("ids", pa.list_(pa.int64())),
-                        ("sets", pa.list_(pa.list_(pa.string()))),
+        species = species.withColumn("boost", F.lit(1.0))
+    species = (species.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct(      # S rows a fold
+                   "species_idx", F.col("species").alias("s"), F.coalesce("share", F.lit(0.0)).alias("share"),
+                   (F.coalesce("n_i", F.lit(0)) + F.lit(alpha * n_species)).alias("d"),
+                   F.coalesce("boost", F.lit(1.0)).alias("boost")))).alias("c"))
+               .select("fold", F.col("c.s").alias("names"), F.col("c.share").alias("shares"),
+                       F.col("c.d").alias("d"), F.col("c.boost").alias("boosts"),
+                       F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("cb"),
+                       F.lit(columns).alias("columns")))
+    code_i, code_j = (codes.select(F.col("species").alias(f"species_{x}"), F.col("species_idx").alias(x)) for x in "ij")
+    cells = (n_ij.join(code_i, "species_i").join(code_j, "species_j")
+             .select(F.col("fold").cast("int").alias("fold"), F.floor(F.col("j") / columns).cast("int").alias("cb"),
+                     "i", (F.col("j") % columns).alias("j"), "n_ij")
+             .groupBy("fold", "cb").applyInArrow(_pack_cells(int(n_species)), MODEL_SCHEMA))
+    return species.join(cells, ["fold", "cb"], "left"), n_blocks
+
+
+TEST_SCHEMA = ("fold int, ids array<bigint>, known array<string>, sizes binary, codes binary, "
+               "extras array<array<double>>")
+
+
+def _pack_tests(max_rows: int, max_codes: int):
+    """mapInArrow: (fold, observer_id, species_from, extra) sorted by fold -> blocks of test rows.
+
+    A block names each of its species once (``known``); ``codes`` (int32) are places in that list, the sets
+    one after the other, and ``sizes`` (int64) says how long each is.
+    """
+    schema = pa.schema([("fold", pa.int32()), ("ids", pa.list_(pa.int64())), ("known", pa.list_(pa.string())),
+                        ("sizes", pa.binary()), ("codes", pa.binary()),
                         ("extras", pa.list_(pa.list_(pa.float64())))])
 
     def run(batches):
-        fold, ids, sets, extras, names = None, [], [], [], set()
+        fold, ids, sizes, codes, extras, places = None, [], [], [], [], {}
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(
-                (fold, ids, sets, extras), schema)], schema=schema)
+            values = (fold, ids, list(places), np.array(sizes, np.int64).tobytes(),
+                      np.array(codes, np.int32).tobytes(), extras)
+            return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(values, schema)], schema=schema)
 
         for b in batches:
             for f, i, v, x in zip(*(b.column(c).to_pylist() for c in
                                     ("fold", "observer_id", "species_from", "extra"))):
-                if ids and (f != fold or len(ids) >= max_rows or len(ids) * len(names.union(v or [])) > max_cells):
+                v = v or []
+                if ids and (f != fold or len(ids) >= max_rows or len(codes) + len(v) > max_codes):
                     yield out()
-                    ids, sets, extras, names = [], [], [], set()
+                    ids, sizes, codes, extras, places = [], [], [], [], {}
                 fold = f
                 ids.append(i)
-                sets.append(v or [])
+                sizes.append(len(v))
+                codes.extend(places.setdefault(s, len(places)) for s in v)
                 extras.append(x)
-                names.update(v or [])
         if ids:
             yield out()
 
@@ -247,72 +282,86 @@ def _score_kernel(k: int | None, n_species: float, alpha: float, mode: str = "to
 
     ``mode`` "reached": every species that an observed pair reaches, seen or not, unboosted;
     "unseen": every unseen species, unboosted.  ``rerank(fold, score, share, extras)`` may
-    replace the score matrix of a block before the ranking.
+    replace the score matrix of a block before the ranking.  Model and sets arrive as number arrays and
+    the last model block is kept as a matrix, so a pair of blocks costs one product and the ranking.
     """
     schema = pa.schema([("fold", pa.int32()), ("observer_id", pa.int64()), ("species", pa.string()),
                         ("score", pa.float64()), ("share", pa.float64())])
 
-    def block(r):
-        code = {x["s"]: i for i, x in enumerate(r["sources"])}
-        share = np.array([x["share"] for x in r["sources"]])
-        d = np.array([x["d"] for x in r["sources"]])
-        names = np.array([x["s"] for x in r["targets"]], object)
-        place = {s: j for j, s in enumerate(names)}
-        t_share = np.array([x["share"] for x in r["targets"]])
-        boost = np.array([x["boost"] for x in r["targets"]])
-        m = np.zeros((len(code), len(names)))
-        cells = r["cells"] or []
-        m[[code[c["i"]] for c in cells], [place[c["j"]] for c in cells]] = [c["n"] for c in cells]
-        step = max(1, _MODEL_CELLS // max(len(code), len(names), 1))
-        for lo in range(0, len(r["ids"]), step):
-            sets = r["sets"][lo:lo + step]
-            n = len(sets)
-            a, seen = np.zeros((n, len(code))), np.zeros((n, len(names)), bool)
-            base, weight = np.zeros(n), np.zeros(n)
-            for row, v in enumerate(sets):
-                for s in v:
-                    i = code.get(s)
-                    w = 1.0 / (1.0 + (share[i] if i is not None else 0.0) * 10.0)
-                    d_i = d[i] if i is not None else alpha * n_species
-                    base[row] += w * (alpha / d_i if d_i > 0 else 1.0 / n_species)
-                    weight[row] += w
-                    if i is not None:
-                        a[row, i] = w / d_i
-                    j = place.get(s)
-                    if j is not None:
-                        seen[row, j] = True
-            num = a @ m
+    def model(b, i):
+        def numbers(c):
+            return b.column(c)[i].values.to_numpy()
+        names, share, d, boost = b.column("names")[i].values, numbers("shares"), numbers("d"), numbers("boosts")
+        lo = b.column("cb")[i].as_py() * b.column("columns")[i].as_py()
+        hi = min(lo + b.column("columns")[i].as_py(), len(names))
+        m = np.zeros((len(names), hi - lo))
+        if b.column("ends")[i].is_valid:
+            ends, at, n = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in
+                           (("ends", np.int64), ("at", np.int32), ("n", np.int64)))
+            m[np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), at] = n
+        w = 1.0 / (1.0 + np.append(share, 0.0) * 10.0)          # last place: species outside the catalogue
+        d = np.append(d, alpha * n_species)
+        c = np.divide(alpha, d, out=np.full(len(d), 1.0 / max(n_species, 1.0)), where=d > 0)
+        pull = np.divide(w, d, out=np.zeros(len(d)), where=d > 0)
+        return names, m, lo, hi, w, w * c, pull, share[lo:hi].copy(), boost[lo:hi].copy()
+
+    def block(b, i, held):
+        names, m, lo, hi, w, wc, pull, t_share, boost = held
+        fold = b.column("fold")[i].as_py()
+        ids, all_extras = b.column("ids")[i].values.to_numpy(), b.column("extras")[i].values
+        targets = names.slice(lo, hi - lo)
+        sizes, codes = (np.frombuffer(b.column(c)[i].as_buffer(), t) for c, t in
+                        (("sizes", np.int64), ("codes", np.int32)))
+        place = pc.fill_null(pc.index_in(b.column("known")[i].values, names), len(names)).to_numpy()
+        ends = np.append(0, np.cumsum(sizes))
+        step = max(1, _MODEL_CELLS // max(len(names), hi - lo, 1))
+        for first in range(0, len(ids), step):
+            n = min(step, len(ids) - first)
+            at = place[codes[ends[first]:ends[first + n]]]
+            row = np.repeat(np.arange(n), sizes[first:first + n])
+            base = np.bincount(row, wc[at], n)
+            weight = np.bincount(row, w[at], n)
+            inside, here = at < len(names), (at >= lo) & (at < hi)
+            a, seen = np.zeros((n, len(names))), np.zeros((n, hi - lo), bool)
+            a[row[inside], at[inside]] = pull[at[inside]]
+            seen[row[here], at[here] - lo] = True
+            score = a @ m
+            reached = score > 0 if mode == "reached" else None
             with np.errstate(divide="ignore", invalid="ignore"):
-                score = (num + base[:, None]) / weight[:, None]
-            empty = weight == 0                           # no history: popularity share
-            score[empty] = t_share
+                score += base[:, None]
+                score /= weight[:, None]
+            score[weight == 0] = t_share                        # no history: popularity share
             if mode == "reached":
-                row, j = np.nonzero(num > 0)
+                row, j = np.nonzero(reached)
             elif mode == "unseen":
                 row, j = np.nonzero(~seen)
             else:
                 score *= boost
                 if rerank is not None:
-                    score = rerank(r["fold"], score, t_share, r["extras"][lo:lo + step])
-                ranked = np.where(seen, -np.inf, np.round(score, 9))
+                    score = rerank(fold, score, t_share, all_extras.slice(first, n).to_pylist())
+                ranked = np.round(score, 9)
+                ranked[seen] = -np.inf
                 if ranked.shape[1] > k:
-                    floor = -np.partition(-ranked, k - 1, axis=1)[:, k - 1]
+                    floor = np.partition(ranked, ranked.shape[1] - k, axis=1)[:, ranked.shape[1] - k]
                     ranked[ranked < floor[:, None]] = -np.inf
                 row, j = np.nonzero(ranked > -np.inf)
                 order = np.lexsort((j, -ranked[row, j], row))      # targets lie in name order
                 row, j = row[order], j[order]
-                first = np.arange(len(row)) - np.searchsorted(row, row) < k
-                row, j = row[first], j[first]
-            ids = np.array(r["ids"][lo:lo + step], np.int64)
+                best = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, j = row[best], j[best]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(row), r["fold"]), pa.int32()), pa.array(ids[row]),
-                pa.array(names[j], pa.string()), pa.array(score[row, j]),
+                pa.array(np.full(len(row), fold), pa.int32()), pa.array(ids[first + row], pa.int64()),
+                targets.take(pa.array(j, pa.int64())), pa.array(score[row, j]),
                 pa.array(t_share[j])], schema=schema)
 
     def run(batches):
+        now, held = None, None
         for b in batches:
             for i in range(b.num_rows):
-                yield from block(b.slice(i, 1).to_pylist()[0])
+                key = b.column("fold")[i].as_py(), b.column("cb")[i].as_py()
+                if key != now:
+                    now, held = key, model(b, i)
+                yield from block(b, i, held)
 
     return run
 
@@ -323,11 +372,9 @@ def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | Non
     extra = F.col("extra") if "extra" in test.columns else F.lit(None).cast("array<double>").alias("extra")
     packed = (test.select(F.col("fold").cast("int").alias("fold"), "observer_id", "species_from", extra)
               .repartitionByRange("fold", "observer_id").sortWithinPartitions("fold")
-              .mapInArrow(_pack_tests(max_rows, _MODEL_CELLS), "fold int, ids array<bigint>, "
-                          "sets array<array<string>>, extras array<array<double>>")
+              .mapInArrow(_pack_tests(max_rows, _MODEL_CELLS), TEST_SCHEMA)
               .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
     return (packed.join(model, ["fold", "cb"])
-            .select("fold", "ids", "sets", "extras", "sources", "targets", "cells")
             .mapInArrow(_score_kernel(k, n_species, alpha, mode, rerank),
                         "fold int, observer_id bigint, species string, score double, share double"))
 
