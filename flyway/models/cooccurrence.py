@@ -207,30 +207,35 @@ def _model_blocks(n_i: DataFrame, n_ij: DataFrame, catalogue: DataFrame, n_speci
     """The fitted model as one row per (fold, column block), and the number of column blocks.
 
     A row holds, in catalogue order, the names, shares, denominators and boosts of all species, and
-    the block's counts as a compressed sparse row matrix (all species x the block's columns).
+    the block's counts as a compressed sparse row matrix (all species x the block's columns).  A catalogue
+    with a column ``fold`` differs between the folds; ``n_species`` is the size of the largest.
     """
     columns = int(max(1, min(n_species, _MODEL_CELLS // max(n_species, 1))))
     n_blocks = int(-(-n_species // columns)) or 1
     codes = cut_lineage(species_index(catalogue), "cooc-codes")
     stats = cut_lineage(history_share(n_i), "cooc-stats")
-    folds = [r["fold"] for r in stats.select("fold").distinct().collect()]        # a few folds
-    species = codes.select("species", "species_idx", F.explode(
-        F.array(*map(F.lit, sorted(folds))).cast("array<int>")).alias("fold"))
-    species = species.join(stats.select("fold", "species", "share", "n_i"), ["fold", "species"], "left")
+    own = [c for c in ("fold",) if c in codes.columns]
+    species = codes
+    if not own:
+        folds = [r["fold"] for r in stats.select("fold").distinct().collect()]    # a few folds
+        species = codes.select("species", "species_idx", F.explode(
+            F.array(*map(F.lit, sorted(folds))).cast("array<int>")).alias("fold"))
+    size = F.count(F.lit(1)).over(Window.partitionBy("fold"))
+    species = species.withColumn("d0", F.lit(alpha) * size).join(stats.select("fold", "species", "share", "n_i"), ["fold", "species"], "left")
     if boost is not None:
         species = species.join(boost, [c for c in ("fold", "species") if c in boost.columns], "left")
     else:
         species = species.withColumn("boost", F.lit(1.0))
     species = (species.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct(      # S rows a fold
                    "species_idx", F.col("species").alias("s"), F.coalesce("share", F.lit(0.0)).alias("share"),
-                   (F.coalesce("n_i", F.lit(0)) + F.lit(alpha * n_species)).alias("d"),
+                   (F.coalesce("n_i", F.lit(0)) + F.col("d0")).alias("d"),
                    F.coalesce("boost", F.lit(1.0)).alias("boost")))).alias("c"))
                .select("fold", F.col("c.s").alias("names"), F.col("c.share").alias("shares"),
                        F.col("c.d").alias("d"), F.col("c.boost").alias("boosts"),
-                       F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("cb"),
+                       F.explode(F.sequence(F.lit(0), F.floor((F.size("c") - 1) / columns).cast("int"))).alias("cb"),
                        F.lit(columns).alias("columns")))
-    code_i, code_j = (codes.select(F.col("species").alias(f"species_{x}"), F.col("species_idx").alias(x)) for x in "ij")
-    cells = (n_ij.join(code_i, "species_i").join(code_j, "species_j")
+    code_i, code_j = (codes.select(*own, F.col("species").alias(f"species_{x}"), F.col("species_idx").alias(x)) for x in "ij")
+    cells = (n_ij.join(code_i, [*own, "species_i"]).join(code_j, [*own, "species_j"])
              .select(F.col("fold").cast("int").alias("fold"), F.floor(F.col("j") / columns).cast("int").alias("cb"),
                      "i", (F.col("j") % columns).alias("j"), "n_ij")
              .groupBy("fold", "cb").applyInArrow(_pack_cells(int(n_species)), MODEL_SCHEMA))
@@ -277,7 +282,7 @@ def _pack_tests(max_rows: int, max_codes: int):
     return run
 
 
-def _score_kernel(k: int | None, n_species: float, alpha: float, mode: str = "top", rerank=None):
+def _score_kernel(k: int | None, alpha: float, mode: str = "top", rerank=None):
     """mapInArrow over (test block, model block): the K best unseen species of every row.
 
     ``mode`` "reached": every species that an observed pair reaches, seen or not, unboosted;
@@ -300,8 +305,8 @@ def _score_kernel(k: int | None, n_species: float, alpha: float, mode: str = "to
                            (("ends", np.int64), ("at", np.int32), ("n", np.int64)))
             m[np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), at] = n
         w = 1.0 / (1.0 + np.append(share, 0.0) * 10.0)          # last place: species outside the catalogue
-        d = np.append(d, alpha * n_species)
-        c = np.divide(alpha, d, out=np.full(len(d), 1.0 / max(n_species, 1.0)), where=d > 0)
+        d = np.append(d, alpha * len(names))
+        c = np.divide(alpha, d, out=np.full(len(d), 1.0 / len(names)), where=d > 0)
         pull = np.divide(w, d, out=np.zeros(len(d)), where=d > 0)
         return names, m, lo, hi, w, w * c, pull, share[lo:hi].copy(), boost[lo:hi].copy()
 
@@ -366,7 +371,7 @@ def _score_kernel(k: int | None, n_species: float, alpha: float, mode: str = "to
     return run
 
 
-def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | None, n_species: float,
+def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | None,
                   alpha: float, mode: str = "top", rerank=None, max_rows: int = 2048) -> DataFrame:
     """(fold, observer_id, species, score, share); ``test`` may carry an array column ``extra``."""
     extra = F.col("extra") if "extra" in test.columns else F.lit(None).cast("array<double>").alias("extra")
@@ -375,17 +380,22 @@ def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | Non
               .mapInArrow(_pack_tests(max_rows, _MODEL_CELLS), TEST_SCHEMA)
               .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
     return (packed.join(model, ["fold", "cb"])
-            .mapInArrow(_score_kernel(k, n_species, alpha, mode, rerank),
+            .mapInArrow(_score_kernel(k, alpha, mode, rerank),
                         "fold int, observer_id bigint, species string, score double, share double"))
 
 
+def _largest(n_species: DataFrame) -> float:
+    """The size of the largest catalogue (one row, or one a fold)."""
+    return float(n_species.agg(F.max("n_species")).first()[0] or 0)
+
+
 def fitted_model(data, alpha: float = 0.1, features: DataFrame | None = None) -> tuple:
-    """The written model blocks of every fold, the number of column blocks and the catalogue size."""
-    size = float(data.n_species.first()["n_species"])
+    """The written model blocks of every fold and the number of column blocks."""
+    size = _largest(data.n_species)
     n_i, n_ij = fit_counts(data.transitions, data.folds)
     boost = boost_factor(features) if features is not None else None
     model, n_blocks = _model_blocks(n_i, n_ij, data.catalogue, size, alpha, boost)
-    return cut_lineage(model, "cooc-model"), n_blocks, size
+    return cut_lineage(model, "cooc-model"), n_blocks
 
 
 def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
@@ -399,23 +409,23 @@ def cooccurrence_topk(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame,
     the popularity boost; ``min_cooccurrence`` optionally drops rare pairs (the
     reference stores but never applies it: default off).
     """
-    size = float(n_species.first()["n_species"])
+    size = _largest(n_species)
     n_i, n_ij = fit_counts(trans, folds)
     if min_cooccurrence:
         n_ij = n_ij.where(F.col("n_ij") >= min_cooccurrence)
     boost = boost_factor(features) if features is not None else None
     model, n_blocks = _model_blocks(n_i, n_ij, catalogue, size, alpha, boost)
     test = test_rows(fold_trans) if query_rows is None else query_rows
-    return top_k(_block_scores(test, cut_lineage(model, "cooc-model"), n_blocks, k, size, alpha), k)
+    return top_k(_block_scores(test, cut_lineage(model, "cooc-model"), n_blocks, k, alpha), k)
 
 
 def cooc_raw_scores(fold_trans: DataFrame, trans: DataFrame, folds: DataFrame, catalogue: DataFrame,
                     n_species: DataFrame, alpha: float = 0.1) -> DataFrame:
     """Per test row, the unboosted score of every species reached by an
     observed pair from its history (viewed species included, before exclusion)."""
-    size = float(n_species.first()["n_species"])
+    size = _largest(n_species)
     n_i, n_ij = fit_counts(trans, folds)
     model, n_blocks = _model_blocks(n_i, n_ij, catalogue, size, alpha, None)
-    scores = _block_scores(test_rows(fold_trans), cut_lineage(model, "cooc-model"), n_blocks, None, size, alpha,
+    scores = _block_scores(test_rows(fold_trans), cut_lineage(model, "cooc-model"), n_blocks, None, alpha,
                            "reached")
     return scores.drop("share")

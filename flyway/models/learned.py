@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import SUMMARY_MODEL_FEATURES, temporal_from_summary
-from ..operators.folds import holdout_split
+from ..operators.folds import FOLDS_APART, holdout_split
 from ..session import cut_lineage
 from .common import KEY, top_k
 from .cooccurrence import _block_scores, fitted_model
@@ -49,15 +49,16 @@ def _observer_features(summary: DataFrame | None) -> tuple[DataFrame | None, lis
     return tf, list(SUMMARY_MODEL_FEATURES)
 
 
-def _rows(data, summary: DataFrame | None) -> DataFrame:
+def _rows(data, summary: DataFrame | None, featured=None) -> DataFrame:
     """Test rows of every fold with their row features as the array ``extra``."""
     rows = data.fold_trans.where(F.col("role") == "test").select(
         "fold", "observer_id", "year_from", "year_to", "species_from", "species_to")
     obs_f, cols = _observer_features(summary)
     if obs_f is not None:
         rows = rows.join(obs_f, ["observer_id", "year_from"], "left").na.fill(0.0, cols)
+    values = [F.col(c) if featured is None else F.when(featured, F.col(c)).otherwise(0.0) for c in cols]
     return cut_lineage(rows.withColumn("extra", F.array(
-        F.log1p(F.size("species_from").cast("double")), *map(F.col, cols))), "learned-rows")
+        F.log1p(F.size("species_from").cast("double")), *values)), "learned-rows")
 
 
 def _reranker(weights: dict[int, tuple[np.ndarray, float]]):
@@ -90,21 +91,24 @@ def holdout_losses(examples: DataFrame, reg_params: tuple[float, ...], max_iter:
 
 def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_features: bool = True,
                  alpha: float = 0.1, train_rows: int = 20_000, reg_param: float | tuple[float, ...] = 0.001,
-                 max_iter: int = 50, seed: int = 42, chosen: dict | None = None) -> DataFrame:
+                 max_iter: int = 50, seed: int = 42, chosen: dict | None = None,
+                 featured=None) -> DataFrame:
     """M6: every unseen species of the catalogue, ranked by a per-fold logistic regression.
 
     ``train_rows`` bounds the rows (not their species) that the classifiers are fitted on.  Of several
     ``reg_param`` each fold takes the one with the least log loss on its holdout rows (M0d; ties: the
     largest), then fits on all its rows; ``chosen`` is filled with fold -> {reg_param: loss}.
+    ``featured``: a predicate on ``fold``; where it does not hold the observer features are 0 and get no weight.
+    Folds learn from earlier folds of their own scenario only (``FOLDS_APART``).
     """
     reg_params = reg_param if isinstance(reg_param, tuple) else (reg_param,)
-    model, n_blocks, size = fitted_model(data, alpha)
-    rows = _rows(data, summary if use_features else None)
+    model, n_blocks = fitted_model(data, alpha)
+    rows = _rows(data, summary if use_features else None, featured)
     n = rows.count()
     h = F.pmod(F.xxhash64("fold", "observer_id", F.lit(seed)), F.lit(1 << 31))
     sample = rows.where(h < int(min(1.0, 2 * train_rows / max(n, 1)) * (1 << 31)))
     sample = sample.orderBy(h, "fold", "observer_id").limit(train_rows)
-    pairs = _block_scores(sample, model, n_blocks, None, size, alpha, "unseen")
+    pairs = _block_scores(sample, model, n_blocks, None, alpha, "unseen")
     x = F.col("extra")
     width = len(SUMMARY_MODEL_FEATURES) + 1 if use_features and summary is not None else 1
     cols = [F.col("score"), F.col("share"), F.log(F.col("share") + SHARE_FLOOR),
@@ -119,7 +123,7 @@ def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_featur
     va = VectorAssembler(inputCols=names, outputCol="features")
     weights = {}
     for f in sorted(r["fold"] for r in rows.select("fold").distinct().collect()):
-        earlier = va.transform(examples.where(F.col("fold") < f))
+        earlier = va.transform(examples.where((F.col("fold") < f) & (F.col("fold") >= f - f % FOLDS_APART)))
         if earlier.select("label").distinct().count() < 2:
             continue
         best = max(reg_params)
@@ -130,7 +134,7 @@ def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_featur
                 chosen[f] = losses
         fit = LogisticRegression(regParam=best, maxIter=max_iter).fit(earlier)
         weights[f] = (fit.coefficients.toArray(), float(fit.intercept))
-    scored = _block_scores(rows, model, n_blocks, k, size, alpha, rerank=_reranker(weights))
+    scored = _block_scores(rows, model, n_blocks, k, alpha, rerank=_reranker(weights))
     return top_k(scored, k)
 
 

@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Folds of one scenario (region, features) are numbered from a multiple of this: scenario * 100 + fold.
+FOLDS_APART = 100
+
 MODES = ("consecutive", "lexicographic", "ending_before")
 
 
-def cv_folds(trans: DataFrame, n_folds: int = 4, mode: str = "consecutive") -> DataFrame:
+def cv_folds(trans: DataFrame, n_folds: int = 4, mode: str = "consecutive", by: tuple[str, ...] = ()) -> DataFrame:
     """Fold f tests the (f+1)-th year pair and trains on the pairs before it.
 
     * ``consecutive`` (default): only calendar-adjacent pairs (the documented design).
@@ -21,28 +24,31 @@ def cv_folds(trans: DataFrame, n_folds: int = 4, mode: str = "consecutive") -> D
       (what the original code does).
     * ``ending_before``: tests as ``consecutive``; trains on every pair, gaps
       included, whose target year is before the test's target year.
-    Emits min(n_folds, #pairs - 1) folds.
+    Emits min(n_folds, #pairs - 1) folds, for each value of the columns ``by`` (regions).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    pairs_all = trans.select("year_from", "year_to").distinct()
+    pairs_all = trans.select(*by, "year_from", "year_to").distinct()
     cons = pairs_all.where(F.col("year_to") == F.col("year_from") + 1)
     ranked_src = pairs_all if mode == "lexicographic" else cons
     # A tiny table (distinct year pairs): a global window is one small task.
-    w = Window.orderBy("year_from", "year_to")
+    w = Window.partitionBy(*by).orderBy("year_from", "year_to")
     ranked = (ranked_src.withColumn("rn", F.row_number().over(w))
-                        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy())))
+                        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*by))))
     nf = F.least(F.lit(n_folds), F.col("n") - 1)
     test = (ranked.where((F.col("rn") >= 2) & (F.col("rn") - 1 <= nf))
-                  .select((F.col("rn") - 1).cast("int").alias("fold"),
+                  .select(*by, (F.col("rn") - 1).cast("int").alias("fold"),
                           F.lit("test").alias("role"), "year_from", "year_to"))
     if mode == "ending_before":
-        t = test.select("fold", F.col("year_to").alias("_test_to"))
-        train = (pairs_all.join(F.broadcast(t), F.col("year_to") < F.col("_test_to"))
-                          .select("fold", F.lit("train").alias("role"), "year_from", "year_to"))
+        t = test.select(*[F.col(c).alias(f"_{c}") for c in by], "fold", F.col("year_to").alias("_test_to"))
+        before = F.col("year_to") < F.col("_test_to")
+        for c in by:
+            before &= F.col(c) == F.col(f"_{c}")
+        train = (pairs_all.join(F.broadcast(t), before)
+                          .select(*by, "fold", F.lit("train").alias("role"), "year_from", "year_to"))
     else:
         train = (ranked.where(F.col("rn") <= nf)
-                       .select(F.explode(F.sequence(F.col("rn").cast("int"), nf.cast("int")))
+                       .select(*by, F.explode(F.sequence(F.col("rn").cast("int"), nf.cast("int")))
                                 .alias("fold"),
                                F.lit("train").alias("role"), "year_from", "year_to"))
     return train.unionByName(test)

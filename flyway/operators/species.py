@@ -18,9 +18,13 @@ def all_species(trans: DataFrame) -> DataFrame:
 
 
 def species_index(catalogue: DataFrame) -> DataFrame:
-    """Alphabetical species -> 0-based index -- J8 / O2 (StringIndexer alphabetAsc)."""
-    w = Window.orderBy("species")  # S rows: one small task
-    return catalogue.select("species", (F.row_number().over(w) - 1).cast("int").alias("species_idx"))
+    """Alphabetical species -> 0-based index -- J8 / O2 (StringIndexer alphabetAsc).
+
+    A catalogue per fold (it has a column ``fold``) is numbered per fold.
+    """
+    keys = [c for c in ("fold",) if c in catalogue.columns]
+    w = Window.partitionBy(*keys).orderBy("species")  # S rows: one small task
+    return catalogue.select(*keys, "species", (F.row_number().over(w) - 1).cast("int").alias("species_idx"))
 
 
 def interaction_long(trans: DataFrame, keys: list[str]) -> DataFrame:

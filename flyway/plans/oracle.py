@@ -496,25 +496,27 @@ FROM summ
 
 
 # ---------------------------------------------------------------- region
-cte("europe", """
+def region_ctes(name: str, states: str, summ: str, trans: str) -> None:
+    cte(states, f"""
 SELECT n.n_name AS state FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE r.r_name = 'EUROPE'
+WHERE r.r_name = '{name}'
 """)
-
-cte("summ_region", """
+    cte(summ, f"""
 SELECT * FROM summ s
 WHERE coalesce(len(list_intersect(list_transform(s.state, lambda x: trim(x)),
-                                  (SELECT list(state) FROM europe))) > 0, false)
-""", ["summ", "europe"])
-
-cte("trans_region", """
+                                  (SELECT list(state) FROM {states}))) > 0, false)
+""", ["summ", states])
+    cte(trans, f"""
 SELECT * FROM (
   SELECT observer_id, year AS year_from,
          lead(year) OVER (PARTITION BY observer_id ORDER BY year) AS year_to,
          scientific_name AS species_from,
          lead(scientific_name) OVER (PARTITION BY observer_id ORDER BY year) AS species_to
-  FROM summ_region) WHERE year_to IS NOT NULL
-""", ["summ_region"])
+  FROM {summ}) WHERE year_to IS NOT NULL
+""", [summ])
+
+
+region_ctes("EUROPE", "europe", "summ_region", "trans_region")
 
 
 def cv_cte() -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -203,3 +206,67 @@ SELECT fold, observer_id, CAST(count(*) AS BIGINT) AS n_candidates FROM nb_pairs
 """))
 def q_neighbor_pairs(spark, sf):
     return neighbor_search(*_nb_frames(spark, sf), output="counts")
+
+
+# ---------------------------------------------------------------- scenario grid
+from ..sources.fixture import region_states  # noqa: E402
+from .scenarios import scenario_data, scenario_lift, scenario_metrics, scenario_predictions  # noqa: E402
+
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+O.metric_ctes("pred_cooc_noboost")
+
+
+def _scenario_sql(body: str) -> str:
+    """``body`` over the metrics of every scenario: one regional run of the SQL models after the other."""
+    runs = []
+    for name in [None, *REGIONS]:
+        select = "\nUNION ALL\n".join(
+            f"SELECT '{name or 'everywhere'}' AS region, {flag} AS features, 'collaborative' AS model, fold, k, metric, "
+            f"value FROM {cte} WHERE metric IN ('precision@k', 'recall@k', 'map@k')"
+            for flag, cte in (("false", "pred_cooc_noboost_long"), ("true", "pred_cooc_long")))
+        names, instead = ["pred_cooc_long", "pred_cooc_noboost_long"], {}
+        if name:
+            short = name.lower().replace(" ", "_")
+            O.region_ctes(name, f"states_{short}", f"summ_{short}", f"trans_{short}")
+            instead = {"trans": f"trans_{short}"}
+        runs.append(f"SELECT * FROM ({O.with_in(names, select, **instead)})")
+    return f"WITH grid AS ({chr(10)}{(chr(10) + 'UNION ALL' + chr(10)).join(runs)})\n{body.strip()}"
+
+
+def _scenarios(spark, sf, regions):
+    allowed = {"everywhere": None, **{r: region_states(spark, sf, r) for r in regions}}
+    full = cut_lineage(summary(spark, sf), "summary")
+    return full, scenario_data(full, allowed)
+
+
+def _collaborative_grid(spark, sf):
+    d = _scenarios(spark, sf, REGIONS)[1]
+    return scenario_metrics(d, scenario_predictions(d, "collaborative", O.K), "collaborative", O.K)
+
+
+@register("scenario_metrics", _scenario_sql("""
+SELECT region, features, model, fold, k, metric, round(value, 6) AS value FROM grid
+"""))
+def q_scenario_metrics(spark, sf):
+    """Every region with and without species features, one fit and one scoring for all of them."""
+    return cmp_ready(_collaborative_grid(spark, sf))
+
+
+@register("scenario_lift", _scenario_sql("""
+SELECT region, model, metric, round(a, 6) AS without, round(b, 6) AS with,
+       round(CASE WHEN a <> 0 THEN (b - a) / a * 100.0 END, 6) AS lift_pct
+FROM (SELECT region, model, metric, avg(value) FILTER (WHERE NOT features) AS a,
+             avg(value) FILTER (WHERE features) AS b
+      FROM grid GROUP BY region, model, metric)
+"""))
+def q_scenario_lift(spark, sf):
+    return cmp_ready(scenario_lift(_collaborative_grid(spark, sf)))
+
+
+@register("scenario_lift_models")
+def q_scenario_lift_models(spark, sf):
+    """Lift of the three models that take features, nationally and in one region (the learned one has no SQL form)."""
+    full, d = _scenarios(spark, sf, ["EUROPE"])
+    parts = [scenario_metrics(d, scenario_predictions(d, m, O.K, full), m, O.K)
+             for m in ("collaborative", "user_collaborative", "neural")]
+    return scenario_lift(reduce(DataFrame.unionByName, parts))
