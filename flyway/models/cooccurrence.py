@@ -282,12 +282,13 @@ def _pack_tests(max_rows: int, max_codes: int):
     return run
 
 
-def _score_kernel(k: int | None, alpha: float, mode: str = "top", rerank=None):
+def _score_kernel(k, alpha: float, mode: str = "top", rerank=None):
     """mapInArrow over (test block, model block): the K best unseen species of every row.
 
     ``mode`` "reached": every species that an observed pair reaches, seen or not, unboosted;
     "unseen": every unseen species, unboosted.  ``rerank(fold, score, share, extras)`` may
-    replace the score matrix of a block before the ranking.  Model and sets arrive as number arrays and
+    replace the score matrix of a block before the ranking.  ``k`` may be a function of the rows' extras
+    that gives each row its own number.  Model and sets arrive as number arrays and
     the last model block is kept as a matrix, so a pair of blocks costs one product and the ranking.
     """
     schema = pa.schema([("fold", pa.int32()), ("observer_id", pa.int64()), ("species", pa.string()),
@@ -342,17 +343,20 @@ def _score_kernel(k: int | None, alpha: float, mode: str = "top", rerank=None):
                 row, j = np.nonzero(~seen)
             else:
                 score *= boost
+                extras = all_extras.slice(first, n).to_pylist() if rerank is not None or callable(k) else None
                 if rerank is not None:
-                    score = rerank(fold, score, t_share, all_extras.slice(first, n).to_pylist())
+                    score = rerank(fold, score, t_share, extras)
+                ks = np.asarray(k(extras)) if callable(k) else np.full(n, k)
+                most = int(ks.max())
                 ranked = np.round(score, 9)
                 ranked[seen] = -np.inf
-                if ranked.shape[1] > k:
-                    floor = np.partition(ranked, ranked.shape[1] - k, axis=1)[:, ranked.shape[1] - k]
+                if ranked.shape[1] > most:
+                    floor = np.partition(ranked, ranked.shape[1] - most, axis=1)[:, ranked.shape[1] - most]
                     ranked[ranked < floor[:, None]] = -np.inf
                 row, j = np.nonzero(ranked > -np.inf)
                 order = np.lexsort((j, -ranked[row, j], row))      # targets lie in name order
                 row, j = row[order], j[order]
-                best = np.arange(len(row)) - np.searchsorted(row, row) < k
+                best = np.arange(len(row)) - np.searchsorted(row, row) < ks[row]
                 row, j = row[best], j[best]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(row), fold), pa.int32()), pa.array(ids[first + row], pa.int64()),
@@ -371,7 +375,7 @@ def _score_kernel(k: int | None, alpha: float, mode: str = "top", rerank=None):
     return run
 
 
-def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k: int | None,
+def _block_scores(test: DataFrame, model: DataFrame, n_blocks: int, k,
                   alpha: float, mode: str = "top", rerank=None, max_rows: int = 2048) -> DataFrame:
     """(fold, observer_id, species, score, share); ``test`` may carry an array column ``extra``."""
     extra = F.col("extra") if "extra" in test.columns else F.lit(None).cast("array<double>").alias("extra")

@@ -30,6 +30,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import predicted_k
 from ..operators.features import SUMMARY_MODEL_FEATURES, temporal_from_summary
 from ..operators.folds import FOLDS_APART, holdout_split
 from ..session import cut_lineage
@@ -92,13 +93,14 @@ def holdout_losses(examples: DataFrame, reg_params: tuple[float, ...], max_iter:
 def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_features: bool = True,
                  alpha: float = 0.1, train_rows: int = 20_000, reg_param: float | tuple[float, ...] = 0.001,
                  max_iter: int = 50, seed: int = 42, chosen: dict | None = None,
-                 featured=None) -> DataFrame:
+                 featured=None, own_k: DataFrame | None = None) -> DataFrame:
     """M6: every unseen species of the catalogue, ranked by a per-fold logistic regression.
 
     ``train_rows`` bounds the rows (not their species) that the classifiers are fitted on.  Of several
     ``reg_param`` each fold takes the one with the least log loss on its holdout rows (M0d; ties: the
     largest), then fits on all its rows; ``chosen`` is filled with fold -> {reg_param: loss}.
     ``featured``: a predicate on ``fold``; where it does not hold the observer features are 0 and get no weight.
+    ``own_k`` (fold, observer_id, kk) gives every observer a K of its own instead of ``k``.
     Folds learn from earlier folds of their own scenario only (``FOLDS_APART``).
     """
     reg_params = reg_param if isinstance(reg_param, tuple) else (reg_param,)
@@ -134,8 +136,25 @@ def learned_topk(data, k: int = 10, summary: DataFrame | None = None, use_featur
                 chosen[f] = losses
         fit = LogisticRegression(regParam=best, maxIter=max_iter).fit(earlier)
         weights[f] = (fit.coefficients.toArray(), float(fit.intercept))
-    scored = _block_scores(rows, model, n_blocks, k, alpha, rerank=_reranker(weights))
-    return top_k(scored, k)
+    rerank = _reranker(weights)
+    if own_k is None:
+        return top_k(_block_scores(rows, model, n_blocks, k, alpha, rerank=rerank), k)
+    own_k = own_k.select(*KEY, "kk")                # K travels behind the row features into the kernel
+    rows = rows.join(own_k, KEY).withColumn("extra", F.array_append("extra", F.col("kk").cast("double"))).drop("kk")
+    scored = _block_scores(rows, model, n_blocks, lambda extras: [int(x[-1]) for x in extras], alpha,
+                           rerank=lambda fold, score, share, extras: rerank(fold, score, share, [x[:-1] for x in extras]))
+    return top_k(scored.join(own_k, KEY), "kk")
+
+
+def learned_at_counts(data, summary: DataFrame, **params) -> DataFrame:
+    """The learned ranking cut at each observer's own learned next-year count -- W7.
+
+    K = the count, rounded half to even, at least 1 and at most the catalogue.
+    """
+    counts, _ = count_regression(data, summary)
+    size = data.n_species.select("n_species").scalar()
+    own_k = cut_lineage(counts.select(*KEY, predicted_k(F.col("predicted"), size).alias("kk")), "learned-k")
+    return learned_topk(data, summary=summary, own_k=own_k, **params)
 
 
 def count_regression(data, summary: DataFrame, use_features: bool = True,

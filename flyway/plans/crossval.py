@@ -60,6 +60,16 @@ def baseline_counts(data, summary: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pred, actual
 
 
+def count_errors(data, summary: DataFrame) -> DataFrame:
+    """(model, fold, k, metric, value): count metrics of every model that predicts counts, without rankings."""
+    runs = {"baseline": baseline_counts(data, summary.select("observer_id", "year", "total_observations")),
+            "neural": count_regression(data, summary)}
+    return reduce(DataFrame.unionByName, [
+        count_metrics(p.join(a, ["fold", "observer_id"]), ["fold"])
+        .select(F.lit(name).alias("model"), "fold", F.lit(0).alias("k"), "metric", "value")
+        for name, (p, a) in runs.items()])
+
+
 def cross_validate(data, models: dict[str, dict] | None = None, k: int | list[int] = 10,
                    summary: DataFrame | None = None, k_of: dict[str, int | list[int]] | None = None) -> DataFrame:
     """(model, fold, k, metric, value) for every model and fold -- M9.

@@ -9,6 +9,7 @@ from .pipeline import folded, observed, summary
 from .registry import cmp_ready, register
 from ..operators import features as FE
 from ..operators import onehot as OH
+from ..operators.species import fold_species_features
 from ..session import cut_lineage
 
 _NUM_SETS = ["effort_hours", "effort_distance_km", "duration_minutes"]
@@ -341,6 +342,14 @@ def q_prepared_fold(spark, sf):
         "fold", "role", "observer_id", "year_from", "feature", "scaled"))
 
 
+@register("prepared_fold_species", O.with_(["sfeat"], """
+SELECT fold, species, total_viewers, popularity, round(popularity_score, 6) AS popularity_score FROM sfeat
+"""))
+def q_prepared_fold_species(spark, sf):
+    """The species features that a fold's models are given, from the fold's training rows alone."""
+    return cmp_ready(fold_species_features(folded(spark, sf).fold_trans).drop("viewers_by_year"))
+
+
 @register("prepared_fold_full", O.with_(["scaled", "hot_state", "hot_county"], """
 SELECT fold, role, observer_id, year_from, feature, round(scaled, 6) AS value FROM scaled
 UNION ALL SELECT fold, role, observer_id, year_from, feature, round(value, 6) FROM hot_state

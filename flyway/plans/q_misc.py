@@ -190,37 +190,46 @@ def q_union_years(spark, sf):
     return u.groupBy("year").agg(F.count(F.lit(1)).alias("n_observer_years"))
 
 
-_SETS_SQL = O.with_(["trans"], f"""
-SELECT {_T}, len(list_intersect(species_from, species_to)) AS n_common,
-       len(list_distinct(list_concat(species_from, species_to))) AS n_union,
-       array_to_string(list_sort(list_filter(species_to, lambda x: NOT list_contains(species_from, x))), ',')
-         AS new_species
-FROM trans
-""")
+def _sets(spark, sf, **columns):
+    return all_transitions(spark, sf).select("observer_id", "year_from", "year_to",
+                                             *[c.alias(n) for n, c in columns.items()])
 
 
-def _sets(spark, sf):
-    t = all_transitions(spark, sf)
-    return t.select("observer_id", "year_from", "year_to",
-                    F.size(F.array_intersect("species_from", "species_to")).alias("n_common"),
-                    F.size(F.array_union("species_from", "species_to")).alias("n_union"),
-                    F.array_join(F.array_sort(F.array_except("species_to", "species_from")), ",")
-                     .alias("new_species"))
+def _joined(c):
+    return F.array_join(F.array_sort(c), ",")
 
 
-@register("set_intersect", _SETS_SQL)
+@register("set_intersect", O.with_(["trans"], f"""
+SELECT {_T}, CAST(len(list_intersect(species_from, species_to)) AS INTEGER) AS n_common,
+       array_to_string(list_sort(list_intersect(species_from, species_to)), ',') AS common_species FROM trans
+"""))
 def q_set_intersect(spark, sf):
-    return _sets(spark, sf)
+    """Species seen in both years."""
+    both = F.array_intersect("species_from", "species_to")
+    return _sets(spark, sf, n_common=F.size(both), common_species=_joined(both))
 
 
-@register("set_union", _SETS_SQL)
+@register("set_union", O.with_(["trans"], f"""
+SELECT {_T}, CAST(len(list_distinct(list_concat(species_from, species_to))) AS INTEGER) AS n_union,
+       array_to_string(list_sort(list_distinct(list_concat(species_from, species_to))), ',') AS all_species FROM trans
+"""))
 def q_set_union(spark, sf):
-    return _sets(spark, sf)
+    """Species seen in either year (the training set of a transition)."""
+    either = F.array_union("species_from", "species_to")
+    return _sets(spark, sf, n_union=F.size(either), all_species=_joined(either))
 
 
-@register("set_difference", _SETS_SQL)
+@register("set_difference", O.with_(["trans"], f"""
+SELECT {_T},
+       array_to_string(list_sort(list_filter(species_to, lambda x: NOT list_contains(species_from, x))), ',')
+         AS new_species,
+       array_to_string(list_sort(list_filter(species_from, lambda x: NOT list_contains(species_to, x))), ',')
+         AS lost_species FROM trans
+"""))
 def q_set_difference(spark, sf):
-    return _sets(spark, sf)
+    """U4: species new in the later year, and those seen in the earlier one only."""
+    return _sets(spark, sf, new_species=_joined(F.array_except("species_to", "species_from")),
+                 lost_species=_joined(F.array_except("species_from", "species_to")))
 
 
 @register("similarity", O.with_(["trans"], f"""

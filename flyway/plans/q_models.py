@@ -143,9 +143,10 @@ def q_lsh_recall(spark, sf):
 # ---------------------------------------------------------------- MLlib models (rows-only)
 from .pipeline import summary  # noqa: E402
 from ..models.latent import latent_topk  # noqa: E402
-from ..models.learned import count_regression, learned_topk  # noqa: E402
+from ..models.learned import count_regression, learned_at_counts, learned_topk  # noqa: E402
 from ..operators.metrics import count_metrics  # noqa: E402
-from .crossval import DEFAULT_MODELS, cross_validate, evaluate_fold, feature_lift  # noqa: E402
+from .crossval import (DEFAULT_MODELS, count_errors, cross_validate, evaluate_fold, feature_lift,  # noqa: E402
+                       normalized_errors)  # noqa: E402
 
 
 @register("latent_topk")
@@ -176,6 +177,19 @@ def q_count_regression(spark, sf):
     return count_metrics(p.join(a, ["fold", "observer_id"]), ["fold"])
 
 
+@register("learned_predicted_k")
+def q_learned_predicted_k(spark, sf):
+    """W7 by the learned model: every observer's ranking is as long as the count predicted for them."""
+    return learned_at_counts(folded(spark, sf), summary(spark, sf))
+
+
+@register("normalized_errors_models")
+def q_normalized_errors_models(spark, sf):
+    """A29 over the models that predict counts: the frozen mean and the regression."""
+    d, s = folded(spark, sf), cut_lineage(summary(spark, sf), "summary")
+    return cmp_ready(normalized_errors(count_errors(d, s)))
+
+
 @register("with_vs_without_features")
 def q_with_vs_without_features(spark, sf):
     d = folded(spark, sf)

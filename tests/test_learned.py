@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flyway.models.latent import dense_users, latent_topk
-from flyway.models.learned import clip_count, count_regression, learned_topk
+from flyway.models.learned import clip_count, count_regression, learned_at_counts, learned_topk
 from flyway.models.popularity import mean_count_predict, popularity_topk
 from flyway.operators.metrics import ranking_metrics
+from flyway.plans.crossval import count_errors, model_summary, normalized_errors
 from flyway.plans.pipeline import folded
 
 
@@ -81,3 +82,43 @@ def test_holdout_chooses_the_regularisation(planted):
     assert set(losses) == {2, 3} and all(set(x) == {0.001, 5.0} for x in losses.values())
     assert all(x[0.001] < x[5.0] for x in losses.values())            # a planted signal: shrinking it away costs
     assert mine[3] == 1.0
+
+
+def counted_summary(planted):
+    """Every observer's yearly total is 1 to 4 birds."""
+    obs = planted.fold_trans.select("observer_id").distinct()
+    n = (F.pmod("observer_id", F.lit(4)) + 1).cast("double")
+    return (obs.select("observer_id", F.explode(F.sequence(F.lit(2000), F.lit(2004))).alias("year"))
+            .select("observer_id", "year", *[F.array(F.lit("s")).alias(c) for c in ("scientific_name", "state", "county")],
+                    F.array(F.lit(1).cast("bigint")).alias("locality_id"),
+                    *[F.array(n).alias(c) for c in ("effort_hours", "effort_distance_km", "duration_minutes")],
+                    F.array(F.lit(1)).alias("number_observers"), n.alias("total_observations")))
+
+
+def test_every_observer_gets_as_many_species_as_predicted(planted):
+    summary = counted_summary(planted)
+    counts, _ = count_regression(planted, summary)
+    size = planted.n_species.first()[0]
+    want = {(r.fold, r.observer_id): min(max(round(r.predicted), 1), size) for r in counts.collect()}
+    got, full = (learned_at_counts(planted, summary).collect(), learned_topk(planted, k=size, summary=summary).collect())
+    seen = {(r.fold, r.observer_id): len(r.species_from)
+            for r in planted.fold_trans.where("role = 'test'").collect()}
+    lengths = {}
+    for r in got:
+        lengths[r.fold, r.observer_id] = max(lengths.get((r.fold, r.observer_id), 0), r["rank"])
+    assert len(set(want.values())) > 1
+    assert lengths == {key: min(k, size - seen[key]) for key, k in want.items()}
+    whole = {(r.fold, r.observer_id, r["rank"]): r.species for r in full}
+    assert all(whole[r.fold, r.observer_id, r["rank"]] == r.species for r in got)
+
+
+def test_errors_of_two_count_models_are_divided_by_the_larger(planted):
+    errors = count_errors(planted, counted_summary(planted)).cache()
+    mean = {(r.model, r.metric): r.mean_value for r in model_summary(errors).collect()}
+    for r in normalized_errors(errors).collect():
+        if r.metric == "count_correlation":
+            assert r.normalized == mean[r.model, r.metric]
+        else:
+            assert r.normalized == pytest.approx(
+                mean[r.model, r.metric] / max(mean["baseline", r.metric], mean["neural", r.metric]))
+    assert mean["neural", "count_mae"] < mean["baseline", "count_mae"]
