@@ -96,6 +96,21 @@ def q_geo_dictionaries(spark, sf):
     return s.unionByName(c)
 
 
+@register("geo_dictionaries_fold", O.with_(["obs", "folds"], """
+SELECT fold, county AS value, CAST(row_number() OVER (PARTITION BY fold ORDER BY county) - 1 AS INTEGER) AS idx
+FROM (SELECT DISTINCT f.fold, o.county
+      FROM obs o JOIN (SELECT fold, unnest([year_from, year_to]) AS year FROM folds WHERE role = 'train' AND fold = 1) f
+        ON f.year = o.year
+      WHERE o.county IS NOT NULL)
+"""))
+def q_geo_dictionaries_fold(spark, sf):
+    """A14 from one fold's years alone: the counties of the first fold's training years."""
+    train = folded(spark, sf).folds.where("role = 'train' and fold = 1")
+    years = train.select(F.explode(F.array("year_from", "year_to")).alias("year")).distinct()
+    d = FE.geo_dictionary(observed(spark, sf), "county", years=years)
+    return d.select(F.lit(1).alias("fold"), F.col("county").alias("value"), F.col("county_idx").cast("int").alias("idx"))
+
+
 @register("state_onehot", O.with_(["gf", "obs"], """
 SELECT g.observer_id, g.year, g.top_state, d.state_idx
 FROM gf g LEFT JOIN (

@@ -113,3 +113,12 @@ def test_lift(spark, grid, summary):
 def test_a_model_without_features_is_refused(grid):
     with pytest.raises(ValueError):
         scenario_predictions(grid, "baseline", 3)
+
+
+def test_dictionary_of_some_years(spark):
+    """Values of other years get no place; places are in value order."""
+    from flyway.operators.features import geo_dictionary
+    obs = spark.createDataFrame([(2000, "b"), (2000, "d"), (2001, "a"), (2001, "d"), (2002, "c"), (2001, None)],
+                                "year int, state string")
+    got = geo_dictionary(obs, "state", years=spark.createDataFrame([(2001,), (2002,)], "year int")).collect()
+    assert sorted((r.state_idx, r.state) for r in got) == [(0, "a"), (1, "c"), (2, "d")]
