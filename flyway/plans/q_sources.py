@@ -58,21 +58,31 @@ def q_scan_years(spark, sf):
     return _year_counts(SC.scan_years(FX.raw_observations(spark, sf), [1996, 1997, 1998]))
 
 
-def _raw_folders(spark, sf, name, rows_per_file=100, where=None):
-    """The raw table as ``year=`` folders of several files each, in checklist order by file name."""
+def _raw_folders(spark, sf, name, rows_per_file=100_000, where=None, first=(0, 100)):
+    """The raw table as ``year=`` folders of several files each, in checklist order by file name.
+
+    ``first``: the number and the rows of a year's first files, all others hold ``rows_per_file``.
+    """
     path = SK.new_output_dir(spark, name)
     raw = FX.raw_observations(spark, sf)
     raw = raw if where is None else raw.where(where)
     order = ["checklist_id", "hours_of_day", "scientific_name", "species_observed"]
-    # A row's place in its year: within its range partition, and the rows of the ranges before.
-    ranged = cut_lineage(raw.repartitionByRange("year", *order).withColumn("range", F.spark_partition_id()), "raw-order")
-    held = ranged.groupBy("year", "range").agg(F.count(F.lit(1)).alias("n"))
-    ahead = held.select("year", "range", F.coalesce(F.sum("n").over(
-        Window.partitionBy("year").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    inside = F.row_number().over(Window.partitionBy("year", "range").orderBy(*order)) - 1
-    filed = (ranged.withColumn("inside", inside).join(ahead, ["year", "range"])
-             .withColumn("file", F.floor((F.col("inside") + F.col("ahead")) / rows_per_file)).drop("inside", "ahead", "range"))
-    (filed.repartitionByRange("year", "file").sortWithinPartitions("year", "file", *order).drop("file")
+    # A row's place in its year: within its range partition, which is sorted before it is written, and the rows of
+    # the ranges before.  Only one row per year and range is joined to find it.
+    ranged = cut_lineage(raw.repartitionByRange("year", *order).sortWithinPartitions("year", *order).withColumns(
+        {"range": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "raw-order")
+    held = ranged.groupBy("year", "range").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("begin"))
+    before = F.sum("n").over(Window.partitionBy("year").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = held.select("year", "range", (F.col("begin") - F.coalesce(before, F.lit(0))).alias("begin"))
+    n, size = first
+    filed = (ranged.join(F.broadcast(ahead), ["year", "range"]).withColumn("place", F.col("at") - F.col("begin"))
+             .withColumn("file", F.when(F.col("place") < n * size, F.floor(F.col("place") / size))
+                         .otherwise(n + F.floor((F.col("place") - n * size) / rows_per_file)))
+             .drop("at", "begin", "range", "place"))
+    # A union keeps its parts' order, so a year's first files come first by name, from a partition each.
+    parts = [filed.where(F.col("file") == i).repartition(1).sortWithinPartitions("year", *order) for i in range(n)]
+    parts.append(filed.where(F.col("file") >= n).repartitionByRange("year", "file").sortWithinPartitions("year", "file", *order))
+    (reduce(DataFrame.unionByName, parts).drop("file")
         .write.option("maxRecordsPerFile", rows_per_file).partitionBy("year").parquet(path))
     return path
 
@@ -82,13 +92,13 @@ def _raw_folders(spark, sf, name, rows_per_file=100, where=None):
                                        scientific_name, species_observed) AS rn
                  FROM obs_raw) WHERE rn <= 200 AND species_observed)""")))
 def q_scan_sample(spark, sf):
-    # 100 rows a file: the first two files of a year hold its first 200 rows.
-    return _year_counts(SC.scan_sample(spark, _raw_folders(spark, sf, "sample"), 2))
+    # The first two files of a year hold its first 200 rows.
+    return _year_counts(SC.scan_sample(spark, _raw_folders(spark, sf, "sample", first=(2, 100)), 2))
 
 
 @register("read_raw", O.with_(["obs"], _YEAR_COUNTS.format(src="obs WHERE year IN (1996, 1997)")))
 def q_read_raw(spark, sf):
-    raw = SC.read_raw(spark, _raw_folders(spark, sf, "raw", 100_000))
+    raw = SC.read_raw(spark, _raw_folders(spark, sf, "raw"))
     return _year_counts(SC.scan_years(raw, [1996, 1997]))
 
 
@@ -97,7 +107,7 @@ def q_read_raw(spark, sf):
 def q_tolerant_scan(spark, sf):
     # A third of 1997 lies in files that are no Parquet.
     lost = (F.col("year") == 1997) & (F.col("checklist_id") % 3 == 0)
-    path = _raw_folders(spark, sf, "tolerant", 100_000, ~lost)
+    path = _raw_folders(spark, sf, "tolerant", where=~lost)
     (FX.raw_observations(spark, sf).where(lost).select(F.to_json(F.struct("*")).alias("value"))
         .write.mode("append").text(os.path.join(path, "year=1997")))
     return _year_counts(SC.scan_observed(SC.read_raw(spark, path, tolerant=True)))
@@ -111,7 +121,7 @@ JOIN obs o ON o.year = f.y GROUP BY f.fold, o.year
 def q_fold_load(spark, sf):
     """Each fold's raw rows, read from the folders of its years only."""
     d = folded(spark, sf)
-    raw = SC.read_raw(spark, _raw_folders(spark, sf, "folds", 100_000))
+    raw = SC.read_raw(spark, _raw_folders(spark, sf, "folds"))
     parts = [SC.scan_observed(SC.fold_years(raw, d.folds, f)).groupBy("year").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("observer_id").alias("n_observers"))
         .select(F.lit(f).alias("fold"), "year", "n_rows", "n_observers") for f in range(1, d.n_folds + 1)]
