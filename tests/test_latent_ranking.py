@@ -1,0 +1,43 @@
+"""The ranking of latent factors inside the task, and the rows that count fits read."""
+
+import glob
+import os
+
+import numpy as np
+import pyarrow as pa
+
+from flyway.models import latent
+
+
+def test_best_unseen_equals_plain_ranking(monkeypatch):
+    """Ties stand by name; seen, unknown and repeated species, empty and null sets; K beyond the catalogue."""
+    monkeypatch.setattr(latent, "SCORE_CELLS", 12)             # several slices a batch
+    r = np.random.default_rng(1)
+    names = [f"s{i}" for i in range(6)]
+    factors = r.integers(0, 2, (6, 3)).astype(float).tolist()
+    rows = [(i, [str(x) for x in r.choice(names + ["x"], r.integers(0, 7))], r.integers(0, 3, 3).astype(float).tolist())
+            for i in range(20)] + [(20, None, [1.0, 1.0, 1.0]), (21, names, [1.0, 1.0, 1.0])]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows]), pa.array([x[1] for x in rows], pa.list_(pa.string())),
+                                        pa.array([x[2] for x in rows], pa.list_(pa.float32()))],
+                                       names=["observer_id", "species_from", "features"])
+    for k in (2, 50):
+        want = []
+        for i, seen, u in rows:
+            left = sorted((-float(np.dot(u, v)), s) for s, v in zip(names, factors) if s not in (seen or []))[:k]
+            want += [(i, s, -v, n + 1) for n, (v, s) in enumerate(left)]
+        got = pa.Table.from_batches(latent._best_unseen(names, factors, k)([batch])).to_pylist()
+        assert [(g["observer_id"], g["species"], g["score"], g["rank"]) for g in got] == want
+
+
+def test_count_fits_read_their_own_fold(spark):
+    from flyway.models.learned import count_regression
+    from tests.micro import data
+    rows = [(o, y, 1.0 + o % 3) for o in range(1, 6) for y in range(2018, 2022)]
+    summary = spark.createDataFrame(rows, "observer_id long, year int, total_observations double")
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(os.path.join(base, "count-rows-*")))
+    predicted, actual = count_regression(data(spark), summary, use_features=False)
+    assert predicted.count() == actual.count() > 0
+    written, = set(glob.glob(os.path.join(base, "count-rows-*"))) - before
+    assert len(glob.glob(os.path.join(written, "fold=*"))) >= 2
+    assert "species_from" not in spark.read.parquet(written).columns
